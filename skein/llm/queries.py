@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import main_text, mixing, secrets, token_counts
+from . import decontamination, jaccard, language, licenses, lm, main_text, mixing, secrets, token_counts
 from .base import table
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -23,10 +23,26 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.scan(docs, secrets.trained(docs)))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digests(decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(table(spark, sf_dir, "pages"))
 
@@ -35,8 +51,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all pages; the text model is fitted on the labelled documents."""
+    model = language.train(table(spark, sf_dir, "documents"))
+    found = language.identify(table(spark, sf_dir, "pages"), model, "page_id", "html", url_col="url", markup=True)
+    return found.withColumnRenamed("id", "page_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op5_token_counts, op8_main_text, op9_mixing)}
+    return {f.__name__: f for f in (op1_secrets, op2_jaccard_join, op3_decontamination, op4_licenses, op5_token_counts, op7_lm_scores, op8_main_text, op9_mixing, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
