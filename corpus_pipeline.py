@@ -1,12 +1,64 @@
-"""A corpus pipeline of the training-data operators."""
+"""A corpus pipeline: language ID, near-duplicates, decontamination, secrets, mixing.
+
+Each stage takes the documents its predecessor kept and returns documents with the same columns; the
+last returns what the mix takes of each. Every stage's rows are written to the shared folder and
+read again, so that each runs once and a lost executor costs one stage at most.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from skein.llm import decontamination, jaccard, language, mixing, secrets
+from skein.llm.base import materialize, table, without
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose text is in none of the labelled languages (no letters, or less likely than random bytes)."""
+    found = language.identify(docs, language.train(docs), "doc_id", "text", declared_col="lang", host_col="source")
+    return without(docs, found.filter(~F.col("kept")).select("id"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the least id of each group of linked documents."""
+    found = jaccard.join(docs)
+    return without(docs, found.filter("NOT kept AND component_id IS NOT NULL").select("doc_id"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which a window of a benchmark item occurs."""
+    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
+    return without(docs, found.filter(F.size("items") > 0).select("doc_id"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces the secrets in the texts; n_chars follows the text."""
+    clean = secrets.redact(docs, secrets.trained(docs))
+    if "n_chars" in clean.columns:
+        clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return clean
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("jaccard_join", near_duplicates),
+    ("decontamination", decontaminate),
+    ("secret_scan", redact_secrets),
+    ("mixing", mix_sources),
+]
 
-STAGES: list = []
+#: Trained models and rounding at random have no SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return docs

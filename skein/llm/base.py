@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
@@ -158,3 +159,14 @@ def rolled(h: np.ndarray, k: int) -> np.ndarray:
     for i in range(1, k):
         out = out * MIX + h[i : n + i]
     return mixed(out)
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in ``dropped`` (one long column); all columns stay.
+
+    The ids are broadcast only if there are few; else both sides are shuffled by id. A row
+    without an id cannot be named and stays; rows that share an id go together.
+    """
+    ids = materialize(dropped.select(F.col(dropped.columns[0]).cast("long").alias("__dropped")).filter("__dropped IS NOT NULL").distinct(), "dropped")
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, docs[id_col].cast("long") == ids["__dropped"], "left_anti")

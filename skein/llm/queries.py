@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, language, licenses, lm, main_text, mixing, secrets, token_counts
+from . import decontamination, jaccard, language, lattice, licenses, lm, main_text, mixing, oracles, secrets, token_counts
 from .base import table
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -39,6 +39,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
 
@@ -59,8 +63,8 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_jaccard_join, op3_decontamination, op4_licenses, op5_token_counts, op7_lm_scores, op8_main_text, op9_mixing, op10_language)}
+    return {f.__name__: f for f in (op1_secrets, op2_jaccard_join, op3_decontamination, op4_licenses, op5_token_counts, op6_near_vectors, op7_lm_scores, op8_main_text, op9_mixing, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_jaccard_join": oracles.JACCARD_JOIN, "op3_decontamination": oracles.DECONTAMINATION, "op6_near_vectors": oracles.NEAR_VECTORS}
