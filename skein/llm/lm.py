@@ -50,9 +50,10 @@ class Vocabulary:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         n = model.get_piece_size()
         names, scores = [model.id_to_piece(i) for i in range(n)], np.array([model.get_score(i) for i in range(n)])
-        plain = np.array([not (model.is_control(i) or model.is_unknown(i)) and (model.is_byte(i) or scores[i] > FLOOR) for i in range(n)])
+        last = np.array([model.is_byte(i) or len(names[i]) == 1 and scores[i] <= FLOOR for i in range(n)])  # always usable, and the least likely
+        plain = np.array([not (model.is_control(i) or model.is_unknown(i)) for i in range(n)]) & (last | (scores > FLOOR))
         # the scores of merges are ranks from -1 down: weigh them by Zipf's law
-        self.first = np.where(plain, -np.log(10.0 - np.minimum(scores, 0)), -np.inf)
+        self.first = np.where(plain, -np.log(10.0 + np.where(last, n, -scores)), -np.inf)
         self.bytes = {int(names[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.size = n
         self.tree: dict[str, int] = {}  # each prefix of a piece: the piece's number, or -1
