@@ -56,10 +56,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Languages of all pages; the text model is fitted on the labelled documents."""
-    model = language.train(table(spark, sf_dir, "documents"))
-    found = language.identify(table(spark, sf_dir, "pages"), model, "page_id", "html", url_col="url", markup=True)
-    return found.withColumnRenamed("id", "page_id")
+    """Languages of all documents and all pages: one of doc_id and page_id is null. The text model is fitted on the labelled documents."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    of_docs = language.identify(docs, model, "doc_id", "text", declared_col="lang", host_col="source")
+    of_pages = language.identify(table(spark, sf_dir, "pages"), model, "page_id", "html", url_col="url", markup=True)
+    return of_docs.withColumnRenamed("id", "doc_id").unionByName(of_pages.withColumnRenamed("id", "page_id"), allowMissingColumns=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
