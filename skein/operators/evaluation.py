@@ -160,3 +160,15 @@ def interval(diffs: DataFrame) -> DataFrame:
     """95 % percentile intervals of the resampled differences, with linear interpolation."""
     p = lambda c, q: F.percentile(c, q)
     return diffs.agg(*[p(c, q).alias(f"{c}_{n}") for c in ("auc_roc_diff", "auc_pr_diff") for n, q in (("low", 0.025), ("high", 0.975))], F.count("*").alias("reps"))
+
+
+def platt(df: DataFrame, score: str, label: str) -> dict[str, float]:
+    """Slope and intercept of the label on the score's logit; slope 1 and intercept 0 are well calibrated."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from ..functions.scalars import logit
+
+    rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).select(logit(score).alias("z"), F.col(label).cast("double").alias("y"))
+    fitted = LogisticRegression(featuresCol="f", labelCol="y", regParam=0.0, maxIter=200, tol=1e-10).fit(VectorAssembler(inputCols=["z"], outputCol="f").transform(rows))
+    return {"slope": float(fitted.coefficients[0]), "intercept": float(fitted.intercept)}

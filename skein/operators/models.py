@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -100,3 +100,26 @@ def mean_contribution(df: DataFrame, groups: dict[str, str], parts: str = "contr
 def suspicious(auc: float | None, limit: float = 0.92) -> bool:
     """A test AUC too good to be true points to leakage."""
     return auc is not None and auc > limit
+
+
+def ablation(fit: DataFrame, validation: DataFrame, variants: dict[str, list[str]], categorical: list[str], label: str) -> DataFrame:
+    """ROC AUC and average precision of a model for each feature list, on rows that it was not fitted on."""
+    from .evaluation import curve_metrics
+
+    parts = []
+    for name, numeric in variants.items():
+        scored = score(fit_logistic(fit, numeric, categorical, label), validation, "__score")
+        parts.append(curve_metrics(scored, "__score", label).select(F.lit(name).alias("variant"), "roc_auc", "average_precision"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def save(model: tuple[PipelineModel, dict[str, float]], path: str) -> None:
+    """Writes the stages, and the imputed values as a small table beside them."""
+    fitted, values = model
+    fitted.write().overwrite().save(f"{path}/stages")
+    SparkSession.active().createDataFrame(sorted(values.items()), "feature string, value double").write.mode("overwrite").parquet(f"{path}/values")
+
+
+def load(spark: SparkSession, path: str) -> tuple[PipelineModel, dict[str, float]]:
+    values = {r["feature"]: r["value"] for r in spark.read.parquet(f"{path}/values").collect()}
+    return PipelineModel.load(f"{path}/stages"), values
