@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from math import exp, log
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import SPACED, hashes, materialize, partitions, steps, words
+from .base import SPACED, hashes, materialize, mixed, partitions, steps, words
 
 MARK = "▁"
 ROUNDS, SMOOTHING, FLOOR = 2, 0.1, -1e8
@@ -40,7 +40,7 @@ PACKED = "kind int, bucket int, step long, words binary, counts binary, docs bin
 
 
 class Vocabulary:
-    """Pieces of a sentencepiece file; ``first`` are log weights from its scores."""
+    """Pieces of a sentencepiece file as a hash table over code points; ``first`` are log weights from its scores."""
 
     _made: dict[str, Vocabulary] = {}
 
@@ -56,12 +56,19 @@ class Vocabulary:
         self.first = np.where(plain, -np.log(10.0 + np.where(last, n, -scores)), -np.inf)
         self.bytes = {int(names[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.size = n
-        self.tree: dict[str, int] = {}  # each prefix of a piece: the piece's number, or -1
-        for i in np.flatnonzero(plain).tolist():
-            if not model.is_byte(i):
-                for k in range(1, len(names[i])):
-                    self.tree.setdefault(names[i][:k], -1)
-                self.tree[names[i]] = i
+        own = [i for i in np.flatnonzero(plain).tolist() if not model.is_byte(i)]
+        self.longest = max(map(len, (names[i] for i in own)), default=1)
+        keys = np.zeros(len(own), np.uint64)
+        for k in range(self.longest):
+            at = np.array([j for j, i in enumerate(own) if len(names[i]) > k], np.int64)
+            keys[at] = keys[at] * STEP + np.array([ord(names[own[j]][k]) + 1 for j in at], np.uint64)
+        keys = mixed(keys)
+        order = np.argsort(keys)
+        self.keys, self.pieces = keys[order], np.array(own, np.int64)[order]
+        slot = (self.keys >> np.uint64(64 - SLOTS)).astype(np.int64)
+        self.start = np.searchsorted(slot, np.arange((1 << SLOTS) + 1))
+        self.used = self.start[1:] > self.start[:-1]
+        self.deepest = int(np.diff(self.start).max(initial=0))
 
     @classmethod
     def of(cls, path: str) -> Vocabulary:
@@ -69,67 +76,107 @@ class Vocabulary:
             cls._made[path] = cls(path)
         return cls._made[path]
 
-    def edges(self, word: str) -> list[list[tuple[int, tuple[int, ...]]]]:
-        """For each start, the (end, pieces) of the lattice of a word with its mark."""
-        tree, out, n = self.tree, [], len(word)
-        for i in range(n):
-            own = []
-            for j in range(i + 1, n + 1):
-                piece = tree.get(word[i:j])
-                if piece is None:
-                    break
-                if piece >= 0:
-                    own.append((j, (piece,)))
-            if tree.get(word[i], -1) < 0:
-                own.append((i + 1, tuple(self.bytes[b] for b in word[i].encode())))
-            out.append(own)
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The piece of each hash, or -1."""
+        out = np.full(keys.shape, -1, np.int64)
+        slot = (keys >> np.uint64(64 - SLOTS)).astype(np.int64)
+        at = np.flatnonzero(self.used[slot.ravel()])
+        key, first = keys.ravel()[at], self.start[slot.ravel()[at]]
+        flat = out.ravel()
+        for r in range(self.deepest):
+            k = np.minimum(first + r, len(self.keys) - 1)
+            hit = self.keys[k] == key
+            flat[at[hit]] = self.pieces[k[hit]]
         return out
 
 
-def _add(a: float, b: float) -> float:
-    if a < b:
-        a, b = b, a
-    return a if b == -np.inf else a + log(1.0 + exp(b - a))
+STEP, SLOTS = np.uint64(0x9E3779B97F4A7C15), 20
+#: Words times their length that are taken at once.
+CELLS = 1 << 16
 
 
 class Lattice:
-    """The forward recursion, and the expected counts of pieces, under log weights."""
+    """Forward and backward recursions in log space, under log weights, for many words of one length at a time."""
 
     def __init__(self, vocabulary: Vocabulary, weights: np.ndarray):
-        self.vocabulary, self.w = vocabulary, weights.tolist()
-
-    def likelihood(self, word: str) -> float:
-        """Log of the sum over all segmentations of the word."""
-        edges, w = self.vocabulary.edges(MARK + word), self.w
-        alpha = [-np.inf] * (len(edges) + 1)
-        alpha[0] = 0.0
-        for i, own in enumerate(edges):
-            a = alpha[i]
-            if a > -np.inf:
-                for j, pieces in own:
-                    s = a + (w[pieces[0]] if len(pieces) == 1 else sum(w[p] for p in pieces))
-                    t = alpha[j]
-                    alpha[j] = s if t == -np.inf else (t + log(1.0 + exp(s - t)) if t >= s else s + log(1.0 + exp(t - s)))
-        return alpha[-1]
-
-    def expect(self, word: str, count: float, into: np.ndarray) -> None:
-        """Adds the word's expected piece counts, ``count`` times."""
-        edges, w = self.vocabulary.edges(MARK + word), self.w
-        n = len(edges)
-        alpha, beta, cost = [-np.inf] * (n + 1), [-np.inf] * (n + 1), []
-        alpha[0] = beta[n] = 0.0
-        for i, own in enumerate(edges):
-            cost.append([sum(w[p] for p in pieces) for _, pieces in own])
-            for (j, _), c in zip(own, cost[i], strict=True):
-                alpha[j] = _add(alpha[j], alpha[i] + c)
-        for i in range(n - 1, -1, -1):
-            for (j, _), c in zip(edges[i], cost[i], strict=True):
-                beta[i] = _add(beta[i], c + beta[j])
-        for i, own in enumerate(edges):
-            for (j, pieces), c in zip(own, cost[i], strict=True):
-                if (x := alpha[i] + c + beta[j] - alpha[n]) > -30:
-                    for p in pieces:
-                        into[p] += count * exp(x)
+        self.vocabulary, self.w = vocabulary, np.append(weights, -np.inf)  # the last: no piece
+
+    def _groups(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places in ``words``, code points with the mark in front) of words of one length."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(size, kind="stable")
+        ends = np.flatnonzero(np.append(size[order][1:] != size[order][:-1], True)) + 1 if len(words) else []
+        start = 0
+        for end in ends:
+            n = int(size[order[start]])
+            each = max(1, CELLS // (n + 1))
+            for k in range(start, end, each):
+                at = order[k : min(k + each, end)]
+                text = "".join([words[i] for i in at.tolist()])
+                codes = np.frombuffer(text.encode("utf-32-le"), np.uint32).reshape(len(at), n)
+                yield at, np.concatenate([np.full((len(at), 1), ord(MARK), np.uint32), codes], axis=1)
+            start = end
+
+    def _edges(self, codes: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """For each piece length, the piece at each start (-1: none); the cost of single characters; which of them go by bytes."""
+        n, h, found = codes.shape[1], np.zeros(codes.shape, np.uint64), []
+        for k in range(min(self.vocabulary.longest, n)):
+            h = h[:, : n - k] * STEP + (codes[:, k:].astype(np.uint64) + np.uint64(1))
+            found.append(self.vocabulary.find(mixed(h)))
+        single, odd = self.w[found[0]], found[0] < 0
+        if odd.any():
+            kinds, which = np.unique(codes[odd], return_inverse=True)
+            single = single.copy()
+            single[odd] = np.array([sum(self.w[self.vocabulary.bytes[b]] for b in chr(c).encode()) for c in kinds.tolist()])[which]
+        return found, single, odd
+
+    def _forward(self, found: list[np.ndarray], single: np.ndarray) -> np.ndarray:
+        rows, n = single.shape
+        alpha = np.full((rows, n + 1), -np.inf)
+        alpha[:, 0] = 0.0
+        for j in range(1, n + 1):
+            into = [alpha[:, j - 1] + single[:, j - 1]] + [alpha[:, j - k - 1] + self.w[found[k][:, j - k - 1]] for k in range(1, min(len(found), j))]
+            alpha[:, j] = _sum(into)
+        return alpha
+
+    def likelihoods(self, words: list[str]) -> np.ndarray:
+        """For each word, the log of the sum over all its segmentations."""
+        out = np.zeros(len(words))
+        for at, codes in self._groups(words):
+            found, single, _ = self._edges(codes)
+            out[at] = self._forward(found, single)[:, -1]
+        return out
+
+    def expect(self, words: list[str], counts: np.ndarray, into: np.ndarray) -> None:
+        """Adds the expected piece counts of the words, each ``counts`` times."""
+        for at, codes in self._groups(words):
+            found, single, odd = self._edges(codes)
+            alpha = self._forward(found, single)
+            n = codes.shape[1]
+            beta = np.full(alpha.shape, -np.inf)
+            beta[:, n] = 0.0
+            for i in range(n - 1, -1, -1):
+                beta[:, i] = _sum([single[:, i] + beta[:, i + 1]] + [self.w[found[k][:, i]] + beta[:, i + k + 1] for k in range(1, min(len(found), n - i))])
+            c = counts[at].astype(np.float64)[:, None]
+            for k, piece in enumerate(found):
+                cost = single if k == 0 else self.w[piece]
+                p = c * np.exp(alpha[:, : n - k] + cost + beta[:, k + 1 :] - alpha[:, n :])
+                ok = piece >= 0
+                into += np.bincount(piece[ok], weights=p[ok], minlength=len(into))
+                if k == 0 and odd.any():
+                    kinds, which = np.unique(codes[odd], return_inverse=True)
+                    for x, total in zip(kinds.tolist(), np.bincount(which, weights=p[odd]).tolist(), strict=True):
+                        for b in chr(x).encode():
+                            into[self.vocabulary.bytes[b]] += total
+
+
+def _sum(terms: list[np.ndarray]) -> np.ndarray:
+    """Log of the sum of exponentials; the first term is finite."""
+    if len(terms) == 1:
+        return terms[0]
+    every = np.stack(terms)
+    top = every.max(axis=0)
+    return top + np.log(np.exp(every - top).sum(axis=0))
 
 
 def _packed(docs: DataFrame, buckets: int) -> DataFrame:
@@ -227,8 +274,7 @@ def _expected(table: DataFrame, path: str, weights: np.ndarray) -> np.ndarray:
         lattice = Lattice(Vocabulary.of(path), shared.value)
         into = np.zeros(lattice.vocabulary.size)
         for b in batches:
-            for word, c in zip(b.column("word").to_pylist(), b.column("c").to_pylist(), strict=True):
-                lattice.expect(word.decode(), c, into)
+            lattice.expect(b.column("word").cast(pa.string()).to_pylist(), b.column("c").to_numpy(zero_copy_only=False), into)
         piece = np.flatnonzero(into)
         yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(into[piece])], ["piece", "n"])
 
@@ -272,7 +318,7 @@ def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         lattice = Lattice(Vocabulary.of(path), shared.value)
         names = known.column("word").combine_chunks().cast(pa.large_binary())
         c = known.column("c").to_numpy().astype(np.int64)
-        value = np.fromiter((lattice.likelihood(x.decode()) for x in names.to_pylist()), np.float64, len(names))
+        value = lattice.likelihoods(names.cast(pa.large_string()).to_pylist())
         blobs = asked.column("words").to_pylist()
         at = pc.index_in(_cut(blobs), value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)
         sizes = np.cumsum([x.count(b"\n") + 1 for x in blobs])[:-1]

@@ -37,35 +37,40 @@ def test_word_scores(spark):
     assert lm.score(d.limit(0), path).count() == 0
 
 
+def plain_lattice(path):
+    """Weights by piece, for a recursion over all segmentations."""
+    import sentencepiece
+
+    v, model = lm.Vocabulary.of(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    known = {model.id_to_piece(i): i for i in np.flatnonzero(np.isfinite(v.first)).tolist() if not model.is_byte(i)}
+    return v, model, known
+
+
 def test_forward_sums_all_segmentations():
-    path = queries.tokenizer_path(queries.PIECES)
-    v = lm.Vocabulary.of(path)
-    lattice = lm.Lattice(v, v.first)
+    v, _, known = plain_lattice(path := queries.tokenizer_path(queries.PIECES))
 
     def brute(word, memo):
         if not word:
             return 0.0
         if word not in memo:
-            ways = [(v.first[p], n) for n in range(1, len(word) + 1) if (p := v.tree.get(word[:n], -1)) >= 0]
-            if v.tree.get(word[0], -1) < 0:
+            ways = [(v.first[known[word[:n]]], n) for n in range(1, len(word) + 1) if word[:n] in known]
+            if word[0] not in known:
                 ways.append((sum(v.first[v.bytes[b]] for b in word[0].encode()), 1))
             memo[word] = np.logaddexp.reduce([s + brute(word[n:], memo) for s, n in ways])
         return memo[word]
 
-    for w in ("the", "unsmoothed", "naïve", "漢字", "😀x", "aaaaaaaa"):
-        assert abs(lattice.likelihood(w) - brute(lm.MARK + w, {})) < 1e-9
+    own = ["the", "unsmoothed", "naïve", "漢字", "😀x", "aaaaaaaa", "x", "unsmoothed", "\u0378q"]
+    got = lm.Lattice(lm.Vocabulary.of(path), v.first).likelihoods(own)
+    assert np.allclose(got, [brute(lm.MARK + w, {}) for w in own], atol=1e-9)
 
 
-def test_expected_counts_fill_the_word():
-    path = queries.tokenizer_path(queries.PIECES)
-    v = lm.Vocabulary.of(path)
+def test_expected_counts_fill_the_words():
+    v, model, _ = plain_lattice(queries.tokenizer_path(queries.PIECES))
     into = np.zeros(v.size)
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    lm.Lattice(v, v.first).expect("unsmoothed", 2.0, into)
-    chars = sum(into[i] * len(model.id_to_piece(int(i))) for i in np.flatnonzero(into))
-    assert abs(chars - 2.0 * len("unsmoothed" + lm.MARK)) < 1e-6
+    own, times = ["unsmoothed", "the", "\u0378ab"], np.array([2, 5, 3])
+    lm.Lattice(v, v.first).expect(own, times, into)
+    size = [1 / len("\u0378".encode()) if model.is_byte(i) else len(model.id_to_piece(i)) for i in range(v.size)]
+    assert abs(into @ np.array(size) - sum(n * len(lm.MARK + w) for w, n in zip(own, times.tolist(), strict=True))) < 1e-6
 
 
 LANGS = {"en": "the of and to in that it was for with this are be from which have they".split(), "fr": "le la les de des et que qui dans pour une avec été même où ça".split(), "de": "der die das und zu den mit für nicht über schön wäre straße auch".split()}
