@@ -48,22 +48,25 @@ def curve_metrics(df: DataFrame, score: str, label: str, weight: str | None = No
 
 
 def top_share(df: DataFrame, score: str, share: float, ties: list[str], name: str = "flagged") -> DataFrame:
-    """Flags the first round(share * rows) rows by score, ties by the listed columns.
+    """Flags the first round(share * rows) rows by score, ties by the listed columns; null scores come last.
 
     The cut is found without one order over all rows: scores are counted first; only rows at the
-    cutting score are ordered among themselves.
+    cutting score are ranked among themselves, and that in ranges.
     """
-    total = df.count()
-    k = int(round(share * total))
-    counts = df.groupBy(F.col(score).alias("s")).agg(F.lit(0.0).alias("p"), F.count("*").cast("double").alias("n"))
-    scored = cumulated(counts.filter("s IS NOT NULL"))
-    cut = scored.filter(F.col("c") >= k).agg(F.max("s").alias("__cut")).crossJoin(scored.agg(F.max("s").alias("__top")))
-    cut = cut.select("__cut", "__top")
-    above = scored.join(F.broadcast(cut), F.col("s") > F.col("__cut")).agg(F.coalesce(F.sum("n"), F.lit(0.0)).alias("__above"))
-    place = F.row_number().over(Window.partitionBy(F.col(score) == F.col("__cut"), F.when(F.col(score) != F.col("__cut"), F.xxhash64(*ties))).orderBy(*[F.asc_nulls_last(t) for t in ties]))
-    out = df.crossJoin(F.broadcast(cut)).crossJoin(F.broadcast(above)).withColumn("__place", place)
-    flag = F.when(F.lit(k) == 0, 0).when(F.col(score) > F.col("__cut"), 1).when((F.col(score) == F.col("__cut")) & (F.col("__place") <= k - F.col("__above")), 1).otherwise(0)
-    return out.withColumn(name, flag.cast("int")).select(*df.columns, name)
+    k = int(round(share * df.count()))
+    counts = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(F.lit(0.0).alias("p"), F.count("*").cast("double").alias("n"))
+    # the greatest score at which k rows are reached, and how many rows lie above it: one row, with nulls if k is not reached
+    cut = cumulated(counts).filter(F.col("c") >= k).agg(F.max("s").alias("s"), F.max_by(F.col("c") - F.col("n"), "s").alias("above")).first()
+    if k == 0 or cut["s"] is None:
+        if k == 0:
+            return df.withColumn(name, F.lit(0))
+        ranked = global_rank(df.filter(F.col(score).isNull()), ties, "__rank")
+        left = k - df.filter(F.col(score).isNotNull()).count()
+        return df.filter(F.col(score).isNotNull()).withColumn(name, F.lit(1)).unionByName(ranked.withColumn(name, (F.col("__rank") <= left).cast("int")).drop("__rank"))
+    at = F.col(score) == F.lit(cut["s"])
+    ranked = global_rank(df.filter(at), ties, "__rank").withColumn(name, (F.col("__rank") <= k - cut["above"]).cast("int")).drop("__rank")
+    others = df.filter(~F.coalesce(at, F.lit(False))).withColumn(name, F.coalesce(F.col(score) > F.lit(cut["s"]), F.lit(False)).cast("int"))
+    return others.unionByName(ranked)
 
 
 def confusion(label: str, pred: str) -> list[Column]:
@@ -108,20 +111,32 @@ def rank_bin(rank: Column, total: Column, bins: int = 10) -> Column:
 def calibration(df: DataFrame, score: str, label: str, ties: list[str], bins: int = 10) -> DataFrame:
     """decile, rows, mean score and actual rate, by rank bins.
 
-    Global ranks come from range partitions: a row's place in its range plus the ranges before.
+    Ranks are found in ranges of the scores, see ``global_rank``.
     """
-    ranked = global_rank(df.filter(F.col(score).isNotNull()), [F.asc(score)] + [F.asc_nulls_last(t) for t in ties], "__rank")
+    ranked = global_rank(df.filter(F.col(score).isNotNull()), [score, *ties], "__rank")
     n = ranked.agg(F.count("*").alias("__total"))
     out = ranked.crossJoin(F.broadcast(n)).withColumn("decile", rank_bin(F.col("__rank"), F.col("__total"), bins))
     return out.groupBy("decile").agg(F.count("*").alias("rows"), F.round(F.avg(score), 4).alias("mean_predicted"), F.round(F.avg(F.col(label).cast("double")), 4).alias("actual_rate"))
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Row number over all rows, in parallel: sorted ranges, counted, then numbered within."""
-    sorted_ = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    sizes = sorted_.groupBy("__part").agg(F.count("*").alias("__n"))
+def global_rank(df: DataFrame, order: list[str], name: str, ranges: int = 64) -> DataFrame:
+    """Row number over all rows by ascending columns, nulls first, without one task that sees all rows.
+
+    A sample of the keys, chosen by hash and bounded by 50 for each range, gives the ranges' ends;
+    rows are numbered within their range, and the ranges before are added. A row's range is an
+    expression of its own columns, so every read of the plan agrees on it.
+    """
+    key = F.struct(*order)
+    rate = min(1.0, 50 * ranges / max(1, df.count()))
+    picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(1_000_003)) < int(rate * 1_000_003) + 1).select(*order).distinct().orderBy(*order).collect()
+    ends = picked[len(picked) // ranges :: max(1, len(picked) // ranges)][: ranges - 1] if len(picked) > ranges else []
+    kinds = dict(df.select(*order).dtypes)
+    made = F.array(*[F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in order]) for r in ends]) if ends else None
+    part = F.size(F.filter(made, lambda x: x <= key)) if ends else F.lit(0)
+    placed = df.withColumn("__part", part)
+    sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))  # a row for each range
     before = sizes.select(F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    local = sorted_.withColumn("__local", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    local = placed.withColumn("__local", F.row_number().over(Window.partitionBy("__part").orderBy(*[F.asc_nulls_first(c) for c in order])))
     return local.join(F.broadcast(before), F.col("__part") == F.col("__of")).withColumn(name, (F.col("__local") + F.col("__before")).cast("long")).drop("__part", "__of", "__before", "__local")
 
 

@@ -97,6 +97,19 @@ def test_top_share_takes_ties_in_order(spark):
     assert got == {10, 0, 1}
 
 
+@pytest.mark.parametrize("n", [0, 5, 500])
+def test_global_rank(spark, n):
+    df = spark.createDataFrame([(i, None if i % 11 == 0 else i * 7 % 5, float(i * 13 % 97)) for i in range(n)], "id int, a int, b double")
+    got = [r["r"] for r in evaluation.global_rank(df, ["a", "b", "id"], "r", ranges=8).orderBy(F.asc_nulls_first("a"), "b", "id").collect()]
+    assert got == list(range(1, n + 1))
+
+
+def test_top_share_reaches_null_scores(spark):
+    df = spark.createDataFrame([(1, 0.5), (2, None), (3, None)], "id int, s double")
+    assert {r["id"] for r in evaluation.top_share(df, "s", 0.67, ["id"]).filter("flagged = 1").collect()} == {1, 2}
+    assert evaluation.top_share(df, "s", 0.0, ["id"]).filter("flagged = 1").count() == 0
+
+
 def test_threshold_zero_means_above_zero(spark):
     df = spark.createDataFrame([(1, 0), (1, 5), (0, 3), (0, None)], "y int, k int")
     got = {r["threshold"]: (r["tp"], r["fp"], r["fn"], r["tn"]) for r in evaluation.threshold_sweep(df, "y", "k", [0, 5]).collect()}
