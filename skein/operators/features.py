@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clip
 from .temporal import asof_latest, full_hours_sum, hour_lookup, known_delay, pending_share, trailing_stats
 
+#: Minutes before departure, window and look-back; bounds of a delay in averages; the weather's columns.
 LEAD, WIDTH, LOOKBACK, CLIP = 120, 120, 1440, (-30, 300)
-#: The weather's columns.
 WEATHER = ["temperature_c", "precipitation_mm", "snowfall_cm", "wind_speed_kmh", "wind_gusts_kmh", "cloud_cover_low_pct"]
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HARD, WARN = "error", "warn"
+#: Clock text with end-of-day midnight; airport codes.
 HHMM = "([01][0-9]|2[0-3])[0-5][0-9]|2400"
 IATA = "[A-Z0-9]{3}"
 

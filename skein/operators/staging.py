@@ -9,6 +9,7 @@ from ..functions import scalars as S
 from .metrics import reason, status
 from .rows import keep_latest, rotation, volumes
 
+#: The natural key and the causes of delay.
 KEY = ["flight_date", "reporting_airline", "flight_number", "origin", "crs_dep_time"]
 CAUSES = ["carrier_delay", "weather_delay", "nas_delay", "security_delay", "late_aircraft_delay"]
 
