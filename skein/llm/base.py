@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
@@ -48,6 +48,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sampled(id_col: str, rate: float | Column) -> Column:
+    """Whether a row is in a sample of about ``rate`` of all rows, by the hash of its id; rows without an id are not.
+
+    Copies of a text fall apart, and the hash is fine enough for any table.
+    """
+    fine = 1 << 40
+    most = (rate * fine).cast("long") if isinstance(rate, Column) else F.lit(int(rate * fine))
+    return F.col(id_col).isNotNull() & (F.pmod(F.xxhash64(id_col), F.lit(fine)) < most)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

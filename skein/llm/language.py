@@ -17,7 +17,8 @@ most ``MOST`` languages, so its broadcast does not grow with the data.
 
 Cases: null or empty texts, and texts without letters, have language null and are not kept;
 unknown or null declarations, suffixes and hosts say nothing; repeated rows get equal results and
-each counts for its host; very long texts are read whole; extra columns are not read.
+each counts for its host; very long texts are read whole; extra columns are not read; without any
+labelled language nothing can be judged, so all rows are kept without a language.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import buffers, materialize, steps
+from .base import buffers, materialize, sampled, steps
 
 BITS, MOST, EVIDENCE = 16, 64, 20.0
 DECLARED, SUFFIX, HOST_WEIGHT, DOMAIN_WEIGHT = 0.9, 0.8, 5.0, 20.0
@@ -80,17 +81,17 @@ class Model:
         return out, n
 
 
-def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", *, n_docs: int = 2_000, max_chars: int = 20_000, smoothing: float = 0.2) -> Model:
+def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", *, n_docs: int = 2_000, max_chars: int = 20_000, smoothing: float = 0.2) -> Model:
     """Fits the trigram model on a sample, bounded by ``n_docs`` documents a language (in expectation)."""
-    rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST + 1).collect()}
     if len(sizes) > MOST:
         raise ValueError(f"more than {MOST} languages are labelled")
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, 1 << BITS), np.float32))
-    cut = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(int(min(1.0, n_docs / n) * 1_000_003)))]), F.col("lang"))
-    picked = rows.filter((F.length("text") <= max_chars) & (F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < cut))
+    rate = F.element_at(F.create_map(*[x for k, n in sizes.items() for x in (F.lit(k), F.lit(min(1.0, n_docs / n)))]), F.col("lang"))
+    picked = rows.filter((F.length("text") <= max_chars) & sampled("id", rate))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), 1 << BITS), np.int64)
@@ -150,7 +151,7 @@ def identify(
     scored = materialize(picked.mapInArrow(read, "id long, host string, domain string, declared string, suffix string, gain array<double>, n long"), "gains")
     k = len(languages)
     if not k:
-        return scored.select("id", none.alias("language"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("gain"), F.lit(False).alias("kept"))
+        return scored.select("id", none.alias("language"), F.lit(0.0).alias("probability"), F.lit(0.0).alias("gain"), F.lit(True).alias("kept"))
     names = F.array(*[F.lit(x) for x in languages])
     weight = F.least(F.col("n").cast("double"), F.lit(EVIDENCE))
     scored = scored.withColumn("text_score", F.transform("gain", lambda g: g * weight))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import steps
+from .base import sampled, steps
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -38,7 +38,7 @@ left-right top-to-bottom state-of-the-art well-known example.com index.html vers
 2024-01-01 10.0.0.1 page_count previous_month_average snake_case_identifier CamelCaseIdentifier""".split()
 
 
-def labelled_samples(docs: DataFrame, text_col: str = "text", *, n_random: int = 20_000, n_docs: int = 2_000, max_chars: int = 20_000) -> DataFrame:
+def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, n_random: int = 20_000, n_docs: int = 2_000, max_chars: int = 20_000) -> DataFrame:
     """(text, label): 1 for random strings, 0 for ordinary identifiers.
 
     Random strings are hex, base64 and capitals with digits of digests of 1..n_random.
@@ -56,15 +56,17 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", *, n_random: int =
     )
     total = max(1, docs.count())
     rate = min(1.0, n_docs / total)
-    picked = docs.filter((F.length(text_col) <= max_chars) & (F.pmod(F.xxhash64(text_col), F.lit(1_000_003)) < int(rate * 1_000_003)))
+    picked = docs.filter((F.length(text_col) <= max_chars) & sampled(id_col, rate))
     words = picked.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(r"[A-Za-z][A-Za-z_-]{7,}"), F.lit(0))).alias("text"))
     listed = spark.createDataFrame([(x,) for x in IDENTIFIERS], "text string")
     return random.unionByName(words.unionByName(listed).select("text", F.lit(0).alias("label")))
 
 
-def train_markov(samples: DataFrame, smoothing: float = 0.5) -> np.ndarray:
+def train_markov(samples: DataFrame, smoothing: float = 0.5, backoff: float = 5.0) -> np.ndarray:
     """Matrix of log-likelihood ratios for each character after each (row 0: start), from labelled samples.
 
+    Bigrams back off to the class's characters, so that a small sample still tells letters from digits.
+
     Bigrams are counted by one grouped aggregation; at most 2 * 69 * 69 counts reach the driver.
     """
     n = len(ALPHABET)
@@ -73,11 +75,13 @@ def train_markov(samples: DataFrame, smoothing: float = 0.5) -> np.ndarray:
         .select("label", F.explode(F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: F.when(i == 1, F.concat(F.lit(" "), F.col("text").substr(i, F.lit(1)))).otherwise(F.col("text").substr(i - 1, F.lit(2))))).alias("pair"))
         .groupBy("label", "pair").count()
     )
-    counts = np.full((2, n + 1, n), smoothing)
+    counts = np.zeros((2, n + 1, n))
     place = {c: i for i, c in enumerate(ALPHABET)}
     for label, pair, c in pairs.filter(F.col("pair").rlike(r"^[ A-Za-z0-9+/_=.-][A-Za-z0-9+/_=.-]$")).collect():
         counts[label, 0 if pair[0] == " " else place[pair[0]] + 1, place[pair[1]]] += c
-    p = counts / counts.sum(axis=2, keepdims=True)
+    single = counts.sum(axis=1, keepdims=True) + smoothing
+    single /= single.sum(axis=2, keepdims=True)
+    p = (counts + backoff * single) / (counts.sum(axis=2, keepdims=True) + backoff)
     return np.log(p[1]) - np.log(p[0])
 
 
@@ -140,8 +144,8 @@ def digests(scanned: DataFrame) -> DataFrame:
     )
 
 
-def trained(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    return train_markov(labelled_samples(docs, text_col))
+def trained(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> np.ndarray:
+    return train_markov(labelled_samples(docs, text_col, id_col))
 
 
 def redact(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", mark: str = "[secret]", *, threshold: float = 0.9, shortest: int = 20) -> DataFrame:

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import buffers, steps
+from .base import buffers, sampled, steps
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space beyond ASCII's six, to the pattern or to Python.
@@ -130,14 +130,14 @@ class PieceCounter:
         return total
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", *, n_docs: int = 2_000, max_chars: int = 20_000) -> dict[str, int]:
+def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", id_col: str = "doc_id", *, n_docs: int = 2_000, max_chars: int = 20_000) -> dict[str, int]:
     """Token lengths of the most frequent pre-tokens in about ``n_docs`` documents, chosen by hash.
 
     The table only saves work: what it lacks is encoded. Each task counts its own sampled
     documents and sends its pre-tokens seen twice or more; the sample bounds what reaches the driver.
     """
     rate = min(1.0, n_docs / max(1, docs.count()))
-    picked = docs.filter((F.length(text_col) <= max_chars) & (F.pmod(F.xxhash64(text_col), F.lit(1_000_003)) < int(rate * 1_000_003))).select(F.col(text_col).cast("string").alias("text"))
+    picked = docs.filter((F.length(text_col) <= max_chars) & sampled(id_col, rate)).select(F.col(text_col).cast("string").alias("text"))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, counts = regex.compile(PATTERN).findall, Counter()
@@ -157,7 +157,7 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", *, n_do
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, limit: int = 1024, **sample) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit for every row; no shuffle."""
     spark = docs.sparkSession
-    table = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col, **sample))
+    table = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col, id_col, **sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter.of(path, table.value)

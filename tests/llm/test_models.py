@@ -109,7 +109,7 @@ def test_language_of_empty_tables(spark):
     model = language.train(none)
     assert model.languages == []
     some = spark.createDataFrame([(1, "abc", "en")], "doc_id long, text string, lang string")
-    assert [(r["language"], r["kept"]) for r in language.identify(some, model, "doc_id", "text").collect()] == [(None, False)]
+    assert [(r["language"], r["kept"]) for r in language.identify(some, model, "doc_id", "text").collect()] == [(None, True)]
     assert language.identify(none, language.train(some), "doc_id", "text").count() == 0
 
 

@@ -74,6 +74,13 @@ def test_run_mixes_what_is_left(spark, folder):
     assert math.isclose(sum(target.values()), sum(r["size"] for r in out))
 
 
+def test_empty_documents(spark, folder, tmp_path):
+    d, _ = folder
+    spark.read.parquet(f"{d}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{d}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_every_operator_is_registered():
     names = queries.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
