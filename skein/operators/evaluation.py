@@ -128,7 +128,7 @@ def global_rank(df: DataFrame, order: list[str], name: str, ranges: int = 64) ->
     """
     key = F.struct(*order)
     rate = min(1.0, 50 * ranges / max(1, df.count()))
-    picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(1_000_003)) < int(rate * 1_000_003) + 1).select(*order).distinct().orderBy(*order).collect()
+    picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(1 << 40)) < int(rate * (1 << 40)) + 1).select(*order).distinct().orderBy(*order).collect()
     ends = picked[len(picked) // ranges :: max(1, len(picked) // ranges)][: ranges - 1] if len(picked) > ranges else []
     kinds = dict(df.select(*order).dtypes)
     made = F.array(*[F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in order]) for r in ends]) if ends else None
