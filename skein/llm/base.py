@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +89,13 @@ def steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordB
             yield batch.slice(start)
 
 
+def numbered(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The parts of a task with numbers of their own among all tasks; a task that runs again gives the same."""
+    first = TaskContext.get().partitionId() << 32
+    for i, part in enumerate(parts):
+        yield first + i, part
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets from 0 and bytes of a string array; null counts as empty."""
     if pa.types.is_null(texts.type):

@@ -27,8 +27,6 @@ null ids only link with nothing but their copies.
 
 from __future__ import annotations
 
-import os
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import BROADCAST_IDS, MIX, SPACED, hashes, materialize, mixed, partitions, rolled, steps, words
+from .base import BROADCAST_IDS, MIX, SPACED, hashes, materialize, mixed, numbered, partitions, rolled, steps, words
 from .graph import components
 
 K, PERCENT = 5, 75
@@ -76,14 +74,13 @@ def _forward(docs: DataFrame, k: int, buckets: int) -> DataFrame:
     """Packed incidence: a row for each step and bucket (hashes, and how many of each document), and one for the step's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in steps(batches, "text"):
+        for step, b in numbered(steps(batches, "text")):
             grams, at = ngram_sets(b.column("text"), k)
             doc = np.repeat(np.arange(b.num_rows), np.diff(at))
             bucket = (grams % np.uint64(buckets)).astype(np.int64)
             small = (grams // np.uint64(buckets)).astype(np.uint32)  # with the bucket, 32 bits and more
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            step = int.from_bytes(os.urandom(8), "little", signed=True)
             rows = []
             for i in np.flatnonzero(np.diff(ends)).tolist():
                 own = order[ends[i] : ends[i + 1]]

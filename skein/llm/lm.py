@@ -20,7 +20,6 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 from math import log
 
@@ -30,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import SPACED, hashes, materialize, mixed, partitions, steps, words
+from .base import SPACED, hashes, materialize, mixed, numbered, partitions, steps, words
 
 MARK = "▁"
 ROUNDS, SMOOTHING, FLOOR = 2, 0.1, -1e8
@@ -183,7 +182,7 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
     """Steps in packed form. kind 0: a step's words of one bucket and their training counts; kind 1: the step's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in steps(batches, "text"):
+        for step, b in numbered(steps(batches, "text")):
             off, tokens = words(b.column("text"), SPACED)
             held = b.column("held").to_numpy(zero_copy_only=False).astype(bool)
             d = tokens.dictionary_encode()
@@ -195,7 +194,6 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
             number = np.empty(len(names), np.int64)
             number[order] = np.arange(len(names))
             pair, times = np.unique(doc * len(names) + number[code] if len(code) else code, return_counts=True)
-            step = int.from_bytes(os.urandom(8), "little", signed=True)
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             of = [k for k in range(buckets) if ends[k + 1] > ends[k]]
             ids = b.column("doc_id")
