@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
+#: Bytes of rows that go to Python at once, where the session has Spark's default; a longer row goes by itself.
+BATCH_BYTES, BATCH_CONF = 3 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Ids that may be broadcast as a filter (8 bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -49,6 +51,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, in whose session Arrow batches are bounded by bytes, as texts differ in length; a setting of the user's own stays."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_CONF, None) is None:
+        conf.set(BATCH_CONF, str(BATCH_BYTES))
+    return df
+
+
 def sampled(id_col: str, rate: float | Column) -> Column:
     """Whether a row is in a sample of about ``rate`` of all rows, by the hash of its id; rows without an id are not.
 
@@ -75,13 +85,13 @@ SPACED = _table(lambda b: not (b == 0x20 or 0x09 <= b <= 0x0D))
 ALNUM = _table(lambda b: b >= 0x80 or chr(b).isalnum())
 
 
-def steps(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches whose ``column`` has about ``STEP_BYTES`` bytes at most."""
+def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose ``column`` has about ``most`` bytes at most."""
     for batch in batches:
         sizes = np.diff(buffers(batch.column(column))[0])
         start = used = 0
         for i, n in enumerate(sizes.tolist()):
-            if used and used + n > STEP_BYTES:
+            if used and used + n > most:
                 yield batch.slice(start, i - start)
                 start, used = i, 0
             used += n
@@ -124,9 +134,9 @@ def words(texts: pa.Array, rule: np.ndarray) -> tuple[np.ndarray, pa.BinaryArray
     first[cut] = inside[cut]
     starts = np.flatnonzero(first)
     data = raw[inside]
-    place = np.zeros(len(raw) + 1, np.int64)
+    place = np.zeros(len(raw) + 1, np.int32 if len(raw) < 2**31 else np.int64)
     np.cumsum(inside, out=place[1:])
-    offs = np.append(place[starts], len(data)).astype(np.int32 if len(data) < 2**31 else np.int64)
+    offs = np.append(place[starts], place.dtype.type(len(data)))
     kind = pa.binary() if offs.dtype == np.int32 else pa.large_binary()
     out = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(offs), pa.py_buffer(data)])
     return np.searchsorted(starts, off), out

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import ALNUM, hashes, materialize, mixed, rolled, steps, words
+from .base import ALNUM, bounded, hashes, materialize, mixed, rolled, steps, words
 
 BLOCK = 200_000
 SHINGLE = 3
@@ -190,7 +190,7 @@ def _union_ranges(ranges):
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", *, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """doc_id, n_words, hits (word ranges, merged, end exclusive) and items (sorted ids) for every row of ``docs``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     windows = materialize(item_windows(benchmark, item_col, item_text_col, window), "windows")
     blocks = max(1, -(-windows.count() // block))

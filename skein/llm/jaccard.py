@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import BROADCAST_IDS, MIX, SPACED, hashes, materialize, mixed, numbered, partitions, rolled, steps, words
+from .base import BROADCAST_IDS, MIX, SPACED, bounded, hashes, materialize, mixed, numbered, partitions, rolled, steps, words
 from .graph import components
 
 K, PERCENT = 5, 75
@@ -253,7 +253,7 @@ def link_rows(sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> Da
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = K, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept (the component's first id) for every row of ``docs``."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     every = materialize(incidence(rows, k), "incidence")
     classes = every.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("shared").alias("shared"))
     # equal sets count each other; only what is shared with unequal sets can make further links, so this bound keeps more than it must

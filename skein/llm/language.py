@@ -32,9 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import buffers, materialize, sampled, steps
+from .base import bounded, buffers, materialize, sampled, steps
 
 BITS, MOST, EVIDENCE = 16, 64, 20.0
+#: Text bytes scored at once (some fifty bytes of numbers for each); a longer text is a step of its own.
+SCORED = 1 << 20
 DECLARED, SUFFIX, HOST_WEIGHT, DOMAIN_WEIGHT = 0.9, 0.8, 5.0, 20.0
 #: Mean log-likelihood gain of a trigram over random bytes below which a text is in none of the languages.
 LEAST_GAIN = 0.0
@@ -83,7 +85,7 @@ class Model:
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id", *, n_docs: int = 2_000, max_chars: int = 20_000, smoothing: float = 0.2) -> Model:
     """Fits the trigram model on a sample, bounded by ``n_docs`` documents a language (in expectation)."""
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
+    rows = bounded(labelled).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("string").alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST + 1).collect()}
     if len(sizes) > MOST:
         raise ValueError(f"more than {MOST} languages are labelled")
@@ -95,7 +97,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "lang",
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), 1 << BITS), np.int64)
-        for b in steps(batches, "text"):
+        for b in steps(batches, "text", SCORED):
             code, at = grams(b.column("text"))
             for i, lang in enumerate(b.column("lang").to_pylist()):
                 total[languages.index(lang)] += np.bincount(code[at[i] : at[i + 1]], minlength=1 << BITS)
@@ -134,14 +136,14 @@ def identify(
     said = F.col(declared_col).cast("string") if declared_col else none
     if markup:
         said = F.coalesce(said, F.nullif(F.regexp_extract(F.col(text_col), r"""(?i)<html\b[^>]*\blang\s*=\s*["']?([a-zA-Z]{2,3})""", 1), F.lit("")))
-    picked = rows.select(
+    picked = bounded(rows).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), host.alias("host"), domain.alias("domain"),
         F.lower(F.regexp_extract(said, r"^\s*([a-zA-Z]{2,3})", 1)).alias("declared"), suffix.alias("suffix"),
     )
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(languages, shared.value)
-        for b in steps(batches, "text"):
+        for b in steps(batches, "text", SCORED):
             texts = b.column("text").fill_null("")
             if markup:
                 texts = pa.array([html.unescape(TAGS.sub(" ", t)) for t in texts.to_pylist()], pa.string())

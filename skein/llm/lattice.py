@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import materialize
+from .base import bounded, materialize
 from .graph import components
 
 WIDTH, PROBES, CHUNK, LEAST = 1.5, 3, 1024, 0.93
@@ -169,7 +169,7 @@ def _meet(key: tuple, block: list, per: int, least: float) -> tuple[list, list]:
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", *, least: float = LEAST, chunk: int = CHUNK) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row of ``vectors``."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).cast("long").alias("label"))
+    rows = bounded(vectors).select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).cast("long").alias("label"))
     every = materialize(_classes(rows), "vectors")
     valid = every.filter(F.col("class").isNotNull())
     classes = valid.groupBy("class").agg(F.count("*").alias("many"), F.min("vec_id").alias("first"), F.first("label").alias("label"), F.first("unit").alias("unit"))

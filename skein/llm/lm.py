@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import SPACED, hashes, materialize, mixed, numbered, partitions, steps, words
+from .base import SPACED, bounded, hashes, materialize, mixed, numbered, partitions, steps, words
 
 MARK = "▁"
 ROUNDS, SMOOTHING, FLOOR = 2, 0.1, -1e8
@@ -302,7 +302,7 @@ def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     spark: SparkSession = docs.sparkSession
     buckets = FINER * partitions(spark)
     crc = F.crc32(F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), (crc % folds == held).alias("held"))
+    rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), (crc % folds == held).alias("held"))
     packed = materialize(_packed(rows, buckets), "packed")
     table = materialize(_word_table(packed), "words")
     ends = rows.agg(F.count(F.when(~F.col("held"), 1)).alias("n")).first()["n"]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import sampled, steps
+from .base import bounded, sampled, steps
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -129,7 +129,7 @@ def scan(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col:
             out = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scanner.spans(t or "")] for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, kind)], ["doc_id", "spans"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
 
@@ -150,7 +150,7 @@ def trained(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
 def redact(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", mark: str = "[secret]", *, threshold: float = 0.9, shortest: int = 20) -> DataFrame:
     """``docs`` with every span in ``text_col`` replaced; all columns, names and types stay; null text stays null."""
-    scanner, at = Scanner(ratios, threshold, shortest), docs.columns.index(text_col)
+    scanner, at, schema = Scanner(ratios, threshold, shortest), docs.columns.index(text_col), docs.schema
 
     def clean(text: str | None) -> str | None:
         if text is None:
@@ -167,4 +167,4 @@ def redact(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", mark: st
             new = pa.array([clean(t) for t in b.column(at).to_pylist()], b.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([new if i == at else b.column(i) for i in range(b.num_columns)], schema=b.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, schema)

@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import buffers, sampled, steps
+from .base import bounded, buffers, sampled, steps
 
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: White space beyond ASCII's six, to the pattern or to Python.
@@ -166,5 +166,5 @@ def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             n = counter.count(texts)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(buffers(texts)[0])), pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
