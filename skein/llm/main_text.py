@@ -3,10 +3,11 @@
 A page is cut into blocks of text, each with the path of block elements from the root to it. For
 each path of the page, text length, punctuation and link text are summed over its blocks. The two
 ratios, characters a block and punctuation marks a block, are smoothed with those of the paths
-beside it (same parent), fused by their geometric mean, weighted by the share of text outside
-links and by what the path's elements say they are (a menu, footer, advert, form, ... weighs 0;
-the article weighs all once a page declares one), and a threshold relative to the page's best path
-selects the content paths. Blocks on these paths, in page order, are the text.
+beside it (same parent) or beside its nearest ancestor that has any, fused by their geometric mean,
+weighted by the share of text outside links and by what the path's elements say they are (a menu,
+footer, advert, form, ... weighs 0), and a threshold relative to the page's best path selects the
+content paths. A page that declares its article needs no threshold: all paths of the article that
+are not side matter are content. Blocks on these paths, in page order, are the text.
 
 Each page is one row, so nothing is shuffled. Cases: null, empty or text-free html gives an empty
 text; unclosed and misnested elements are closed as browsers do; truncated pages are read to their
@@ -142,22 +143,26 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
 
 
 def content_paths(found: list[tuple[tuple[str, ...], str, int]], threshold: float = 0.1) -> set[tuple[str, ...]]:
-    """The paths whose smoothed, fused and weighted ratios reach ``threshold`` of the page's best."""
+    """All paths of a declared article but side matter; else those whose smoothed, fused and weighted ratios reach ``threshold`` of the page's best."""
     length, marks, links, count = defaultdict(int), defaultdict(int), defaultdict(int), defaultdict(int)
-    declared = any("+" in (x[0] for x in p) and not any(x[0] == "-" for x in p) for p, _, _ in found)
     for p, t, k in found:
         length[p] += len(t)
         marks[p] += len(MARKS.findall(t))
         links[p] += k
         count[p] += 1
-    weight = {p: 0.0 if any(x[0] == "-" for x in p) or (declared and not any(x[0] == "+" for x in p)) else 1.0 - links[p] / length[p] for p in count}
+    main = [p for p in count if not any(x[0] == "-" for x in p)]
+    if declared := {p for p in main if any(x[0] == "+" for x in p)}:
+        return declared
+    weight = {p: 1.0 - links[p] / length[p] for p in main}
     beside = defaultdict(list)
-    for p in count:
+    for p in main:
         if weight[p] > 0:
             beside[p[:-1]].append(p)
+    heaviest = {parent: max((length[p] * weight[p], p) for p in group) for parent, group in beside.items()}  # each parent's main path
     score = {}
-    for group in beside.values():
-        most = max((length[p] * weight[p], p) for p in group)[1]  # the parent's main path
+    for parent, group in beside.items():
+        above = next((heaviest[parent[:i]] for i in range(len(parent) - 1, -1, -1) if parent[:i] in heaviest), heaviest[parent])
+        most = max(heaviest[parent], above)[1]
         for p in group:
             of = lambda total: 0.5 * total[p] / count[p] + 0.5 * total[most] / count[most]  # noqa: B023, E731
             score[p] = sqrt(of(length) * (1 + of(marks))) * weight[p]

@@ -135,6 +135,16 @@ def test_main_text(page, want):
     assert main_text.main_text(page) == want
 
 
+def test_main_text_keeps_short_parts_beside_long_paragraphs():
+    long = "Words of a paragraph, with marks, that goes on. " * 100
+    parts = f"<p>{long}</p><ul><li>one item of a list here</li></ul><table><tr><td>7</td></tr></table><blockquote><p>{'A quotation, of some length. ' * 15}</p></blockquote>"
+    want = [long.strip(), "one item of a list here", "7", ("A quotation, of some length. " * 15).strip()]
+    links = "<section><ul><li><a href=1>only a link</a></li></ul></section>"
+    side = "<nav><ul><li>Home, and more</li></ul></nav>"
+    assert main_text.main_text(f"<body>{side}<article>{parts}{links}<div class=ad>Buy, now!</div></article></body>").split("\n") == [*want, "only a link"]
+    assert main_text.main_text(f"<body>{side}<div>{parts}{links}</div></body>").split("\n") == want  # undeclared: links alone are not content
+
+
 def test_main_text_rows(spark):
     p = spark.createDataFrame([(1, "u", PAGE, 3), (1, "u", PAGE, 3), (None, None, None, None)], "page_id long, url string, html string, n_chars int")
     got = main_text.extract(p).collect()
