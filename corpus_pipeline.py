@@ -1,7 +1,8 @@
 """A corpus pipeline: language ID, near-duplicates, decontamination, secrets, mixing.
 
 Each stage takes the documents its predecessor kept and returns documents with the same columns; the
-last returns what the mix takes of each. Every stage's rows are written to the shared folder and
+last returns what the mix takes of each. Decisions are on rows, named by a key of all their values:
+rows without an id, or of different values under one id, are judged each by itself. Every stage's rows are written to the shared folder and
 read again, so that each runs once and a lost executor costs one stage at most.
 """
 
@@ -11,25 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import decontamination, jaccard, language, mixing, secrets
-from skein.llm.base import materialize, table, without
+from skein.llm.base import KEY, keyed, materialize, once, table, without
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose text is in none of the labelled languages (no letters, or less likely than random bytes)."""
-    found = language.identify(docs, language.train(docs), "doc_id", "text", declared_col="lang", host_col="source")
-    return without(docs, found.filter(~F.col("kept")).select("id"))
+    rows = keyed(docs)
+    found = language.identify(rows, language.train(docs), KEY, "text", declared_col="lang", host_col="source")
+    return without(rows, found.filter(~F.col("kept")).select("id"), KEY).drop(KEY)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of linked documents."""
-    found = jaccard.join(docs)
-    return without(docs, found.filter("NOT kept AND component_id IS NOT NULL").select("doc_id"))
+    """Keeps one row of each group of linked documents: the least id's (rows without an id come last)."""
+    rows = keyed(docs)
+    found = materialize(jaccard.groups(rows, KEY).filter("first_key IS NOT NULL"), "groups")
+    first = F.col("key") == F.col("first_key")
+    repeated = found.filter(first).groupBy("key").count().filter("count > 1").select("key")
+    return once(without(rows, found.filter(~first).select("key"), KEY), repeated, KEY).drop(KEY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which a window of a benchmark item occurs."""
-    found = decontamination.find(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, found.filter(F.size("items") > 0).select("doc_id"))
+    rows = keyed(docs)
+    found = decontamination.find(rows, table(spark, sf_dir, "benchmark"), KEY)
+    return without(rows, found.filter(F.size("items") > 0).select("doc_id"), KEY).drop(KEY)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -189,12 +189,39 @@ def rolled(h: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
+#: Column of the pipeline's row keys.
+KEY = "__row"
+
+
+def row_key(*columns: Column) -> Column:
+    """A hash of the values, where null is a value of its own: equal rows share it, and no row is without."""
+    return F.xxhash64(*[x for c in columns for x in (c, c.isNull())])
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the ``KEY`` of each row's own values (maps cannot be hashed and are left out)."""
+    return docs.withColumn(KEY, row_key(*[docs[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()]))
+
+
+def _by_id(docs: DataFrame, named: DataFrame, id_col: str, how: str) -> DataFrame:
+    ids = materialize(named.select(F.col(named.columns[0]).cast("long").alias("__dropped")).filter("__dropped IS NOT NULL").distinct(), "dropped")
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, docs[id_col].cast("long") == ids["__dropped"], how)
+
+
 def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose id is in ``dropped`` (one long column); all columns stay.
 
     The ids are broadcast only if there are few; else both sides are shuffled by id. A row
-    without an id cannot be named and stays; rows that share an id go together.
+    without an id cannot be named and stays; rows that share an id go together. Stages that
+    decide on rows name them by their ``KEY``, which neither is without nor shared by unequal rows.
     """
-    ids = materialize(dropped.select(F.col(dropped.columns[0]).cast("long").alias("__dropped")).filter("__dropped IS NOT NULL").distinct(), "dropped")
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, docs[id_col].cast("long") == ids["__dropped"], "left_anti")
+    return _by_id(docs, dropped, id_col, "left_anti")
+
+
+def once(docs: DataFrame, repeated: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with one row only of each id in ``repeated``; rows that share an id must be equal. Other rows are not shuffled."""
+    repeated = materialize(repeated, "repeated")
+    if repeated.isEmpty():
+        return docs
+    return without(docs, repeated, id_col).unionByName(_by_id(docs, repeated, id_col, "left_semi").dropDuplicates([id_col]))

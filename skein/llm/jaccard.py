@@ -21,8 +21,8 @@ Two documents link when ``100 * intersection >= percent * union`` of their n-gra
 
 Cases: null or empty texts have an empty set and no links; fewer than ``k`` words are one n-gram;
 repeated ids and rows are rows of their own with the id's texts; an empty table gives an empty
-result; other columns are not read; a null id never names a component, and texts that stand under
-null ids only link with nothing but their copies.
+result; other columns are not read; a null id never names a component, but texts that stand under
+null ids only link as others do.
 """
 
 from __future__ import annotations
@@ -32,10 +32,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import BROADCAST_IDS, MIX, SPACED, bounded, hashes, materialize, mixed, numbered, partitions, rolled, steps, words
+from .base import BROADCAST_IDS, MIX, SPACED, bounded, hashes, materialize, mixed, numbered, partitions, rolled, row_key, steps, words
 from .graph import components
 
 K, PERCENT = 5, 75
@@ -88,15 +88,15 @@ def _forward(docs: DataFrame, k: int, buckets: int) -> DataFrame:
                 kind = "u2" if count.max() < 65536 else "u4"
                 rows.append((i, step, small[own].tobytes(), kind.encode() + count.astype(kind).tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary()), *[pa.nulls(len(rows), t) for t in (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()))]],
-                ["bucket", "step", "hashes", "counts", "ids", "sizes", "digests"],
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary()), *[pa.nulls(len(rows), t) for t in (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()))]],
+                ["bucket", "step", "hashes", "counts", "ids", "keys", "sizes", "digests"],
             )
             yield pa.RecordBatch.from_arrays(
-                [pa.array([step % buckets], pa.int32()), pa.array([step]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([b.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([np.diff(at)], pa.list_(pa.int64())), pa.array([_digests(grams, at)], pa.list_(pa.binary()))],
-                ["bucket", "step", "hashes", "counts", "ids", "sizes", "digests"],
+                [pa.array([step % buckets], pa.int32()), pa.array([step]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), *[pa.array([b.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("doc_id", "key")], pa.array([np.diff(at)], pa.list_(pa.int64())), pa.array([_digests(grams, at)], pa.list_(pa.binary()))],
+                ["bucket", "step", "hashes", "counts", "ids", "keys", "sizes", "digests"],
             )
 
-    return docs.mapInArrow(run, "bucket int, step long, hashes binary, counts binary, ids array<long>, sizes array<long>, digests array<binary>")
+    return docs.mapInArrow(run, "bucket int, step long, hashes binary, counts binary, ids array<long>, keys array<long>, sizes array<long>, digests array<binary>")
 
 
 def _count(t: pa.Table) -> pa.Table:
@@ -120,7 +120,7 @@ def _count(t: pa.Table) -> pa.Table:
             ends = start + np.append(0, np.cumsum(c, dtype=np.int64))
             shared[i] = np.diff(common[ends]).astype(np.uint32).tobytes()
             start += n
-    return pa.table({"step": t.column("step"), "shared": pa.array(shared, pa.binary()), "ids": t.column("ids"), "sizes": t.column("sizes"), "digests": t.column("digests")})
+    return pa.table({"step": t.column("step"), "shared": pa.array(shared, pa.binary()), "ids": t.column("ids"), "keys": t.column("keys"), "sizes": t.column("sizes"), "digests": t.column("digests")})
 
 
 def _gather(t: pa.Table) -> pa.Table:
@@ -132,25 +132,25 @@ def _gather(t: pa.Table) -> pa.Table:
         else:
             a = np.frombuffer(x, np.uint32).astype(np.int64)
             total = a if total is None else total + a
-    ids, sizes, digests = (t.column(c)[head] for c in ("ids", "sizes", "digests"))
+    ids, keys, sizes, digests = (t.column(c)[head] for c in ("ids", "keys", "sizes", "digests"))
     n = len(sizes)
-    return pa.table({"doc_id": ids.values, "n": sizes.values, "digest": digests.values, "shared": pa.array(np.zeros(n, np.int64) if total is None else total)})
+    return pa.table({"doc_id": ids.values, "key": keys.values, "n": sizes.values, "digest": digests.values, "shared": pa.array(np.zeros(n, np.int64) if total is None else total)})
 
 
 def incidence(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n (set size), digest (of the set) and shared (an upper bound of its n-grams in other documents) for every row."""
+    """doc_id, key, n (set size), digest (of the set) and shared (an upper bound of its n-grams in other documents) for every row."""
     buckets = FINER * partitions(docs.sparkSession)
-    counted = _forward(docs, k, buckets).groupBy("bucket").applyInArrow(_count, "step long, shared binary, ids array<long>, sizes array<long>, digests array<binary>")
-    return counted.groupBy("step").applyInArrow(_gather, "doc_id long, n long, digest binary, shared long")
+    counted = _forward(docs, k, buckets).groupBy("bucket").applyInArrow(_count, "step long, shared binary, ids array<long>, keys array<long>, sizes array<long>, digests array<binary>")
+    return counted.groupBy("step").applyInArrow(_gather, "doc_id long, key long, n long, digest binary, shared long")
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches, "text"):
             grams, at = ngram_sets(b.column("text"), k)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(_digests(grams, at), pa.binary()), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(grams.view(np.int64)))], ["doc_id", "digest", "grams"])
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(_digests(grams, at), pa.binary()), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(grams.view(np.int64)))], ["key", "digest", "grams"])
 
-    return docs.mapInArrow(run, "doc_id long, digest binary, grams array<long>")
+    return docs.mapInArrow(run, "key long, digest binary, grams array<long>")
 
 
 class Rows:
@@ -250,25 +250,42 @@ def link_rows(sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> Da
     return _products(dealt.select("block", "left", "right", "side", "row", "grams"), percent)
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = K, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (the component's first id) for every row of ``docs``."""
-    spark = docs.sparkSession
-    rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def _linked(rows: DataFrame, k: int, percent: int, chunk: int) -> DataFrame:
+    """doc_id, n (set size), key, and component_id and first_key (the component's first row: least id, nulls last, then least key) for every row.
+
+    ``rows`` has doc_id, text and key, which unequal rows do not share. Both names are null for an empty set.
+    """
     every = materialize(incidence(rows, k), "incidence")
-    classes = every.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.max("shared").alias("shared"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    classes = every.filter("n > 0").groupBy("digest").agg(first, F.max("n").alias("n"), F.max("shared").alias("shared"))
     # equal sets count each other; only what is shared with unequal sets can make further links, so this bound keeps more than it must
-    likely = materialize(classes.filter((F.col("shared") * 100 >= F.col("n") * percent) & F.col("first").isNotNull()).select("first", "digest"), "likely")
+    likely = materialize(classes.filter(F.col("shared") * 100 >= F.col("n") * percent).select(F.col("first.key").alias("of_key"), "digest"), "likely")
     few = likely.count() <= BROADCAST_IDS
     wanted = (F.broadcast(likely) if few else likely).withColumnRenamed("digest", "wanted")
-    texts = rows.join(wanted, F.col("doc_id") == F.col("first")).select("doc_id", "text", "wanted")
-    sets = _sets(texts.select("doc_id", "text"), k)
-    sets = sets.join(wanted, (F.col("doc_id") == F.col("first")) & (F.col("digest") == F.col("wanted"))).select("digest", F.col("doc_id").alias("row"), "grams")
+    texts = rows.join(wanted, F.col("key") == F.col("of_key")).select("key", "text")
+    sets = _sets(texts, k)
+    sets = sets.join(wanted, (F.col("key") == F.col("of_key")) & (F.col("digest") == F.col("wanted"))).select("digest", "grams")
     sets = sets.dropDuplicates(["digest"]).select(F.xxhash64("digest").alias("row"), "grams")
     found = components(link_rows(sets, percent, chunk)).withColumnsRenamed({"node": "of"})
     # a component's rows are classes; its name is the least id of all their documents
     named = classes.select("digest", "first", F.xxhash64("digest").alias("row")).join(found, F.col("row") == F.col("of"), "left").select("digest", "first", F.coalesce("component", "row").alias("component"))
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = named.join(least, "component").select(F.col("digest").alias("of"), "component_id")
-    out = every.join(named, F.col("digest") == F.col("of"), "left")
+    least = named.groupBy("component").agg(F.min("first").alias("least"))
+    named = named.join(least, "component").select(F.col("digest").alias("of"), F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("first_key"))
+    return every.join(named, (F.col("digest") == F.col("of")) & (F.col("n") > 0), "left").select("doc_id", "n", "key", "component_id", "first_key")
+
+
+def _columns(id_col: str, text_col: str) -> tuple[Column, Column]:
+    return F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = K, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (the component's first id) for every row of ``docs``."""
+    rows = bounded(docs).select(*_columns(id_col, text_col))
+    out = _linked(rows.withColumn("key", row_key(F.col("doc_id"), F.col("text"))), k, percent, chunk)
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+
+
+def groups(docs: DataFrame, key_col: str, id_col: str = "doc_id", text_col: str = "text", *, k: int = K, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
+    """key and first_key (that of its component's first row, null for an empty set) for every row of ``docs``; rows that share a key must be equal."""
+    return _linked(bounded(docs).select(*_columns(id_col, text_col), F.col(key_col).alias("key")), k, percent, chunk).select("key", "first_key")

@@ -74,6 +74,27 @@ def test_run_mixes_what_is_left(spark, folder):
     assert math.isclose(sum(target.values()), sum(r["size"] for r in out))
 
 
+def test_each_row_has_its_own_decision(spark, folder, tmp_path):
+    d, _ = folder
+    rng = random.Random(4)
+    say = lambda n: " ".join(rng.choice(LANGS["en"]) + str(rng.randint(0, 99)) for _ in range(n))
+    a, b, c, e, f = (say(40) for _ in range(5))
+    bad = f"{say(8)} {' '.join(f'item{k}' for k in range(14))}"
+    rows = [(None, bad), (None, "12345 !!!"), (None, a), (None, a), (None, f"{a} more")]  # no ids: contaminated, rejected, copies and a near copy
+    rows += [(1, b)] * 3 + [(2, c), (3, c), (3, e), (4, e), (5, bad), (5, f), (6, ""), (6, "")]  # repeats; copies and contamination beside other texts of the id
+    docs = spark.createDataFrame([(*r, "en", "s", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = docs
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        stage(spark, got, d).write.parquet(f"{tmp_path}/{name}")
+        got = spark.read.parquet(f"{tmp_path}/{name}")
+    left = sorted((str(r["doc_id"]), r["text"]) for r in got.collect())
+    assert ("None", a) in left or ("None", f"{a} more") in left
+    assert [x for x in left if not x[1].startswith(a)] == sorted([("None", "12345 !!!"), ("1", b), ("2", c), ("3", e), ("5", f), ("6", ""), ("6", "")])
+    assert len([x for x in left if x[1].startswith(a)]) == 1 and got.columns == docs.columns
+    kept = corpus_pipeline.language_id(spark, docs, d).collect()
+    assert not any(r["text"] in ("12345 !!!", "") for r in kept) and len(kept) == len(rows) - 3
+
+
 def test_empty_documents(spark, folder, tmp_path):
     d, _ = folder
     spark.read.parquet(f"{d}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
