@@ -13,11 +13,11 @@ Two documents link when ``100 * intersection >= percent * union`` of their n-gra
    first ``n - ceil(percent * n / 100) + 1`` columns of each; rows that share such a column, directly
    or through others, are one block (connected components of rows and columns).
 3. *Products.* Within a block, the rows' overlaps with one row are accumulated over an inverted
-   index; pairs below the bounds of their sizes are discarded before they are accumulated. A
-   block is searched breadth first: a row's product is taken with the rows not yet reached only,
-   so a large group of near copies costs about one product for each row, and no pair is written
-   down, only the links that span the components. Blocks of more than ``CHUNK`` rows are cut into
-   chunks and taken by pairs of chunks; components over all chunks join the spanning links.
+   index; pairs below the bounds of their sizes are discarded. Each row's product is taken with all
+   rows after it, so that every link between unequal sets is found and counted for both its rows,
+   weighted by their copies. No pair is written down, only the counts and the links that span the
+   components. Blocks of more than ``CHUNK`` rows are cut into chunks and taken by pairs of chunks,
+   each pair of rows in one of them; components over all chunks join the spanning links.
 
 Cases: null or empty texts have an empty set and no links; fewer than ``k`` words are one n-gram;
 repeated ids and rows are rows of their own with the id's texts; an empty table gives an empty
@@ -177,58 +177,59 @@ class Rows:
         overlap = np.bincount(met, minlength=len(size))
         return np.flatnonzero(ok & (100 * overlap >= self.percent * (n + size - overlap)))
 
-    def links(self) -> list[tuple[int, int]]:
-        """Links that span the chunk's components, breadth first."""
-        left, out = np.ones(len(self.ids), bool), []
-        for root in range(len(self.ids)):
-            if not left[root]:
+    def links(self, many: np.ndarray) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+        """Each row's links, counted by the ``many`` copies of the other row, and links that span the components."""
+        n = len(self.ids)
+        total, label, after, spanning = np.zeros(n, np.int64), np.arange(n), np.ones(n, bool), []
+        for i in range(n):
+            after[i] = False
+            found = self.near(i, after)
+            if not len(found):
                 continue
-            left[root] = False
-            queue = [root]
-            while queue:
-                i = queue.pop()
-                if not left.any():
-                    break
-                found = self.near(i, left)
-                left[found] = False
-                queue += found.tolist()
-                out += [(int(self.ids[i]), int(self.ids[j])) for j in found.tolist()]
-        return out
+            total[i] += many[found].sum()
+            total[found] += many[i]
+            names, at = np.unique(label[found], return_index=True)
+            other = names != label[i]
+            if other.any():
+                spanning += [(int(self.ids[i]), int(self.ids[j])) for j in found[at[other]].tolist()]
+                label[np.isin(label, names)] = label[i]
+        return [(int(self.ids[k]), int(total[k])) for k in np.flatnonzero(total).tolist()], spanning
 
 
 def _products(rows: DataFrame, percent: int) -> DataFrame:
-    """Spanning links (a, b) of the blocks; ``rows`` has block, left, right, side, row, grams and comes sorted by block."""
+    """(a, n, b) of the blocks: n links of a row a, or a spanning link (a, b); ``rows`` has block, left, right, side, row, many, grams and comes sorted by block."""
 
-    def solve(block: list[tuple[int, int, np.ndarray]], pair: bool) -> list[tuple[int, int]]:
-        if len(block) < 2:
-            return []
-        sides = np.array([s for s, _, _ in block]) if pair else None
-        return Rows([r for _, r, _ in block], [g for _, _, g in block], sides, percent).links()
+    def solve(block: list[tuple[int, int, int, np.ndarray]], pair: bool) -> pa.RecordBatch:
+        counts, spanning = [], []
+        if len(block) > 1:
+            side, name, many, grams = zip(*block, strict=True)
+            counts, spanning = Rows(list(name), list(grams), np.array(side) if pair else None, percent).links(np.array(many))
+        a, n = [x for x, _ in counts + spanning], [x for _, x in counts] + [None] * len(spanning)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, n, [None] * len(counts) + [x for _, x in spanning])], ["a", "n", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block = None, []
-        out: list[tuple[int, int]] = []
         for b in batches:
             grams = b.column("grams")
             flat, ends = grams.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(grams.value_lengths().to_numpy(zero_copy_only=False)))
-            names = [b.column(c).to_pylist() for c in ("block", "left", "right", "side", "row")]
-            for i, (block_id, left, right, side, row) in enumerate(zip(*names, strict=True)):
+            names = [b.column(c).to_pylist() for c in ("block", "left", "right", "side", "row", "many")]
+            done = []
+            for i, (block_id, left, right, side, row, many) in enumerate(zip(*names, strict=True)):
                 if (block_id, left, right) != key:
                     if key:
-                        out += solve(block, key[1] != key[2])
+                        done.append(solve(block, key[1] != key[2]))
                     key, block = (block_id, left, right), []
-                block.append((side, row, flat[ends[i] : ends[i + 1]]))
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], ["a", "b"])
-            out = []
+                block.append((side, row, many, flat[ends[i] : ends[i + 1]]))
+            if done:
+                yield from pa.Table.from_batches(done).combine_chunks().to_batches()
         if key:
-            out = solve(block, key[1] != key[2])
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([x for _, x in out], pa.int64())], ["a", "b"])
+            yield solve(block, key[1] != key[2])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, n long, b long")
 
 
 def link_rows(sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
-    """(a, b): links that span the components of ``sets`` (row long, grams array<long> distinct, not empty)."""
+    """(a, n, b): links of each row of ``sets`` (row long, many long copies, grams array<long> distinct, not empty), by chunk and without its own copies, and links (a, b) that span the components."""
     sets = materialize(sets, "sets")
     flat = sets.select("row", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     often = flat.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
@@ -247,31 +248,34 @@ def link_rows(sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> Da
     placed = placed.select("component", "node", "mine", other).select(F.col("component").alias("block"), F.col("node").alias("row"), F.least("mine", "other").alias("left"), F.greatest("mine", "other").alias("right"), "mine", "other")
     placed = placed.select("block", "row", "left", "right", F.when(F.col("mine") == F.col("other"), 0).otherwise(F.when(F.col("mine") < F.col("other"), 0).otherwise(1)).alias("side"))
     dealt = placed.join(sets, "row").repartition("block", "left", "right").sortWithinPartitions("block", "left", "right", "row")
-    return _products(dealt.select("block", "left", "right", "side", "row", "grams"), percent)
+    return _products(dealt.select("block", "left", "right", "side", "row", "many", "grams"), percent)
 
 
 def _linked(rows: DataFrame, k: int, percent: int, chunk: int) -> DataFrame:
-    """doc_id, n (set size), key, and component_id and first_key (the component's first row: least id, nulls last, then least key) for every row.
+    """doc_id, n (set size), key, n_links, and component_id and first_key (the component's first row: least id, nulls last, then least key) for every row.
 
-    ``rows`` has doc_id, text and key, which unequal rows do not share. Both names are null for an empty set.
+    ``rows`` has doc_id, text and key, which unequal rows do not share. All three are null for an empty set.
     """
     every = materialize(incidence(rows, k), "incidence")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
-    classes = every.filter("n > 0").groupBy("digest").agg(first, F.max("n").alias("n"), F.max("shared").alias("shared"))
+    classes = every.filter("n > 0").groupBy("digest").agg(first, F.count("*").alias("many"), F.max("n").alias("n"), F.max("shared").alias("shared"))
     # equal sets count each other; only what is shared with unequal sets can make further links, so this bound keeps more than it must
-    likely = materialize(classes.filter(F.col("shared") * 100 >= F.col("n") * percent).select(F.col("first.key").alias("of_key"), "digest"), "likely")
+    likely = materialize(classes.filter(F.col("shared") * 100 >= F.col("n") * percent).select(F.col("first.key").alias("of_key"), "digest", "many"), "likely")
     few = likely.count() <= BROADCAST_IDS
     wanted = (F.broadcast(likely) if few else likely).withColumnRenamed("digest", "wanted")
     texts = rows.join(wanted, F.col("key") == F.col("of_key")).select("key", "text")
     sets = _sets(texts, k)
-    sets = sets.join(wanted, (F.col("key") == F.col("of_key")) & (F.col("digest") == F.col("wanted"))).select("digest", "grams")
-    sets = sets.dropDuplicates(["digest"]).select(F.xxhash64("digest").alias("row"), "grams")
-    found = components(link_rows(sets, percent, chunk)).withColumnsRenamed({"node": "of"})
+    sets = sets.join(wanted, (F.col("key") == F.col("of_key")) & (F.col("digest") == F.col("wanted"))).select("digest", "many", "grams")
+    sets = sets.dropDuplicates(["digest"]).select(F.xxhash64("digest").alias("row"), "many", "grams")
+    met = materialize(link_rows(sets, percent, chunk), "met")
+    found = components(met.filter("b IS NOT NULL").select("a", "b")).withColumnsRenamed({"node": "of"})
+    counts = met.filter("n IS NOT NULL").groupBy(F.col("a").alias("linked")).agg(F.sum("n").alias("links"))
     # a component's rows are classes; its name is the least id of all their documents
-    named = classes.select("digest", "first", F.xxhash64("digest").alias("row")).join(found, F.col("row") == F.col("of"), "left").select("digest", "first", F.coalesce("component", "row").alias("component"))
+    named = classes.select("digest", "first", "many", F.xxhash64("digest").alias("row")).join(found, F.col("row") == F.col("of"), "left").join(counts, F.col("row") == F.col("linked"), "left")
+    named = named.select("digest", "first", (F.col("many") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "row").alias("component"))
     least = named.groupBy("component").agg(F.min("first").alias("least"))
-    named = named.join(least, "component").select(F.col("digest").alias("of"), F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("first_key"))
-    return every.join(named, (F.col("digest") == F.col("of")) & (F.col("n") > 0), "left").select("doc_id", "n", "key", "component_id", "first_key")
+    named = named.join(least, "component").select(F.col("digest").alias("of"), "n_links", F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("first_key"))
+    return every.join(named, (F.col("digest") == F.col("of")) & (F.col("n") > 0), "left").select("doc_id", "n", "key", "n_links", "component_id", "first_key")
 
 
 def _columns(id_col: str, text_col: str) -> tuple[Column, Column]:
@@ -279,11 +283,11 @@ def _columns(id_col: str, text_col: str) -> tuple[Column, Column]:
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, k: int = K, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (the component's first id) for every row of ``docs``."""
+    """doc_id, n_shingles, component_id, kept (the component's first id) and n_links (other rows that link with it) for every row of ``docs``."""
     rows = bounded(docs).select(*_columns(id_col, text_col))
     out = _linked(rows.withColumn("key", row_key(F.col("doc_id"), F.col("text"))), k, percent, chunk)
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def groups(docs: DataFrame, key_col: str, id_col: str = "doc_id", text_col: str = "text", *, k: int = K, percent: int = PERCENT, chunk: int = CHUNK) -> DataFrame:

@@ -24,7 +24,7 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.join(table(spark, sf_dir, "documents"))
+    return jaccard.join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")  # the SQL's columns
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

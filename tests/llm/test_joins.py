@@ -60,6 +60,18 @@ def test_jaccard_join(spark, chunk):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {i: (len(sets[i]), want[i]) for i in range(n)}
 
 
+@pytest.mark.parametrize("chunk", [4, 1024])
+def test_jaccard_counts_all_links(spark, chunk):
+    rng = random.Random(8)
+    base_words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base_words[:at] + ["x" + str(k)] * (k > 0) + base_words[at:]) for k in range(14) for at in [rng.randint(0, 59)]]
+    texts += [texts[0], texts[3], texts[3], "", None, "alone in this one table here"]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in [(t or "").split() for t in texts]]
+    want = [sum(i != j and bool(a) and 100 * len(a & b) >= 75 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["n_links"] for r in jaccard.join(d, chunk=chunk).collect()} == dict(enumerate(want)) and max(want) > 10
+
+
 def test_jaccard_nulls_repeats_and_empties(spark):
     rows = [(5, "a b c d e f g"), (5, "a b c d e f g"), (None, "a b c d e f g"), (None, None), (None, "z y"), (7, "a b c d e f g")]
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
