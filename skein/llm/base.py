@@ -10,6 +10,7 @@ same for every language and need no Python object per word:
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -34,6 +35,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a tokenizer's file where this runs (driver or worker): a path as it is, else one of the public ones by name."""
+    if os.path.sep in name:
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share; a temporary one only where the session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None)

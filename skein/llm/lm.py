@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import SPACED, bounded, hashes, materialize, mixed, numbered, partitions, steps, words
+from .base import SPACED, bounded, hashes, materialize, mixed, numbered, partitions, steps, tokenizer_file, words
 
 MARK = "▁"
 ROUNDS, SMOOTHING, FLOOR = 2, 0.1, -1e8
@@ -46,7 +46,7 @@ class Vocabulary:
     def __init__(self, path: str):
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_file(path))
         n = model.get_piece_size()
         names, scores = [model.id_to_piece(i) for i in range(n)], np.array([model.get_score(i) for i in range(n)])
         last = np.array([model.is_byte(i) or len(names[i]) == 1 and scores[i] <= FLOOR for i in range(n)])  # always usable, and the least likely

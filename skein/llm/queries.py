@@ -12,15 +12,9 @@ from .base import table
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return secrets.digests(secrets.scan(docs, secrets.trained(docs)))
+    return secrets.digests(secrets.scan(docs, secrets.trained(docs, tokenizer=TOKENIZER)))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +30,7 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +38,7 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+    return lm.score(table(spark, sf_dir, "documents"), PIECES)
 
 
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,33 +1,43 @@
 """Secret scans: fixed patterns, and character Markov models for what the patterns miss.
 
-Two first-order Markov models over characters, one of random strings and one of ordinary
-identifiers, are trained from labelled samples; a token counts as a secret when its
-log-likelihood ratio, as a mean over its characters, passes a threshold. The models are two small
-matrices, whatever the corpus.
-
-Cases: null text counts as empty; an empty text has no spans; repeated rows give equal rows;
-very long texts are scanned whole; other columns are not read.
+Two second-order Markov models over characters, one of random strings and one of ordinary
+identifiers, are trained from labelled samples. A run of ``SHORTEST`` characters and more that the
+patterns leave is a secret when its log-likelihood ratio, summed over its characters, reaches
+``EVIDENCE``: the longer the run, the less each character must say. No other rule gates it. The sum
+is taken over the run's best stretch (of that length at least), so that a key within a path of
+ordinary words is found; the stretch is drawn out to the separators ``/`` and ``=``.
+UUIDs are identifiers by their form, which no model of neighbouring characters can tell.
+The models are one table of ratios, whatever the corpus.
+
+Cases: null text counts as empty; an empty text has no spans; repeated rows give equal rows; an
+empty table gives an empty result; very long texts and runs are scanned whole; of stretches with
+equal ratios the first counts; other columns, also of the result's names, are not read.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import bounded, sampled, steps
+from .base import bounded, sampled, steps, tokenizer_file
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 #: Every match of ASSIGN holds one of these in lower case.
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "api")
-RUN = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+SHORTEST, EVIDENCE = 16, 14.0
+#: Rounds in which a public vocabulary's words are put together; what one character may say for a secret at most.
+VARIED, LOUDEST = 4, 2.5
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
+UUID = re.compile(r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-fA-F])")
 KINDS = ("assign", "access", "hex", "markov")
 #: Identifiers that hold for any corpus, beside those sampled from the texts.
 IDENTIFIERS = """getElementById addEventListener background_color content_length max_value is_enabled
@@ -35,68 +45,137 @@ user_preferences transaction_history file_descriptor configuration application/j
 created_at updated_at source_file customer_address international responsibility characteristic
 understanding administration DataFrameReader StringBuilder HttpServletRequest NullPointerException
 left-right top-to-bottom state-of-the-art well-known example.com index.html version_number
-2024-01-01 10.0.0.1 page_count previous_month_average snake_case_identifier CamelCaseIdentifier""".split()
-
-
-def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, n_random: int = 20_000, n_docs: int = 2_000, max_chars: int = 20_000) -> DataFrame:
-    """(text, label): 1 for random strings, 0 for ordinary identifiers.
-
-    Random strings are hex, base64 and capitals with digits of digests of 1..n_random.
-    Identifiers are the letter words (8 characters and more, maybe with - or _) of about
-    ``n_docs`` documents of at most ``max_chars`` characters, chosen by hash, and a fixed list.
-    ``n_docs`` bounds the sample at any corpus size.
+abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 xxxxxxxxxxxxxxxx XXXXXXXXXXXXXXXX
+================ ---------------- ________________ ++++++++++++++++ ////////////////
+page_count previous_month_average snake_case_identifier CamelCaseIdentifier""".split()
+
+
+def _random_forms(n: Column) -> Column:
+    """Random strings of number ``n``: hex, base64 of both alphabets, letters and digits of all, upper and lower case, letters only."""
+    digest = F.sha2(n.cast("string"), 256)
+    code = F.base64(F.concat(F.unhex(digest), F.unhex(F.sha2(F.concat(n.cast("string"), F.lit("x")), 256))))
+    plain, length = F.regexp_replace(code, "[+/=]", ""), (F.lit(20) + n % 21).cast("int")
+    forms = [digest, F.substring(code, 1, 44), plain, F.upper(plain), F.lower(plain), F.translate(code, "+/=", "-_"), F.regexp_replace(plain, "[0-9]", ""), digest]
+    return F.left(F.element_at(F.array(*forms), (n % len(forms) + 1).cast("int")), length)
+
+
+def _number_forms(n: Column) -> Column:
+    """Ordinary strings with digits of number ``n``: dates, times, versions, addresses, file names, groups, repeated and counted digits."""
+    day = F.date_add(F.lit("1995-01-01").cast("date"), (n * 7 % 12_000).cast("int"))
+    s, two = lambda x: x.cast("string"), lambda x: F.lpad((x % 60).cast("string"), 2, "0")
+    of = lambda fmt: F.date_format(day, fmt)
+    clock = F.concat(two(n % 24), two(n * 11), two(n * 13))
+    forms = [
+        of("yyyy-MM-dd"), F.concat(of("yyyyMMdd"), F.lit("_"), clock), of("yyyy/MM/dd"), F.concat(F.lit("IMG_"), of("yyyyMMdd"), F.lit("_"), clock, F.lit("_edited")),
+        F.concat(F.lit("v"), s(n % 20), F.lit("."), s(n % 13), F.lit("."), s(n % 7)), F.concat_ws(".", s(n % 256), s(n * 3 % 256), s(n * 5 % 256), s(n * 7 % 256)),
+        F.repeat(s(n % 10), (F.lit(8) + n % 24).cast("int")), F.concat_ws("-", *[F.repeat(s((n + i) % 10), 4) for i in range(4)]), F.concat_ws("-", s(n % 900 + 100), s(n * 7 % 9000 + 1000), s(n * 13 % 9000 + 1000)),
+        s(n * 1_000_003), s(n * 999_999_937 * 911), F.concat(F.lit("/"), of("yyyy/MM/dd"), F.lit("/page-"), s(n % 400)), F.concat(F.lit("report_"), of("yyyy"), F.lit("-Q"), s(n % 4 + 1), F.lit("_final")), F.concat(s(n % 90), F.lit("."), s(n * 104_729 % 1_000_000)),
+        F.concat(of("dd-MM-yyyy"), F.lit("-"), s(n % 1000)), F.concat(F.lit("1.0.0-beta"), s(n % 30), F.lit("-build"), s(n % 5000)),
+    ]
+    return F.element_at(F.array(*forms), (n % len(forms) + 1).cast("int"))
+
+
+def _word_forms(words: Column) -> Column:
+    """Ordinary identifiers of neighbouring words: words, snake, kebab and camel case, constants, paths, files and settings, numbered and not."""
+
+    def form(i: Column) -> Column:
+        a, b, c = (F.get(words, i + k) for k in range(3))
+        n = F.pmod(F.hash(a, b, c), F.lit(2100)).cast("string")
+        capital = lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.substring(x, 2, 1000))
+        forms = [
+            a, F.concat_ws("_", a, b, c), F.concat(F.lit("/"), a, F.lit("/"), b, F.lit("-"), c), F.concat(F.lower(a), capital(b), capital(c)), F.concat_ws("-", a, b, c, n), F.concat(a, F.lit("_"), n),
+            F.concat(F.upper(a), F.lit("_"), F.upper(b)), F.concat(a, F.lit("="), b), F.concat(F.lit("/"), a, F.lit("/"), n, F.lit("/"), b, F.lit("-"), c, F.lit(".html")), F.concat(capital(a), capital(b), n),
+        ]
+        return F.element_at(F.array(*forms), F.pmod(F.hash(a, b), F.lit(len(forms))) + 1)
+
+    return F.when(F.size(words) > 2, F.transform(F.sequence(F.lit(0), F.size(words) - 3), form)).otherwise(words)
+
+
+def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, vocabulary: list[str] = (), n_random: int = 20_000, n_docs: int = 2_000, max_chars: int = 20_000) -> DataFrame:
+    """(text, label): 1 for random strings, 0 for ordinary identifiers, each once.
+
+    Random strings are forms of the digests of 1..n_random. Identifiers are built of the letter
+    words (4 characters and more) of about ``n_docs`` documents of at most ``max_chars`` characters, chosen
+    by hash, and of a public vocabulary; of as many numbers; and of a fixed list. ``n_docs`` bounds
+    the sample at any corpus size.
     """
     spark = docs.sparkSession
-    digest = F.sha2(F.col("id").cast("string"), 256)
-    raw = F.unhex(digest)
-    capitals = F.substring(F.translate(F.upper(F.regexp_replace(F.base64(raw), "[+/=]", "")), "01", "QZ"), 1, 20)
-    random = spark.range(1, n_random + 1).select(
-        F.element_at(F.array(digest, F.base64(raw), F.regexp_replace(F.base64(raw), "[+/=]", ""), capitals, F.substring(digest, 1, 20)), (F.col("id") % 5 + 1).cast("int")).alias("text"),
-        F.lit(1).alias("label"),
-    )
-    total = max(1, docs.count())
-    rate = min(1.0, n_docs / total)
+    random = spark.range(1, n_random + 1).select(_random_forms(F.col("id")).alias("text"), F.lit(1).alias("label"))
+    rate = min(1.0, n_docs / max(1, docs.count()))
     picked = docs.filter((F.length(text_col) <= max_chars) & sampled(id_col, rate))
-    words = picked.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(r"[A-Za-z][A-Za-z_-]{7,}"), F.lit(0))).alias("text"))
+    words = picked.select(F.regexp_extract_all(F.col(text_col), F.lit(r"\b[A-Za-z]{4,}\b"), F.lit(0)).alias("w")).select(F.explode(_word_forms(F.col("w"))).alias("text"))
+    public = [w for w in vocabulary if re.fullmatch("[A-Za-z]{4,}", w)]
+    mixed = [[public[(k * 7919 + i * (2 * k + 1)) % len(public)] for i in range(len(public))] for k in range(VARIED)] if public else []  # each word beside others
+    public_words = spark.createDataFrame([(x,) for x in mixed], "w array<string>").select(F.explode(_word_forms(F.col("w"))).alias("text"))
+    words = words.distinct().unionByName(public_words)
+    numbers = spark.range(1, n_random + 1).select(_number_forms(F.col("id")).alias("text"))
     listed = spark.createDataFrame([(x,) for x in IDENTIFIERS], "text string")
-    return random.unionByName(words.unionByName(listed).select("text", F.lit(0).alias("label")))
-
+    return random.unionByName(words.unionByName(numbers).unionByName(listed).select("text", F.lit(0).alias("label")))
 
-def train_markov(samples: DataFrame, smoothing: float = 0.5, backoff: float = 5.0) -> np.ndarray:
-    """Matrix of log-likelihood ratios for each character after each (row 0: start), from labelled samples.
 
-    Bigrams back off to the class's characters, so that a small sample still tells letters from digits.
+def train_markov(samples: DataFrame, backoff: float = 30.0) -> np.ndarray:
+    """Log-likelihood ratios of each character after each two (place 0: before the start), from labelled samples.
 
-    Bigrams are counted by one grouped aggregation; at most 2 * 69 * 69 counts reach the driver.
+    Each order backs off to the one below it, and the lowest to equal chances, so that a small
+    sample still tells letters from digits. Counts are one grouped aggregation; at most
+    2 * 69 * 69 * 68 of them reach the driver.
     """
     n = len(ALPHABET)
-    pairs = (
+    every = F.concat(F.lit("  "), F.col("text"))
+    triples = (
         samples.filter(F.length("text") > 0)
-        .select("label", F.explode(F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: F.when(i == 1, F.concat(F.lit(" "), F.col("text").substr(i, F.lit(1)))).otherwise(F.col("text").substr(i - 1, F.lit(2))))).alias("pair"))
-        .groupBy("label", "pair").count()
-    )
-    counts = np.zeros((2, n + 1, n))
-    place = {c: i for i, c in enumerate(ALPHABET)}
-    for label, pair, c in pairs.filter(F.col("pair").rlike(r"^[ A-Za-z0-9+/_=.-][A-Za-z0-9+/_=.-]$")).collect():
-        counts[label, 0 if pair[0] == " " else place[pair[0]] + 1, place[pair[1]]] += c
-    single = counts.sum(axis=1, keepdims=True) + smoothing
-    single /= single.sum(axis=2, keepdims=True)
-    p = (counts + backoff * single) / (counts.sum(axis=2, keepdims=True) + backoff)
-    return np.log(p[1]) - np.log(p[0])
+        .select("label", F.explode(F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: every.substr(i, F.lit(3)))).alias("triple"))
+        .groupBy("label", "triple").count()
+    )
+    counts = np.zeros((2, n + 1, n + 1, n))
+    place = {" ": 0} | {c: i + 1 for i, c in enumerate(ALPHABET)}
+    for label, t, c in triples.filter(F.col("triple").rlike(r"^[ A-Za-z0-9+/_=.-]{2}[A-Za-z0-9+/_=.-]$")).collect():
+        counts[label, place[t[0]], place[t[1]], place[t[2]] - 1] += c
+    p = np.full((2, 1, 1, n), 1 / n)
+    for own in (counts.sum(axis=(1, 2), keepdims=True), counts.sum(axis=1, keepdims=True), counts):
+        p = (own + backoff * p) / (own.sum(axis=3, keepdims=True) + backoff)
+    return np.minimum(np.log(p[1]) - np.log(p[0]), LOUDEST).astype(np.float32)
 
 
 class Scanner:
-    """Finds spans in one text. ``threshold`` is the mean log-likelihood ratio of a character."""
+    """Finds spans in one text. ``evidence`` is the log-likelihood ratio that a secret reaches."""
 
-    def __init__(self, ratios: np.ndarray, threshold: float = 0.9, shortest: int = 20):
-        self.ratios, self.threshold, self.shortest = ratios, threshold, shortest
+    def __init__(self, ratios: np.ndarray, evidence: float = EVIDENCE, shortest: int = SHORTEST):
+        self.ratios, self.evidence, self.shortest = ratios, evidence, shortest
         self.codes = np.zeros(128, np.int64)
         for i, c in enumerate(ALPHABET):
             self.codes[ord(c)] = i
 
-    def ratio(self, token: str) -> float:
+    def steps(self, token: str) -> np.ndarray:
+        """The ratio of each character of a token."""
         c = self.codes[np.frombuffer(token.encode("ascii"), np.uint8)]
-        return float(self.ratios[np.append(0, c[:-1] + 1), c].mean())
+        before = np.concatenate([[0, 0], c + 1])
+        return self.ratios[before[:-2], before[1:-1], c]
+
+    def ratio(self, token: str) -> float:
+        return float(self.steps(token).sum())
+
+    def secrets(self, token: str) -> list[tuple[int, int]]:
+        """Ranges of a token that reach the evidence: its best stretch, and those of what is left on both sides."""
+        out, todo = [], [(0, len(token))]
+        while todo:
+            a, b = todo.pop()
+            if b - a < self.shortest:
+                continue
+            total = np.append(0.0, np.cumsum(self.steps(token[a:b]), dtype=np.float64))
+            least = np.minimum.accumulate(total[: b - a - self.shortest + 1])  # of the starts that leave room
+            gain = total[self.shortest :] - least
+            k = int(gain.argmax())
+            if gain[k] < self.evidence:
+                continue
+            s, e = a + int(np.flatnonzero(total[: k + 1] == least[k])[0]), a + k + self.shortest
+            while s > a and token[s - 1] not in "/=":
+                s -= 1
+            while e < b and token[e] not in "/=":
+                e += 1
+            out.append((s, e))
+            todo += [(a, s), (e, b)]
+        return sorted(out)
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, kind's place in KINDS, end), sorted; patterns first, model spans only where no pattern stands."""
@@ -108,20 +187,23 @@ class Scanner:
         for m in runs:  # AKIA... and hex runs consist of RUN's characters, so each lies in one run
             found += [(x.start(), 1, x.end()) for x in ACCESS.finditer(text, m.start(), m.end())]
             found += [(x.start(), 2, x.end()) for x in HEX.finditer(text, m.start(), m.end())]
-        base = sorted(found)
+        taken = sorted((s, e) for s, _, e in found)
+        model, i = [], 0
         for m in runs:
-            for part in re.finditer(r"[A-Za-z0-9+/_=-]+", m[0]):
-                token, a, b = part[0], m.start() + part.start(), m.start() + part.end()
-                if len(token) < self.shortest or token.isalpha() or not any(c.isdigit() for c in token) or any(s < b and a < e for s, _, e in base):
-                    continue
-                if self.ratio(token) >= self.threshold:
-                    found.append((a, 3, b))
-        return sorted(found)
-
-
-def scan(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text", *, threshold: float = 0.9, shortest: int = 20) -> DataFrame:
+            while i < len(taken) and taken[i][1] <= m.start():
+                i += 1
+            own = [r for r in taken[i:] if r[0] < m.end()] if i < len(taken) and taken[i][0] < m.end() else []
+            at = m.start()
+            for s, e in sorted([*own, *(x.span() for x in UUID.finditer(text, m.start(), m.end())), (m.end(), m.end())]):
+                if s - at >= self.shortest:
+                    model += [(at + a, 3, at + b) for a, b in self.secrets(text[at:s])]
+                at = max(at, e)
+        return sorted(found + model)
+
+
+def scan(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text", *, evidence: float = EVIDENCE, shortest: int = SHORTEST) -> DataFrame:
     """doc_id and its spans (kind, start, end in code points, end exclusive), for every row of ``docs``."""
-    scanner = Scanner(ratios, threshold, shortest)
+    scanner = Scanner(ratios, evidence, shortest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -144,13 +226,21 @@ def digests(scanned: DataFrame) -> DataFrame:
     )
 
 
-def trained(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> np.ndarray:
-    return train_markov(labelled_samples(docs, text_col, id_col))
+def trained(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, tokenizer: str | None = None) -> np.ndarray:
+    """The models' ratios, with the words of a tokenizer file's vocabulary where one is given."""
+    return train_markov(labelled_samples(docs, text_col, id_col, vocabulary=public_words(tokenizer) if tokenizer else []))
+
+
+def public_words(tokenizer: str) -> list[str]:
+    """The words of a byte-level vocabulary's file, in order."""
+    with open(tokenizer_file(tokenizer), encoding="utf-8") as f:
+        pieces = json.load(f)["model"]["vocab"]
+    return sorted({p.lstrip("Ġ") for p in pieces})
 
 
-def redact(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", mark: str = "[secret]", *, threshold: float = 0.9, shortest: int = 20) -> DataFrame:
+def redact(docs: DataFrame, ratios: np.ndarray, text_col: str = "text", mark: str = "[secret]", *, evidence: float = EVIDENCE, shortest: int = SHORTEST) -> DataFrame:
     """``docs`` with every span in ``text_col`` replaced; all columns, names and types stay; null text stays null."""
-    scanner, at, schema = Scanner(ratios, threshold, shortest), docs.columns.index(text_col), docs.schema
+    scanner, at, schema = Scanner(ratios, evidence, shortest), docs.columns.index(text_col), docs.schema
 
     def clean(text: str | None) -> str | None:
         if text is None:

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 
 from skein.llm import language, lm, mixing, queries
+from skein.llm.base import tokenizer_file
 
 
 def lower(s):
@@ -23,7 +24,7 @@ def test_word_scores(spark):
     texts = [None, "", " ", "Water of the"] + [" ".join(rng.choices(pool, k=rng.randint(1, 60))) for _ in range(60)]
     ids = [*range(len(texts) - 2), None, 3]
     d = spark.createDataFrame([(i, t, "z", 0.5) for i, t in zip(ids, texts, strict=True)], "doc_id long, text string, held string, score double").repartition(3)
-    path = queries.tokenizer_path(queries.PIECES)
+    path = queries.PIECES
     got = lm.score(d, path).collect()
     tokens = [[*re.findall(r"[^\x20\x09-\x0D]+", lower(t)), None] for t in texts]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i in ids]
@@ -41,13 +42,13 @@ def plain_lattice(path):
     """Weights by piece, for a recursion over all segmentations."""
     import sentencepiece
 
-    v, model = lm.Vocabulary.of(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    v, model = lm.Vocabulary.of(path), sentencepiece.SentencePieceProcessor(model_file=tokenizer_file(path))
     known = {model.id_to_piece(i): i for i in np.flatnonzero(np.isfinite(v.first)).tolist() if not model.is_byte(i)}
     return v, model, known
 
 
 def test_forward_sums_all_segmentations():
-    v, _, known = plain_lattice(path := queries.tokenizer_path(queries.PIECES))
+    v, _, known = plain_lattice(path := queries.PIECES)
 
     def brute(word, memo):
         if not word:
@@ -65,7 +66,7 @@ def test_forward_sums_all_segmentations():
 
 
 def test_expected_counts_fill_the_words():
-    v, model, _ = plain_lattice(queries.tokenizer_path(queries.PIECES))
+    v, model, _ = plain_lattice(queries.PIECES)
     into = np.zeros(v.size)
     own, times = ["unsmoothed", "the", "\u0378ab"], np.array([2, 5, 3])
     lm.Lattice(v, v.first).expect(own, times, into)
