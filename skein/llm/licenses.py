@@ -1,29 +1,33 @@
 """License scans by diagonal voting, in DataFrame operations only.
 
 Every rolling ``K``-word hash of every document is joined with the positions at which it stands in
-the templates (a broadcast table of a few thousand rows at most; a larger one is joined by
-shuffle). A hit votes for the diagonal "document position minus template position" and is verified
-word by word where it is found. Votes are added up by diagonal; neighbouring diagonals of one
-template, at most ``GAP`` words apart, are merged, which bridges inserted and left-out words; a
-merged span gets its template's label when it covers ``COVERAGE`` of the template's words.
+the templates (a broadcast table of ``BROADCAST_ROWS`` rows at most; a larger one is joined by shuffle,
+with the same rows). A hit votes for the diagonal "document position minus template position" and is
+verified word by word. Votes are added up by diagonal; neighbouring diagonals of one template, at
+most ``GAP`` words apart, are merged, which bridges inserted and left-out words; a merged span gets its
+template's label when it covers ``COVERAGE`` of the template's words.
 
-A sentinel hash gives one row for each document, so that one pass yields the hits and the documents
-without hits. Rows are dealt out once, by document, before any grouping.
+An empty gram gives one row for each document, so that one pass yields the hits and the documents
+without hits. Rows are dealt out once, by row, before any grouping.
 
 Cases: null or empty text has no words, no labels and score 0; repeated rows stay apart; very long
-texts are scanned whole; other columns are not read.
+texts are scanned whole, at a cost in proportion to their length; templates that share words each
+get the vote, so that a tie of labels gives both; an empty table gives an empty result, and without
+templates nothing is found; other columns, also of the result's names, are not read.
 """
 
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 K, GAP, COVERAGE, SHORTEST = 3, 6, 0.6, 6
-SENTINEL = -7046029254386353131
+GRAM = f"struct<at:int,hash:bigint,{','.join(f'w{j}:string' for j in range(K))}>"
+GRAMS = f"array<{GRAM}>"
 #: Template rows that may be broadcast (about 100 bytes each).
 BROADCAST_ROWS = 50_000
 
@@ -58,29 +62,42 @@ def word_array(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def gram_hashes(words: str) -> Column:
-    """Hashes of all runs of K words of an array column; empty if it is shorter."""
-    at = lambda i: F.xxhash64(*[F.get(F.col(words), i + j) for j in range(K)])
-    return F.when(F.size(words) >= K, F.transform(F.sequence(F.lit(0), F.size(words) - K), at)).otherwise(F.array().cast("array<bigint>"))
+def grams(words: str) -> Column:
+    """All runs of K words of an array column as structs of their place, hash and words; empty if it is shorter."""
+    word = lambda i: [F.get(F.col(words), i + j) for j in range(K)]
+    at = lambda i: F.struct(i.alias("at"), F.xxhash64(*word(i)).alias("hash"), *[w.alias(f"w{j}") for j, w in enumerate(word(i))])
+    listed = F.transform(F.sequence(F.lit(0), F.size(words) - K), at)
+    return F.when(F.size(words) >= K, listed).otherwise(F.array().cast(GRAMS))
 
 
 def templates(spark: SparkSession, phrases: list[tuple[str, str]] = PHRASES, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
-    """(hash, gram, template, label, base, length, place): each position of each template, and the sentinel's row."""
+    """(hash, w0, w1, w2, template, label, base, length, place): each position of each template."""
     listed = [(p, label, True) for p, label in phrases] + [(p, label, False) for p, label in notices]
     rows = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(t).alias("text"), F.lit(label).alias("label"), F.lit(base).alias("base")) for i, (t, label, base) in enumerate(listed)])
     t = spark.range(1).select(F.inline(rows)).withColumn("words", word_array(F.col("text")))
-    t = t.select("template", "label", "base", F.size("words").alias("length"), "words", F.posexplode(gram_hashes("words")).alias("place", "hash"))
-    t = t.select("hash", F.slice("words", F.col("place") + 1, K).alias("gram"), "template", "label", "base", "length", "place")
-    sentinel = spark.range(1).select(F.lit(SENTINEL).alias("hash"), F.lit(None).cast("array<string>").alias("gram"), F.lit(-1).alias("template"), F.lit(None).cast("string").alias("label"), F.lit(False).alias("base"), F.lit(0).alias("length"), F.lit(-1).alias("place"))
-    return t.unionByName(sentinel)
+    t = t.select("template", "label", "base", F.size("words").alias("length"), F.explode(grams("words")).alias("gram"))
+    return t.select(F.col("gram.hash").alias("hash"), *[F.col(f"gram.w{j}").alias(f"w{j}") for j in range(K)], "template", "label", "base", "length", F.col("gram.at").alias("place"))
 
 
-def hits(docs: DataFrame, known: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row for each verified vote, and one (template -1) for each document."""
+def hits(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, broadcast: bool) -> DataFrame:
+    """A row for each verified vote, and at least one for each document (template null).
+
+    Grams are cut down to those whose hash stands in a template before they are exploded, and
+    carry their own words only, so that work and bytes grow with a text's length.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), word_array(F.col(text_col).cast("string")).alias("words"))
-    grams = rows.select("row", "doc_id", "words", F.posexplode(F.concat(F.array(F.lit(SENTINEL)), gram_hashes("words"))).alias("at", "hash"))
-    voted = grams.join(known, "hash").filter(((F.col("template") < 0) & (F.col("at") == 0)) | ((F.col("at") > 0) & (F.slice("words", F.greatest("at", F.lit(1)), K) == F.col("gram"))))
-    return voted.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), "template", "label", "base", "length", "place", (F.col("at") - 1 - F.col("place")).cast("long").alias("diagonal")).repartition("row")
+    rows = rows.withColumn("n_words", F.size("words").cast("long"))  # below the explosion, so that no exploded row carries the words
+    listed = grams("words")
+    if broadcast:
+        wanted = [r["hash"] for r in known.select("hash").distinct().collect()]  # at most BROADCAST_ROWS
+        listed = F.filter(listed, lambda g: g["hash"].isin(wanted))
+        known = F.broadcast(known)
+    found = rows.select("row", "doc_id", "n_words", F.explode_outer(F.concat(F.array(F.lit(None).cast(GRAM)), listed)).alias("gram"))
+    # a document's own row has no place; its key is spread, so that no task of a shuffled join gets all of them
+    flat = found.select("row", "doc_id", "n_words", "gram.at", F.coalesce("gram.hash", "row").alias("hash"), *[F.col(f"gram.w{j}").alias(f"g{j}") for j in range(K)])
+    same = reduce(Column.__and__, [flat[f"g{j}"] == known[f"w{j}"] for j in range(K)])
+    voted = flat.join(known, (flat["hash"] == known["hash"]) & same, "left").filter(F.col("at").isNull() | F.col("template").isNotNull())
+    return voted.select("row", "doc_id", "n_words", "template", "label", "base", "length", "place", (F.col("at") - F.col("place")).cast("long").alias("diagonal")).repartition("row")
 
 
 def spans(voted: DataFrame) -> DataFrame:
@@ -91,20 +108,17 @@ def spans(voted: DataFrame) -> DataFrame:
     keys = ["row", "doc_id", "n_words", "template", "label", "base", "length"]
     lines = voted.groupBy(*keys, "diagonal").agg(F.collect_set("place").alias("places"))
     order = Window.partitionBy("row", "template").orderBy("diagonal")
-    new = F.col("base") | F.col("diagonal").isNull() | F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > GAP, F.lit(True))
+    new = F.coalesce("base", F.lit(True)) | F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > GAP, F.lit(True))
     merged = lines.withColumn("group", F.sum(new.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     merged = merged.groupBy(*keys, "group").agg(F.flatten(F.collect_list("places")).alias("places"), F.min("diagonal").alias("first"), F.max("diagonal").alias("last"))
     under = F.size(F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + K - 1)))))
-    return merged.select(*keys, "first", "last", F.when(F.col("template") < 0, 0.0).otherwise(under / F.col("length")).alias("covered"), (F.col("first") + F.array_min("places")).alias("start"), (F.col("last") + F.array_max("places") + K).alias("end"))
+    return merged.select(*keys, "first", "last", F.when(F.col("template").isNull(), 0.0).otherwise(under / F.col("length")).alias("covered"), (F.col("first") + F.array_min("places")).alias("start"), (F.col("last") + F.array_max("places") + K).alias("end"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: DataFrame | None = None, *, coverage: float = COVERAGE) -> DataFrame:
     """One row for each row of ``docs``: n_words, n_base, first_word, last_word, base_labels, labels and score (best coverage)."""
-    if known is None:
-        known = F.broadcast(templates(docs.sparkSession))  # the fixed lists above
-    elif known.count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
-    found = spans(hits(docs, known, id_col, text_col))
+    known = templates(docs.sparkSession) if known is None else known
+    found = spans(hits(docs, known, id_col, text_col, known.count() <= BROADCAST_ROWS))
     exact = F.col("base") & (F.col("covered") == 1.0)
     counts = ~F.col("base") & (F.col("covered") >= coverage) & (F.col("length") >= SHORTEST)
     listed = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("label")))), ",")
