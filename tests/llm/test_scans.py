@@ -5,10 +5,12 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
 
+from skein.llm.base import tokenizer_file
 from skein.llm import licenses, main_text, queries, secrets, token_counts
 
 
@@ -41,7 +43,7 @@ def brute_spans(text):
 
 def test_secret_patterns(spark):
     d = docs(spark, SECRETS)
-    got = {r["doc_id"]: r for r in secrets.digests(secrets.scan(d, secrets.trained(d))).collect()}
+    got = {r["doc_id"]: r for r in secrets.digests(secrets.scan(d, secrets.trained(d, tokenizer=queries.TOKENIZER))).collect()}
     for i, t in enumerate(SECRETS):
         want = brute_spans(t)
         assert got[i]["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest(), t[:60]
@@ -50,20 +52,70 @@ def test_secret_patterns(spark):
     assert got[16]["n_markov"] == 1
 
 
-def test_markov_model_tells_random_from_words(spark):
+B62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+ORDINARY = [
+    "/articles/2019/03/21/how-to-cook-rice", "IMG_20240101_123456_edited", "123e4567-e89b-12d3-a456-426614174000", "0000000000000000000000000", "1111-2222-3333-4444-5555", "83920174658291746501", "antidisestablishmentarianism",
+    "com/google/android/gms/common/internal", "k8s-cluster-node-17-eu-west-1b", "================", "2024-01-01/2024-12-31", "Donaudampfschifffahrtsgesellschaft",
+]
+
+
+@pytest.fixture(scope="module")
+def scanner(spark):
     rng = random.Random(5)
     words = ["therefore", "management", "internal_value", "resolution", "window-frame", "characteristic", "updatedAt2024", "pre-processing"]
-    d = docs(spark, [" ".join(rng.choices(words, k=50)) for _ in range(40)])
-    scan = secrets.Scanner(secrets.trained(d))
-    randoms = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=24)) for _ in range(200)]
-    plain = ["_".join(rng.choices(words, k=3)) for _ in range(200)]
-    assert np.mean([scan.ratio(x) >= scan.threshold for x in randoms]) > 0.95
-    assert np.mean([scan.ratio(x) >= scan.threshold for x in plain]) < 0.02
+    return secrets.Scanner(secrets.trained(docs(spark, [" ".join(rng.choices(words, k=50)) for _ in range(40)]), tokenizer=queries.TOKENIZER))
+
+
+def test_markov_models_on_held_out_strings(scanner):
+    """Random strings of each alphabet by length, and identifiers of Python's own modules, which no model was trained on."""
+    rng = random.Random(6)
+    found = lambda x: bool(scanner.spans(f"a {x} b"))
+    recall = {(len(a), n): np.mean([found("".join(rng.choices(a, k=n))) for _ in range(300)]) for a in (B62, B62[:52], "0123456789abcdef", B62.upper()[26:], B62 + "-_") for n in (16, 24, 31)}
+    assert min(r for (_, n), r in recall.items() if n >= 24) > 0.93 and min(recall.values()) > 0.6 and recall[62, 16] > 0.9
+    names = {f"{m}.{x}".replace(".", "/") for m in ("os", "ast", "ssl", "socket", "http.client", "unittest.mock", "email.message", "xml.dom.minidom", "logging.handlers", "concurrent.futures") for x in dir(__import__(m, fromlist=["x"]))}
+    names = [x for x in names if len(x) >= 16]
+    assert len(names) > 500 and np.mean([found(x) for x in names]) < 0.005
+    assert [x for x in ORDINARY if found(x)] == []
+
+
+def test_planted_secrets_without_labels(spark, scanner):
+    key, letters, short = "Zq8LmWv3TxYp0RkQ5nBd7Hs2", "qwZkPmXvTbNrLcHgJdFsWyQz", "a3f5c9d27e1b4a6f8c0d"
+    texts = [f"see {key}.", f"/assets/images/{key}/logo-small", f"x={letters}", f"{short} and words", f"password=hunter22 {key}", f"token={key}/{letters}", "plain words only", None]
+    got = {r["doc_id"]: [(s["kind"], texts[r["doc_id"]][s["start"] : s["end"]]) for s in r["spans"]] for r in secrets.scan(docs(spark, texts), scanner.ratios).collect()}
+    assert got == {0: [("markov", key)], 1: [("markov", key)], 2: [("markov", letters)], 3: [("markov", short)], 4: [("assign", "password=hunter22"), ("markov", key)], 5: [("assign", texts[5])], 6: [], 7: []}
+
+
+def test_model_and_stretches_against_brute_force(spark):
+    rows = [("ab1ab1", 1), ("zz9", 1), ("abab", 0), ("x", 0), ("ab-ab", 0), ("é", 0), ("", 1), (None, 0)]
+    got = secrets.train_markov(spark.createDataFrame(rows, "text string, label int"), backoff=2.0)
+
+    def p(label, a, b, c):
+        triples = [(("  " + t)[i], ("  " + t)[i + 1], t[i]) for t, k in rows if k == label and t and t.isascii() for i in range(len(t))]
+        n = lambda f: sum(map(f, triples))
+        q = 1 / len(secrets.ALPHABET)
+        q = (n(lambda t: t[2] == c) + 2 * q) / (len(triples) + 2)
+        q = (n(lambda t: t[1:] == (b, c)) + 2 * q) / (n(lambda t: t[1] == b) + 2)
+        return (n(lambda t: t == (a, b, c)) + 2 * q) / (n(lambda t: t[:2] == (a, b)) + 2)
+
+    at = {" ": 0} | {c: i + 1 for i, c in enumerate(secrets.ALPHABET)}
+    for a, b, c in [(" ", " ", "a"), (" ", "a", "b"), ("a", "b", "1"), ("a", "b", "-"), ("q", "q", "q"), ("z", "z", "9")]:
+        assert abs(got[at[a], at[b], at[c] - 1] - min(np.log(p(1, a, b, c) / p(0, a, b, c)), secrets.LOUDEST)) < 1e-5
+    rng = np.random.RandomState(3)
+    scan = secrets.Scanner(rng.randn(69, 69, 68).astype(np.float32), evidence=6.0, shortest=4)
+    for _ in range(200):
+        token = "".join(rng.choice(list("abc/="), rng.randint(1, 30)))
+        s = scan.steps(token).astype(float)
+        sums = {(a, b): s[a:b].sum() for a in range(len(token)) for b in range(a + 4, len(token) + 1)}
+        spans = scan.secrets(token)
+        assert bool(spans) == (max(sums.values(), default=0) >= 6) and all(e - a >= 4 for a, e in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:], strict=False))
+        if spans:
+            a, b = max(sums, key=lambda k: (round(sums[k], 4), -k[0]))
+            assert any(x <= a and b <= y for x, y in spans)
 
 
 def test_redaction_keeps_columns(spark):
     d = docs(spark, SECRETS)
-    out = secrets.redact(d, np.zeros((70, 69)) - 1)
+    out = secrets.redact(d, np.zeros((69, 69, 68)) - 1)
     assert out.schema == d.schema
     got = {r["doc_id"]: r["text"] for r in out.collect()}
     assert got[0] is None and got[1] == "" and got[2] == "[secret]" and got[3] == SECRETS[3]
@@ -73,7 +125,7 @@ def test_scans_of_empty_tables(spark):
     d = docs(spark, SECRETS).limit(0)
     assert secrets.digests(secrets.scan(d, secrets.trained(d))).count() == 0
     assert licenses.scan(d).count() == 0
-    assert token_counts.count_tokens(d, queries.tokenizer_path()).count() == 0
+    assert token_counts.count_tokens(d, queries.TOKENIZER).count() == 0
     assert main_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
@@ -97,6 +149,56 @@ def test_license_phrases(spark):
     assert got[7]["labels"] == "gpl-3" and got[8]["labels"] == "mit" and 0.6 <= got[8]["score"] < 1 and got[9]["labels"] == "" and got[9]["score"] == 0
 
 
+def brute_votes(text, templates, gap=6, coverage=0.6, shortest=6):
+    """Labels and score from each template's diagonals, by nested loops."""
+    split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    w, labels, score = split(text), set(), 0.0
+    for t, label, base in templates:
+        own = split(t)
+        votes = sorted({(i - j, j) for i in range(len(w) - 2) for j in range(len(own) - 2) if w[i : i + 3] == own[j : j + 3]})
+        groups = []
+        for d, j in votes:
+            if groups and (d - groups[-1][-1][0] <= (0 if base else gap)):
+                groups[-1].append((d, j))
+            else:
+                groups.append([(d, j)])
+        for g in groups:
+            covered = len({j + k for _, j in g for k in range(3)}) / len(own)
+            if (base and covered == 1) or (not base and covered >= coverage and len(own) >= shortest):
+                labels.add(label)
+                score = max(score, covered)
+    return ",".join(sorted(labels)), score
+
+
+@pytest.mark.parametrize("bound", [50_000, 0])
+def test_license_votes_against_brute_force(spark, monkeypatch, bound):
+    monkeypatch.setattr(licenses, "BROADCAST_ROWS", bound)
+    rng = random.Random(12)
+    every = [(p, label, True) for p, label in licenses.PHRASES] + [(t, label, False) for t, label in licenses.NOTICES]
+    texts = list(LICENSES)
+    for t, _, _ in every * 3:
+        w = t.split()
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(w) + 1)
+            w[k : k + rng.randint(0, 2)] = rng.choices(["the", "license", "odd", "word"], k=rng.randint(0, 2))
+        texts.append("see " + " ".join(w) + rng.choice(["", " under the MIT license", " " + every[rng.randrange(len(every))][0]]))
+    got = {r["doc_id"]: (r["labels"], round(r["score"], 9)) for r in licenses.scan(docs(spark, texts)).collect()}
+    assert got == {i: (x[0], round(x[1], 9)) for i, x in enumerate(brute_votes(t, every) for t in texts)} and len({x for x, _ in got.values()}) > 8
+
+
+def test_license_scan_is_linear_in_a_text(spark):
+    word = "some words of a text that goes on under the mit license and so on "
+    took = []
+    for n in (1, 20_000, 40_000):
+        d = docs(spark, [word * n]).repartition(1).cache()
+        d.count()
+        began = time.time()
+        [r] = licenses.scan(d).collect()
+        took.append(time.time() - began)
+        assert (r["n_words"], r["n_base"], r["last_word"]) == (15 * n, n, 15 * n - 7)
+    assert took[2] < 30 and took[2] < 4 * took[1] + 2
+
+
 def test_license_scan_runs_in_the_jvm(spark):
     plan = licenses.scan(docs(spark, LICENSES))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -108,14 +210,37 @@ def test_token_counts_match_the_library(spark):
     rng = random.Random(2)
     texts = [None, "", " ", "a", " a  b\n\n c\t\r\nd ", "it's we'll", "<|endoftext|> x<|endoftext|>", "a\xa0b　c\x1cd\x85e", "don’t ½ 你好 \U0001f600", "word " * 20_000, "x" * 30_000, "it's we'll"]
     texts += ["".join(rng.choices("ab1 \n\t'sltrdm.!é漢½_-", k=rng.randint(0, 40))) for _ in range(300)]
-    path = queries.tokenizer_path()
-    library = Tokenizer.from_file(path)
+    path = queries.TOKENIZER
+    texts.append("supercalifragilistic" * 3_000 + " x")
+    library = Tokenizer.from_file(tokenizer_file(path))
     got = {r["doc_id"]: r for r in token_counts.count_tokens(docs(spark, texts), path, limit=100).collect()}
     for i, t in enumerate(texts):
         n = len(library.encode(t or "", add_special_tokens=False))
         assert (got[i]["n_bytes"], got[i]["n_tokens"], got[i]["over_limit"]) == (len((t or "").encode()), n, n > 100), repr(t)
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "piece_bpe_32k.model"])
+def test_token_counts_of_files_with_other_settings(spark, name):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    texts = [None, "", "Seven little tokens, as one says.", "  a  b ", "é漢字 <|endoftext|> x", "Seven little tokens, as one says."]
+    path = tokenizer_file(name)
+    if name.endswith(".json"):
+        library = Tokenizer.from_file(path)
+        size = lambda t: len(library.encode(t, add_special_tokens=False))
+    else:
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        size = lambda t: len(model.encode(t))
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs(spark, texts), name).collect()} == {i: size(t or "") for i, t in enumerate(texts)}
+
+
+def test_frequent_lengths_hold_the_most_frequent(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "FREQUENT", 3)
+    d = docs(spark, ["b b b b a a a a c c d", None, "e'll e'll e'll e'll e'll"]).repartition(2)
+    assert set(token_counts.frequent_lengths(d, queries.TOKENIZER)) == {"'ll", " a", " e"}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="no-sidebar">
 <header><h1>Site name</h1></header><nav><ul><li><a href="/">Home</a></li><li><a href="/b">Shop, now.</a></li></ul></nav><!-- x --><div class="cookie-notice">We use cookies, and more cookies, for everything.</div>
 <article><h1>A title &amp; more</h1><p><b>First  line,
