@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skein.llm import decontamination, jaccard, language, mixing, secrets
 from skein.llm.base import KEY, keyed, materialize, once, table, without
+from skein.llm.queries import TOKENIZER
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces the secrets in the texts; n_chars follows the text."""
-    clean = secrets.redact(docs, secrets.trained(docs))
+    clean = secrets.redact(docs, secrets.trained(docs, tokenizer=TOKENIZER))
     if "n_chars" in clean.columns:
         clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return clean
