@@ -213,6 +213,28 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn(KEY, row_key(*[docs[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()]))
 
 
+#: Rows of one key that one task of a spread join takes.
+SPREAD = 500_000
+
+
+def spread_join(rows: DataFrame, few: DataFrame, key: str, by: Column, *, most: int = BROADCAST_IDS, each: int = SPREAD) -> DataFrame:
+    """``rows`` left joined with ``few`` (one row for each ``key``, null for none) where a key may hold any share of the rows.
+
+    A table of at most ``most`` rows is broadcast. Beyond that, keys with more than ``each`` rows are
+    dealt to as many tasks as they need by a hash of ``by``, and rows without a key are not dealt at all.
+    The hot keys' table has one row for each ``each`` rows at most.
+    """
+    few = materialize(few, "few")
+    if few.count() <= most:
+        return rows.join(F.broadcast(few), key, "left")
+    named = rows.filter(F.col(key).isNotNull())
+    hot = materialize(named.groupBy(key).count().filter(F.col("count") > each).select(key, F.ceil(F.col("count") / each).alias("__parts")), "hot")
+    parts = F.coalesce("__parts", F.lit(1))
+    dealt = named.join(F.broadcast(hot), key, "left").withColumn("__part", F.pmod(F.xxhash64(by), parts)).drop("__parts")
+    answers = few.join(F.broadcast(hot), key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("__parts")
+    return dealt.join(answers, [key, "__part"], "left").drop("__part").unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def _by_id(docs: DataFrame, named: DataFrame, id_col: str, how: str) -> DataFrame:
     ids = materialize(named.select(F.col(named.columns[0]).cast("long").alias("__dropped")).filter("__dropped IS NOT NULL").distinct(), "dropped")
     few = ids.count() <= BROADCAST_IDS

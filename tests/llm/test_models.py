@@ -9,8 +9,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
-from skein.llm import language, lm, mixing, queries
+from skein.llm import base, language, lm, mixing, queries
 from skein.llm.base import tokenizer_file
 
 
@@ -105,6 +106,97 @@ def test_evidence_beside_the_text_decides_short_texts(spark):
     assert got == {1: "fr", 2: "de", 3: "en", 4: None}
 
 
+def brute_cells(text):
+    """Hashed trigrams of a text, byte by byte."""
+    raw = [b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalpha() else 32 for b in (text or "").encode()]
+    for a, b, c in zip(raw, raw[1:], raw[2:], strict=False):
+        if not (b == 32 and (a == 32 or c == 32)):
+            yield (((a << 16) | (b << 8) | c) * 2654435769 % 2**32) >> (32 - language.BITS)
+
+
+def brute_languages(rows, model):
+    """Posterior of (id, host, domain, declared, spoken by the suffix, text) rows, by the definition."""
+    k = len(model.languages)
+    gain = [[sum(float(g[c]) for c in cells) / max(1, len(cells)) for g in model.gain] for cells in [list(brute_cells(r[5])) for r in rows]]
+    size = [len(list(brute_cells(r[5]))) for r in rows]
+    best = [int(np.argmax(g)) if n else None for g, n in zip(gain, size, strict=True)]
+    for i, (id_, host, domain, declared, spoken, _) in enumerate(rows):
+        if not size[i]:
+            yield id_, None, 0.0, False
+            continue
+        others = [j for j in range(len(rows)) if j != i and best[j] is not None]
+        share = lambda js, x: sum(best[j] == x for j in js)
+        prior = [(share(others, x) + 1) / (len(others) + k) for x in range(k)]
+        for own, weight in ((domain, language.DOMAIN_WEIGHT), (host, language.HOST_WEIGHT)):
+            if own is not None:
+                js = [j for j in others if (rows[j][2] if weight == language.DOMAIN_WEIGHT else rows[j][1]) == own]
+                prior = [(share(js, x) + weight * prior[x]) / (len(js) + weight) for x in range(k)]
+        post = [min(size[i], language.EVIDENCE) * gain[i][x] + math.log(prior[x]) for x in range(k)]
+        for claim, right in (({declared} & set(model.languages), language.DECLARED), (set(spoken) & set(model.languages), language.SUFFIX)):
+            if claim:
+                post = [p + math.log(right / len(claim) if x in claim else (1 - right) / max(1, k - len(claim))) for p, x in zip(post, model.languages, strict=True)]
+        top = max(post)
+        x = post.index(top)
+        yield id_, model.languages[x], 1 / sum(math.exp(p - top) for p in post), gain[i][x] >= 0
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_posterior_against_brute_force(spark, monkeypatch, spread):
+    if spread:  # hosts by shuffle, hot ones dealt to several tasks
+        monkeypatch.setattr(language, "BROADCAST_COUNTS", 0)
+        monkeypatch.setattr(base.spread_join, "__kwdefaults__", {"most": 0, "each": 3})
+    model = language.train(spark.createDataFrame(list(sentences(300, 1)), "doc_id long, text string, lang string"))
+    rng = random.Random(8)
+    say = dict((x, lambda n, x=x: " ".join(rng.choices(LANGS[x], k=n))) for x in LANGS)  # noqa: C402
+    rows, kept = [], []
+    for i in range(120):
+        site = rng.choice(["hot", "hot", "a", "b", "c"])
+        host, domain, path, spoken = {"hot": ("hot.shop.fr", "shop.fr", "", ["fr"]), "a": ("a.mix.ch", "mix.ch", "/de/x", ["de"]), "b": ("b.mix.ch", "mix.ch", "/id/x", ["de", "fr", "it"]), "c": ("c.example.com", "example.com", "", [])}[site]
+        lang = rng.choice(["fr", "fr", "de", "en"]) if site == "hot" else rng.choice(list(LANGS))
+        text = rng.choice([say[lang](rng.randint(1, 30)), "q", "a x", None, "123 !"])
+        said = rng.choice([None, None, "en-US", "FR", "de_AT", "xx", "tlh-x"])
+        rows.append((i, host, domain, {None: None, "en-US": "en", "FR": "fr", "de_AT": "de"}.get(said), spoken, text))
+        kept.append((i, f"https://{host}{path or '/p'}", said, text, 1.0, "zz"))
+    d = spark.createDataFrame(kept, "doc_id long, url string, lang string, text string, gain double, host string").repartition(4)
+    got = {r["id"]: (r["id"], r["language"], round(r["probability"], 6), r["kept"]) for r in language.identify(d, model, "doc_id", "text", declared_col="lang", url_col="url").collect()}
+    want = {x[0]: (x[0], x[1], round(x[2], 6), x[3]) for x in brute_languages(rows, model)}
+    assert got == want and len({x[1] for x in want.values()}) == 4
+
+
+def test_each_kind_of_evidence_decides(spark):
+    model = language.train(spark.createDataFrame(list(sentences(300, 1)), "doc_id long, text string, lang string"))
+    fill = [(100 + i, f"http://{h}/p{i}", f"<p>{' '.join(LANGS[x] * 2)}</p>") for h, x in (("only-de.example.org", "de"), ("only-fr.example.net", "fr")) for i in range(30)]
+    one = "<p>a x</p>"  # says nothing by itself
+    rows = [*fill, (1, "http://only-de.example.org/q", one), (2, "http://only-fr.example.net/q", one), (3, "http://x.example.at/q", one), (4, "http://y.example.com/fr/q", one), (5, "http://z.example.com/q", f"<html lang='de-CH'>{one}"), (6, "http://z.example.com/q", "<p>the of and that with this have they</p>"), (7, "http://www.example.br/us/q", "<p>the of and that with this have they</p>")]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["id"]: r["language"] for r in language.identify(d, model, "page_id", "html", url_col="url", markup=True).collect()}
+    assert {i: got[i] for i in range(1, 8)} == {1: "de", 2: "fr", 3: "de", 4: "fr", 5: "de", 6: "en", 7: "en"}
+
+
+def test_any_number_of_languages(spark):
+    rng = random.Random(3)
+    stems = {f"l{i:03}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(12)] for i in range(70)}
+    say = lambda x, n: " ".join(rng.choices(stems[x], k=n))
+    rows = [(k, say(x, 40), x) for k, x in enumerate(x for x in stems for _ in range(4))]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 70 > language.MOST
+    test = [(k, say(x, 20), x) for k, x in enumerate(stems)] + [(900, None, "x"), (5, say("l005", 20), "l005")]
+    got = language.identify(spark.createDataFrame(test, "doc_id long, text string, truth string"), model, "doc_id", "text").collect()
+    assert len(got) == len(test) and all(r["language"] == (None if r["id"] == 900 else f"l{r['id']:03}") for r in got)
+
+
+def test_labels_go_by_their_primary_subtag(spark):
+    d = spark.createDataFrame([(i, "the of and to", x) for i, x in enumerate(["en", "EN-us", "en_GB", " En ", "english!", "", None])], "doc_id long, text string, lang string")
+    assert language.train(d).languages == ["en", "english!"]
+
+
+def test_very_long_and_repeated_texts(spark):
+    model = language.train(spark.createDataFrame(list(sentences(300, 1)), "doc_id long, text string, lang string"))
+    long = " ".join(LANGS["de"] * 60_000)
+    d = spark.createDataFrame([(1, long, "x", 0), (2, "the of and", "x", 0), (2, "the of and", "x", 0), (None, None, None, None)], "doc_id long, text string, language string, n int")
+    assert sorted((str(r["id"]), r["language"], r["kept"]) for r in language.identify(d, model, "doc_id", "text").collect()) == [("1", "de", True), ("2", "en", True), ("2", "en", True), ("None", None, False)]
+
+
 def test_language_of_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     model = language.train(none)
