@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 STEP_BYTES = 4 << 20
 #: Bytes of rows that go to Python at once, where the session has Spark's default; a longer row goes by itself.
 BATCH_BYTES, BATCH_CONF = 3 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Text bytes whose words or n-grams one bucket holds: bounds what one task takes at a time, at any input size.
+BUCKET_BYTES = 32 << 20
 #: Ids that may be broadcast as a filter (8 bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -45,20 +47,34 @@ def tokenizer_file(name: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one only where the session names none."""
+    """The folder all executors share. Where the session names none: one of the warehouse's, or a temporary one if driver and executors are one process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="skein-")
-        atexit.register(shutil.rmtree, found, ignore_errors=True)
+        if spark.sparkContext.master.startswith("local"):
+            found = tempfile.mkdtemp(prefix="skein-")
+            atexit.register(shutil.rmtree, found, ignore_errors=True)
+        else:
+            found = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/skein-steps"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back: cuts lineage and survives lost executors."""
+def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
+    """``df`` written once as Parquet in the shared folder and read back, and where it stands."""
     path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written and read back: cuts lineage and survives lost executors."""
+    return written(df, tag)[0]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a written step that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def bounded(df: DataFrame) -> DataFrame:
@@ -79,6 +95,12 @@ def sampled(id_col: str, rate: float | Column) -> Column:
     return F.col(id_col).isNotNull() & (F.pmod(F.xxhash64(id_col), F.lit(fine)) < most)
 
 
+def buckets(docs: DataFrame, text_col: str, least: int) -> int:
+    """Buckets of about ``BUCKET_BYTES`` of text each, and ``least`` of them at least."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+    return max(least, -(-size // BUCKET_BYTES))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -235,6 +257,17 @@ def spread_join(rows: DataFrame, few: DataFrame, key: str, by: Column, *, most:
     return dealt.join(answers, [key, "__part"], "left").drop("__part").unionByName(rows.filter(F.col(key).isNull()), allowMissingColumns=True)
 
 
+def with_sums(rows: DataFrame, sums: DataFrame, key: str, count: str, *, each: int = SPREAD) -> DataFrame:
+    """``rows`` inner joined with ``sums`` of these rows by ``key``, whose column ``count`` says how many rows a key has.
+
+    Sums of keys with more than ``each`` rows (one for each ``each`` rows at most) are broadcast, so no task gets such a key's rows.
+    """
+    hot = sums.filter(F.col(count) > each).withColumn("__hot", F.lit(True))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    cold = marked.filter("__hot IS NULL").select(*rows.columns).join(sums.filter(F.col(count) <= each), key)
+    return cold.unionByName(marked.filter("__hot").drop("__hot"))
+
+
 def _by_id(docs: DataFrame, named: DataFrame, id_col: str, how: str) -> DataFrame:
     ids = materialize(named.select(F.col(named.columns[0]).cast("long").alias("__dropped")).filter("__dropped IS NOT NULL").distinct(), "dropped")
     few = ids.count() <= BROADCAST_IDS

@@ -1,8 +1,9 @@
 """Connected components of a link table, by alternating large-star and small-star steps.
 
-Each step is two grouped aggregations; the number of steps grows with the logarithm of the longest
-path. A node never gathers its neighbours: each step only takes the least one by a grouped
-minimum and joins it back, so that a hub of any degree is split over tasks.
+Each step is a grouped minimum joined back; the number of steps grows with the logarithm of the
+longest path. A node never gathers its neighbours: minima are combined before they move, and the
+links of a node with more than ``HUB`` of them meet their minimum by a broadcast of such nodes, of which
+there is one for each ``HUB`` links at most, so that no task gets all links of a hub.
 """
 
 from __future__ import annotations
@@ -10,14 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import materialize
+from .base import discard, written
 
+HUB = 50_000
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
+
+def _star(links: DataFrame, large: bool, hub: int) -> DataFrame:
     """Links each node's larger (or not larger) neighbours to its least neighbour or itself."""
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))) if large else links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    joined = both.join(least, "a")
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
+    hubs = least.filter(F.col("n") > hub).select("a", F.col("m").alias("hub_m"))
+    joined = both.join(F.broadcast(hubs), "a", "left")
+    others = joined.filter("hub_m IS NULL").select("a", "b").join(least.filter(F.col("n") <= hub).select("a", "m"), "a")
+    joined = others.unionByName(joined.filter("hub_m IS NOT NULL").select("a", "b", F.col("hub_m").alias("m")))
     if large:
         out = joined.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -25,20 +31,22 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
-def components(links: DataFrame, most_steps: int = 60) -> DataFrame:
+def components(links: DataFrame, hub: int = HUB) -> DataFrame:
     """(node, component) for every node of ``links`` (long columns a and b); component is its least node.
 
-    Null ends and links of a node to itself are left out. Every step is written to the shared
-    folder, so lost executors cost one step.
+    Null ends and links of a node to itself are left out; repeated links count once; an empty table
+    gives an empty result. Every step is written to the shared folder, so lost executors cost one
+    step, and the step before it is deleted. Steps go on until nothing changes.
     """
-    now = materialize(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").distinct(), "links")
+    spark = links.sparkSession
+    now, path = written(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").distinct(), "links")
     last = None
-    for _ in range(most_steps):
-        now = materialize(_star(_star(now, True), False), "stars")
+    while True:
+        after, place = written(_star(_star(now, True, hub), False, hub), "stars")
+        discard(spark, path)
+        now, path = after, place
         sums = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(sums) == last:
             break
         last = tuple(sums)
-    else:
-        raise RuntimeError("components did not settle")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
