@@ -1,21 +1,24 @@
 """Language-model scores: the marginal likelihood of a text over all its segmentations.
 
-The vocabulary is an existing one; its scores give the first weights of its pieces, and
-expectation-maximisation on the training words refits them (vocabularies are never changed). A
-document's probability is the sum over all ways to cut it into pieces, found by a forward recursion
-in log space. No piece goes on past the start of a word, so a document's lattice is a chain of
-its words' lattices: each distinct word's lattice is run once, however often the word occurs, and a
-document's score is the sum over its words and the end of the text.
+The vocabulary and its scores are existing ones: the scores weigh the segmentations. As the scores
+of merges are ranks, a piece's log weight falls with the logarithm of its rank; how steeply (the
+temperature) and how often a text ends are fitted on the training words, and nothing else is. With
+``rounds``, expectation-maximisation on the training words refits all weights instead (vocabularies
+are never changed). A document's probability is the sum over all ways to cut it into pieces, found
+by a forward recursion in log space. No piece goes on past the start of a word, so a document's
+lattice is a chain of its words' lattices: each distinct word's lattice is run once, however often
+the word occurs, and a document's score is the sum over its words and the end of the text.
 
 The corpus meets the words in packed form. One pass over the texts cuts them into steps; for each
 step it writes its distinct words by hash bucket, with their training counts, and the documents'
-word numbers. Buckets add up counts over steps (the word table grows with the corpus and is never
-collected or broadcast) and send the steps' words their values back. A frequent word is one entry
-for each step, so no word is hot.
+word numbers. Buckets, whose number grows with the texts' bytes, add up counts over steps (the word
+table grows with the corpus and is never collected or broadcast) and send the steps' words their
+values back. A frequent word is one entry for each step, so no word is hot.
 
 Cases: null counts as empty, whose only token is the end; a null id's text for the split is empty;
-repeated rows are documents of their own; very long texts and words are scored whole; an empty
-table gives an empty result; other columns are not read.
+repeated rows are documents of their own; very long texts and words are scored whole; without
+training words the temperature is 1; an empty table gives an empty result; other columns, also of
+the result's names, are not read.
 """
 
 from __future__ import annotations
@@ -29,11 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import SPACED, bounded, hashes, materialize, mixed, numbered, partitions, steps, tokenizer_file, words
+from .base import SPACED, bounded, buckets, hashes, materialize, mixed, numbered, partitions, steps, tokenizer_file, words
 
 MARK = "▁"
-ROUNDS, SMOOTHING, FLOOR = 2, 0.1, -1e8
-#: Buckets for each shuffle partition: bounds the words one task holds at a time.
+ROUNDS, SMOOTHING, FLOOR = 0, 0.1, -1e8
+#: Steepnesses of the weights between which the best one is sought, and the shift by which pieces are counted.
+TEMPERATURES, SHIFT = (0.4, 0.7, 1.0, 1.3, 1.6, 1.9), 1e-3
+#: Buckets for each shuffle partition at least.
 FINER = 4
 PACKED = "kind int, bucket int, step long, words binary, counts binary, docs binary"
 
@@ -51,7 +56,7 @@ class Vocabulary:
         names, scores = [model.id_to_piece(i) for i in range(n)], np.array([model.get_score(i) for i in range(n)])
         last = np.array([model.is_byte(i) or len(names[i]) == 1 and scores[i] <= FLOOR for i in range(n)])  # always usable, and the least likely
         plain = np.array([not (model.is_control(i) or model.is_unknown(i)) for i in range(n)]) & (last | (scores > FLOOR))
-        # the scores of merges are ranks from -1 down: weigh them by Zipf's law
+        # the scores of merges are ranks from -1 down: log weights fall with their logarithm
         self.first = np.where(plain, -np.log(10.0 + np.where(last, n, -scores)), -np.inf)
         self.bytes = {int(names[i][3:5], 16): i for i in range(n) if model.is_byte(i)}
         self.size = n
@@ -116,41 +121,51 @@ class Lattice:
                 yield at, np.concatenate([np.full((len(at), 1), ord(MARK), np.uint32), codes], axis=1)
             start = end
 
-    def _edges(self, codes: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-        """For each piece length, the piece at each start (-1: none); the cost of single characters; which of them go by bytes."""
+    def _edges(self, codes: np.ndarray) -> list[np.ndarray]:
+        """For each piece length, the piece at each start (-1: none)."""
         n, h, found = codes.shape[1], np.zeros(codes.shape, np.uint64), []
         for k in range(min(self.vocabulary.longest, n)):
             h = h[:, : n - k] * STEP + (codes[:, k:].astype(np.uint64) + np.uint64(1))
             found.append(self.vocabulary.find(mixed(h)))
-        single, odd = self.w[found[0]], found[0] < 0
+        return found
+
+    def _singles(self, codes: np.ndarray, found: list[np.ndarray], w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log weight of single characters; which of them go by bytes."""
+        single, odd = w[found[0]], found[0] < 0
         if odd.any():
             kinds, which = np.unique(codes[odd], return_inverse=True)
             single = single.copy()
-            single[odd] = np.array([sum(self.w[self.vocabulary.bytes[b]] for b in chr(c).encode()) for c in kinds.tolist()])[which]
-        return found, single, odd
+            single[odd] = np.array([sum(w[self.vocabulary.bytes[b]] for b in chr(c).encode()) for c in kinds.tolist()])[which]
+        return single, odd
 
-    def _forward(self, found: list[np.ndarray], single: np.ndarray) -> np.ndarray:
+    def _forward(self, found: list[np.ndarray], single: np.ndarray, w: np.ndarray) -> np.ndarray:
         rows, n = single.shape
         alpha = np.full((rows, n + 1), -np.inf)
         alpha[:, 0] = 0.0
         for j in range(1, n + 1):
-            into = [alpha[:, j - 1] + single[:, j - 1]] + [alpha[:, j - k - 1] + self.w[found[k][:, j - k - 1]] for k in range(1, min(len(found), j))]
+            into = [alpha[:, j - 1] + single[:, j - 1]] + [alpha[:, j - k - 1] + w[found[k][:, j - k - 1]] for k in range(1, min(len(found), j))]
             alpha[:, j] = _sum(into)
         return alpha
 
     def likelihoods(self, words: list[str]) -> np.ndarray:
         """For each word, the log of the sum over all its segmentations."""
-        out = np.zeros(len(words))
+        return self.under(words, [self.w])[0]
+
+    def under(self, words: list[str], weights: list[np.ndarray]) -> np.ndarray:
+        """The likelihoods of the words under each of several weights (the last of each: no piece)."""
+        out = np.zeros((len(weights), len(words)))
         for at, codes in self._groups(words):
-            found, single, _ = self._edges(codes)
-            out[at] = self._forward(found, single)[:, -1]
+            found = self._edges(codes)
+            for k, w in enumerate(weights):
+                out[k, at] = self._forward(found, self._singles(codes, found, w)[0], w)[:, -1]
         return out
 
     def expect(self, words: list[str], counts: np.ndarray, into: np.ndarray) -> None:
         """Adds the expected piece counts of the words, each ``counts`` times."""
         for at, codes in self._groups(words):
-            found, single, odd = self._edges(codes)
-            alpha = self._forward(found, single)
+            found = self._edges(codes)
+            single, odd = self._singles(codes, found, self.w)
+            alpha = self._forward(found, single, self.w)
             n = codes.shape[1]
             beta = np.full(alpha.shape, -np.inf)
             beta[:, n] = 0.0
@@ -282,10 +297,44 @@ def _expected(table: DataFrame, path: str, weights: np.ndarray) -> np.ndarray:
     return out
 
 
+def _totals(table: DataFrame, path: str, weights: list[np.ndarray]) -> np.ndarray:
+    """The log likelihood of all training words under each of the weights; one row for each task meets at the sum."""
+    shared = table.sparkSession.sparkContext.broadcast([np.append(w, -np.inf) for w in weights])  # a few vectors as long as the vocabulary
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(Vocabulary.of(path), shared.value[0][:-1])
+        total = np.zeros(len(shared.value))
+        for b in batches:
+            total += lattice.under(b.column("word").cast(pa.string()).to_pylist(), shared.value) @ b.column("c").to_numpy(zero_copy_only=False).astype(np.float64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["k", "n"])
+
+    out = np.zeros(len(weights))
+    for r in table.filter("c > 0").select("word", "c").mapInArrow(run, "k long, n double").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        out[r["k"]] = r["n"]
+    return out
+
+
+def tempered(first: np.ndarray, steepness: float) -> np.ndarray:
+    """Log weights in proportion to the existing ones, which add up to 1."""
+    w = first * steepness
+    return w - np.log(np.exp(w[np.isfinite(w)]).sum())
+
+
 def train(table: DataFrame, path: str, ends: int, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Log weights of the pieces and of the end of a text, from the word table."""
     first = Vocabulary.of(path).first
     free = np.isfinite(first)
+    if rounds == 0:
+        total = _totals(table, path, [tempered(first, a) for a in TEMPERATURES])
+        k = int(total.argmax())
+        steepness = TEMPERATURES[k] if total.any() else 1.0
+        if 0 < k < len(total) - 1:  # the top of the parabola through the best one and its neighbours
+            before, best, after = total[k - 1 : k + 2]
+            steepness += (TEMPERATURES[k + 1] - TEMPERATURES[k]) * (before - after) / (2 * (before - 2 * best + after))
+        weights = tempered(first, round(float(steepness), 4))
+        low, high = _totals(table, path, [weights, weights + SHIFT])
+        pieces = round((high - low) / SHIFT)  # expected pieces of all training words
+        return weights + log((pieces + SMOOTHING) / (pieces + ends + 2 * SMOOTHING)), log((ends + SMOOTHING) / (pieces + ends + 2 * SMOOTHING))
     weights, end = first - np.log(np.exp(first[free]).sum() + 1e-3), log(1e-3)
     for _ in range(rounds):
         n = _expected(table, path, weights) + SMOOTHING
@@ -300,10 +349,9 @@ def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     Training documents are those whose crc32(id as text) modulo ``folds`` is not ``held``.
     """
     spark: SparkSession = docs.sparkSession
-    buckets = FINER * partitions(spark)
     crc = F.crc32(F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")).cast("binary"))
     rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), (crc % folds == held).alias("held"))
-    packed = materialize(_packed(rows, buckets), "packed")
+    packed = materialize(_packed(rows, buckets(rows, "text", FINER * partitions(spark))), "packed")
     table = materialize(_word_table(packed), "words")
     ends = rows.agg(F.count(F.when(~F.col("held"), 1)).alias("n")).first()["n"]
     n_all, distinct = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()

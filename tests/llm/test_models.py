@@ -21,7 +21,7 @@ def lower(s):
 
 def test_word_scores(spark):
     rng = random.Random(3)
-    pool = ["the", "of", "water", "Été", "漢字かな", "x" * 300, "unsmoothed", "q\x85w", "😀"] + [f"word{i}" for i in range(60)]
+    pool = ["the", "of", "water", "Été", "漢字かな", "x" * 3000, "unsmoothed", "q\x85w", "😀"] + [f"word{i}" for i in range(60)]
     texts = [None, "", " ", "Water of the"] + [" ".join(rng.choices(pool, k=rng.randint(1, 60))) for _ in range(60)]
     ids = [*range(len(texts) - 2), None, 3]
     d = spark.createDataFrame([(i, t, "z", 0.5) for i, t in zip(ids, texts, strict=True)], "doc_id long, text string, held string, score double").repartition(3)
@@ -75,6 +75,41 @@ def test_expected_counts_fill_the_words():
     assert abs(into @ np.array(size) - sum(n * len(lm.MARK + w) for w, n in zip(own, times.tolist(), strict=True))) < 1e-6
 
 
+def test_weights_follow_the_existing_scores(spark):
+    """The order of the vocabulary's scores is kept; the fitted steepness is the best one on a fine grid; the refit differs."""
+    first = lm.Vocabulary.of(queries.PIECES).first
+    rng = random.Random(1)
+    rows = [(w, rng.randint(0, 9)) for w in "the water was not here because nobody understood international agreements zqxj".split()]
+    table = spark.createDataFrame([(w.encode(), c) for w, c in rows], "word binary, c long")
+    weights, end = lm.train(table, queries.PIECES, 5)
+    free = np.isfinite(first)
+    order = np.argsort(first[free], kind="stable")
+    assert (np.diff(weights[free][order]) >= -1e-12).all() and abs(np.exp(weights[free]).sum() + math.exp(end) - 1) < 1e-9
+    total = lambda w: sum(c * x for (_, c), x in zip(rows, lm.Lattice(lm.Vocabulary.of(queries.PIECES), w).likelihoods([w for w, _ in rows]), strict=True))
+    share = np.log(1 - math.exp(end))
+    best = max(total(lm.tempered(first, a / 50)) for a in range(20, 96))
+    assert total(weights - share) > best - 0.02 * abs(best)
+    refit, _ = lm.train(table, queries.PIECES, 5, rounds=2)
+    assert total(refit) > total(weights)
+    assert math.isfinite(lm.train(table.limit(0), queries.PIECES, 0)[1])
+
+
+def test_scores_end_to_end(spark):
+    """The query's score is the sum of the words' likelihoods under the weights of the training documents, and the end's."""
+    rng = random.Random(4)
+    pool = "the of water agreement understanding naïve 漢字 q".split()
+    d = spark.createDataFrame([(i, " ".join(rng.choices(pool, k=rng.randint(0, 12)))) for i in range(40)], "doc_id long, text string").repartition(3)
+    rows = d.collect()
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
+    c = Counter(w for i, t in rows if not held[i] for w in t.split())
+    table = spark.createDataFrame([(w.encode(), c[w]) for w in pool], "word binary, c long")
+    for rounds in (0, 2):
+        weights, end = lm.train(table, queries.PIECES, sum(not h for h in held.values()), rounds)
+        value = dict(zip(pool, lm.Lattice(lm.Vocabulary.of(queries.PIECES), weights).likelihoods(pool), strict=True))
+        got = {r["doc_id"]: r["score"] for r in lm.score(d, queries.PIECES, rounds=rounds).collect()}
+        assert all(abs(got[i] - (sum(value[w] for w in t.split()) + end) / math.log(10)) < 1e-6 for i, t in rows)
+
+
 LANGS = {"en": "the of and to in that it was for with this are be from which have they".split(), "fr": "le la les de des et que qui dans pour une avec été même où ça".split(), "de": "der die das und zu den mit für nicht über schön wäre straße auch".split()}
 
 
