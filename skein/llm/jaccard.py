@@ -16,8 +16,9 @@ Two documents link when ``100 * intersection >= percent * union`` of their n-gra
    index; pairs below the bounds of their sizes are discarded. Each row's product is taken with all
    rows after it, so that every link between unequal sets is found and counted for both its rows,
    weighted by their copies. No pair is written down, only the counts and the links that span the
-   components. Blocks of more than ``CHUNK`` rows are cut into chunks and taken by pairs of chunks,
-   each pair of rows in one of them; components over all chunks join the spanning links.
+   components. A block is cut into bands of set sizes, of which only neighbours can link, and bands
+   of more than ``CHUNK`` rows into chunks that are taken by pairs, each pair of rows in one of them;
+   components over all chunks join the spanning links.
 
 Cases: null or empty texts have an empty set and no links; fewer than ``k`` words are one n-gram;
 repeated ids and rows are rows of their own with the id's texts; an empty table gives an empty
@@ -27,6 +28,7 @@ null ids only link as others do.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import BROADCAST_IDS, MIX, SPACED, bounded, hashes, materialize, mixed, numbered, partitions, rolled, row_key, steps, words
+from .base import BROADCAST_IDS, MIX, SPACED, bounded, buckets, hashes, materialize, mixed, numbered, partitions, rolled, row_key, spread_join, steps, with_sums, words
 from .graph import components
 
 K, PERCENT = 5, 75
@@ -139,8 +141,7 @@ def _gather(t: pa.Table) -> pa.Table:
 
 def incidence(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, key, n (set size), digest (of the set) and shared (an upper bound of its n-grams in other documents) for every row."""
-    buckets = FINER * partitions(docs.sparkSession)
-    counted = _forward(docs, k, buckets).groupBy("bucket").applyInArrow(_count, "step long, shared binary, ids array<long>, keys array<long>, sizes array<long>, digests array<binary>")
+    counted = _forward(docs, k, buckets(docs, "text", FINER * partitions(docs.sparkSession))).groupBy("bucket").applyInArrow(_count, "step long, shared binary, ids array<long>, keys array<long>, sizes array<long>, digests array<binary>")
     return counted.groupBy("step").applyInArrow(_gather, "doc_id long, key long, n long, digest binary, shared long")
 
 
@@ -233,22 +234,50 @@ def link_rows(sets: DataFrame, percent: int = PERCENT, chunk: int = CHUNK) -> Da
     sets = materialize(sets, "sets")
     flat = sets.select("row", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
     often = flat.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
-    met = flat.join(often, "gram").groupBy("row", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("met"))
+    met = with_sums(flat, often, "gram", "df").groupBy("row", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("met"))
     # n - met columns occur in no other row and come first in the order
     need = F.ceil(F.col("n") * percent / 100)
     first = (F.col("n") - need + 1 - (F.col("n") - F.size("met"))).cast("int")
     prefix = met.filter(first > 0).select("row", F.explode(F.slice("met", 1, F.greatest(first, F.lit(1)))).alias("x")).select("row", F.col("x")["gram"].alias("gram"))
     prefix = materialize(prefix, "prefix")
-    heads = prefix.groupBy("gram").agg(F.min("row").alias("head"), F.count("*").alias("many")).filter("many > 1").drop("many")
-    blocks = materialize(components(prefix.join(heads, "gram").select(F.col("head").alias("a"), F.col("row").alias("b"))), "blocks")
-    sizes = blocks.groupBy("component").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
-    placed = blocks.join(sizes, "component").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")))
-    # a chunk meets itself and every other chunk of its block
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other")
-    placed = placed.select("component", "node", "mine", other).select(F.col("component").alias("block"), F.col("node").alias("row"), F.least("mine", "other").alias("left"), F.greatest("mine", "other").alias("right"), "mine", "other")
-    placed = placed.select("block", "row", "left", "right", F.when(F.col("mine") == F.col("other"), 0).otherwise(F.when(F.col("mine") < F.col("other"), 0).otherwise(1)).alias("side"))
-    dealt = placed.join(sets, "row").repartition("block", "left", "right").sortWithinPartitions("block", "left", "right", "row")
-    return _products(dealt.select("block", "left", "right", "side", "row", "many", "grams"), percent)
+    heads = prefix.groupBy("gram").agg(F.min("row").alias("head"), F.count("*").alias("many")).filter("many > 1")
+    blocks = components(with_sums(prefix, heads, "gram", "many").select(F.col("head").alias("a"), F.col("row").alias("b")))
+    dealt = _dealt(blocks, sets, percent, chunk).repartition("block", "left", "right").sortWithinPartitions("block", "left", "right", "row")
+    return _products(dealt, percent)
+
+
+def _dealt(blocks: DataFrame, sets: DataFrame, percent: int, chunk: int) -> DataFrame:
+    """The rows of each product: block, left, right (chunks), side, row, many and grams.
+
+    Sizes are cut into bands so wide that only rows of one band or of neighbouring ones can link. A
+    band's rows (in chunks of even numbers) meet each other and the next band's rows (odd numbers).
+    """
+    width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9
+    sized = blocks.join(sets.select("row", F.size("grams").alias("n")), F.col("node") == F.col("row"))
+    sized = materialize(sized.select("component", "row", F.floor(F.log("n") / width).alias("band")), "sized")
+    counts = sized.groupBy("component", "band").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
+    above = counts.select("component", (F.col("band") - 1).alias("band"), F.col("chunks").alias("above"))
+    groups = materialize(counts.join(above, ["component", "band"], "left").select("component", "band", "chunks", F.coalesce("above", F.lit(0)).alias("above")), "bands")
+    # a row goes to its own band's group, and to the group of the band below where that has rows
+    placed = sized.select("component", "row", F.explode(F.array(F.struct(F.col("band").alias("group"), F.lit(0).alias("odd")), F.struct((F.col("band") - 1).alias("group"), F.lit(1).alias("odd")))).alias("x"))
+    placed = placed.select("component", "row", F.col("x.group").alias("band"), F.col("x.odd").alias("odd"))
+    few = groups.count() <= BROADCAST_IDS
+    placed = placed.join(F.broadcast(groups) if few else groups, ["component", "band"])
+    mine = F.pmod(F.xxhash64("row"), F.when(F.col("odd") == 0, F.col("chunks")).otherwise(F.col("above")))
+    placed = placed.withColumn("mine", 2 * mine + F.col("odd"))
+    evens = F.transform(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda i: 2 * i)
+    odds = F.when(F.col("above") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest("above", F.lit(1)) - 1), lambda i: 2 * i + 1)).otherwise(F.array().cast("array<long>"))
+    others = F.when(F.col("odd") == 0, F.concat(evens, odds)).otherwise(evens)
+    placed = placed.select("component", "row", "band", "mine", F.explode(others).alias("other"))
+    # numbers of a group's chunks stand apart from those of the component's other groups
+    low = F.col("mine") % 2 < F.col("other") % 2
+    straight = low | ((F.col("mine") % 2 == F.col("other") % 2) & (F.col("mine") <= F.col("other")))
+    number = lambda x: F.col("band") * (1 << 32) + x
+    placed = placed.select(
+        F.col("component").alias("block"), number(F.when(straight, F.col("mine")).otherwise(F.col("other"))).alias("left"), number(F.when(straight, F.col("other")).otherwise(F.col("mine"))).alias("right"),
+        F.when(straight, 0).otherwise(1).alias("side"), "row",
+    )
+    return placed.join(sets, "row").select("block", "left", "right", "side", "row", "many", "grams")
 
 
 def _linked(rows: DataFrame, k: int, percent: int, chunk: int) -> DataFrame:
@@ -257,12 +286,13 @@ def _linked(rows: DataFrame, k: int, percent: int, chunk: int) -> DataFrame:
     ``rows`` has doc_id, text and key, which unequal rows do not share. All three are null for an empty set.
     """
     every = materialize(incidence(rows, k), "incidence")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
-    classes = every.filter("n > 0").groupBy("digest").agg(first, F.count("*").alias("many"), F.max("n").alias("n"), F.max("shared").alias("shared"))
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    classes = every.filter("n > 0").groupBy("digest").agg(F.min(own).alias("first"), F.count("*").alias("many"), F.max("n").alias("n"), F.max("shared").alias("shared"))
     # equal sets count each other; only what is shared with unequal sets can make further links, so this bound keeps more than it must
-    likely = materialize(classes.filter(F.col("shared") * 100 >= F.col("n") * percent).select(F.col("first.key").alias("of_key"), "digest", "many"), "likely")
+    likely = materialize(classes.filter(F.col("shared") * 100 >= F.col("n") * percent).select("digest", "first", "many"), "likely")
     few = likely.count() <= BROADCAST_IDS
-    wanted = (F.broadcast(likely) if few else likely).withColumnRenamed("digest", "wanted")
+    wanted = likely.select(F.col("first.key").alias("of_key"), F.col("digest").alias("wanted"), "many")
+    wanted = F.broadcast(wanted) if few else wanted
     texts = rows.join(wanted, F.col("key") == F.col("of_key")).select("key", "text")
     sets = _sets(texts, k)
     sets = sets.join(wanted, (F.col("key") == F.col("of_key")) & (F.col("digest") == F.col("wanted"))).select("digest", "many", "grams")
@@ -270,12 +300,14 @@ def _linked(rows: DataFrame, k: int, percent: int, chunk: int) -> DataFrame:
     met = materialize(link_rows(sets, percent, chunk), "met")
     found = components(met.filter("b IS NOT NULL").select("a", "b")).withColumnsRenamed({"node": "of"})
     counts = met.filter("n IS NOT NULL").groupBy(F.col("a").alias("linked")).agg(F.sum("n").alias("links"))
-    # a component's rows are classes; its name is the least id of all their documents
-    named = classes.select("digest", "first", "many", F.xxhash64("digest").alias("row")).join(found, F.col("row") == F.col("of"), "left").join(counts, F.col("row") == F.col("linked"), "left")
-    named = named.select("digest", "first", (F.col("many") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "row").alias("component"))
-    least = named.groupBy("component").agg(F.min("first").alias("least"))
-    named = named.join(least, "component").select(F.col("digest").alias("of"), "n_links", F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("first_key"))
-    return every.join(named, (F.col("digest") == F.col("of")) & (F.col("n") > 0), "left").select("doc_id", "n", "key", "n_links", "component_id", "first_key")
+    # a component's rows are classes; its name is the least id of all their documents. Classes of one row without links name themselves
+    named = likely.select("digest", "first", "many", F.xxhash64("digest").alias("row")).join(found, F.col("row") == F.col("of"), "left").join(counts, F.col("row") == F.col("linked"), "left")
+    named = materialize(named.filter("many > 1 OR links > 0").select("digest", "first", "row", (F.col("many") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component"), "named")
+    least = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("least"))
+    named = spread_join(named, least, "component", F.col("row")).select("digest", "n_links", F.coalesce("least", "first").alias("least"))
+    every = every.withColumn("own", F.when(F.col("n") > 0, own)).withColumn("digest", F.when(F.col("n") > 0, F.col("digest")))
+    out = spread_join(every, named, "digest", F.col("key")).withColumn("least", F.coalesce("least", "own"))
+    return out.select("doc_id", "n", "key", F.when(F.col("n") > 0, F.coalesce("n_links", F.lit(0))).alias("n_links"), F.col("least.doc_id").alias("component_id"), F.col("least.key").alias("first_key"))
 
 
 def _columns(id_col: str, text_col: str) -> tuple[Column, Column]:

@@ -24,8 +24,8 @@ WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id AS a, doc_id AS b FROM documents
   UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
 ), c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
-SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept
-FROM d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.component_id, c.component_id = d.doc_id AS kept, CAST(coalesce(l.n, 0) AS BIGINT) AS n_links
+FROM d JOIN c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT a, count(*) AS n FROM link GROUP BY a) l ON l.a = d.doc_id
 """
 
 DECONTAMINATION = f"""
