@@ -62,12 +62,14 @@ def word_array(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def grams(words: str) -> Column:
-    """All runs of K words of an array column as structs of their place, hash and words; empty if it is shorter."""
+def grams(words: str, wanted: list[int] | None = None) -> Column:
+    """All runs of K words of an array column (those whose hash is ``wanted``, where given) as structs of their place, hash and words; empty if it is shorter."""
     word = lambda i: [F.get(F.col(words), i + j) for j in range(K)]
     at = lambda i: F.struct(i.alias("at"), F.xxhash64(*word(i)).alias("hash"), *[w.alias(f"w{j}") for j, w in enumerate(word(i))])
-    listed = F.transform(F.sequence(F.lit(0), F.size(words) - K), at)
-    return F.when(F.size(words) >= K, listed).otherwise(F.array().cast(GRAMS))
+    places = F.sequence(F.lit(0), F.size(words) - K)
+    if wanted is not None:
+        places = F.filter(places, lambda i: F.xxhash64(*word(i)).isin(wanted))
+    return F.when(F.size(words) >= K, F.transform(places, at)).otherwise(F.array().cast(GRAMS))
 
 
 def templates(spark: SparkSession, phrases: list[tuple[str, str]] = PHRASES, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
@@ -87,11 +89,11 @@ def hits(docs: DataFrame, known: DataFrame, id_col: str, text_col: str, broadcas
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), word_array(F.col(text_col).cast("string")).alias("words"))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))  # below the explosion, so that no exploded row carries the words
-    listed = grams("words")
+    wanted = None
     if broadcast:
         wanted = [r["hash"] for r in known.select("hash").distinct().collect()]  # at most BROADCAST_ROWS
-        listed = F.filter(listed, lambda g: g["hash"].isin(wanted))
         known = F.broadcast(known)
+    listed = grams("words", wanted)
     found = rows.select("row", "doc_id", "n_words", F.explode_outer(F.concat(F.array(F.lit(None).cast(GRAM)), listed)).alias("gram"))
     # a document's own row has no place; its key is spread, so that no task of a shuffled join gets all of them
     flat = found.select("row", "doc_id", "n_words", "gram.at", F.coalesce("gram.hash", "row").alias("hash"), *[F.col(f"gram.w{j}").alias(f"g{j}") for j in range(K)])
