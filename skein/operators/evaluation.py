@@ -7,10 +7,14 @@ scores first, so that no task sees all of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..steps import materialize
+
 
 def score_counts(df: DataFrame, score: str, label: str, weight: str | None = None, *group: str) -> DataFrame:
     """(group, s, p, n): weights of the positives and of all rows for each distinct score; null scores or labels are left out."""
@@ -47,26 +51,70 @@ def curve_metrics(df: DataFrame, score: str, label: str, weight: str | None = No
     return out.select(*group, "rows", "positives", F.when((P > 0) & (N > 0), F.col("b") / (P * N)).alias("roc_auc"), F.when(P > 0, F.col("a") / P).alias("average_precision"))
 
 
+#: Rows whose keys may be looked at on the driver to settle the last ties.
+FEW = 4096
+
+
+def keys_at(df: DataFrame, order: list[str], ranks: list[int]) -> list[tuple]:
+    """The keys at the given ranks (from 1) of all rows by the ascending ``order`` columns, nulls last.
+
+    A selection, not a sort: for one column after the other, rows are counted by value among those
+    that still tie with a sought key, and the value at which a rank falls is kept; at most one row for
+    each rank reaches the driver. The last ties, of ``FEW`` rows at most, are settled there.
+    """
+    spark, kinds = df.sparkSession, dict(df.dtypes)
+    state = [((), r) for r in ranks]  # each rank's values so far, and its rank among the rows that share them
+    for j, c in enumerate(order):
+        asked = sorted({p for p, _ in state}, key=str)
+        if j == 0:
+            rows = df.select(F.lit(0).alias("of"), F.col(c).alias("value"))
+        else:
+            listed = spark.createDataFrame([(i, *p) for i, p in enumerate(asked)], "of int, " + ", ".join(f"__{x} {kinds[x]}" for x in order[:j]))
+            rows = df.join(F.broadcast(listed), [df[x].eqNullSafe(listed[f"__{x}"]) for x in order[:j]])
+            few = rows.select("of", *order[j:]).limit(FEW + 1).collect()
+            if len(few) <= FEW:
+                last = lambda v: tuple((x is None, x) if x is not None else (True, 0) for x in v)
+                return [p + sorted([tuple(r)[1:] for r in few if r["of"] == asked.index(p)], key=last)[k - 1] for p, k in state]
+            rows = rows.select("of", F.col(c).alias("value"))
+        counts = rows.groupBy("of", "value").agg(F.count("*").cast("double").alias("n"))
+        numeric = kinds[c] in ("int", "bigint", "double", "float", "smallint", "tinyint") or kinds[c].startswith("decimal")
+        if numeric:
+            known = cumulated(counts.filter("value IS NOT NULL").select("of", (-F.col("value").cast("double")).alias("s"), "value", F.lit(0.0).alias("p"), "n"), "of").select("of", "value", "n", F.col("c").alias("upto"))
+            total = known.groupBy("of").agg(F.sum("n").alias("known"))
+            null = counts.filter("value IS NULL").join(F.broadcast(total), "of", "left").select("of", "value", "n", (F.col("n") + F.coalesce("known", F.lit(0.0))).alias("upto"))
+            upto = known.unionByName(null)
+        else:
+            upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("of").orderBy(F.asc_nulls_last("value"))))
+        want = spark.createDataFrame([(asked.index(p), float(k), i) for i, (p, k) in enumerate(state)], "of int, k double, i int")
+        hit = {r["i"]: (r["value"], r["upto"] - r["n"]) for r in upto.join(F.broadcast(want), "of").filter("upto - n < k AND k <= upto").select("i", "value", "upto", "n").collect()}
+        state = [(p + (hit[i][0],), k - int(hit[i][1])) for i, (p, k) in enumerate(state)]
+    return [p for p, _ in state]
+
+
+def after(order: list[str], key: tuple) -> Column:
+    """Whether a row comes after ``key``, nulls last."""
+    out = F.lit(False)
+    for c, v in reversed(list(zip(order, key, strict=True))):
+        x = F.col(c)
+        out = (F.lit(False) if v is None else x.isNull() | (x > F.lit(v))) | (x.eqNullSafe(F.lit(v)) & out)
+    return F.coalesce(out, F.lit(False))
+
+
 def top_share(df: DataFrame, score: str, share: float, ties: list[str], name: str = "flagged") -> DataFrame:
     """Flags the first round(share * rows) rows by score, ties by the listed columns; null scores come last.
 
-    The cut is found without one order over all rows: scores are counted first; only rows at the
-    cutting score are ranked among themselves, and that in ranges.
+    Rows that are equal in all of these columns are flagged together or not at all. The table is
+    written once; the cut is found by ``keys_at``, without an order over all rows.
     """
-    k = int(round(share * df.count()))
-    counts = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(F.lit(0.0).alias("p"), F.count("*").cast("double").alias("n"))
-    # the greatest score at which k rows are reached, and how many rows lie above it: one row, with nulls if k is not reached
-    cut = cumulated(counts).filter(F.col("c") >= k).agg(F.max("s").alias("s"), F.max_by(F.col("c") - F.col("n"), "s").alias("above")).first()
-    if k == 0 or cut["s"] is None:
-        if k == 0:
-            return df.withColumn(name, F.lit(0))
-        ranked = global_rank(df.filter(F.col(score).isNull()), ties, "__rank")
-        left = k - df.filter(F.col(score).isNotNull()).count()
-        return df.filter(F.col(score).isNotNull()).withColumn(name, F.lit(1)).unionByName(ranked.withColumn(name, (F.col("__rank") <= left).cast("int")).drop("__rank"))
-    at = F.col(score) == F.lit(cut["s"])
-    ranked = global_rank(df.filter(at), ties, "__rank").withColumn(name, (F.col("__rank") <= k - cut["above"]).cast("int")).drop("__rank")
-    others = df.filter(~F.coalesce(at, F.lit(False))).withColumn(name, F.coalesce(F.col(score) > F.lit(cut["s"]), F.lit(False)).cast("int"))
-    return others.unionByName(ranked)
+    rows = materialize(df, "scores")
+    n = rows.count()
+    k = int(round(share * n))
+    if k == 0 or n == 0:
+        return rows.withColumn(name, F.lit(0))
+    order = ["__down", *ties]
+    down = rows.withColumn("__down", -F.col(score))
+    [cut] = keys_at(down.select(*order), order, [k])
+    return down.withColumn(name, (~after(order, cut)).cast("int")).drop("__down")
 
 
 def confusion(label: str, pred: str) -> list[Column]:
@@ -109,37 +157,21 @@ def rank_bin(rank: Column, total: Column, bins: int = 10) -> Column:
 
 
 def calibration(df: DataFrame, score: str, label: str, ties: list[str], bins: int = 10) -> DataFrame:
-    """decile, rows, mean score and actual rate, by rank bins.
+    """decile, rows, mean score and actual rate, by rank bins; rows without a score are left out.
 
-    Ranks are found in ranges of the scores, see ``global_rank``.
+    Only the last row of each bin is sought (``keys_at``); a row's bin is how many of these it comes after.
     """
-    ranked = global_rank(df.filter(F.col(score).isNotNull()), [score, *ties], "__rank")
-    n = ranked.agg(F.count("*").alias("__total"))
-    out = ranked.crossJoin(F.broadcast(n)).withColumn("decile", rank_bin(F.col("__rank"), F.col("__total"), bins))
+    rows = materialize(df.filter(F.col(score).isNotNull()).select(score, label, *[c for c in ties if c not in (score, label)]), "scores")
+    n, order = rows.count(), [score, *ties]
+    # the last rank r of bin i: (r - 1) * bins / (n - 1) <= i
+    ends = sorted({1 + i * (n - 1) // bins for i in range(1, bins)}) if n > 1 else []
+    at = [(i, 1 + i * (n - 1) // bins) for i in range(1, bins)] if n > 1 else []
+    keys = dict(zip(ends, keys_at(rows.select(*order), order, ends), strict=True)) if ends else {}
+    decile = sum((after(order, keys[r]).cast("int") for _, r in at), F.lit(1))
+    out = rows.withColumn("decile", decile)
     return out.groupBy("decile").agg(F.count("*").alias("rows"), F.round(F.avg(score), 4).alias("mean_predicted"), F.round(F.avg(F.col(label).cast("double")), 4).alias("actual_rate"))
 
 
-def global_rank(df: DataFrame, order: list[str], name: str, ranges: int = 64) -> DataFrame:
-    """Row number over all rows by ascending columns, nulls first, without one task that sees all rows.
-
-    A sample of the keys, chosen by hash and bounded by 50 for each range, gives the ranges' ends;
-    rows are numbered within their range, and the ranges before are added. A row's range is an
-    expression of its own columns, so every read of the plan agrees on it.
-    """
-    key = F.struct(*order)
-    rate = min(1.0, 50 * ranges / max(1, df.count()))
-    picked = df.filter(F.pmod(F.xxhash64(*order), F.lit(1 << 40)) < int(rate * (1 << 40)) + 1).select(*order).distinct().orderBy(*order).collect()
-    ends = picked[len(picked) // ranges :: max(1, len(picked) // ranges)][: ranges - 1] if len(picked) > ranges else []
-    kinds = dict(df.select(*order).dtypes)
-    made = F.array(*[F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in order]) for r in ends]) if ends else None
-    part = F.size(F.filter(made, lambda x: x <= key)) if ends else F.lit(0)
-    placed = df.withColumn("__part", part)
-    sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))  # a row for each range
-    before = sizes.select(F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    local = placed.withColumn("__local", F.row_number().over(Window.partitionBy("__part").orderBy(*[F.asc_nulls_first(c) for c in order])))
-    return local.join(F.broadcast(before), F.col("__part") == F.col("__of")).withColumn(name, (F.col("__local") + F.col("__before")).cast("long")).drop("__part", "__of", "__before", "__local")
-
-
 def brier(df: DataFrame, score: str, label: str, *group: str) -> DataFrame:
     """Mean squared error of the scores, and of the constant base rate (p (1 - p))."""
     d = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
@@ -177,6 +209,37 @@ def interval(diffs: DataFrame) -> DataFrame:
     return diffs.agg(*[p(c, q).alias(f"{c}_{n}") for c in ("auc_roc_diff", "auc_pr_diff") for n, q in (("low", 0.025), ("high", 0.975))], F.count("*").alias("reps"))
 
 
+def compared(df: DataFrame, day: str, label: str, score_a: str, score_b: str, *, reps: int = 200, seed: int = 42) -> DataFrame:
+    """The differences a - b on all rows beside their 95 % intervals over resampled days; rounded to 4 places."""
+    metric = lambda s: curve_metrics(df, s, label)
+    a, b = (metric(s).select(*[F.col(c).alias(f"{c}_{k}") for c in ("roc_auc", "average_precision")]) for k, s in (("a", score_a), ("b", score_b)))
+    whole = a.crossJoin(b).select((F.col("roc_auc_a") - F.col("roc_auc_b")).alias("auc_roc_diff"), (F.col("average_precision_a") - F.col("average_precision_b")).alias("auc_pr_diff"))  # one row each
+    out = whole.crossJoin(interval(day_bootstrap(df, day, label, score_a, score_b, reps=reps, seed=seed)))
+    return out.select(*[F.round(c, 4).alias(c) for c in out.columns if c != "reps"], "reps")
+
+
+def shares(df: DataFrame, score: str, label: str, ties: list[str], at: tuple[float, ...] = (0.2, 0.1)) -> DataFrame:
+    """One row for each share: the confusion of its flags, and the two areas of the score."""
+    area = curve_metrics(df, score, label).select(F.round("roc_auc", 4).alias("auc_roc"), F.round("average_precision", 4).alias("auc_pr"))
+    parts = [top_share(df, score, x, ties).agg(*confusion(label, "flagged")).select(F.lit(x).alias("share"), "*") for x in at]
+    return reduce(DataFrame.unionByName, parts).crossJoin(F.broadcast(area))  # one row beside two
+
+
+def robustness(df: DataFrame, score: list[str], label: str, turn: str, least: int = 20) -> DataFrame:
+    """Each score's areas without the rows whose scheduled turn is shorter than ``least`` (the mark of a swapped vehicle); an unknown turn stays.
+
+    The excluded and kept rows and their delay rates stand beside every score.
+    """
+    swapped = F.coalesce(F.col(turn) < least, F.lit(False))
+    y = F.col(label).cast("double")
+    counts = df.agg(
+        F.count(F.when(swapped, 1)).alias("excluded"), F.round(F.avg(F.when(swapped, y)), 4).alias("excluded_rate"), F.count(F.when(~swapped, 1)).alias("kept"), F.round(F.avg(F.when(~swapped, y)), 4).alias("kept_rate"),
+    )
+    kept = df.filter(~swapped)
+    parts = [curve_metrics(kept, s, label).select(F.lit(s).alias("model"), F.round("roc_auc", 4).alias("auc_roc"), F.round("average_precision", 4).alias("auc_pr")) for s in score]
+    return reduce(DataFrame.unionByName, parts).crossJoin(F.broadcast(counts))  # one row beside each
+
+
 def platt(df: DataFrame, score: str, label: str) -> dict[str, float]:
     """Slope and intercept of the label on the score's logit; slope 1 and intercept 0 are well calibrated."""
     from pyspark.ml.classification import LogisticRegression

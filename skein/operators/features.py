@@ -8,11 +8,11 @@ comes with the time, and where it is one leg's the key, of the event that it was
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip
-from .temporal import asof_latest, full_hours_sum, hour_lookup, known_delay, pending_share, trailing_stats
+from .temporal import asof_latest, full_hours_sum, hour_lookup, known_delay
 
 #: Minutes before departure, window and look-back; bounds of a delay in averages; the weather's columns.
 LEAD, WIDTH, LOOKBACK, CLIP = 120, 120, 1440, (-30, 300)
@@ -49,24 +49,75 @@ def inbound(legs: DataFrame, lookback: int = LOOKBACK) -> DataFrame:
     return out
 
 
+def _recent(asks: DataFrame, events: DataFrame, ends: DataFrame | None, kinds: list[str], width: int, name: str) -> DataFrame:
+    """One row for each key and minute of ``asks`` (k, t): of each kind of event, what lay in ``[t - width, t)``.
+
+    ``events`` has k, t, kind and v; ``ends`` has k, t and d, the steps of what is pending. Both are
+    reduced to one row for each key and minute first, so that one shuffle and one order serve all windows.
+    """
+    blank = {"kind": F.lit(None).cast("string"), "v": F.lit(None).cast("double"), "d": F.lit(0)}
+    rows = events.select("k", "t", "kind", "v", F.lit(0).alias("d")).unionByName(asks.distinct().select("k", "t", *[c.alias(n) for n, c in blank.items()]).withColumn("ask", F.lit(1)), allowMissingColumns=True)
+    if ends is not None:
+        rows = rows.unionByName(ends.select("k", "t", blank["kind"].alias("kind"), blank["v"].alias("v"), "d"), allowMissingColumns=True)
+    of = lambda kind: F.col("kind") == kind
+    sums = [F.max("ask").alias("ask"), F.sum("d").alias("d")]
+    for kind in kinds:
+        sums += [F.count(F.when(of(kind), 1)).alias(f"{kind}_n"), F.sum(F.when(of(kind), F.col("v"))).alias(f"{kind}_s"), F.max(F.when(of(kind), F.col("t"))).alias(f"{kind}_l")]
+    at = rows.filter("k IS NOT NULL AND t IS NOT NULL").groupBy("k", "t").agg(*sums)
+    w = Window.partitionBy("k").orderBy("t")
+    near, before = w.rangeBetween(-width, -1), w.rangeBetween(Window.unboundedPreceding, -1)
+    out = [F.coalesce(F.sum("d").over(before), F.lit(0)).cast("long").alias(f"{name}_pending")]
+    for kind in kinds:
+        n = F.coalesce(F.sum(f"{kind}_n").over(near), F.lit(0)).cast("long")
+        out += [n.alias(f"{name}_{kind}_count"), F.when(n > 0, F.sum(f"{kind}_s").over(near) / n).alias(f"{name}_{kind}_mean"), F.max(f"{kind}_l").over(near).alias(f"{name}_{kind}_last")]
+    return at.select("k", "t", "ask", *out).filter("ask = 1").drop("ask")
+
+
 def congestion(out: DataFrame, legs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``out`` (rows of ``legs``) with recent departures and arrivals at both ends, of the carrier and overall, and pending departures."""
-    at = lambda place, kind: legs.select(F.col(place).alias("k"), F.col(f"actual_{kind}").alias("t"), clip(f"{kind}_delay", *CLIP).alias("v")) if place else legs.select(F.col(f"actual_{kind}").alias("t"), clip(f"{kind}_delay", *CLIP).alias("v"))
-    for asks, place, kind, name in (("origin", "origin", "dep", "origin_recent_dep"), ("origin", "dest", "arr", "origin_recent_arr"), ("dest", "dest", "arr", "dest_recent_arr"), ("dest", "origin", "dep", "dest_recent_dep"), ("carrier", "carrier", "dep", "carrier_recent_dep"), (None, None, "dep", "all_recent_dep")):
-        events = at(place, kind).withColumnRenamed("k", asks) if asks else at(None, kind)
-        out = trailing_stats(out, events, asks, "cutoff", "t", "v", width=width, name=name, asks=legs)
-    sched = legs.select("origin", "sched_dep", "actual_dep")
-    out = pending_share(out, sched.withColumnsRenamed({"sched_dep": "s", "actual_dep": "a"}), "origin", "cutoff", "s", "a", width=width, asks=legs)
-    return out.withColumnsRenamed({"pending": "origin_pending_count", "pending_share": "origin_pending_share"}).drop("scheduled")
+    """``out`` (rows of ``legs``) with recent departures and arrivals at both ends, of the carrier and overall, and pending departures.
+
+    One table of places answers for both ends, one of carriers and one of all events for the rest: three
+    windows over sums by key and minute and four joins, whatever the number of features.
+    """
+    happened = lambda place, kind: legs.filter(F.col(f"{kind}_delay").isNotNull()).select(place.alias("k"), F.col(f"actual_{kind}").cast("long").alias("t"), F.lit(kind).alias("kind"), clip(f"{kind}_delay", *CLIP).cast("double").alias("v"))
+    sched = F.col("sched_dep").cast("long")
+    due = legs.select(F.col("origin").alias("k"), sched.alias("t"), F.lit("sched").alias("kind"), F.lit(None).cast("double").alias("v"))
+    leaves = F.greatest(sched, F.least(sched + width, F.col("actual_dep").cast("long")))  # least skips null: it never left
+    ends = legs.filter("sched_dep IS NOT NULL").select(F.col("origin").alias("k"), F.explode(F.array(F.struct(sched.alias("t"), F.lit(1).alias("d")), F.struct(leaves.alias("t"), F.lit(-1).alias("d")))).alias("x")).select("k", "x.t", "x.d")
+    ask = lambda place: legs.select(place.alias("k"), F.col("cutoff").cast("long").alias("t"))
+    place, one = F.col("origin"), F.lit(0)
+    places = _recent(ask(place).unionByName(ask(F.col("dest"))), happened(place, "dep").unionByName(happened(F.col("dest"), "arr")).unionByName(due), ends, ["dep", "arr", "sched"], width, "at")
+    carriers = _recent(ask(F.col("carrier")), happened(F.col("carrier"), "dep"), None, ["dep"], width, "at")
+    every = _recent(ask(one), happened(one, "dep"), None, ["dep"], width, "at")
+
+    def answered(rows: DataFrame, answers: DataFrame, key: Column, names: dict[str, str]) -> DataFrame:
+        found = answers.select(F.col("k").alias("__k"), F.col("t").alias("__t"), *[F.col(f"at_{a}").alias(b) for a, b in names.items()])
+        return rows.join(found, (key == found["__k"]) & (rows["cutoff"] == found["__t"]), "left").drop("__k", "__t")
+
+    stats = lambda kind, name: {f"{kind}_{x}": f"{name}_{x}" for x in ("count", "mean", "last")}
+    counts = ["origin_recent_dep", "origin_recent_arr", "dest_recent_arr", "dest_recent_dep", "carrier_recent_dep", "all_recent_dep"]
+    out = answered(out, places, out["origin"], stats("dep", counts[0]) | stats("arr", counts[1]) | {"pending": "origin_pending_count", "sched_count": "__sched"})
+    out = answered(out, places, out["dest"], stats("arr", counts[2]) | stats("dep", counts[3]))
+    out = answered(out, carriers, out["carrier"], stats("dep", counts[4]))
+    out = answered(out, every, F.lit(0), stats("dep", counts[5]))
+    zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in [*[f"{n}_count" for n in counts], "origin_pending_count"]}
+    return out.withColumns(zero).withColumn("origin_pending_share", F.when(F.col("__sched") > 0, F.col("origin_pending_count") / F.col("__sched"))).drop("__sched")
 
 
 def weather(legs: DataFrame, hourly: DataFrame, values: list[str] = WEATHER, wet: str = "precipitation_mm") -> DataFrame:
-    """The origin's full hour at the cutoff and its last three hours of ``wet``; the destination's full hour at the scheduled arrival."""
-    out = hour_lookup(legs, hourly.withColumnRenamed("place", "origin"), "origin", "cutoff", "hour_minute", values, "loaded", "wx_o_")
+    """The origin's full hour at the cutoff and its last three hours of ``wet``; the destination's full hour at the scheduled arrival; each with its hour."""
+    seen = hourly.withColumn("ts", F.col("hour_minute"))
+    out = hour_lookup(legs, seen.withColumnRenamed("place", "origin"), "origin", "cutoff", "hour_minute", [*values, "ts"], "loaded", "wx_o_")
     sums = full_hours_sum(hourly, "place", "hour_minute", wet, "loaded", 3, "wx_o_wet_3h").select(F.col("place").alias("__p"), F.col("hour_minute").alias("__h"), "wx_o_wet_3h")
     hour = F.floor(F.col("cutoff") / 60) * 60
     out = out.join(sums, (out["origin"] == sums["__p"]) & (hour == sums["__h"]), "left").drop("__p", "__h")
-    return hour_lookup(out, hourly.withColumnRenamed("place", "dest"), "dest", "sched_arr", "hour_minute", values, "loaded", "wx_d_")
+    return hour_lookup(out, seen.withColumnRenamed("place", "dest"), "dest", "sched_arr", "hour_minute", [*values, "ts"], "loaded", "wx_d_")
+
+
+def window_events(legs: DataFrame, day: str, first_day: str, back: int = 2) -> DataFrame:
+    """The legs that the features of a period need: from ``back`` days before its first day on, marked by whether they lie in it."""
+    first = F.lit(first_day).cast("date")
+    return legs.filter(F.col(day) >= F.date_sub(first, back)).withColumn("in_window", F.col(day) >= first)
 
 
 def build(legs: DataFrame, hourly: DataFrame | None = None, targets: str = "completed") -> DataFrame:

@@ -49,3 +49,24 @@ def previous_month(df: DataFrame, keys: list[str], month: str, label: str, weigh
     out = df.join(monthly, df[month] == F.col("__m"), "left").join(by, [df[k] == F.col(f"__{k}") for k in keys] + [df[month] == F.col("__km")], "left")
     rate = (F.coalesce("__p", F.lit(0.0)) + weight * F.col("__prior")) / (F.coalesce("__n", F.lit(0)) + weight)
     return out.withColumn(f"{name}_rate", rate).withColumn(f"{name}_lift", F.when(F.col("__prior") > 0, rate / F.col("__prior"))).select(*df.columns, f"{name}_rate", f"{name}_lift")
+
+
+def previous_months(df: DataFrame, target: DataFrame, month: str, label: str, rates: dict[str, list[str]], medians: dict[str, str], median_keys: list[str], *, weight: float = 50.0, relative: bool = True) -> DataFrame:
+    """``target`` with what the month before each row's own says of its keys, for all months at once.
+
+    ``rates``: name to keys, smoothed rates (with ``relative``, lifts); an unseen or null key gets the prior
+    (lift 1). ``medians``: name to value column, exact medians by ``median_keys``; null for unseen groups.
+    Each is one join on keys and month + 1. Rows whose month before is missing get nulls.
+    """
+    known = df.filter(F.col(label).isNotNull())
+    y = F.col(label).cast("double")
+    out = target.join(F.broadcast(known.groupBy((F.col(month) + 1).alias("__m")).agg(F.avg(y).alias("__prior"))), target[month] == F.col("__m"), "left")  # a row for each month
+    for name, keys in rates.items():
+        by = known.filter(~_null_key(keys)).groupBy(*[F.col(k).alias(f"__{k}") for k in keys], (F.col(month) + 1).alias("__km")).agg(F.sum(y).alias("__p"), F.count("*").alias("__n"))
+        out = out.join(by, [out[k] == by[f"__{k}"] for k in keys] + [out[month] == by["__km"]], "left")
+        rate = (F.coalesce("__p", F.lit(0.0)) + weight * F.col("__prior")) / (F.coalesce("__n", F.lit(0)) + weight)
+        out = out.withColumn(name, F.when(F.col("__prior") > 0, rate / F.col("__prior")) if relative else rate).drop(*[f"__{k}" for k in keys], "__km", "__p", "__n")
+    if medians:
+        mid = df.filter(~_null_key(median_keys)).groupBy(*[F.col(k).alias(f"__{k}") for k in median_keys], (F.col(month) + 1).alias("__km")).agg(*[F.median(v).alias(n) for n, v in medians.items()])
+        out = out.join(mid, [out[k] == mid[f"__{k}"] for k in median_keys] + [out[month] == mid["__km"]], "left")
+    return out.select(*target.columns, *rates, *medians)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +38,29 @@ def key_counters(features: DataFrame, legs: DataFrame) -> DataFrame:
     )
 
 
+def events_after_cutoff(features: DataFrame, key: str, cutoff: str, strict: list[str], loose: list[str] = ()) -> DataFrame:
+    """Key and cutoff of rows that use an event at the cutoff or later (after it, for ``loose``)."""
+    bad = [F.col(c) >= F.col(cutoff) for c in strict] + [F.col(c) > F.col(cutoff) for c in loose]
+    return features.filter(reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in bad])).select(key, cutoff)
+
+
+def inbound_known_too_early(features: DataFrame, legs: DataFrame) -> DataFrame:
+    """Keys of rows whose inbound delay is filled without its event before the cutoff (or missing with it), differs from the recorded one, or is the row's own."""
+    p = legs.select(*[F.col(c).alias(f"p_{c}") for c in ("key", "actual_dep", "actual_arr", "dep_delay", "arr_delay")])
+    j = features.join(p, F.col("prev_leg_key") == F.col("p_key"), "left")
+    before = lambda t: F.coalesce(F.col(t) < F.col("cutoff"), F.lit(False))
+    bad = [
+        F.col("inb_prev_dep_delay").isNotNull() != before("p_actual_dep"), F.col("inb_prev_arr_delay").isNotNull() != before("p_actual_arr"),
+        F.col("inb_prev_dep_delay") != F.col("p_dep_delay"), F.col("inb_prev_arr_delay") != F.col("p_arr_delay"), F.col("prev_leg_key") == F.col("key"),
+    ]
+    return j.filter(reduce(lambda a, b: a | b, [F.coalesce(x, F.lit(False)) for x in bad])).select("key")
+
+
+def disagrees(df: DataFrame, a: str, b: str, within: float, least: float) -> DataFrame:
+    """``agreement``'s share if it is below ``least``; else no row."""
+    return agreement(df, a, b, within).filter(F.col("share_within") < least).select("share_within")
+
+
 def forbidden_columns(columns: list[str]) -> list[str]:
     return sorted(set(columns) & FORBIDDEN)
 
@@ -47,10 +72,13 @@ def agreement(df: DataFrame, a: str, b: str, within: float) -> DataFrame:
 
 
 def recompute(sample: DataFrame, events: DataFrame, key: str, query_time: str, event_time: str, value: str, id_col: str, width: int) -> DataFrame:
-    """Trailing count and mean by a plain range join of a sample: another plan than the window's, to compare with it.
+    """Trailing count and mean by a plain range join: another plan than the window's, to compare with it.
 
-    ``sample`` is small and bounded by the caller; it is the side that is compared with all events of its keys.
+    Time is cut into buckets as wide as the window, and each query asks the two that its window
+    reaches, so that a hot key is dealt to many tasks and only rows of one key and bucket meet.
     """
-    e = events.filter(F.col(value).isNotNull()).select(F.col(key).alias("__k"), F.col(event_time).alias("__t"), F.col(value).cast("double").alias("__v"))
-    j = sample.join(e, (sample[key] == e["__k"]) & (e["__t"] >= sample[query_time] - width) & (e["__t"] < sample[query_time]), "left")
+    t, q = F.floor(F.col(event_time) / width), F.col(query_time)
+    e = events.filter(F.col(value).isNotNull() & F.col(event_time).isNotNull()).select(F.col(key).alias("__k"), F.col(event_time).alias("__t"), F.col(value).cast("double").alias("__v"), t.alias("__b"))
+    asked = sample.withColumn("__a", F.explode_outer(F.sequence(F.floor((q - width) / width), F.floor((q - 1) / width))))
+    j = asked.join(e, (asked[key] == e["__k"]) & (asked["__a"] == e["__b"]) & (e["__t"] >= asked[query_time] - width) & (e["__t"] < asked[query_time]), "left")
     return j.groupBy(id_col).agg(F.count("__v").alias("naive_count"), F.avg("__v").alias("naive_mean"))

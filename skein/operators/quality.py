@@ -45,6 +45,12 @@ def between(c: str, low: float, high: float, name: str, severity: str = HARD, sh
     return Check(name, ~F.col(c).between(low, high), scope, severity, share)
 
 
+def completed_checks(delay: str, flag: str, done: Column, late: int = 15) -> list[Check]:
+    """Completed rows have a delay and a flag, and the flag says whether the delay reaches ``late``."""
+    wrong = F.col(flag).isNull() | ((F.col(flag) == 1) != F.coalesce(F.col(delay) >= late, F.lit(False)))
+    return [Check("completed_have_delay", F.col(delay).isNull(), done), Check("completed_have_flag", F.col(flag).isNull(), done), Check("flag_agrees_with_delay", wrong, done)]
+
+
 def _rows(df: DataFrame, names: list[tuple[str, str, str, str]]) -> DataFrame:
     """One row to many: (name, severity, count column, passed column)."""
     made = F.array(*[F.struct(F.lit(n).alias("check_name"), F.lit(s).alias("severity"), F.col(c).alias("unexpected_count"), F.col(p).alias("passed")) for n, s, c, p in names])

@@ -73,10 +73,14 @@ LEGS = (
 )
 
 
+#: The hourly values made of an event's measure n, in Spark and DuckDB alike.
+WEATHER = {"temp": "n % 40 - 10", "wet": "n", "snow": "CASE WHEN event_id % 5 = 0 THEN n % 7 END", "wind": "n % 90", "gust": "n % 130", "cloud": "CASE WHEN event_id % 3 > 0 THEN n % 101 END"}
+
+
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly rows of ten places with gaps and repeats, from the events."""
     e = timeline(spark, sf_dir)
-    return e.select(F.pmod("user_id", F.lit(10)).alias("place"), (F.floor(F.col("m") / 60) * 60).alias("hour_minute"), F.col("n").alias("wet"), F.col("event_id").alias("loaded"))
+    return e.select(F.pmod("user_id", F.lit(10)).alias("place"), (F.floor(F.col("m") / 60) * 60).alias("hour_minute"), F.col("event_id").alias("loaded"), *[F.expr(v).alias(k) for k, v in WEATHER.items()])
 
 
-HOURLY = "h AS (SELECT user_id % 10 AS place, CAST(floor(m / 60) * 60 AS BIGINT) AS hour_minute, n AS wet, event_id AS loaded FROM e)"
+HOURLY = "h AS (SELECT user_id % 10 AS place, CAST(floor(m / 60) * 60 AS BIGINT) AS hour_minute, event_id AS loaded, " + ", ".join(f"{v} AS {k}" for k, v in WEATHER.items()) + " FROM e)"

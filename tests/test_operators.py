@@ -97,11 +97,16 @@ def test_top_share_takes_ties_in_order(spark):
     assert got == {10, 0, 1}
 
 
-@pytest.mark.parametrize("n", [0, 5, 500])
-def test_global_rank(spark, n):
-    df = spark.createDataFrame([(i, None if i % 11 == 0 else i * 7 % 5, float(i * 13 % 97)) for i in range(n)], "id int, a int, b double")
-    got = [r["r"] for r in evaluation.global_rank(df, ["a", "b", "id"], "r", ranges=8).orderBy(F.asc_nulls_first("a"), "b", "id").collect()]
-    assert got == list(range(1, n + 1))
+@pytest.mark.parametrize("few", [0, 20, 4096])
+def test_keys_at_ranks(spark, monkeypatch, few):
+    monkeypatch.setattr(evaluation, "FEW", few)
+    rows = [(None if i % 11 == 0 else i * 7 % 5, None if i % 13 == 0 else float(i * 13 % 17), f"k{i * 31 % 500:03}") for i in range(500)]
+    df = spark.createDataFrame(rows, "a int, b double, id string")
+    last = lambda v: tuple((x is None, x) if x is not None else (True, 0) for x in v)
+    want, ranks = sorted(rows, key=last), [1, 2, 99, 250, 455, 480, 500]
+    assert [tuple(k) for k in evaluation.keys_at(df, ["a", "b", "id"], ranks)] == [want[r - 1] for r in ranks]
+    cut = want[249]
+    assert df.filter(evaluation.after(["a", "b", "id"], cut)).count() == 250
 
 
 def test_top_share_reaches_null_scores(spark):
