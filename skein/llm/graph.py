@@ -2,8 +2,9 @@
 
 Each step is a grouped minimum joined back; the number of steps grows with the logarithm of the
 longest path. A node never gathers its neighbours: minima are combined before they move, and the
-links of a node with more than ``HUB`` of them meet their minimum by a broadcast of such nodes, of which
-there is one for each ``HUB`` links at most, so that no task gets all links of a hub.
+links of hubs meet their minimum by a broadcast, so that no task gets all links of a hub. A hub is a
+node with more links than its share: the table's links by ``HUBS``, and ``LEAST`` at least; so there are at most
+2 * ``HUBS`` hubs at any size.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .base import discard, written
 
-HUB = 50_000
+HUBS, LEAST = 100_000, 500
 
 
 def _star(links: DataFrame, large: bool, hub: int) -> DataFrame:
@@ -31,7 +32,7 @@ def _star(links: DataFrame, large: bool, hub: int) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
-def components(links: DataFrame, hub: int = HUB) -> DataFrame:
+def components(links: DataFrame, least: int = LEAST) -> DataFrame:
     """(node, component) for every node of ``links`` (long columns a and b); component is its least node.
 
     Null ends and links of a node to itself are left out; repeated links count once; an empty table
@@ -40,7 +41,7 @@ def components(links: DataFrame, hub: int = HUB) -> DataFrame:
     """
     spark = links.sparkSession
     now, path = written(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").distinct(), "links")
-    last = None
+    last, hub = None, max(least, now.count() // HUBS)
     while True:
         after, place = written(_star(_star(now, True, hub), False, hub), "stars")
         discard(spark, path)
