@@ -37,6 +37,11 @@ def strip_suffix(c: Column | str, pattern: str) -> Column:
     return F.trim(F.regexp_replace(col(c), rf"\s*(?:{pattern})$", ""))
 
 
+def state_code(region: Column | str, country: str = "US") -> Column:
+    """The region's code without its country's prefix; other countries' regions stay whole."""
+    return F.replace(col(region), F.lit(f"{country}-"), F.lit(""))
+
+
 def millions(c: Column | str) -> Column:
     return F.format_string("%.2fM", col(c).cast("double") / 1e6)
 

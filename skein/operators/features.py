@@ -120,12 +120,12 @@ def window_events(legs: DataFrame, day: str, first_day: str, back: int = 2) -> D
     return legs.filter(F.col(day) >= F.date_sub(first, back)).withColumn("in_window", F.col(day) >= first)
 
 
-def build(legs: DataFrame, hourly: DataFrame | None = None, targets: str = "completed") -> DataFrame:
+def build(legs: DataFrame, hourly: DataFrame | None = None, targets: str = "completed", values: list[str] = WEATHER, wet: str = "precipitation_mm") -> DataFrame:
     """All features of the target legs. Targets are picked last: other legs are events of theirs."""
     known = with_cutoff(legs)
     out = congestion(inbound(known), known)
     if hourly is not None:
-        out = weather(out, hourly)
+        out = weather(out, hourly, values, wet)
     return out.filter(F.col(targets))
 
 

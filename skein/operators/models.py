@@ -19,10 +19,44 @@ def time_split(df: DataFrame, month: str) -> dict[str, DataFrame]:
     return {n: df.filter(F.col(month) == m) for n, m in zip(names, months, strict=True)}
 
 
+#: Buckets of a histogram round, and values that are looked at on the driver to settle a median.
+BUCKETS, FEW = 1024, 4096
+
+
 def medians(df: DataFrame, numeric: list[str]) -> dict[str, float]:
-    """Exact medians; 0 for a column of nulls."""
-    row = df.agg(*[F.median(c).alias(c) for c in numeric]).first()
-    return {c: 0.0 if row[c] is None else float(row[c]) for c in numeric}
+    """Exact medians, the mean of the two middle values of an even count; 0 for a column of nulls.
+
+    All columns at once: histograms (``BUCKETS`` counts for each column) narrow the range in which the
+    middle lies until it holds ``FEW`` rows at most, or one value. No task sees a whole column.
+    """
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in numeric])).alias("x")).select("x.c", "x.v").filter("v IS NOT NULL AND NOT isnan(v)") if numeric else None
+    ends = {r["c"]: r for r in long.groupBy("c").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).collect()} if numeric else {}
+    out = dict.fromkeys(numeric, 0.0)
+    wanted = {(c, k): [r["lo"], r["hi"], k, r["n"]] for c, r in ends.items() for k in sorted({(r["n"] + 1) // 2, r["n"] // 2 + 1})}  # range, rank in it, rows in it
+    found: dict[tuple, float] = {}
+    while wanted:
+        listed = df.sparkSession.createDataFrame([(c, k, w[0], w[1]) for (c, k), w in wanted.items()], "c string, k long, lo double, hi double")
+        rows = long.join(F.broadcast(listed), "c").filter("v >= lo AND v <= hi")
+        if all(w[3] <= FEW or w[0] == w[1] for w in wanted.values()):
+            some = [(key, w) for key, w in wanted.items() if w[0] != w[1]]
+            values: dict[tuple, list] = {key: [] for key, _ in some}
+            for r in rows.filter("lo < hi").select("c", "k", "v").collect() if some else []:
+                values[r["c"], r["k"]].append(r["v"])
+            found |= {key: w[0] if w[0] == w[1] else sorted(values[key])[w[2] - 1] for key, w in wanted.items()}
+            break
+        bucket = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BUCKETS), F.lit(BUCKETS - 1))).otherwise(0)
+        counts: dict[tuple, list] = {}
+        for r in rows.groupBy("c", "k", bucket.alias("b")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("c", "k", "b").collect():
+            counts.setdefault((r["c"], r["k"]), []).append((r["lo"], r["hi"], r["n"]))
+        for key, w in wanted.items():
+            for lo, hi, n in counts[key]:
+                if w[2] <= n:
+                    w[0], w[1], w[3] = lo, hi, n
+                    break
+                w[2] -= n
+    for c, r in ends.items():
+        out[c] = (found[c, (r["n"] + 1) // 2] + found[c, r["n"] // 2 + 1]) / 2
+    return out
 
 
 def impute(df: DataFrame, values: dict[str, float]) -> DataFrame:
@@ -82,11 +116,22 @@ def contributions(df: DataFrame, weights: dict[str, float], means: dict[str, flo
     return df.withColumn(name, parts)
 
 
-def top_reasons(parts: str = "contributions", n: int = 3) -> Column:
-    """Text of the n parts that raise the score most, largest first; ties by feature name."""
-    raising = F.filter(parts, lambda x: x["part"] > 0)
-    order = F.array_sort(F.transform(raising, lambda x: F.struct((-x["part"]).alias("k"), x["feature"].alias("feature"), x["value"].alias("value"), x["part"].alias("part"))))
-    return F.array_join(F.transform(F.slice(order, 1, n), lambda x: F.concat(x["feature"], F.lit(" = "), F.coalesce(F.format_string("%.1f", x["value"]), F.lit("unknown")), F.lit(" (+"), F.format_string("%.3f", x["part"]), F.lit(")"))), "; ")
+def linear_parts(model: tuple[PipelineModel, dict[str, float]], numeric: list[str]) -> tuple[dict[str, float], dict[str, float]]:
+    """A fitted logistic model's weight and mean of each numeric column, in the columns' own units."""
+    scaler, fitted = (next(s for s in model[0].stages if type(s).__name__ == n) for n in ("StandardScalerModel", "LogisticRegressionModel"))
+    spread, means, weights = scaler.std.toArray(), scaler.mean.toArray(), fitted.coefficients.toArray()
+    return {c: float(weights[i] / spread[i]) if spread[i] else 0.0 for i, c in enumerate(numeric)}, {c: float(means[i]) for i, c in enumerate(numeric)}
+
+
+def top_reasons(parts: str = "contributions", n: int = 3, unknown: dict[str, str] | None = None) -> Column:
+    """Text of the n parts that move the score most, either way, by absolute value; ties by the order of the features.
+
+    A null value reads as the words that ``unknown`` gives for the feature, else "n/a".
+    """
+    order = F.array_sort(F.transform(parts, lambda x, i: F.struct((-F.abs(x["part"])).alias("k"), i.alias("i"), x["feature"].alias("feature"), x["value"].alias("value"), x["part"].alias("part"))))
+    words = F.create_map(*[F.lit(v) for kv in (unknown or {"": ""}).items() for v in kv])
+    shown = lambda x: F.coalesce(F.when(x["value"].isNotNull(), F.format_string("%.1f", x["value"])), F.try_element_at(words, x["feature"]), F.lit("n/a"))
+    return F.array_join(F.transform(F.slice(order, 1, n), lambda x: F.concat(x["feature"], F.lit(" = "), shown(x), F.lit(" ("), F.format_string("%+.3f", x["part"]), F.lit(")"))), "; ")
 
 
 def mean_contribution(df: DataFrame, groups: dict[str, str], parts: str = "contributions") -> DataFrame:
@@ -102,14 +147,21 @@ def suspicious(auc: float | None, limit: float = 0.92) -> bool:
     return auc is not None and auc > limit
 
 
-def ablation(fit: DataFrame, validation: DataFrame, variants: dict[str, list[str]], categorical: list[str], label: str) -> DataFrame:
-    """ROC AUC and average precision of a model for each feature list, on rows that it was not fitted on."""
+def rules(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Rules as scorers: (every column, model, score), a row for each rule; a column is its rule's score, with nothing to fit."""
+    made = F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).cast("double").alias("score")) for n, c in columns.items()])
+    return df.withColumn("__x", F.explode(made)).select(*df.columns, "__x.model", "__x.score")
+
+
+def ablation(fit: DataFrame, validation: DataFrame, variants: dict[str, list[str]], categorical: list[str], label: str, *, trees: int = 40, depth: int = 5) -> DataFrame:
+    """ROC AUC and average precision of both models for each feature list, on rows that they were not fitted on."""
     from .evaluation import curve_metrics
 
     parts = []
     for name, numeric in variants.items():
-        scored = score(fit_logistic(fit, numeric, categorical, label), validation, "__score")
-        parts.append(curve_metrics(scored, "__score", label).select(F.lit(name).alias("variant"), "roc_auc", "average_precision"))
+        for model, fitted in (("logistic", fit_logistic(fit, numeric, categorical, label)), ("trees", fit_trees(fit, numeric, categorical, label, trees=trees, depth=depth))):
+            scored = score(fitted, validation, "__score").select("__score", label)
+            parts.append(curve_metrics(scored, "__score", label).select(F.lit(name).alias("variant"), F.lit(len(numeric) + len(categorical)).alias("n_features"), F.lit(model).alias("model"), F.round("roc_auc", 4).alias("roc_auc"), F.round("average_precision", 4).alias("average_precision")))
     return reduce(DataFrame.unionByName, parts)
 
 

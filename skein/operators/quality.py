@@ -97,6 +97,33 @@ def empty(df: DataFrame, name: str, severity: str = HARD) -> DataFrame:
     return _rows(df.agg(F.count("*").alias("n")).withColumn("p", F.col("n") == 0), [(name, severity, "n", "p")])
 
 
+def suite(tables: dict[str, DataFrame], declared: dict[str, dict[str, list]]) -> DataFrame:
+    """Runs declared column tests: ``{table: {column: [test, ...]}}`` where a test is "unique", "not_null", ("in", values) or ("in_table", table, column); a ("warn", test) only warns.
+
+    All tests of one table's rows are one aggregate over one scan; uniqueness and relationships are
+    an aggregate or an anti join each.
+    """
+    parts = []
+    for name, columns in declared.items():
+        checks = []
+        for c, tests in columns.items():
+            for test in tests:
+                severity, test = (WARN, test[1]) if isinstance(test, tuple) and test[0] == "warn" else (HARD, test)
+                kind = test if isinstance(test, str) else test[0]
+                label = f"{name}.{c} {kind}"
+                if kind == "not_null":
+                    checks.append(Check(label, F.col(c).isNull(), severity=severity))
+                elif kind == "in":
+                    checks.append(Check(label, ~F.col(c).isin(list(test[1])), severity=severity))
+                elif kind == "unique":
+                    parts.append(unique(tables[name], [c], label, severity))
+                else:
+                    parts.append(related(tables[name], c, tables[test[1]], test[2], label, severity))
+        if checks:
+            parts.append(row_checks(tables[name], checks))
+    return report(*parts)
+
+
 def report(*parts: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

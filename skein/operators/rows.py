@@ -46,6 +46,11 @@ def code_union(df: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
     return out.distinct()
 
 
+def representatives(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row for each key: of each column the least text, in code point order, nulls skipped."""
+    return df.groupBy(key).agg(*[F.min(c).alias(c) for c in columns])
+
+
 def missing_keys(df: DataFrame, key: str, known: DataFrame, known_key: str) -> DataFrame:
     """Rows whose non-null key is not known."""
     return df.filter(F.col(key).isNotNull()).join(known.select(F.col(known_key).alias("__k")).distinct(), F.col(key) == F.col("__k"), "left_anti")

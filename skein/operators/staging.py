@@ -30,6 +30,27 @@ def stage(raw: DataFrame) -> DataFrame:
     )
 
 
+#: The columns of the fact table, and those of the model's rows, which hold nothing of the time after departure.
+FACT = [
+    "flight_key", "flight_date", "flight_year", "flight_month", "day_of_week", "carrier_code", "origin", "dest", "route", "flight_number", "tail_number", "dep_hour", "arr_hour", "distance_miles", "elapsed_minutes", "status", "is_cancelled", "is_diverted", "cancellation_reason", "is_delayed",
+    "dep_delay", "arr_delay", *[f"{c}_minutes" for c in CAUSES],
+]
+MODEL_ROWS = [
+    "flight_key", "flight_date", "flight_year", "flight_month", "day_of_month", "day_of_week", "carrier_code", "flight_number", "origin", "dest", "route", "dep_hour", "arr_hour", "dep_minute", "elapsed_minutes", "distance_miles", "leg_of_day", "legs_today", "turnaround",
+    "origin_in_hour", "dest_in_hour", "origin_in_day", "is_delayed",
+]
+
+
+def fact(enriched: DataFrame) -> DataFrame:
+    """One narrow row for each scheduled flight, cancelled and diverted ones too."""
+    return enriched.select(*FACT)
+
+
+def model_rows(enriched: DataFrame) -> DataFrame:
+    """Completed flights with what was known before departure, and the label."""
+    return enriched.filter(~F.col("is_cancelled") & ~F.col("is_diverted")).select(*MODEL_ROWS)
+
+
 def enrich(staged: DataFrame, zones: DataFrame) -> DataFrame:
     """Status, the UTC time line, rotation and scheduled volumes.
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import dashboards, evaluation, features, history, leakage, metrics, models, temporal
-from .analogs import FLIGHTS, HOURLY, LEGS, METRICS, TIMELINE, flights, hourly, legs, timeline
+from ..steps import materialize
+from .analogs import FLIGHTS, HOURLY, LEGS, METRICS, TIMELINE, WEATHER, flights, hourly, legs, timeline
 from .registry import _FLAGGED, _SCORED, _TIES, _model_rows, _scored, query
 
 _DONE = "NOT is_cancelled AND NOT is_diverted"
@@ -113,14 +114,31 @@ def platt_diagnostic(spark, d):
     return spark.createDataFrame([(round(found["slope"], 3), round(found["intercept"], 3))], "slope double, intercept double")
 
 
+#: Feature groups, in the order in which they are added.
+_GROUPS = {
+    "inbound": ["inb_has_prev", "inb_sched_turn_min", "inb_prev_sched_dep_before_cutoff", "inb_prev_departed", "inb_prev_dep_delay", "inb_prev_arrived", "inb_prev_arr_delay", "inb_prev_overdue_min", "inb_known_delay_min", "inb_projected_slack_min", "ac_latest_dep_delay", "ac_latest_arr_delay"],
+    "congestion": ["origin_recent_dep_count", "origin_recent_dep_mean", "origin_pending_count", "origin_pending_share", "origin_recent_arr_mean", "dest_recent_arr_mean", "dest_recent_dep_mean", "carrier_recent_dep_mean", "all_recent_dep_mean"],
+    "origin weather": [f"wx_o_{c}" for c in WEATHER] + ["wx_o_wet_3h"],
+    "destination weather": [f"wx_d_{c}" for c in WEATHER],
+}
+
+
 @query()
 def feature_ablation(spark, d):
-    x = _model_rows(spark, d)
-    return models.ablation(x.filter("year < 1998"), x.filter("year = 1998"), {"all": ["qty", "price", "disc"], "no price": ["qty", "disc"]}, ["carrier_name"], "y")
+    """Six feature lists, two models each; trees as few and as shallow as the readme says."""
+    x = features.build(legs(spark, d).withColumn("label", (F.col("arr_delay") >= 15).cast("int")), hourly(spark, d).select("place", "hour_minute", "loaded", *WEATHER), values=list(WEATHER), wet="wet")
+    plan = {"dep_hour": F.floor(F.pmod("sched_dep", F.lit(1440)) / 60), "elapsed": F.col("sched_arr") - F.col("sched_dep"), "day_of_week": F.pmod(F.floor(F.col("sched_dep") / 1440), F.lit(7))}
+    g = _GROUPS
+    x = x.withColumns(plan).withColumn("place_name", F.concat(F.lit("p"), "origin"))
+    x = materialize(x.select("key", "sched_dep", "label", "place_name", *plan, *[F.col(c).cast("double").alias(c) for v in g.values() for c in v]), "rows")
+    half = x.agg(F.percentile_approx("sched_dep", 0.7)).first()[0]
+    base, every = list(plan), [c for v in g.values() for c in v]
+    variants = {"schedule": base, "+ inbound": base + g["inbound"], "+ inbound + congestion": base + g["inbound"] + g["congestion"], "+ inbound + congestion + origin weather": base + g["inbound"] + g["congestion"] + g["origin weather"], "all": base + every, "all but inbound": base + [c for c in every if c not in g["inbound"]]}
+    return models.ablation(x.filter(F.col("sched_dep") < half), x.filter(F.col("sched_dep") >= half), variants, ["place_name"], "label", trees=10, depth=4)
 
 
 @query()
 def tree_importance(spark, d):
-    x = _model_rows(spark, d).filter("year = 1997")
-    fitted = models.fit_trees(x, ["qty", "price", "disc"], ["carrier_name"], "y", trees=5, depth=3)
+    x = _model_rows(spark, d)
+    fitted = models.fit_trees(x, ["qty", "price", "disc"], ["carrier_name"], "y")
     return spark.createDataFrame(models.gain_importance(fitted, ["qty", "price", "disc"], ["carrier_name"]), "feature string, share double")

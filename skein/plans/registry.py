@@ -11,6 +11,7 @@ from ..functions import scalars as S
 from ..operators import evaluation, features, history, leakage, metrics, models, quality, rows, temporal
 from ..session import ship
 from ..sources.files import last_months
+from ..steps import materialize
 from .analogs import FLIGHTS, HOURLY, LEGS, METRICS, TIMELINE, ZONES, flights, hourly, legs, table, timeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -502,7 +503,7 @@ def model_by_carrier(spark, d):
 @query()
 def bootstrap_ci(spark, d):
     s = _scored(spark, d).withColumn("q", F.col("l_quantity") / 50)
-    return evaluation.interval(evaluation.day_bootstrap(s, "day", "y", "p", "q", reps=50))
+    return evaluation.compared(materialize(s.select("day", "y", "p", "q"), "scores"), "day", "y", "p", "q")
 
 
 # --- models
@@ -526,15 +527,32 @@ def logistic_scores(spark, d):
 @query()
 def gbt_scores(spark, d):
     x = _model_rows(spark, d)
-    fitted = models.fit_trees(x.filter("year < 1999"), _NUMERIC, _CATEGORICAL, "y", trees=10, depth=4)
+    fitted = models.fit_trees(x.filter("year < 1999"), _NUMERIC, _CATEGORICAL, "y")
     return models.score(fitted, x.filter("year >= 1999"), "score").select("l_orderkey", "l_linenumber", "y", F.round("score", 6).alias("score"))
 
 
-@query()
+_PARTS = {"lines": (0.125, 4.0), "qty": (0.125, 25.0), "month": (-0.25, 6.0), "dow": (0.5, 4.0)}
+
+
+@query(f"""WITH {FLIGHTS}, x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_linenumber AS DOUBLE) AS lines, CASE WHEN l_partkey % 3 <> 0 THEN trunc(l_quantity) END AS qty, CAST(month AS DOUBLE) AS month, CAST(dow AS DOUBLE) AS dow FROM f WHERE NOT is_cancelled AND NOT is_diverted),
+ p AS (SELECT x.*, [""" + ", ".join(f"{{'f': '{c}', 'v': CAST({c} AS DOUBLE), 'p': coalesce(({c} - {m}) * {w}, 0)}}" for c, (w, m) in _PARTS.items()) + """] AS parts FROM x)
+ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, array_to_string(list_transform(list_transform(list_sort(list_transform(range(1, len(parts) + 1), lambda i: {'k': -abs(parts[i].p), 'i': i}))[1:3], lambda s: parts[s.i]), lambda x: x.f || ' = ' || CASE WHEN x.v IS NOT NULL THEN printf('%.1f', x.v) WHEN x.f = 'qty' THEN 'unknown' ELSE 'n/a' END || ' (' || printf('%+.3f', CAST(x.p AS DOUBLE)) || ')'), '; ') AS reasons FROM p""")
 def score_reasons(spark, d):
-    x = models.impute(_model_rows(spark, d), {"qty": 25.0})
-    parts = models.contributions(x, {"qty": 0.02, "price": 0.00001, "disc": 3.0}, {"qty": 25.0, "price": 38000.0, "disc": 0.05})
-    return parts.select("l_orderkey", "l_linenumber", models.top_reasons().alias("reasons"))
+    """The three largest parts of a linear score, either way, in words."""
+    f = flights(spark, d).filter(metrics.completed())
+    x = f.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_linenumber").alias("lines"), F.when(F.col("l_partkey") % 3 != 0, F.col("l_quantity").cast("int")).alias("qty"), "month", "dow")
+    parts = models.contributions(x, {c: w for c, (w, _) in _PARTS.items()}, {c: m for c, (_, m) in _PARTS.items()})
+    return parts.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", models.top_reasons(unknown={"qty": "unknown"}).alias("reasons"))
+
+
+@query()
+def model_reasons(spark, d):
+    """Scores of a fitted model with their reasons, in the fitted weights."""
+    x = _model_rows(spark, d)
+    fitted = models.fit_logistic(x.filter("year < 1999"), _NUMERIC, _CATEGORICAL, "y")
+    weights, means = models.linear_parts(fitted, _NUMERIC)
+    scored = models.contributions(models.score(fitted, x.filter("year >= 1999"), "score"), weights, means)
+    return scored.select("l_orderkey", "l_linenumber", F.round("score", 6).alias("score"), models.top_reasons(unknown={"qty": "unknown"}).alias("reasons"))
 
 
 @query(f"WITH {FLIGHTS}, x AS (SELECT CASE WHEN l_partkey % 3 <> 0 THEN l_quantity END AS q, l_discount AS d FROM f WHERE NOT is_cancelled AND NOT is_diverted), u AS (SELECT 'load' AS feature_group, coalesce(abs((q - 25) * 0.02), 0) AS a FROM x UNION ALL SELECT 'price', coalesce(abs((d - 0.05) * 3), 0) FROM x) SELECT feature_group, round(sum(a) / (SELECT sum(a) FROM u), 9) AS share FROM u GROUP BY feature_group")

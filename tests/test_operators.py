@@ -156,6 +156,39 @@ def test_staging_to_features(spark):
     assert rich["1"]["sched_dep_utc"] == dt.datetime(2024, 1, 10, 13) and rich["1"]["actual_arr_utc"] == dt.datetime(2024, 1, 10, 19, 21)
     assert rich["2"]["status"] == "Cancelled" and rich["2"]["leg_of_day"] == 2 and rich["3"]["leg_of_day"] is None
     assert rich["3"]["arr_date"] == dt.date(2024, 1, 11)
+    enriched = staging.enrich(staged, zones)
+    narrow, known = staging.fact(enriched), staging.model_rows(enriched)
+    assert narrow.columns == staging.FACT and narrow.count() == staged.count()
+    assert known.columns == staging.MODEL_ROWS and known.count() == enriched.filter("NOT is_cancelled AND NOT is_diverted").count() and not {"dep_delay", "arr_delay", "status"} & set(known.columns)
     legs = staging.legs(staging.enrich(staged, zones))
     assert features.build(legs).count() == 2
     assert all(v == 0 for v in features.invariants(legs).first())
+
+
+def test_declared_suite(spark):
+    t = spark.createDataFrame([(1, "a", 5), (1, "b", None), (2, None, 9)], "id int, kind string, ref int")
+    known = spark.createDataFrame([(5,)], "k int")
+    got = {r["check_name"]: (r["severity"], r["unexpected_count"], r["passed"]) for r in quality.suite({"t": t, "known": known}, {"t": {"id": ["unique", "not_null"], "kind": [("in", ["a"]), ("warn", "not_null")], "ref": [("in_table", "known", "k")]}}).collect()}
+    assert got == {"t.id unique": ("error", 2, False), "t.id not_null": ("error", 0, True), "t.kind in": ("error", 1, False), "t.kind not_null": ("warn", 1, False), "t.ref in_table": ("error", 1, False)}
+
+
+def test_planted_faults_are_counted(spark):
+    """One fault of each kind, and none in what the builder makes."""
+    from skein.operators import features, leakage
+
+    rows = [(k, 1, 1, k % 3, (k + 1) % 3, 1000 + 90 * k, 1060 + 90 * k, 1000 + 90 * k + d, 1060 + 90 * k + d, d, d, True) for k, d in enumerate([0, 10, 40, 0, 25, 5])]
+    legs = spark.createDataFrame(rows, "key long, vehicle long, carrier long, origin long, dest long, sched_dep long, sched_arr long, actual_dep long, actual_arr long, dep_delay long, arr_delay long, completed boolean")
+    built = features.inbound(features.with_cutoff(legs))
+    strict = ["inb_prev_dep_ts", "inb_prev_arr_ts", "ac_latest_dep_ts", "ac_latest_arr_ts"]
+    assert leakage.events_after_cutoff(built, "key", "cutoff", strict).count() == 0 and leakage.inbound_known_too_early(built, legs).count() == 0
+    assert set(leakage.key_counters(built, legs).first()) == {0}
+    assert leakage.differences(features.congestion(built, features.with_cutoff(legs)), leakage.naive(features.with_cutoff(legs), features.with_cutoff(legs)), "key").first().asDict() == {"sampled": 6, "values_compared": 21, "mismatches": 0}
+    of = lambda c, v, k=5: built.withColumn(c, F.when(F.col("key") == k, F.lit(v)).otherwise(F.col(c)).cast(dict(built.dtypes)[c]))
+    for c in strict:
+        assert [r["key"] for r in leakage.events_after_cutoff(of(c, 99_999), "key", "cutoff", strict).collect()] == [5]
+    for c, v, counter in (("inb_prev_dep_delay", 7, "prev_dep_value"), ("prev_leg_key", 5, "own_leg_used"), ("ac_latest_dep_key", 5, "latest_dep_not_before"), ("ac_latest_arr_key", 5, "latest_arr_not_before"), ("inb_prev_arr_delay", 7, "prev_arr_known"), ("vehicle", 9, "prev_other_vehicle")):
+        assert leakage.key_counters(of(c, v, 5), legs).first()[counter] >= 1, counter
+    assert leakage.inbound_known_too_early(of("inb_prev_dep_delay", 7), legs).count() == 1
+    assert leakage.differences(of("inb_known_delay_min", 77), built, "key", ["inb_known_delay_min"]).first()["mismatches"] == 1
+    bad = legs.withColumns({"actual_dep": F.when(F.col("key") == 2, F.lit(None)).when(F.col("key") == 3, F.lit(0)).otherwise(F.col("actual_dep")), "sched_dep": F.when(F.col("key") == 4, F.lit(None)).otherwise(F.col("sched_dep"))})
+    assert features.invariants(bad).first().asDict() == {"dep_time_delay_mismatch": 1, "arr_time_delay_mismatch": 0, "departed_before_cutoff": 1, "arrived_before_cutoff": 0, "no_time": 1}

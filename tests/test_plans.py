@@ -47,5 +47,56 @@ def test_models_are_saved_and_read(spark, tmp_path):
 def test_reasons(spark):
     df = spark.createDataFrame([(3.0, None, 1.0), (0.0, 5.0, 0.0)], "a double, b double, c double")
     parts = models.contributions(df, {"a": 1.0, "b": 0.5, "c": 2.0}, {"a": 1.0, "b": 1.0, "c": 0.0})
-    got = [r["r"] for r in parts.select(models.top_reasons(n=2).alias("r")).collect()]
-    assert got == ["a = 3.0 (+2.000); c = 1.0 (+2.000)", "b = 5.0 (+2.000)"]
+    got = [r["r"] for r in parts.select(models.top_reasons(n=3, unknown={"b": "unknown"}).alias("r")).collect()]
+    assert got == ["a = 3.0 (+2.000); c = 1.0 (+2.000); b = unknown (+0.000)", "b = 5.0 (+2.000); a = 0.0 (-1.000); c = 0.0 (+0.000)"]
+
+
+@pytest.mark.parametrize("few", [3, 4096])
+def test_medians(spark, monkeypatch, few):
+    import random
+    import statistics
+
+    monkeypatch.setattr(models, "FEW", few)
+    monkeypatch.setattr(models, "BUCKETS", 7)
+    rng = random.Random(2)
+    rows = [(rng.gauss(0, 9), float(rng.randint(0, 3)), None, rng.choice([None, 1e9, -2.5, 0.125]), 7) for _ in range(301)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e int")
+    want = [statistics.median(v) if (v := [r[i] for r in rows if r[i] is not None]) else 0.0 for i in range(5)]
+    assert list(models.medians(df, ["a", "b", "c", "d", "e"]).values()) == want and models.medians(df, []) == {}
+    assert models.medians(df.limit(0), ["a"]) == {"a": 0.0}
+
+
+def test_linear_parts_are_the_score(spark):
+    df = spark.createDataFrame([(float(i % 9), float(i % 4), "ab"[i % 2], int(i % 9 > 4)) for i in range(200)], "x double, z double, g string, y int")
+    fitted = models.fit_logistic(df, ["x", "z"], [], "y")
+    weights, means = models.linear_parts(fitted, ["x", "z"])
+    rows = models.score(fitted, df, "p").collect()
+    import math
+
+    line = [math.log(r["p"] / (1 - r["p"])) - sum(weights[c] * (r[c] - means[c]) for c in ("x", "z")) for r in rows]
+    assert max(line) - min(line) < 1e-6 and abs(means["x"] - sum(r["x"] for r in rows) / len(rows)) < 1e-9
+
+
+def test_small_helpers(spark, tmp_path):
+    from skein.functions import scalars as S
+    from skein.operators import leakage, metrics
+    from skein.sources import files, schemas
+
+    assert models.suspicious(0.95) and not models.suspicious(0.92) and not models.suspicious(None)
+    assert leakage.forbidden_columns(["a", "dep_delay", "status"]) == ["dep_delay", "status"]
+    d = spark.createDataFrame([("A", "US-FL", "2024-03-09"), ("Z", "CA-ON", None), (None, None, "1999-12-31")], "code string, region string, day string").withColumn("day", F.col("day").cast("date"))
+    got = [tuple(r) for r in d.select(metrics.reason("code"), S.state_code("region"), S.month_label("day")).collect()]
+    assert got == [("Carrier", "FL", "Mar 2024"), (None, "CA-ON", None), (None, None, "Dec 1999")]
+    months = spark.createDataFrame([(m,) for m in (1, 2, 3, 4, 5, None)], "m int")
+    assert {k: [r["m"] for r in v.collect()] for k, v in models.time_split(months, "m").items()} == {"history": [2], "fit": [3], "validation": [4], "test": [5]}
+    header = [f.name for f in schemas.AIRPORTS]
+    raw = ["type" if c == "airport_type" else c for c in header]
+    line = lambda **v: ",".join(str(v.get(c, "")) for c in raw)
+    (tmp_path / "a.csv").write_text("\n".join([",".join(raw), line(iata_code="PBI", ident="KPBI", type="medium_airport", iso_country="US"), line(iata_code="PBI", ident="APBI", type="large_airport", iso_country="CA"), line(iata_code="toolong", ident="X"), line(iata_code="", ident="Y")]) + "\n")
+    a = files.read_airports(spark, str(tmp_path / "a.csv"))
+    assert a.columns == header and a.count() == 2
+    from skein.operators.rows import keep_first
+
+    assert [r["ident"] for r in keep_first(a, ["iata_code"], files.airport_rank(a)).collect()] == ["KPBI"]
+    (tmp_path / "z.csv").write_text("airport_code,timezone,more\nPBI,America/New_York,1\n")
+    assert [tuple(r) for r in files.read_zones(spark, str(tmp_path / "z.csv")).collect()] == [("PBI", "America/New_York")]
