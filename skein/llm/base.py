@@ -9,11 +9,7 @@ same for every language and need no Python object per word:
 
 from __future__ import annotations
 
-import atexit
 import os
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..steps import discard, materialize, shared_dir, written  # noqa: F401  (the operators take them from here)
+
 #: Text bytes that one vectorised step works on; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
 #: Bytes of rows that go to Python at once, where the session has Spark's default; a longer row goes by itself.
@@ -46,37 +44,6 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Where the session names none: one of the warehouse's, or a temporary one if driver and executors are one process."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if spark.sparkContext.master.startswith("local"):
-            found = tempfile.mkdtemp(prefix="skein-")
-            atexit.register(shutil.rmtree, found, ignore_errors=True)
-        else:
-            found = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/skein-steps"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def written(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """``df`` written once as Parquet in the shared folder and read back, and where it stands."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written and read back: cuts lineage and survives lost executors."""
-    return written(df, tag)[0]
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Deletes a written step that nothing reads any more."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def bounded(df: DataFrame) -> DataFrame:
     """``df``, in whose session Arrow batches are bounded by bytes, as texts differ in length; a setting of the user's own stays."""
     conf = df.sparkSession.conf

@@ -5,30 +5,32 @@ shingles that must all occur for the window to occur. For containment of the who
 prefix token is necessary and enough: the window's rarest shingle, by its count over all
 documents. Documents' shingles are joined with these prefix tokens only; positional and length
 bounds (the window must fit into the document where the shingle stands) drop further candidates;
-what is left is compared word by word.
+what is left is compared word by word, each word by a 64-bit hash of its bytes.
 
-The windows are the broadcast side. They are taken in blocks of at most ``BLOCK`` windows, by item
-hash, so that a larger benchmark means more passes, never a larger broadcast. Documents are never
-shuffled in a one-block run; with more blocks, only the rows with hits are.
+Up to ``BLOCK`` windows are the broadcast side, and documents are never shuffled. A larger benchmark is
+joined by shuffle, with as many passes over the documents: a bitmap of at most ``BITMAP`` bytes keeps
+most of the documents' shingles from moving, the tokens are chosen by grouped aggregation, and a
+candidate carries the hashes of the words around it. Tokens that many documents hold are broadcast.
 
 Cases: null or empty texts have no words and no hits; repeated rows are documents of their own;
-items without words have no window; an item that repeats is one item; an empty benchmark marks
-nothing; other columns are not read.
+items without words have no window, and an item without an id is not looked for; an item that
+repeats is one item; equally rare shingles go by hash; very long texts are read whole; an empty
+benchmark marks nothing and an empty table gives an empty result; other columns, also of the
+result's names, are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import ALNUM, bounded, hashes, materialize, mixed, rolled, steps, words
+from .base import ALNUM, bounded, hashes, materialize, mixed, rolled, steps, with_sums, words
 
-BLOCK = 200_000
+BLOCK, BITMAP = 200_000, 16 << 20
 SHINGLE = 3
 WINDOW = 10
 
@@ -193,25 +195,93 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     rows = bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("mark"), "text")
     windows = materialize(item_windows(benchmark, item_col, item_text_col, window), "windows")
-    blocks = max(1, -(-windows.count() // block))
-    parts = []
-    for i in range(blocks):
-        mine = windows if blocks == 1 else windows.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == i)
-        known = Windows(mine.collect())  # about ``block`` windows of ``window`` numbers
+    if windows.count() <= block:
+        known = Windows(windows.collect())  # at most ``block`` windows of ``window`` numbers
         known.order(shingle_counts(rows.select("text"), known))
-        parts.append(_occurrences(rows, known, blocks > 1))
-    if blocks == 1:
-        return parts[0].drop("mark")
-    merged = (
-        reduce(DataFrame.unionByName, parts).distinct().groupBy("doc_id", "mark")
-        .agg(_union_ranges(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        .withColumnsRenamed({"doc_id": "hit_id", "mark": "hit_mark"})
-    )
+        return _occurrences(rows, known, False).drop("mark")
+    merged = _joined(rows, windows, window).withColumnsRenamed({"doc_id": "hit_id", "mark": "hit_mark"})
     every = _word_counts(rows)
     out = every.join(merged, every["doc_id"].eqNullSafe(merged["hit_id"]) & (every["mark"] == merged["hit_mark"]), "left")
     return out.select("doc_id", "n_words", F.coalesce("hits", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("hits"), F.coalesce("items", F.array().cast("array<bigint>")).alias("items"))
 
 
+class Bitmap:
+    """A set of hashes by their first bits: what is not in it is surely unknown."""
+
+    def __init__(self, words: np.ndarray, bits: int):
+        self.words, self.bits = words, bits
+
+    @classmethod
+    def of(cls, known: DataFrame, column: str) -> Bitmap:
+        """Of a column of hashes; at most ``BITMAP`` / 8 of its words reach the driver."""
+        bits = int(min(np.log2(BITMAP * 8), max(12, np.ceil(np.log2(max(1, known.count()) * 32)))))
+        at = known.select(F.shiftrightunsigned(column, 64 - bits).alias("at"))
+        found = at.selectExpr("at DIV 64 AS w", "shiftleft(1L, CAST(at % 64 AS INT)) AS b").groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+        words = np.zeros(max(1, (1 << bits) // 64), np.int64)
+        words[found.column("w").to_numpy()] = found.column("b").to_numpy()
+        return cls(words.view(np.uint64), bits)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        at = h >> np.uint64(64 - self.bits)
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _joined(rows: DataFrame, windows: DataFrame, window: int) -> DataFrame:
+    """doc_id, mark, hits and items of the texts with hits, by a shuffle join of shingles and prefix tokens."""
+    spark = rows.sparkSession
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts = []
+            for w in b.column("hashes").to_pylist():
+                k = min(SHINGLE, len(w))
+                parts.append(salted(rolled(np.array(w, np.int64).view(np.uint64), k), k).view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays([b.column("wid"), b.column("hashes"), b.column("items"), pa.array(parts, pa.list_(pa.int64()))], ["wid", "hashes", "items", "parts"])
+
+    one = windows.groupBy("hashes").agg(F.array_sort(F.collect_set("item_id")).alias("items")).select(F.xxhash64("hashes").alias("wid"), "hashes", "items")
+    one = materialize(one.mapInArrow(cut, "wid long, hashes array<long>, items array<long>, parts array<long>"), "windows")
+    places = one.select("wid", F.posexplode("parts").alias("place", "token"))
+    kinds = [k for k in range(1, SHINGLE + 1) if k == SHINGLE or not one.filter(F.size("hashes") == k).isEmpty()]
+    known = spark.sparkContext.broadcast(Bitmap.of(places.select("token").distinct(), "token"))
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in steps(batches, "text"):
+            h = hashes(words(b.column("text"), ALNUM)[1])
+            every = [salted(rolled(h, k), k) for k in kinds]
+            token, n = np.unique(np.concatenate([x[known.value.has(x)] for x in every]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
+
+    counts = rows.select("text").mapInArrow(seen, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    ranked = places.join(counts, "token", "left").groupBy("wid").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "place")).alias("x"))
+    tokens = ranked.filter("x.n > 0").select("wid", F.col("x.n").alias("n"), F.col("x.token").alias("token"), F.col("x.place").alias("place"))  # a shingle that no text holds ends its window
+    tokens = materialize(tokens.join(one.select("wid", "hashes", "items"), "wid"), "tokens")
+    sought = spark.sparkContext.broadcast(Bitmap.of(tokens.select("token").distinct(), "token"))
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in steps(batches, "text"):
+            off, found = words(b.column("text"), ALNUM)
+            h = hashes(found)
+            out = [[] for _ in range(5)]
+            for k in kinds:
+                x = salted(rolled(h, k), k)
+                at = np.flatnonzero(sought.value.has(x))
+                doc = np.searchsorted(off, at, side="right") - 1
+                ok = at + k <= off[doc + 1] if len(at) else np.zeros(0, bool)
+                for i, d in zip(at[ok].tolist(), doc[ok].tolist(), strict=True):
+                    first = max(int(off[d]), i - window + 1)
+                    for column, value in zip(out, (d, int(i - off[d]), i - first, int(x[i].view(np.int64)), h[first : min(int(off[d + 1]), i + window)].view(np.int64).tolist()), strict=True):
+                        column.append(value)
+            d = pa.array(out[0], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(d), b.column("mark").take(d), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.list_(pa.int64()))], ["doc_id", "mark", "at", "left", "token", "around"])
+
+    found = rows.mapInArrow(candidates, "doc_id long, mark long, at long, left int, token long, around array<long>")
+    met = with_sums(found, tokens.drop("wid"), "token", "n")
+    fits = (F.col("place") <= F.col("left")) & (F.slice("around", F.greatest(F.col("left") - F.col("place") + 1, F.lit(1)), F.size("hashes")) == F.col("hashes"))
+    start = F.col("at") - F.col("place")
+    hits = met.filter(fits).select("doc_id", "mark", F.struct(start.cast("long").alias("start"), (start + F.size("hashes")).cast("long").alias("end")).alias("hit"), "items").distinct()
+    return hits.groupBy("doc_id", "mark").agg(_union_ranges(F.array(F.collect_list("hit"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+
 def _word_counts(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in steps(batches, "text"):

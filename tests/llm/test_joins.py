@@ -103,8 +103,9 @@ def brute_hits(texts, items, window=10):
         yield len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("block", [3, 10_000])
-def test_decontamination(spark, block):
+@pytest.mark.parametrize(("block", "each"), [(3, 500_000), (3, 2), (10_000, 0)])
+def test_decontamination(spark, monkeypatch, block, each):
+    monkeypatch.setattr(base.with_sums, "__kwdefaults__", {"each": each})
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(12)] + ["Été", "漢字"]
     items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 4, 9, 10, 11, 25])))) for i in range(1, 14)] + [(20, None), (21, "..."), (22, "UNIQUE thing, here"), (23, "unique THING here"), (2, "repeated id")]
