@@ -20,41 +20,56 @@ import math
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import materialize
+from .base import materialize, spread_join
 
 WORD = r"[^\x20\x09-\x0D]+"
 EDGE = 1e-9
+#: Sources that one task takes in order.
+PER_TASK = 100_000
 
 
 def word_count(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _ordered(df: DataFrame, rows: int, *order: Column) -> DataFrame:
+    """``df`` written in order, in ranges of about ``PER_TASK`` rows: ``__part`` numbers them and ``__at`` their rows."""
+    out = df.repartitionByRange(max(1, rows // PER_TASK), *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    return materialize(out, "ordered").withColumn("__part", F.shiftright("__at", 33))
+
+
+def _before(df: DataFrame, **sums: Column) -> DataFrame:
+    """Adds each value's sum over all rows before: within the range, and over the ranges before, of which there are few."""
+    over = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = df.groupBy("__part").agg(*[F.sum(c).alias(n) for n, c in sums.items()]).select("__part", *[F.coalesce(F.sum(n).over(over), F.lit(0)).alias(f"__{n}") for n in sums])
+    local = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    out = df.withColumns({n: F.coalesce(F.sum(c).over(local), F.lit(0)) for n, c in sums.items()}).join(F.broadcast(ranges), "__part")
+    return out.withColumns({n: F.col(n) + F.col(f"__{n}") for n in sums}).drop(*[f"__{n}" for n in sums])
+
+
 def source_targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
     """One row for each source: its size, documents and target words.
 
     Shares follow the weights, dealt to the sources in code point order; what exceeds ``most``
     times a source's size goes to the others by weight. That fixed point is the level at which
     ``sum(min(most * size, level * weight))`` is the total, found by one ordered pass over the
-    sources' rows (never over documents).
+    sources' rows (never over documents), in ranges, so that no task sees all sources.
     """
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
-    ranked = totals.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
-    ranked = ranked.withColumn("w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.col("rank") - 1) % len(weights) + 1).cast("int")))
-    ranked = ranked.withColumn("room", (F.col("source_size") * most).cast("double"))
-    order = Window.orderBy((F.col("room") / F.col("w")).asc(), F.col("rank").asc())
-    everything = Window.partitionBy()
-    before, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
-    ranked = (
-        ranked.withColumn("total", F.sum("source_size").over(everything).cast("double"))
-        .withColumn("level", (F.col("total") - F.coalesce(F.sum("room").over(before), F.lit(0.0))) / F.sum("w").over(rest))
-        .withColumn("full", F.col("room") / F.col("w") < F.col("level"))
-        .withColumn("level", F.min_by(F.when(~F.col("full"), F.col("level")), F.when(~F.col("full"), F.col("room") / F.col("w"))).over(everything))
-    )
-    return ranked.select("source", "source_size", "n_docs", F.when(F.col("full"), F.col("room")).otherwise(F.col("level") * F.col("w")).alias("target"))
+    totals = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), "totals")
+    rows, total = totals.agg(F.count("*"), F.sum("source_size")).first()
+    placed = _before(_ordered(totals, rows, F.col("source").asc_nulls_last()), rank=F.lit(1))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    placed = placed.select("source", "source_size", "n_docs", "rank", weight.alias("w"), (F.col("source_size") * most).cast("double").alias("room"))
+    ratio = F.col("room") / F.col("w")
+    placed = _before(_ordered(placed, rows, ratio.asc(), F.col("rank").asc()), filled=F.col("room"), passed=F.col("w"))
+    every = placed.agg(F.sum("w")).first()[0] or 0.0
+    placed = placed.withColumn("level", (F.lit(float(total or 0)) - F.col("filled")) / (F.lit(every) - F.col("passed")))
+    full = ratio < F.col("level")
+    level = placed.filter(~full).agg(F.min_by("level", F.struct(ratio.alias("ratio"), "rank"))).first()[0]
+    return placed.select("source", "source_size", "n_docs", F.when(full, F.col("room")).otherwise(F.lit(level).cast("double") * F.col("w")).alias("target"))
 
 
 def _pivot(seed: int, level: int, final: bool):
@@ -96,8 +111,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sized = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size")), "sized")
     targets = materialize(source_targets(sized, weights, most), "targets")
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    named = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))  # a null source is one too
     rows = (
-        sized.alias("d").join(targets.withColumnRenamed("source", "of").alias("t"), F.col("d.source").eqNullSafe(F.col("of")))
+        spread_join(sized.withColumn("of", named), targets.withColumn("of", named).drop("source"), "of", F.xxhash64("doc_id", "size"))
         .drop("of")
         .withColumn("whole", F.floor(copies))
         .withColumn("p", F.when(F.col("size") > 0, copies - F.floor(copies)).otherwise(0.0))

@@ -259,7 +259,9 @@ def brute_targets(size, weights=(5, 2, 1), most=3):
     return target
 
 
-def test_mixing(spark):
+@pytest.mark.parametrize("per_task", [2, 100_000])
+def test_mixing(spark, monkeypatch, per_task):
+    monkeypatch.setattr(mixing, "PER_TASK", per_task)
     rng = random.Random(7)
     names = ["b", "a", None, "ä", "Z", "big"]
     rows = [(i, " ".join(["w"] * rng.choice([0, 1, 3, 10, 50])), "big" if i % 3 == 0 else rng.choice(names), 1) for i in range(600)] + [(600, None, "a", 1), (None, "x y", "b", 1), (5, "x y", "b", 1), (5, "x y", "b", 1)]
