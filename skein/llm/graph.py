@@ -1,10 +1,9 @@
 """Connected components of a link table, by alternating large-star and small-star steps.
 
 Each step is a grouped minimum joined back; the number of steps grows with the logarithm of the
-longest path. A node never gathers its neighbours: minima are combined before they move, and the
-links of hubs meet their minimum by a broadcast, so that no task gets all links of a hub. A hub is a
-node with more links than its share: the table's links by ``HUBS``, and ``LEAST`` at least; so there are at most
-2 * ``HUBS`` hubs at any size.
+longest path. A node never gathers its neighbours: minima are combined before they move, and a node's
+links meet its minimum in ``DEALT`` tasks, by a hash of their other ends. As the minima are dealt anew for
+that join, adaptive execution can split a hub's links further, however many there are.
 """
 
 from __future__ import annotations
@@ -14,17 +13,15 @@ from pyspark.sql import functions as F
 
 from .base import discard, written
 
-HUBS, LEAST = 100_000, 500
+DEALT = 8
 
 
-def _star(links: DataFrame, large: bool, hub: int) -> DataFrame:
+def _star(links: DataFrame, large: bool, dealt: int) -> DataFrame:
     """Links each node's larger (or not larger) neighbours to its least neighbour or itself."""
     both = links.select("a", "b").union(links.select(F.col("b"), F.col("a"))) if large else links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("n"))
-    hubs = least.filter(F.col("n") > hub).select("a", F.col("m").alias("hub_m"))
-    joined = both.join(F.broadcast(hubs), "a", "left")
-    others = joined.filter("hub_m IS NULL").select("a", "b").join(least.filter(F.col("n") <= hub).select("a", "m"), "a")
-    joined = others.unionByName(joined.filter("hub_m IS NOT NULL").select("a", "b", F.col("hub_m").alias("m")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    parts = F.sequence(F.lit(0).cast("long"), F.lit(dealt - 1).cast("long"))
+    joined = both.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(dealt))).join(least.withColumn("part", F.explode(parts)), ["a", "part"])
     if large:
         out = joined.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -32,7 +29,7 @@ def _star(links: DataFrame, large: bool, hub: int) -> DataFrame:
     return out.filter("a <> b").distinct()
 
 
-def components(links: DataFrame, least: int = LEAST) -> DataFrame:
+def components(links: DataFrame, dealt: int = DEALT) -> DataFrame:
     """(node, component) for every node of ``links`` (long columns a and b); component is its least node.
 
     Null ends and links of a node to itself are left out; repeated links count once; an empty table
@@ -41,9 +38,9 @@ def components(links: DataFrame, least: int = LEAST) -> DataFrame:
     """
     spark = links.sparkSession
     now, path = written(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").distinct(), "links")
-    last, hub = None, max(least, now.count() // HUBS)
+    last = None
     while True:
-        after, place = written(_star(_star(now, True, hub), False, hub), "stars")
+        after, place = written(_star(_star(now, True, dealt), False, dealt), "stars")
         discard(spark, path)
         now, path = after, place
         sums = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -105,8 +105,9 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc
     picked = docs.filter((F.length(text_col) <= max_chars) & sampled(id_col, rate))
     words = picked.select(F.regexp_extract_all(F.col(text_col), F.lit(r"\b[A-Za-z]{4,}\b"), F.lit(0)).alias("w")).select(F.explode(_word_forms(F.col("w"))).alias("text"))
     public = [w for w in vocabulary if re.fullmatch("[A-Za-z]{4,}", w)]
-    mixed = [[public[(k * 7919 + i * (2 * k + 1)) % len(public)] for i in range(len(public))] for k in range(VARIED)] if public else []  # each word beside others
-    public_words = spark.createDataFrame([(x,) for x in mixed], "w array<string>").select(F.explode(_word_forms(F.col("w"))).alias("text"))
+    once = spark.createDataFrame([(public,)] if public else [], "w array<string>").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(VARIED - 1))))
+    beside = F.transform("w", lambda _, i: F.get("w", (F.col("k") * 7919 + i * (2 * F.col("k") + 1)) % max(1, len(public))))  # each word beside others
+    public_words = once.select(beside.alias("w")).select(F.explode(_word_forms(F.col("w"))).alias("text"))
     words = words.distinct().unionByName(public_words)
     numbers = spark.range(1, n_random + 1).select(_number_forms(F.col("id")).alias("text"))
     listed = spark.createDataFrame([(x,) for x in IDENTIFIERS], "text string")
@@ -128,9 +129,12 @@ def train_markov(samples: DataFrame, backoff: float = 30.0) -> np.ndarray:
         .groupBy("label", "triple").count()
     )
     counts = np.zeros((2, n + 1, n + 1, n))
-    place = {" ": 0} | {c: i + 1 for i, c in enumerate(ALPHABET)}
-    for label, t, c in triples.filter(F.col("triple").rlike(r"^[ A-Za-z0-9+/_=.-]{2}[A-Za-z0-9+/_=.-]$")).collect():
-        counts[label, place[t[0]], place[t[1]], place[t[2]] - 1] += c
+    place = np.zeros(128, np.int64)
+    for i, c in enumerate(ALPHABET):
+        place[ord(c)] = i + 1
+    known = triples.filter(F.col("triple").rlike(r"^[ A-Za-z0-9+/_=.-]{2}[A-Za-z0-9+/_=.-]$")).toArrow()
+    at = place[np.frombuffer("".join(known.column("triple").to_pylist()).encode("ascii"), np.uint8)].reshape(-1, 3)
+    np.add.at(counts, (known.column("label").to_numpy(), at[:, 0], at[:, 1], at[:, 2] - 1), known.column("count").to_numpy())
     p = np.full((2, 1, 1, n), 1 / n)
     for own in (counts.sum(axis=(1, 2), keepdims=True), counts.sum(axis=1, keepdims=True), counts):
         p = (own + backoff * p) / (own.sum(axis=3, keepdims=True) + backoff)
