@@ -252,10 +252,9 @@ def upsert_latest(spark, d):
     return rows.upsert(o, new, ["o_orderkey"])
 
 
-@query("SELECT p_partkey, trim(regexp_replace(p_name, '\\s*(?:[a-z]+ [a-z]+)$', '')) AS short_name, regexp_full_match(p_brand, 'Brand#[0-9]+') AS is_brand, coalesce(p_size, 0) AS size FROM part WHERE p_size IN (1, 5, 10, 20, 30)")
+@query("SELECT p_partkey, trim(regexp_replace(p_name, '\\s*(?:[a-z]+ [a-z]+)$', '')) AS short_name, regexp_full_match(p_brand, 'Brand#[0-9]+') AS is_brand, coalesce(p_size, 0) AS size, coalesce(p_size IN (1, 5, 10, 20, 30), false) AS listed FROM part")
 def text_functions(spark, d):
-    p = table(spark, d, "part").filter(F.col("p_size").isin(1, 5, 10, 20, 30))
-    return p.select("p_partkey", S.strip_suffix("p_name", "[a-z]+ [a-z]+").alias("short_name"), S.full_match("p_brand", "Brand#[0-9]+").alias("is_brand"), F.coalesce("p_size", F.lit(0)).alias("size"))
+    return table(spark, d, "part").select("p_partkey", S.strip_suffix("p_name", "[a-z]+ [a-z]+").alias("short_name"), S.full_match("p_brand", "Brand#[0-9]+").alias("is_brand"), F.coalesce("p_size", F.lit(0)).alias("size"), F.coalesce(F.col("p_size").isin(1, 5, 10, 20, 30), F.lit(False)).alias("listed"))
 
 
 @query(f"WITH {TIMELINE}, v AS (SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN n END AS a, CASE WHEN event_id % 4 <> 0 THEN n % 40 END AS b FROM e) SELECT event_id, a IS DISTINCT FROM b AS differs, (a IS NULL) <> (b IS NULL) AS one_null, coalesce(a < b, false) AS less, CASE WHEN a IS NOT NULL THEN greatest(-30, least(300, a)) END AS clipped FROM v")
