@@ -9,6 +9,7 @@ from collections import Counter
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from skein.llm import queries
 
@@ -95,6 +96,20 @@ def test_each_row_has_its_own_decision(spark, folder, tmp_path):
     assert not any(r["text"] in ("12345 !!!", "") for r in kept) and len(kept) == len(rows) - 3
 
 
+def test_stages_with_clashing_columns_nulls_and_repeats(spark, folder, tmp_path):
+    d, rows = folder
+    more = {c: f"'{c}'" for c in ("key", "id", "first_key", "kept", "hits", "items", "size", "p", "bucket", "spans", "dropped", "count", "digest", "component", "target", "language", "gain", "host", "mark", "row", "of", "whole")}
+    docs = spark.read.parquet(f"{d}/documents.parquet").selectExpr("*", *[f"{v} AS {k}" for k, v in more.items()], "CAST(NULL AS array<string>) AS tags")
+    docs = docs.unionByName(docs.filter("doc_id IN (0, 1)")).unionByName(docs.filter("doc_id = 2").withColumns({c: F.lit(None).cast(t) for c, t in docs.dtypes if c != "text"}))
+    got, counts = docs, []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, got, d).write.parquet(f"{tmp_path}/{name}")
+        got = spark.read.parquet(f"{tmp_path}/{name}")
+        counts.append(got.count())
+        assert name == "mixing" or got.columns == docs.columns
+    assert counts[0] > counts[1] > counts[2] == counts[3] == counts[4] > 0
+
+
 def test_empty_documents(spark, folder, tmp_path):
     d, _ = folder
     spark.read.parquet(f"{d}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
