@@ -21,9 +21,10 @@ Two documents link when ``100 * intersection >= percent * union`` of their n-gra
    components over all chunks join the spanning links.
 
 Cases: null or empty texts have an empty set and no links; fewer than ``k`` words are one n-gram;
-repeated ids and rows are rows of their own with the id's texts; an empty table gives an empty
-result; other columns are not read; a null id never names a component, but texts that stand under
-null ids only link as others do.
+repeated ids and rows are rows of their own with the id's texts; very long texts are read whole, as a
+step of their own; equally rare columns go by their hash; an empty table gives an empty result; other
+columns, also of the result's names, are not read; a null id never names a component, but texts that
+stand under null ids only link as others do.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ Labels and declarations are compared by their primary subtag (``en`` for ``en-US
 stand for themselves. The trigram model is fitted on a bounded sample of labelled rows: about
 ``n_docs`` documents a language, of ``max_chars`` characters at most, chosen by hash. Languages are taken in
 blocks of ``MOST``, each with ``2**BITS`` cells a language, so that no broadcast grows with the data or
-the number of labels; with more than one block, texts are written once and read for each block.
+the number of labels (the driver holds 256 KB for each); with more than one block, texts are written
+once and read for each block.
 
 Cases: null or empty texts, and texts without letters, have language null and are not kept;
 unknown or null declarations, suffixes and hosts say nothing; equally likely languages go by name;

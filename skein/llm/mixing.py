@@ -9,8 +9,9 @@ level, until one for each source is left, which a coin decides. As the words of
 change, a source's taken words differ from its target by less than one document.
 
 Cases: null text has size 0; a null source is a source of its own, last in order; documents of
-size 0 take 0; repeated rows are documents of their own; an empty table gives an empty result;
-other columns are not read.
+size 0 take 0; repeated rows are documents of their own (equal rows of a bucket are interchangeable);
+very long texts count whole; sources of equal room go by code point; an empty table gives an empty
+result; other columns, also of the result's names, are not read.
 """
 
 from __future__ import annotations
