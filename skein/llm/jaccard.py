@@ -17,7 +17,7 @@ Two documents link when ``100 * intersection >= percent * union`` of their n-gra
    rows after it, so that every link between unequal sets is found and counted for both its rows,
    weighted by their copies. No pair is written down, only the counts and the links that span the
    components. A block is cut into bands of set sizes, of which only neighbours can link, and bands
-   of more than ``CHUNK`` rows into chunks that are taken by pairs, each pair of rows in one of them;
+   of more rows than a chunk's into chunks that are taken by pairs, each pair of rows in one of them;
    components over all chunks join the spanning links.
 
 Cases: null or empty texts have an empty set and no links; fewer than ``k`` words are one n-gram;
@@ -43,8 +43,8 @@ from .graph import components
 
 K, PERCENT = 5, 75
 FINER = 2
-#: Rows of a block taken at once.
-CHUNK = 1024
+#: Rows of a chunk at most; chunks that a band is cut into before they grow beyond SMALL rows.
+CHUNK, SMALL, CHUNKS = 1024, 128, 64
 
 
 def ngram_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -256,7 +256,8 @@ def _dealt(blocks: DataFrame, sets: DataFrame, percent: int, chunk: int) -> Data
     width = math.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9
     sized = blocks.join(sets.select("row", F.size("grams").alias("n")), F.col("node") == F.col("row"))
     sized = materialize(sized.select("component", "row", F.floor(F.log("n") / width).alias("band")), "sized")
-    counts = sized.groupBy("component", "band").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
+    rows = F.least(F.lit(chunk), F.greatest(F.lit(SMALL), F.ceil(F.count("*") / CHUNKS)))  # a chunk's rows
+    counts = sized.groupBy("component", "band").agg(F.ceil(F.count("*") / rows).alias("chunks"))
     above = counts.select("component", (F.col("band") - 1).alias("band"), F.col("chunks").alias("above"))
     groups = materialize(counts.join(above, ["component", "band"], "left").select("component", "band", "chunks", F.coalesce("above", F.lit(0)).alias("above")), "bands")
     # a row goes to its own band's group, and to the group of the band below where that has rows
