@@ -77,6 +77,15 @@ def keys_at(df: DataFrame, order: list[str], ranks: list[int]) -> list[tuple]:
                 return [p + sorted([tuple(r)[1:] for r in few if r["of"] == asked.index(p)], key=last)[k - 1] for p, k in state]
             rows = rows.select("of", F.col(c).alias("value"))
         counts = rows.groupBy("of", "value").agg(F.count("*").cast("double").alias("n"))
+        some = counts.limit(FEW + 1).collect()
+        if len(some) <= FEW:  # few values: their running sums need no window
+            at: dict[int, list] = {}
+            for r in sorted(some, key=lambda r: (r["of"], r["value"] is None, 0 if r["value"] is None else r["value"])):
+                own = at.setdefault(r["of"], [])
+                own.append((r["value"], own[-1][2] if own else 0.0, (own[-1][2] if own else 0.0) + r["n"]))
+            hits = [next(x for x in at[asked.index(p)] if x[1] < k <= x[2]) for p, k in state]
+            state = [(p + (x[0],), k - int(x[1])) for (p, k), x in zip(state, hits, strict=True)]
+            continue
         numeric = kinds[c] in ("int", "bigint", "double", "float", "smallint", "tinyint") or kinds[c].startswith("decimal")
         if numeric:
             known = cumulated(counts.filter("value IS NOT NULL").select("of", (-F.col("value").cast("double")).alias("s"), "value", F.lit(0.0).alias("p"), "n"), "of").select("of", "value", "n", F.col("c").alias("upto"))
