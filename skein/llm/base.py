@@ -96,6 +96,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES
             used += n
         if batch.num_rows > start:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds little
 
 
 def numbered(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:

@@ -109,20 +109,17 @@ def _count(t: pa.Table) -> pa.Table:
     shared: list[bytes | None] = [None] * len(t)
     if parts:
         every = np.concatenate(parts)
-        ordered = np.sort(every)
-        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        common = np.zeros(len(every) + 1, np.int64)
-        if len(twice):
-            place = np.minimum(np.searchsorted(twice, every), len(twice) - 1)
-            np.cumsum(twice[place] == every, out=common[1:])
-        start = 0
+        every.sort()
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        del every
         counts = t.column("counts").to_pylist()
-        for i in np.flatnonzero(of).tolist():
-            n = len(own[i]) // 4
+        for i, part in zip(np.flatnonzero(of).tolist(), parts, strict=True):  # part by part, as a bucket is large
+            common = np.zeros(len(part) + 1, np.int64)
+            if len(twice):
+                place = np.minimum(np.searchsorted(twice, part), len(twice) - 1)
+                np.cumsum(twice[place] == part, out=common[1:])
             c = np.frombuffer(counts[i], counts[i][:2].decode(), offset=2)
-            ends = start + np.append(0, np.cumsum(c, dtype=np.int64))
-            shared[i] = np.diff(common[ends]).astype(np.uint32).tobytes()
-            start += n
+            shared[i] = np.diff(common[np.append(0, np.cumsum(c, dtype=np.int64))]).astype(np.uint32).tobytes()
     return pa.table({"step": t.column("step"), "shared": pa.array(shared, pa.binary()), "ids": t.column("ids"), "keys": t.column("keys"), "sizes": t.column("sizes"), "digests": t.column("digests")})
 
 
