@@ -127,8 +127,8 @@ def shingle_counts(docs: DataFrame, block: Windows) -> np.ndarray:
 
     out = np.zeros(len(block.shingles), np.int64)
     if len(out):
-        for r in docs.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect():  # at most the block's shingles
-            out[r["shingle"]] = r["n"]
+        found = docs.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).toArrow()  # at most the block's shingles
+        out[found.column("shingle").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
