@@ -4,6 +4,7 @@ from __future__ import annotations
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_LETTERS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
 _SPACED = r"'[^\x20\x09-\x0D]+'"
 
 JACCARD_JOIN = f"""
@@ -62,3 +63,26 @@ WITH RECURSIVE e AS MATERIALIZED (
 SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, c.component_id = v.vec_id AS kept
 FROM embeddings v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id
 """
+
+SOURCE_DIVERGENCE = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER}, {_LETTERS}) AS w FROM documents
+), t AS MATERIALIZED (SELECT k, lang, source, unnest(w) AS term FROM d
+), v AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT k) >= 30
+), n AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t JOIN v USING (lang, term) GROUP BY ALL
+), g AS MATERIALIZED (SELECT g.lang, g.source, coalesce((SELECT sum(n.n) FROM n WHERE n.lang = g.lang AND n.source = g.source), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) g
+), l AS MATERIALIZED (SELECT lang, count(*) AS kept, sum(n) AS total FROM v GROUP BY lang
+), p AS MATERIALIZED (
+  SELECT g.lang, g.source, v.term, coalesce(n.n, 0) AS n,
+    1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n.n, 0) + 5)) // CAST(g.total + 5 * l.kept AS HUGEINT) AS p, 1 + (CAST(1000000000 AS HUGEINT) * (v.n + 5)) // CAST(l.total + 5 * l.kept AS HUGEINT) AS q
+  FROM g JOIN l USING (lang) JOIN v USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = v.term
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce((SELECT sum(abs(x.p - y.p)) FROM p x JOIN p y USING (lang, term) WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+), r AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pair
+  UNION ALL
+  SELECT * FROM (SELECT lang, source, 'term' AS part, term AS item, p - q AS value, row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) AS rank FROM p WHERE n > 0 AND p > q) WHERE rank <= 50
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r
+"""

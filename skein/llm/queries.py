@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, jaccard, language, lattice, licenses, lm, main_text, mixing, oracles, secrets, token_counts
+from . import decontamination, divergence, jaccard, language, lattice, licenses, lm, main_text, mixing, oracles, secrets, token_counts, whitening
 from .base import table
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -58,9 +58,17 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_docs.withColumnRenamed("id", "doc_id").unionByName(of_pages.withColumnRenamed("id", "page_id"), allowMissingColumns=True)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_jaccard_join, op3_decontamination, op4_licenses, op5_token_counts, op6_near_vectors, op7_lm_scores, op8_main_text, op9_mixing, op10_language)}
+    return {f.__name__: f for f in (op1_secrets, op2_jaccard_join, op3_decontamination, op4_licenses, op5_token_counts, op6_near_vectors, op7_lm_scores, op8_main_text, op9_mixing, op10_language, op12_source_divergence, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": oracles.JACCARD_JOIN, "op3_decontamination": oracles.DECONTAMINATION, "op6_near_vectors": oracles.NEAR_VECTORS}
+    return {"op2_jaccard_join": oracles.JACCARD_JOIN, "op3_decontamination": oracles.DECONTAMINATION, "op6_near_vectors": oracles.NEAR_VECTORS, "op12_source_divergence": oracles.SOURCE_DIVERGENCE}
