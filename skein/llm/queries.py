@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, divergence, jaccard, language, lattice, licenses, lm, main_text, mixing, oracles, secrets, token_counts, whitening
+from . import decontamination, divergence, jaccard, language, lattice, licenses, lm, main_text, mixing, neighbours, oracles, secrets, token_counts, whitening
 from .base import table
 
 TOKENIZER, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -58,6 +58,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_docs.withColumnRenamed("id", "doc_id").unionByName(of_pages.withColumnRenamed("id", "page_id"), allowMissingColumns=True)
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -67,7 +71,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_secrets, op2_jaccard_join, op3_decontamination, op4_licenses, op5_token_counts, op6_near_vectors, op7_lm_scores, op8_main_text, op9_mixing, op10_language, op12_source_divergence, op13_whitening)}
+    return {f.__name__: f for f in (op1_secrets, op2_jaccard_join, op3_decontamination, op4_licenses, op5_token_counts, op6_near_vectors, op7_lm_scores, op8_main_text, op9_mixing, op10_language, op11_nearest, op12_source_divergence, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
