@@ -55,12 +55,43 @@ def curve_metrics(df: DataFrame, score: str, label: str, weight: str | None = No
 FEW = 4096
 
 
+def _plain(v):
+    """Bytes that can stand in a set."""
+    return bytes(v) if isinstance(v, bytearray) else v
+
+
+def _place(v) -> tuple:
+    """What a value sorts by as Spark's ascending order, nulls last: NaN after all numbers."""
+    return (v is None, False, 0) if v is None else (False, v != v, 0 if v != v else v)
+
+
+def _narrowed(counts: DataFrame, wanted: list[tuple[int, int]], before: list[tuple]) -> list[tuple[tuple, int]]:
+    """The value at each wanted rank among the ``counts`` (of, value, n) of its ``of``, put behind the values before it, and the rank among the rows with it.
+
+    Values are dealt in ranges of their own order, of whatever type; the ranges' sums tell in which one a rank
+    falls, and running sums within those ranges alone find the value. No task sees all values.
+    """
+    spark = counts.sparkSession
+    order = [F.asc("of"), F.asc_nulls_last("value")]
+    ranged = materialize(counts.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("part", F.spark_partition_id()), "ranges")
+    upto: dict[int, list] = {}
+    for r in ranged.groupBy("of", "part").agg(F.sum("n").alias("n")).orderBy("of", "part").collect():  # a row for each range, and one more for each ``of``
+        own = upto.setdefault(r["of"], [])
+        own.append((r["part"], own[-1][2] if own else 0.0, (own[-1][2] if own else 0.0) + r["n"]))
+    at = [next(x for x in upto[of] if x[1] < k <= x[2]) for of, k in wanted]
+    listed = spark.createDataFrame([(of, x[0], float(k - x[1]), i) for i, ((of, k), x) in enumerate(zip(wanted, at, strict=True))], "of int, part int, k double, i int")
+    inside = ranged.join(F.broadcast(listed.select("of", "part").distinct()), ["of", "part"]).withColumn("upto", F.sum("n").over(Window.partitionBy("of", "part").orderBy(F.asc_nulls_last("value"))))
+    hit = {r["i"]: r for r in inside.join(F.broadcast(listed), ["of", "part"]).filter("upto - n < k AND k <= upto").select("i", "value", (F.col("upto") - F.col("n")).alias("before")).collect()}
+    return [(p + (_plain(hit[i]["value"]),), int(k - at[i][1] - hit[i]["before"])) for i, (p, (_, k)) in enumerate(zip(before, wanted, strict=True))]
+
+
 def keys_at(df: DataFrame, order: list[str], ranks: list[int]) -> list[tuple]:
     """The keys at the given ranks (from 1) of all rows by the ascending ``order`` columns, nulls last.
 
     A selection, not a sort: for one column after the other, rows are counted by value among those
     that still tie with a sought key, and the value at which a rank falls is kept; at most one row for
-    each rank reaches the driver. The last ties, of ``FEW`` rows at most, are settled there.
+    each rank reaches the driver. The last ties, of ``FEW`` rows at most, are settled there. Values are
+    compared as they are: integers and decimals of any size, text and bytes are exact.
     """
     spark, kinds = df.sparkSession, dict(df.dtypes)
     state = [((), r) for r in ranks]  # each rank's values so far, and its rank among the rows that share them
@@ -73,30 +104,19 @@ def keys_at(df: DataFrame, order: list[str], ranks: list[int]) -> list[tuple]:
             rows = df.join(F.broadcast(listed), [df[x].eqNullSafe(listed[f"__{x}"]) for x in order[:j]])
             few = rows.select("of", *order[j:]).limit(FEW + 1).collect()
             if len(few) <= FEW:
-                last = lambda v: tuple((x is None, x) if x is not None else (True, 0) for x in v)
-                return [p + sorted([tuple(r)[1:] for r in few if r["of"] == asked.index(p)], key=last)[k - 1] for p, k in state]
+                return [p + sorted([tuple(map(_plain, r))[1:] for r in few if r["of"] == asked.index(p)], key=lambda v: tuple(map(_place, v)))[k - 1] for p, k in state]
             rows = rows.select("of", F.col(c).alias("value"))
         counts = rows.groupBy("of", "value").agg(F.count("*").cast("double").alias("n"))
         some = counts.limit(FEW + 1).collect()
         if len(some) <= FEW:  # few values: their running sums need no window
             at: dict[int, list] = {}
-            for r in sorted(some, key=lambda r: (r["of"], r["value"] is None, 0 if r["value"] is None else r["value"])):
+            for r in sorted(some, key=lambda r: (r["of"], _place(r["value"]))):
                 own = at.setdefault(r["of"], [])
-                own.append((r["value"], own[-1][2] if own else 0.0, (own[-1][2] if own else 0.0) + r["n"]))
+                own.append((_plain(r["value"]), own[-1][2] if own else 0.0, (own[-1][2] if own else 0.0) + r["n"]))
             hits = [next(x for x in at[asked.index(p)] if x[1] < k <= x[2]) for p, k in state]
             state = [(p + (x[0],), k - int(x[1])) for (p, k), x in zip(state, hits, strict=True)]
             continue
-        numeric = kinds[c] in ("int", "bigint", "double", "float", "smallint", "tinyint") or kinds[c].startswith("decimal")
-        if numeric:
-            known = cumulated(counts.filter("value IS NOT NULL").select("of", (-F.col("value").cast("double")).alias("s"), "value", F.lit(0.0).alias("p"), "n"), "of").select("of", "value", "n", F.col("c").alias("upto"))
-            total = known.groupBy("of").agg(F.sum("n").alias("known"))
-            null = counts.filter("value IS NULL").join(F.broadcast(total), "of", "left").select("of", "value", "n", (F.col("n") + F.coalesce("known", F.lit(0.0))).alias("upto"))
-            upto = known.unionByName(null)
-        else:
-            upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("of").orderBy(F.asc_nulls_last("value"))))
-        want = spark.createDataFrame([(asked.index(p), float(k), i) for i, (p, k) in enumerate(state)], "of int, k double, i int")
-        hit = {r["i"]: (r["value"], r["upto"] - r["n"]) for r in upto.join(F.broadcast(want), "of").filter("upto - n < k AND k <= upto").select("i", "value", "upto", "n").collect()}
-        state = [(p + (hit[i][0],), k - int(hit[i][1])) for i, (p, k) in enumerate(state)]
+        state = _narrowed(counts, [(asked.index(p), k) for p, k in state], [p for p, _ in state])
     return [p for p, _ in state]
 
 

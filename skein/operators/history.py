@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..steps import discard, materialize, written
+
+#: Rows of a group whose median one task may take; buckets of a larger group's histogram; rows that end its narrowing.
+WHOLE, BUCKETS, FEW = 100_000, 1024, 4096
+
 
 def _null_key(keys: list[str]):
     cond = F.col(keys[0]).isNull()
@@ -33,10 +38,54 @@ def smoothed_rate(history: DataFrame, target: DataFrame, keys: list[str], label:
     return out.select(*target.columns, F.coalesce("__rate", "__prior").alias(name), F.coalesce("__lift", F.lit(1.0)).alias(f"{name}_lift"))
 
 
+def medians_by(df: DataFrame, keys: list[str], values: dict[str, str], *, whole: int = WHOLE, buckets: int = BUCKETS, few: int = FEW) -> DataFrame:
+    """``keys`` and the exact, interpolated median of each value column (name to column) for every group of known keys; nulls and NaN are skipped.
+
+    Groups of ``whole`` rows at most are taken each by one task. For all larger groups together, histograms (rows by
+    group and bucket, summed in tasks) narrow the range in which each middle rank lies, until it holds ``few`` rows or one
+    value: no task sees a large group. Their ranges are a table with a row for each rank, of which there are two for each ``whole`` rows at most.
+    """
+    known = df.filter(~_null_key(keys)).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *[F.col(v).cast("double").alias(f"__v{i}") for i, v in enumerate(values.values())])
+    group = [f"__k{i}" for i in range(len(keys))]
+    sizes = known.groupBy(*group).count()
+    large = materialize(sizes.filter(F.col("count") > whole).select(*group), "large")
+    named = lambda d: d.select(*[F.col(g).alias(k) for g, k in zip(group, keys, strict=True)], *values)
+    middle = [F.median(F.when(~F.isnan(f"__v{i}"), F.col(f"__v{i}"))).alias(n) for i, n in enumerate(values)]
+    if large.isEmpty():
+        return named(known.groupBy(*group).agg(*middle))
+    mark = known.join(F.broadcast(large.withColumn("__large", F.lit(True))), group, "left")
+    small = mark.filter("__large IS NULL").groupBy(*group).agg(*middle)
+    rows = mark.filter("__large").select(*group, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"__v{i}").alias("v")) for i in range(len(values))])).alias("x")).select(*group, "x.i", "x.v").filter("v IS NOT NULL AND NOT isnan(v)")
+    rows = materialize(rows, "values")
+    at = [*group, "i"]
+    half = F.floor(F.col("n") / 2)
+    ranks = F.array_distinct(F.array(F.floor((F.col("n") + 1) / 2), half + 1))
+    state, place = written(rows.groupBy(*at).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("*").alias("n")).withColumn("rank", F.explode(ranks)).withColumn("k", F.col("rank")), "ranges")
+    settled = (F.col("lo") == F.col("hi")) | (F.col("n") <= few)
+    while not state.filter(~settled).isEmpty():
+        open_ = state.filter(~settled)
+        # overflow of hi - lo gives an infinite width and bucket 0 or NaN; halves avoid it
+        share = (F.col("v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1).cast("long"))
+        counts = rows.join(F.broadcast(open_.drop("n")), at).filter("v >= lo AND v <= hi").groupBy(*at, "rank", "k", bucket.alias("b")).agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        below = F.sum("n").over(Window.partitionBy(*at, "rank").orderBy("b")) - F.col("n")  # over the buckets
+        hit = counts.withColumn("below", below).filter("below < k AND k <= below + n").select(*at, "lo", "hi", "n", "rank", (F.col("k") - F.col("below")).alias("k"))
+        after, path = written(state.filter(settled).unionByName(hit), "ranges")
+        discard(df.sparkSession, place)
+        state, place = after, path
+    one = state.filter("lo = hi").select(*at, "rank", F.col("lo").alias("v"))
+    some = rows.join(F.broadcast(state.filter("lo < hi")), at).filter("v >= lo AND v <= hi")
+    some = some.withColumn("r", F.row_number().over(Window.partitionBy(*at, "rank").orderBy("v"))).filter("r = k").select(*at, "rank", "v")  # few rows each
+    found = one.unionByName(some).groupBy(*at).agg((F.min("v") / 2 + F.max("v") / 2).alias("v"))
+    wide = found.groupBy(*group).agg(*[F.max(F.when(F.col("i") == i, F.col("v"))).alias(n) for i, n in enumerate(values)])
+    wide = large.join(wide, group, "left").select(*group, *values)  # a group of nulls has a null
+    return named(small.unionByName(wide))
+
+
 def group_median(history: DataFrame, target: DataFrame, keys: list[str], value: str, name: str = "median") -> DataFrame:
     """``target`` with the exact, interpolated median of the history's group; null for unseen groups and groups of nulls."""
-    med = history.filter(~_null_key(keys) & F.col(value).isNotNull()).groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.median(value).alias(name))
-    return target.join(med, [target[k] == med[f"__{k}"] for k in keys], "left").select(*target.columns, name)
+    med = medians_by(history, keys, {"__median": value}).select(*[F.col(k).alias(f"__{k}") for k in keys], "__median")
+    return target.join(med, [target[k] == med[f"__{k}"] for k in keys], "left").select(*target.columns, F.col("__median").alias(name))
 
 
 def previous_month(df: DataFrame, keys: list[str], month: str, label: str, weight: float = 50.0, name: str = "prev") -> DataFrame:
@@ -67,6 +116,6 @@ def previous_months(df: DataFrame, target: DataFrame, month: str, label: str, ra
         rate = (F.coalesce("__p", F.lit(0.0)) + weight * F.col("__prior")) / (F.coalesce("__n", F.lit(0)) + weight)
         out = out.withColumn(name, F.when(F.col("__prior") > 0, rate / F.col("__prior")) if relative else rate).drop(*[f"__{k}" for k in keys], "__km", "__p", "__n")
     if medians:
-        mid = df.filter(~_null_key(median_keys)).groupBy(*[F.col(k).alias(f"__{k}") for k in median_keys], (F.col(month) + 1).alias("__km")).agg(*[F.median(v).alias(n) for n, v in medians.items()])
+        mid = medians_by(df, [*median_keys, month], medians).select(*[F.col(k).alias(f"__{k}") for k in median_keys], (F.col(month) + 1).alias("__km"), *medians)
         out = out.join(mid, [out[k] == mid[f"__{k}"] for k in median_keys] + [out[month] == mid["__km"]], "left")
     return out.select(*target.columns, *rates, *medians)

@@ -123,14 +123,15 @@ def linear_parts(model: tuple[PipelineModel, dict[str, float]], numeric: list[st
     return {c: float(weights[i] / spread[i]) if spread[i] else 0.0 for i, c in enumerate(numeric)}, {c: float(means[i]) for i, c in enumerate(numeric)}
 
 
-def top_reasons(parts: str = "contributions", n: int = 3, unknown: dict[str, str] | None = None) -> Column:
+def top_reasons(parts: str = "contributions", n: int = 3, unknown: dict[str, str] | None = None, text: bool = False) -> Column:
     """Text of the n parts that move the score most, either way, by absolute value; ties by the order of the features.
 
-    A null value reads as the words that ``unknown`` gives for the feature, else "n/a".
+    A null value reads as the parts' ``text`` where they have one and it is not null, then as the words that ``unknown`` gives for the feature, else "n/a".
     """
-    order = F.array_sort(F.transform(parts, lambda x, i: F.struct((-F.abs(x["part"])).alias("k"), i.alias("i"), x["feature"].alias("feature"), x["value"].alias("value"), x["part"].alias("part"))))
+    own = lambda x: x["text"] if text else F.lit(None).cast("string")
+    order = F.array_sort(F.transform(parts, lambda x, i: F.struct((-F.abs(x["part"])).alias("k"), i.alias("i"), x["feature"].alias("feature"), x["value"].alias("value"), x["part"].alias("part"), own(x).alias("text"))))
     words = F.create_map(*[F.lit(v) for kv in (unknown or {"": ""}).items() for v in kv])
-    shown = lambda x: F.coalesce(F.when(x["value"].isNotNull(), F.format_string("%.1f", x["value"])), F.try_element_at(words, x["feature"]), F.lit("n/a"))
+    shown = lambda x: F.coalesce(F.when(x["value"].isNotNull(), F.format_string("%.1f", x["value"])), x["text"], F.try_element_at(words, x["feature"]), F.lit("n/a"))
     return F.array_join(F.transform(F.slice(order, 1, n), lambda x: F.concat(x["feature"], F.lit(" = "), shown(x), F.lit(" ("), F.format_string("%+.3f", x["part"]), F.lit(")"))), "; ")
 
 

@@ -192,3 +192,46 @@ def test_planted_faults_are_counted(spark):
     assert leakage.differences(of("inb_known_delay_min", 77), built, "key", ["inb_known_delay_min"]).first()["mismatches"] == 1
     bad = legs.withColumns({"actual_dep": F.when(F.col("key") == 2, F.lit(None)).when(F.col("key") == 3, F.lit(0)).otherwise(F.col("actual_dep")), "sched_dep": F.when(F.col("key") == 4, F.lit(None)).otherwise(F.col("sched_dep"))})
     assert features.invariants(bad).first().asDict() == {"dep_time_delay_mismatch": 1, "arr_time_delay_mismatch": 0, "departed_before_cutoff": 1, "arrived_before_cutoff": 0, "no_time": 1}
+
+
+@pytest.mark.parametrize("few", [4096, 20])
+@pytest.mark.parametrize("kind", ["bigint", "string", "binary", "decimal(38,2)", "double"])
+def test_ranks_by_values_as_they_are(spark, monkeypatch, few, kind):
+    """Ties settled by ids above 2^53, text, bytes, decimals, and doubles with NaN: as a sort would."""
+    from decimal import Decimal
+
+    monkeypatch.setattr(evaluation, "FEW", few)
+    make = {"bigint": lambda i: 2**60 + i, "string": lambda i: f"{'é' if i % 3 else 'Z'}{i:05d}", "binary": lambda i: bytes([i % 251, i // 251]), "decimal(38,2)": lambda i: Decimal(f"1{i + 10**25:029d}.{i % 100:02d}"), "double": lambda i: float("nan") if i % 50 == 0 else i / 7}[kind]
+    values = [make(i) for i in range(600)] + [None] * 9
+    df = spark.createDataFrame([(0.5, v) for v in values], f"s double, id {kind}").repartition(5)
+    order = sorted(values, key=lambda v: (v is None, v != v, 0 if v is None or v != v else v.encode() if kind == "string" else v))
+    ranks = [1, 2, 300, 301, 588, 600, 601, 609]
+    got = [k[1] for k in evaluation.keys_at(df, ["s", "id"], ranks)]
+    assert [str(v) for v in got] == [str(order[r - 1]) for r in ranks]
+    flagged = evaluation.top_share(df, "s", 0.2, ["id"]).filter("flagged = 1").select("id").collect()
+    assert sorted(str(r[0]) for r in flagged) == sorted(str(v) for v in order[: round(0.2 * 609)])
+
+
+@pytest.mark.parametrize(("whole", "buckets", "few"), [(10**6, 1024, 4096), (50, 4, 3), (50, 1024, 10), (0, 2, 1)])
+def test_medians_of_hot_groups(spark, whole, buckets, few):
+    """Half of all rows in one group, heavy tails, ties, nulls and NaN; any size of groups goes either way."""
+    import random
+    from statistics import median
+
+    rng = random.Random(4)
+    rows = [("hot", 1, rng.lognormvariate(0, 6), None) for _ in range(801)] + [("ties", 1, float(rng.randint(0, 2)), 1.0) for _ in range(300)] + [("wide", 2, rng.choice([-1e308, 1e308, 0.0]), 2.0) for _ in range(120)]
+    rows += [(f"g{i % 60}", None if i % 7 == 0 else i % 3, rng.gauss(0, 1), float(i)) for i in range(600)] + [("none", 1, None, None), ("none", 1, float("nan"), None), (None, 1, 5.0, 5.0), ("two", 1, 1.0, 9.0), ("two", 1, 2.0, None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, m int, v double, w double").repartition(6)
+    got = {(r["g"], r["m"]): (r["a"], r["b"]) for r in history.medians_by(df, ["g", "m"], {"a": "v", "b": "w"}, whole=whole, buckets=buckets, few=few).collect()}
+    want = {}
+    for g, m, v, w in rows:
+        if g is not None and m is not None:
+            own = want.setdefault((g, m), ([], []))
+            for x, y in zip((v, w), own, strict=True):
+                if x is not None and x == x:
+                    y.append(x)
+    assert set(got) == set(want)
+    for k, (v, w) in want.items():
+        for x, y in zip(got[k], (v, w), strict=True):
+            assert (x is None) == (not y) and (x is None or x == pytest.approx(median(sorted(y)) if abs(y[0]) < 1e307 else sorted(y)[(len(y) - 1) // 2] / 2 + sorted(y)[len(y) // 2] / 2, rel=1e-12))
