@@ -36,6 +36,8 @@ from ..steps import discard, written
 #: Codes of a byte; rows of a block; trees between two writings of the margins; bits of a gradient's unit.
 CODES, BLOCK, WRITTEN, UNIT_BITS = 256, 1 << 16, 10, 36
 CATEGORIES = 254
+#: Histograms that one task takes at least before there is a further one.
+TASK_SPLITS = 64
 #: Smoothing of a text value's mean gradient, further penalty of its splits, and most values on the lesser side.
 TEXT_SMOOTHING, TEXT_PENALTY, TEXT_MOST = 10.0, 10.0, 32
 LEAST_CURVATURE = 1e-3
@@ -268,7 +270,9 @@ def _splits(blocks: DataFrame, model: Model, since: list[Tree], tree: Tree, open
         kinds = [pa.int32(), pa.int32(), pa.float64(), pa.binary()] + [pa.float64()] * 6
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kinds[i]) for i in range(len(names))], names)
 
-    dealt = blocks.mapInArrow(count, "node int, column int, sums binary").repartition("node", "column").sortWithinPartitions("node", "column")
+    # few histograms are not worth a task each
+    tasks = max(1, min(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), len(open_) * len(columns) // TASK_SPLITS))
+    dealt = blocks.mapInArrow(count, "node int, column int, sums binary").repartition(tasks, "node", "column").sortWithinPartitions("node", "column")
     return dealt.mapInArrow(choose, SPLITS).collect()
 
 

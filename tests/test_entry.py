@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 
 #: Queries without SQL, and why.
 NO_SQL = {
-    "bootstrap_ci": "resamples drawn by a seeded generator", "feature_ablation": "fitted models", "gbt_scores": "fitted trees", "logistic_scores": "a fitted model", "model_reasons": "a fitted model",
+    "boosted_importance": "fitted trees", "boosted_reasons": "fitted trees", "boosted_scores": "fitted trees", "bootstrap_ci": "resamples drawn by a seeded generator", "feature_ablation": "fitted models", "gbt_scores": "fitted trees", "logistic_scores": "a fitted model", "model_reasons": "a fitted model",
     "platt_diagnostic": "a fitted model", "tree_importance": "fitted trees",
 }
 
