@@ -285,10 +285,10 @@ def build(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
 # greedy search
 
-STATE = "q long, packed binary, pool array<long>, scores array<float>, opened array<boolean>, frontier array<long>"
+STATE = "q long, packed binary, pool array<long>, scores array<float>, opened array<boolean>, frontier array<long>, seen array<long>"
 
 
-def _state(parts: list[tuple], names: pa.Array, packed: pa.Array, step: int) -> pa.RecordBatch:
+def _state(parts: list[tuple], names: pa.Array, packed: pa.Array, seen: pa.Array | None, step: int) -> pa.RecordBatch:
     """A state row for each query from its pool (ids, scores, opened): the best ``step`` that are not opened are the next frontier, and opened then."""
     pool, scores, opened, frontier = [], [], [], []
     for ids, score, done in parts:
@@ -299,7 +299,9 @@ def _state(parts: list[tuple], names: pa.Array, packed: pa.Array, step: int) ->
         pool.append(ids)
         scores.append(score)
         opened.append(done)
-    return pa.RecordBatch.from_arrays([names, packed, pa.array(pool, pa.list_(pa.int64())), pa.array(scores, pa.list_(pa.float32())), pa.array(opened, pa.list_(pa.bool_())), pa.array(frontier, pa.list_(pa.int64()))], ["q", "packed", "pool", "scores", "opened", "frontier"])
+    pool = pa.array(pool, pa.list_(pa.int64()))
+    columns = [names, packed, pool, pa.array(scores, pa.list_(pa.float32())), pa.array(opened, pa.list_(pa.bool_())), pa.array(frontier, pa.list_(pa.int64())), pool if seen is None else seen]
+    return pa.RecordBatch.from_arrays(columns, ["q", "packed", "pool", "scores", "opened", "frontier", "seen"])
 
 
 def search(index: Index, wanted: DataFrame, k: int, *, beam: int = BEAM, step: int = STEP) -> DataFrame:
@@ -320,7 +322,7 @@ def search(index: Index, wanted: DataFrame, k: int, *, beam: int = BEAM, step: i
                 ids, score = np.array(list(found), np.int64), np.array(list(found.values()), np.float32)
                 o = np.argsort(-score, kind="stable")[:beam]
                 parts.append((ids[o], score[o], np.zeros(len(o), bool)))
-            yield _state(parts, b.column("q"), b.column("packed"), step)
+            yield _state(parts, b.column("q"), b.column("packed"), None, step)
 
     def further(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -336,10 +338,10 @@ def search(index: Index, wanted: DataFrame, k: int, *, beam: int = BEAM, step: i
                     o = np.argsort(-score, kind="stable")[:beam]
                     ids, score, opened = ids[o], score[o], opened[o]
                 parts.append((ids, score, opened))
-            yield _state(parts, b.column("q"), b.column("packed"), step)
+            yield _state(parts, b.column("q"), b.column("packed"), b.column("seen"), step)
 
     spark, done = wanted.sparkSession, []
-    state, place = written(bounded(wanted).select("q", "packed", "start").mapInArrow(start, STATE).withColumn("seen", F.col("pool")), "search")
+    state, place = written(bounded(wanted).select("q", "packed", "start").mapInArrow(start, STATE), "search")
     while True:
         done.append(materialize(state.filter(F.size("frontier") == 0).select("q", "packed", "pool"), "found"))
         active = state.filter(F.size("frontier") > 0)
@@ -347,11 +349,11 @@ def search(index: Index, wanted: DataFrame, k: int, *, beam: int = BEAM, step: i
             break
         opened = active.select("q", F.explode("frontier").alias("class")).join(index.graph, "class")
         reached = opened.groupBy("q").agg(F.flatten(F.collect_list("near")).alias("reached"))  # step lists at most
-        unseen = materialize(active.select("q", "seen").join(reached, "q").select("q", F.array_except("reached", "seen").alias("fresh")), "unseen")
+        fresh = F.coalesce(F.array_except("reached", "seen"), F.array().cast("array<long>"))
+        unseen, held = written(active.drop("frontier").join(reached, "q", "left").withColumn("fresh", fresh).drop("reached").withColumn("seen", F.concat("seen", "fresh")), "unseen")
         found = unseen.select("q", F.explode("fresh").alias("class")).join(index.nodes, "class").groupBy("q").agg(F.collect_list(F.struct("class", "code")).alias("found"))
-        moved = active.drop("frontier", "seen").join(found, "q", "left").select("q", "packed", "pool", "scores", "opened", "found").mapInArrow(further, STATE)
-        seen = active.select("q", "seen").join(unseen, "q", "left").select("q", F.concat("seen", F.coalesce("fresh", F.array().cast("array<long>"))).alias("seen"))
-        after, path = written(moved.join(seen, "q"), "search")
+        after, path = written(unseen.drop("fresh").join(found, "q", "left").select("q", "packed", "pool", "scores", "opened", "seen", "found").mapInArrow(further, STATE), "search")
+        discard(spark, held)
         discard(spark, place)
         state, place = after, path
     every = done[0]
