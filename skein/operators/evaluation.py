@@ -213,21 +213,118 @@ def random_baseline(df: DataFrame, label: str, share: float) -> DataFrame:
     return df.agg(F.avg(F.col(label).cast("double")).alias("base_rate")).select(F.round("base_rate", 4).alias("average_precision"), F.round("base_rate", 4).alias("precision"), F.lit(share).alias("recall"))
 
 
-def day_bootstrap(df: DataFrame, day: str, label: str, score_a: str, score_b: str, *, reps: int = 200, seed: int = 42) -> DataFrame:
-    """Differences a - b of ROC AUC and average precision for each resample of days.
+#: Ranges of scores, each of which one task cumulates for all resamples; rows that it takes at a time.
+RANGES, SLAB = 256, 20_000
+
+
+def day_draws(days: list, reps: int, seed: int) -> np.ndarray:
+    """How often each resample (a column) draws each day (a row)."""
+    rng = np.random.RandomState(seed)
+    return np.stack([np.bincount(rng.randint(0, len(days), len(days)), minlength=len(days)) for _ in range(reps)], axis=1) if days else np.zeros((0, reps), np.int64)
+
 
-    The driver draws how often each day counts (days only, never rows); the draws are joined as
-    weights, and all resamples and both scores are evaluated by one grouped curve.
+def resampled(df: DataFrame, day: str, label: str, scores: dict[str, str], draws: dict, *, ranges: int = RANGES) -> DataFrame:
+    """which, rep, rows, positives, roc_auc and average_precision of each score (name to column) in each resample.
+
+    ``draws``: day to the weights of its rows, an integer for each resample; a day that it lacks counts for none. Rows are summed
+    by score and day once, and never multiplied: a row takes its day's weights as an array, and all resamples' running sums go
+    element by element over arrays. Scores are dealt in ranges of about equally many; what stands above a range comes from
+    sums by range and day, so ranges run in as many tasks. Rows with a null or NaN score, or without a label or day, are left out; null areas if a
+    resample holds one class only. The weights (days by resamples) go with the tasks.
     """
-    spark = df.sparkSession
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    spark, names = df.sparkSession, list(scores)
+    order = {d: i for i, d in enumerate(draws)}
+    reps = len(next(iter(draws.values()))) if draws else 0
+    weights = np.array(list(draws.values()), np.float64).reshape(len(draws), reps)
+    known = spark.createDataFrame(list(order.items()), f"__day {df.schema[day].dataType.simpleString()}, at int")
+    made = F.array(*[F.struct(F.lit(i).alias("which"), F.col(c).cast("double").alias("s")) for i, c in enumerate(scores.values())])
+    long = df.filter(F.col(label).isNotNull()).select(F.col(day).alias("__day"), (F.col(label) == 1).cast("long").alias("y"), F.explode(made).alias("x")).select("__day", "y", "x.which", "x.s").filter("s IS NOT NULL AND NOT isnan(s)")
+    counts = long.join(F.broadcast(known), "__day").groupBy("which", "s", "at").agg(F.sum("y").alias("p"), F.count("*").alias("n"))
+    counts = materialize(counts.withColumn("s", F.col("s") + 0.0), "counts")  # one zero
+    shares = [k / ranges for k in range(1, ranges)]
+    cuts = {r["which"]: np.unique(r["q"]) for r in counts.groupBy("which").agg(F.percentile_approx("s", shares, 100 * ranges).alias("q")).collect()} if shares else {}
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            which, s = (b.column(c).to_numpy() for c in ("which", "s"))
+            part = np.zeros(len(s), np.int32)
+            for w, q in cuts.items():
+                part[which == w] = np.searchsorted(q, s[which == w], side="left")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(part)], [*b.schema.names, "part"])
+
+    dealt = counts.mapInArrow(deal, "which int, s double, at int, p long, n long, part int")
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, p, n in _grouped(batches, False):
+            yield pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([p.sum(axis=0)], pa.list_(pa.float64())), pa.array([n.sum(axis=0)], pa.list_(pa.float64()))], ["which", "part", "p", "n"])
+
+    def _grouped(batches: Iterator[pa.RecordBatch], by_score: bool) -> Iterator[tuple]:
+        """(which, part), and weighted positives and rows of its distinct scores (or of the range), highest first, a slab at a time; rows come in that order."""
+        held = None
+        for b in batches:
+            for low in range(0, b.num_rows, SLAB):
+                part = b.slice(low, SLAB)
+                which, of, s, at, p, n = (part.column(c).to_numpy() for c in ("which", "part", "s", "at", "p", "n"))
+                first = np.ones(len(s), bool)
+                first[1:] = (which[1:] != which[:-1]) | (of[1:] != of[:-1]) | ((s[1:] != s[:-1]) if by_score else False)
+                start = np.flatnonzero(first)
+                w = weights[at]
+                ps, ns = np.add.reduceat(w * p[:, None], start, axis=0), np.add.reduceat(w * n[:, None], start, axis=0)
+                keys = list(zip(which[start].tolist(), of[start].tolist(), s[start].tolist() if by_score else [0.0] * len(start), strict=True))
+                if held and held[0] == keys[0]:  # goes on from the slab before
+                    ps[0] += held[1]
+                    ns[0] += held[2]
+                elif held:
+                    yield held[0][:2], held[1][None], held[2][None]
+                ends = [0, *[i for i in range(1, len(keys) - 1) if keys[i][:2] != keys[i - 1][:2]], len(keys) - 1]
+                for i, j in zip(ends[:-1], ends[1:], strict=True):
+                    if j > i:
+                        yield keys[i][:2], ps[i:j], ns[i:j]
+                held = (keys[-1], ps[-1], ns[-1])
+        if held:
+            yield held[0][:2], held[1][None], held[2][None]
+
+    sums = dealt.groupBy("which", "part", "at").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).withColumn("s", F.lit(0.0)).select("which", "s", "at", "p", "n", "part").repartition("which", "part").sortWithinPartitions("which", "part")
+    above: dict[tuple, tuple] = {}
+    whole = {i: (np.zeros(reps), np.zeros(reps)) for i in range(len(names))}
+    for r in sorted(sums.mapInArrow(total, "which int, part int, p array<double>, n array<double>").collect(), key=lambda r: (r["which"], -r["part"])):  # a row for each range
+        above[r["which"], r["part"]] = whole[r["which"]]
+        whole[r["which"]] = tuple(x + np.array(r[c]) for x, c in zip(whole[r["which"]], ("p", "n"), strict=True))
+
+    def cumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, tp, c, ap, auc = None, None, None, None, None
+        row = lambda: pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([ap], pa.list_(pa.float64())), pa.array([auc], pa.list_(pa.float64()))], ["which", "ap", "auc"])
+        for k, p, n in _grouped(batches, True):
+            if k != key:
+                if key is not None:
+                    yield row()
+                key, (tp, c), ap, auc = k, above[k], np.zeros(reps), np.zeros(reps)
+            tps, cs = tp + np.cumsum(p, axis=0), c + np.cumsum(n, axis=0)
+            ap = ap + (p * tps / np.where(cs > 0, cs, 1)).sum(axis=0)
+            auc = auc + ((n - p) * (tps - p / 2)).sum(axis=0)
+            tp, c = tps[-1], cs[-1]
+        if key is not None:
+            yield row()
+
+    out = {i: (np.zeros(reps), np.zeros(reps)) for i in range(len(names))}
+    ordered = dealt.repartition("which", "part").sortWithinPartitions("which", "part", F.desc("s"))
+    for r in sorted(ordered.mapInArrow(cumulate, "which int, ap array<double>, auc array<double>").collect(), key=lambda r: (r["which"], r["ap"])):  # a row for each range
+        out[r["which"]] = (out[r["which"]][0] + np.array(r["ap"]), out[r["which"]][1] + np.array(r["auc"]))
+    rows = []
+    for i, name in enumerate(names):
+        (p, n), (ap, auc) = whole[i], out[i]
+        rows += [(name, k, float(n[k]), float(p[k]), float(auc[k] / (p[k] * (n[k] - p[k]))) if 0 < p[k] < n[k] else None, float(ap[k] / p[k]) if p[k] > 0 else None) for k in range(reps)]
+    return spark.createDataFrame(rows, "which string, rep int, rows double, positives double, roc_auc double, average_precision double")
+
+
+def day_bootstrap(df: DataFrame, day: str, label: str, score_a: str, score_b: str, *, reps: int = 200, seed: int = 42) -> DataFrame:
+    """Differences a - b of ROC AUC and average precision for each resample of days; the driver draws days, never rows."""
     days = [r[0] for r in df.select(day).filter(F.col(day).isNotNull()).distinct().orderBy(day).collect()]
-    rng = np.random.RandomState(seed)
-    draws = [(rep, days[i], int(c)) for rep in range(reps) for i, c in enumerate(np.bincount(rng.randint(0, len(days), len(days)), minlength=len(days))) if c] if days else []
-    weights = spark.createDataFrame(draws, f"rep int, __day {df.schema[day].dataType.simpleString()}, __w int")
-    long = df.select(F.col(day).alias("__d"), F.col(label).alias("y"), F.explode(F.create_map(F.lit("a"), F.col(score_a).cast("double"), F.lit("b"), F.col(score_b).cast("double"))).alias("which", "score"))
-    by_day = long.filter("score IS NOT NULL AND y IS NOT NULL").groupBy("__d", "which", "score", "y").agg(F.count("*").alias("m"))
-    rows = by_day.join(weights, F.col("__d") == F.col("__day")).withColumn("w", F.col("m") * F.col("__w"))
-    found = curve_metrics(rows, "score", "y", "w", "rep", "which")
+    found = resampled(df, day, label, {"a": score_a, "b": score_b}, dict(zip(days, day_draws(days, reps, seed).tolist(), strict=True)))
     at = lambda m, k: F.max(F.when(F.col("which") == k, F.col(m)))
     return found.groupBy("rep").agg((at("roc_auc", "a") - at("roc_auc", "b")).alias("auc_roc_diff"), (at("average_precision", "a") - at("average_precision", "b")).alias("auc_pr_diff"))
 

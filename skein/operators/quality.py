@@ -98,30 +98,53 @@ def empty(df: DataFrame, name: str, severity: str = HARD) -> DataFrame:
 
 
 def suite(tables: dict[str, DataFrame], declared: dict[str, dict[str, list]]) -> DataFrame:
-    """Runs declared column tests: ``{table: {column: [test, ...]}}`` where a test is "unique", "not_null", ("in", values) or ("in_table", table, column); a ("warn", test) only warns.
+    """Runs declared column tests: ``{table: {column: [test, ...]}}`` where a test is "unique", ("unique_with", further columns), "not_null", ("in", values) or ("in_table", table, column); a ("warn", test) only warns.
 
-    All tests of one table's rows are one aggregate over one scan; uniqueness and relationships are
-    an aggregate or an anti join each.
+    Every table is read once, and all tests together are one exchange: a row tags itself with each test that it fails at
+    sight, and with its key for each test of uniqueness or reference; tags are counted by (test, key), in tasks first. Keys are
+    compared as text of the same type, so equal tags are equal keys. Nulls are judged by "not_null" only.
     """
-    parts = []
+    spark = next(iter(tables.values())).sparkSession
+    listed: list[tuple[int, str, str, str]] = []
+    tags: dict[str, list[Column]] = {}
+    long = lambda n: F.lit(n).cast("long")
+
+    def tag(table: str, i: int, when: Column, key: Column, own: int = 0, known: int = 0, bad: int = 0) -> None:
+        tags.setdefault(table, []).append(F.when(when, F.struct(F.lit(i).alias("i"), key.alias("key"), long(own).alias("own"), long(known).alias("known"), long(bad).alias("bad"))))
+
+    none = F.lit(None).cast("string")
     for name, columns in declared.items():
-        checks = []
         for c, tests in columns.items():
             for test in tests:
                 severity, test = (WARN, test[1]) if isinstance(test, tuple) and test[0] == "warn" else (HARD, test)
-                kind = test if isinstance(test, str) else test[0]
-                label = f"{name}.{c} {kind}"
+                kind, i = test if isinstance(test, str) else test[0], len(listed)
+                label = f"{name}.{c} {kind}" if kind != "unique_with" else f"{name}.{'+'.join([c, *test[1]])} unique"
+                listed.append((i, label, severity, "unique" if kind == "unique_with" else kind))
                 if kind == "not_null":
-                    checks.append(Check(label, F.col(c).isNull(), severity=severity))
+                    tag(name, i, F.col(c).isNull(), none, bad=1)
                 elif kind == "in":
-                    checks.append(Check(label, ~F.col(c).isin(list(test[1])), severity=severity))
+                    tag(name, i, ~F.col(c).isin(list(test[1])), none, bad=1)
                 elif kind == "unique":
-                    parts.append(unique(tables[name], [c], label, severity))
+                    tag(name, i, F.col(c).isNotNull(), F.col(c).cast("string"), own=1)
+                elif kind == "unique_with":
+                    every = [c, *test[1]]
+                    tag(name, i, reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in every]), F.to_json(F.struct(*[F.col(x).cast("string").alias(f"_{k}") for k, x in enumerate(every)])), own=1)
+                elif kind == "in_table":
+                    kinds = tables[test[1]].schema[test[2]].dataType
+                    tag(name, i, F.col(c).isNotNull(), F.col(c).cast(kinds).cast("string"), own=1)
+                    tag(test[1], i, F.col(test[2]).isNotNull(), F.col(test[2]).cast("string"), known=1)
                 else:
-                    parts.append(related(tables[name], c, tables[test[1]], test[2], label, severity))
-        if checks:
-            parts.append(row_checks(tables[name], checks))
-    return report(*parts)
+                    raise ValueError(f"no such test: {kind}")
+    tagged = [tables[t].select(F.explode(F.filter(F.array(*own), lambda x: x.isNotNull())).alias("x")).select("x.*") for t, own in tags.items()]
+    if not tagged:
+        return spark.createDataFrame([], "check_name string, severity string, unexpected_count long, passed boolean")
+    by_key = reduce(DataFrame.unionByName, tagged).groupBy("i", "key").agg(F.sum("own").alias("own"), F.sum("known").alias("known"), F.sum("bad").alias("bad"))
+    of = F.col("i").isin([i for i, _, _, k in listed if k == "unique"])
+    lost = F.when(of & (F.col("own") > 1), F.col("own")).when(~of & (F.col("known") == 0), F.col("own")).otherwise(0)
+    found = by_key.groupBy("i").agg(F.sum(lost + F.col("bad")).alias("n"))
+    names = spark.createDataFrame([x[:3] for x in listed], "i int, check_name string, severity string")
+    n = F.coalesce("n", F.lit(0)).cast("long")
+    return names.join(F.broadcast(found), "i", "left").select("check_name", "severity", n.alias("unexpected_count"), (n == 0).alias("passed"))
 
 
 def report(*parts: DataFrame) -> DataFrame:

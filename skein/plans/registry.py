@@ -505,6 +505,22 @@ def bootstrap_ci(spark, d):
     return evaluation.compared(materialize(s.select("day", "y", "p", "q"), "scores"), "day", "y", "p", "q")
 
 
+_REPS = 12
+
+
+@query(f"""WITH {_SCORED}, w AS (SELECT s.*, rep, ((day - DATE '1992-01-01') * (rep + 3) + (day - DATE '1992-01-01') // 7 + rep) % 4 AS w FROM s, (SELECT unnest(range({_REPS})) AS rep)),
+ x AS (SELECT rep, y, w, 'discount' AS which, p AS s FROM w UNION ALL SELECT rep, y, w, 'quantity', l_quantity FROM w), g AS (SELECT rep, which, s, CAST(sum(y * w) AS DOUBLE) AS p, CAST(sum(w) AS DOUBLE) AS n FROM x GROUP BY ALL),
+ c AS (SELECT *, sum(p) OVER (PARTITION BY rep, which ORDER BY s DESC) AS tp, sum(n) OVER (PARTITION BY rep, which ORDER BY s DESC) AS c, sum(p) OVER (PARTITION BY rep, which) AS pp, sum(n) OVER (PARTITION BY rep, which) - sum(p) OVER (PARTITION BY rep, which) AS nn FROM g)
+ SELECT which, CAST(rep AS INT) AS rep, max(pp + nn) AS rows, max(pp) AS positives, round(sum((n - p) * (tp - p / 2)) / max(pp * nn), 9) AS roc_auc, round(sum(CASE WHEN c > 0 THEN p * tp / c ELSE 0 END) / max(pp), 9) AS average_precision FROM c GROUP BY which, rep""")
+def resampled_curves(spark, d):
+    """Both areas of two scores in resamples whose weights of each day are stated by a rule."""
+    s = materialize(_scored(spark, d).select("day", "y", "p", "l_quantity"), "scores")
+    days = s.select("day", F.datediff("day", F.lit("1992-01-01").cast("date")).alias("k")).distinct().collect()
+    draws = {r["day"]: [(r["k"] * (rep + 3) + r["k"] // 7 + rep) % 4 for rep in range(_REPS)] for r in days}
+    found = evaluation.resampled(s, "day", "y", {"discount": "p", "quantity": "l_quantity"}, draws)
+    return found.select("which", "rep", "rows", "positives", *[F.round(c, 9).alias(c) for c in ("roc_auc", "average_precision")])
+
+
 # --- models
 
 _NUMERIC, _CATEGORICAL = ["qty", "price", "disc", "dep_hour", "dow", "month"], ["carrier_name"]

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from uuid import uuid4
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import dashboards, evaluation, features, history, leakage, metrics, models, quality, rows
+from ..sources.published import Publication
+from ..steps import materialize, shared_dir
 from .analogs import FLIGHTS, LEGS, METRICS, flights, legs, table
 from .registry import _CONF, _FLAGGED, _KNOWN, _SCORED, _TIES, _causes, _scored, query
 
@@ -275,7 +281,7 @@ def _suite_sql():
 
 @query(_suite_sql())
 def declared_suite(spark, d):
-    f = flights(spark, d)
+    f = materialize(flights(spark, d).select("route", "carrier", "dep_hour", "day", "is_cancelled", "is_diverted", "is_delayed", "delay"), "flights")  # four tables are made of it
     t = {n: table(spark, d, n) for n in ("orders", "customer", "supplier", "part", "nation", "region")} | {"lines": table(spark, d, "lineitem"), "status": f.select("route", metrics.status().alias("status"))}
     t |= {f"by_{n}": metrics.metrics_by(f, k) for n, k in (("carrier", "carrier"), ("hour", "dep_hour"), ("day", "day"))}
     return quality.suite(t, SUITE)
@@ -299,3 +305,37 @@ def recompute_all_values(spark, d):
     x = features.with_cutoff(legs(spark, d))
     built = features.congestion(features.inbound(x), x).filter("key % 25 = 3")
     return leakage.differences(built, leakage.naive(x.filter("key % 25 = 3"), x), "key")
+
+
+# --- published tables
+
+
+_PUBLISHED = {"carrier": "carrier", "hour": "dep_hour", "day": "day"}
+
+
+@query(f"WITH {FLIGHTS} " + " UNION ALL ".join(f"SELECT '{n}' AS table_name, CAST({k} AS VARCHAR) AS k, count(*) AS scheduled_flights, CAST(1 AS BIGINT) AS version FROM f GROUP BY {k}" for n, k in _PUBLISHED.items()))
+def published_tables(spark, d):
+    """Three tables published at once under checks, and read back as the manifest says."""
+    p = Publication(spark, f"{shared_dir(spark)}/published-{uuid4().hex}")
+    f = materialize(flights(spark, d).select("carrier", "dep_hour", "day", "is_cancelled", "is_diverted", "is_delayed", "delay"), "flights")
+    total = f.count()
+    sums = lambda t: quality.report(*[quality.row_checks(x.agg(F.sum("scheduled_flights").alias("n")), [quality.Check(f"{n} total", F.col("n") != total)]) for n, x in t.items()])
+    version = p.publish({n: metrics.metrics_by(f, k) for n, k in _PUBLISHED.items()}, {n: [k] for n, k in _PUBLISHED.items()}, sums, buckets=4)
+    parts = [p.read(n).select(F.lit(n).alias("table_name"), F.col(k).cast("string").alias("k"), "scheduled_flights", F.lit(version).cast("long").alias("version")) for n, k in _PUBLISHED.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_CHANGED = "o_orderkey % 40 = 7"
+
+
+@query(f"""WITH old AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 10 <> 3), new AS (SELECT o_orderkey, o_totalprice + CASE WHEN {_CHANGED} THEN 1 ELSE 0 END AS o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 10 IN (3, 7)),
+ n AS (SELECT count(CASE WHEN o.o_orderkey IS NULL THEN 1 END) AS inserted, count(CASE WHEN o.o_orderkey IS NOT NULL AND (o.o_totalprice <> n.o_totalprice) THEN 1 END) AS changed FROM new n LEFT JOIN old o USING (o_orderkey)),
+ t AS (SELECT * FROM new UNION ALL SELECT * FROM old WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)) SELECT o_orderstatus, count(*) AS orders, round(sum(o_totalprice), 2) AS total, any_value(inserted) AS inserted, any_value(changed) AS changed FROM t, n GROUP BY o_orderstatus""")
+def published_upsert(spark, d):
+    """An upsert of new, changed and equal rows into a published table, with its counts."""
+    p = Publication(spark, f"{shared_dir(spark)}/published-{uuid4().hex}")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    p.publish({"orders": orders.filter("o_orderkey % 10 <> 3")}, {"orders": ["o_orderkey"]}, buckets=16)
+    inserted, changed = p.upsert("orders", orders.filter("o_orderkey % 10 IN (3, 7)").withColumn("o_totalprice", F.col("o_totalprice") + F.when(F.expr(_CHANGED), 1).otherwise(0)))
+    by = p.read("orders").groupBy("o_orderstatus").agg(F.count("*").alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return by.select("*", F.lit(inserted).cast("long").alias("inserted"), F.lit(changed).cast("long").alias("changed"))

@@ -235,3 +235,29 @@ def test_medians_of_hot_groups(spark, whole, buckets, few):
     for k, (v, w) in want.items():
         for x, y in zip(got[k], (v, w), strict=True):
             assert (x is None) == (not y) and (x is None or x == pytest.approx(median(sorted(y)) if abs(y[0]) < 1e307 else sorted(y)[(len(y) - 1) // 2] / 2 + sorted(y)[len(y) // 2] / 2, rel=1e-12))
+
+
+@pytest.mark.parametrize(("ranges", "slab"), [(256, 20_000), (5, 7), (1, 3)])
+def test_resampled_curves(spark, monkeypatch, ranges, slab):
+    """Areas of repeated rows counted one by one, with ties, nulls, days without weight and one-class resamples."""
+    import random
+
+    monkeypatch.setattr(evaluation, "SLAB", slab)
+    rng = random.Random(7)
+    rows = [(f"d{i % 9}" if i % 50 else None, None if i % 41 == 0 else int(rng.random() < 0.4), rng.choice([None, float("nan"), -0.0, 0.0, 0.25, rng.random()]), rng.randint(0, 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "day string, y int, a double, b int").repartition(4)
+    draws = {f"d{k}": [(k * 3 + r) % 3 for r in range(4)] + [0] for k in range(8)}
+    got = {(r["which"], r["rep"]): r for r in evaluation.resampled(df, "day", "y", {"a": "a", "b": "b"}, draws, ranges=ranges).collect()}
+    assert len(got) == 10
+    for w, column in (("a", 2), ("b", 3)):
+        for rep in range(5):
+            own = [(r[column] + 0.0, r[1]) for r in rows if r[0] in draws and r[1] is not None and r[column] is not None and r[column] == r[column] for _ in range(draws[r[0]][rep])]
+            pos, neg = [s for s, y in own if y], [s for s, y in own if not y]
+            r = got[w, rep]
+            assert (r["rows"], r["positives"]) == (len(own), len(pos))
+            if not pos or not neg:
+                assert r["roc_auc"] is None
+                continue
+            assert r["roc_auc"] == pytest.approx(sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg), abs=1e-12)
+            above = lambda s: [y for x, y in own if x >= s]
+            assert r["average_precision"] == pytest.approx(sum(sum(above(s)) / len(above(s)) for s in pos) / len(pos), abs=1e-12)
