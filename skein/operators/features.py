@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip
-from .temporal import asof_latest, full_hours_sum, hour_lookup, known_delay
+from .temporal import SLICE, asof_latest, full_hours_sum, hour_lookup, known_delay, pending_steps, reached_slices, slice_of
 
 #: Minutes before departure, window and look-back; bounds of a delay in averages; the weather's columns.
 LEAD, WIDTH, LOOKBACK, CLIP = 120, 120, 1440, (-30, 300)
@@ -52,19 +52,21 @@ def inbound(legs: DataFrame, lookback: int = LOOKBACK) -> DataFrame:
 def _recent(asks: DataFrame, events: DataFrame, ends: DataFrame | None, kinds: list[str], width: int, name: str) -> DataFrame:
     """One row for each key and minute of ``asks`` (k, t): of each kind of event, what lay in ``[t - width, t)``.
 
-    ``events`` has k, t, kind and v; ``ends`` has k, t and d, the steps of what is pending. Both are
-    reduced to one row for each key and minute first, so that one shuffle and one order serve all windows.
+    ``events`` has k, t, kind and v; ``ends`` has k, slice, t and d, the steps of what is pending. Both are
+    reduced to one row for each key and minute of a slice first, so that one shuffle and one order serve all windows.
     """
+    span = max(SLICE, width)
     blank = {"kind": F.lit(None).cast("string"), "v": F.lit(None).cast("double"), "d": F.lit(0)}
-    rows = events.select("k", "t", "kind", "v", F.lit(0).alias("d")).unionByName(asks.distinct().select("k", "t", *[c.alias(n) for n, c in blank.items()]).withColumn("ask", F.lit(1)), allowMissingColumns=True)
+    rows = events.select("k", F.explode(reached_slices(F.col("t"), width, span)).alias("slice"), "t", "kind", "v", F.lit(0).alias("d"))
+    rows = rows.unionByName(asks.distinct().select("k", slice_of(F.col("t"), span).alias("slice"), "t", *[c.alias(n) for n, c in blank.items()]).withColumn("ask", F.lit(1)), allowMissingColumns=True)
     if ends is not None:
-        rows = rows.unionByName(ends.select("k", "t", blank["kind"].alias("kind"), blank["v"].alias("v"), "d"), allowMissingColumns=True)
+        rows = rows.unionByName(ends.select("k", "slice", "t", blank["kind"].alias("kind"), blank["v"].alias("v"), "d"), allowMissingColumns=True)
     of = lambda kind: F.col("kind") == kind
     sums = [F.max("ask").alias("ask"), F.sum("d").alias("d")]
     for kind in kinds:
         sums += [F.count(F.when(of(kind), 1)).alias(f"{kind}_n"), F.sum(F.when(of(kind), F.col("v"))).alias(f"{kind}_s"), F.max(F.when(of(kind), F.col("t"))).alias(f"{kind}_l")]
-    at = rows.filter("k IS NOT NULL AND t IS NOT NULL").groupBy("k", "t").agg(*sums)
-    w = Window.partitionBy("k").orderBy("t")
+    at = rows.filter("k IS NOT NULL AND t IS NOT NULL").groupBy("k", "slice", "t").agg(*sums)
+    w = Window.partitionBy("k", "slice").orderBy("t")
     near, before = w.rangeBetween(-width, -1), w.rangeBetween(Window.unboundedPreceding, -1)
     out = [F.coalesce(F.sum("d").over(before), F.lit(0)).cast("long").alias(f"{name}_pending")]
     for kind in kinds:
@@ -83,7 +85,7 @@ def congestion(out: DataFrame, legs: DataFrame, width: int = WIDTH) -> DataFrame
     sched = F.col("sched_dep").cast("long")
     due = legs.select(F.col("origin").alias("k"), sched.alias("t"), F.lit("sched").alias("kind"), F.lit(None).cast("double").alias("v"))
     leaves = F.greatest(sched, F.least(sched + width, F.col("actual_dep").cast("long")))  # least skips null: it never left
-    ends = legs.filter("sched_dep IS NOT NULL").select(F.col("origin").alias("k"), F.explode(F.array(F.struct(sched.alias("t"), F.lit(1).alias("d")), F.struct(leaves.alias("t"), F.lit(-1).alias("d")))).alias("x")).select("k", "x.t", "x.d")
+    ends = legs.filter("sched_dep IS NOT NULL").select(F.col("origin").alias("k"), F.explode(pending_steps(sched, leaves, max(SLICE, width))).alias("x")).select("k", "x.slice", "x.t", "x.d")
     ask = lambda place: legs.select(place.alias("k"), F.col("cutoff").cast("long").alias("t"))
     place, one = F.col("origin"), F.lit(0)
     places = _recent(ask(place).unionByName(ask(F.col("dest"))), happened(place, "dep").unionByName(happened(F.col("dest"), "arr")).unionByName(due), ends, ["dep", "arr", "sched"], width, "at")

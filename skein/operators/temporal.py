@@ -4,10 +4,10 @@ Times are whole minutes (BIGINT); null means it never happened. Each operator is
 events and queries sorted together, one shuffle by key, never a range join: an inequality join
 would grow with the square of a key's rows.
 
-A key may hold a third of all rows. The trailing and pending operators first sum events by key
-and minute, so a window partition has at most a row for each minute of the period; the as-of
-operator cuts keys into ``slice_minutes`` long slices and gives each slice the events that its
-look-back reaches, so a partition is bounded by one key's events of two slices.
+A key, or the absence of one, may hold all rows. The trailing and pending operators sum events by key and
+minute first, and all operators cut keys into slices of time, each a window partition of its own: a
+trailing slice has the events that its look-back reaches in the slice before, and a pending slice starts with what was pending
+at its start. So the window over all events runs in as many tasks as there are slices, with the same results.
 """
 
 from __future__ import annotations
@@ -15,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Minutes of a slice of the trailing and pending operators, at least as long as their look-back.
+SLICE = 1440
+
 
 def asof_latest(
     queries: DataFrame, events: DataFrame, key: str, query_time: str, event_time: str, tie: str, payload: list[str], *, lookback: int = 1440, slice_minutes: int | None = None, prefix: str = "last_"
@@ -38,6 +41,26 @@ def asof_latest(
     return out.select("__q.*", *[F.when(hit, F.col("__last")[f"v{i}"]).alias(prefix + n) for i, n in enumerate(names)])
 
 
+def slice_of(t: Column, span: int) -> Column:
+    return F.floor(t / span)
+
+
+def reached_slices(t: Column, width: int, span: int) -> Column:
+    """The slices in which an event at ``t`` is seen: its own, and the next one if a look-back of ``width`` reaches it from there."""
+    return F.array_distinct(F.array(slice_of(t, span), slice_of(t + width, span)))
+
+
+def pending_steps(start: Column, end: Column, span: int) -> Column:
+    """What an event that is pending after ``start`` up to ``end``, less than a slice later, adds to the sums strictly before a minute: structs of slice, t and d.
+
+    If it goes on in the next slice, it is carried: it enters there the minute before the slice starts, and ends there.
+    """
+    own, edge = slice_of(start, span), (slice_of(start, span) + 1) * span
+    on = end >= edge
+    step = lambda at, t, d: F.struct(at.cast("long").alias("slice"), t.cast("long").alias("t"), F.lit(d).alias("d"))
+    return F.when(on, F.array(step(own, start, 1), step(own + 1, edge - 1, 1), step(own + 1, end, -1))).otherwise(F.array(step(own, start, 1), step(own, end, -1)))
+
+
 def _at_minutes(events: DataFrame, key: Column, time: Column, **sums: Column) -> DataFrame:
     return events.select(key.alias("__k"), time.cast("long").alias("__t"), *[c.alias(n) for n, c in sums.items()]).filter("__t IS NOT NULL")
 
@@ -51,12 +74,13 @@ def trailing_stats(queries: DataFrame, events: DataFrame, key: str | None, query
     Events and query times are reduced to one row for each key and minute before the window; its
     answers are joined back by key and minute.
     """
-    k = F.col(key) if key else F.lit(0)
-    e = _at_minutes(events.filter(F.col(value).isNotNull()), k, F.col(event_time), n=F.lit(1), s=F.col(value).cast("double"))
-    q = _at_minutes(queries if asks is None else asks, k, F.col(query_time), n=F.lit(0), s=F.lit(0.0))
-    at = e.unionByName(q).groupBy("__k", "__t").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max(F.when(F.col("n") > 0, F.col("__t"))).alias("last"))
-    w = Window.partitionBy("__k").orderBy("__t").rangeBetween(-width, -1)
-    at = at.select("__k", "__t", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long").alias(f"{name}_count"), F.sum("s").over(w).alias("__s"), F.max("last").over(w).alias(f"{name}_last"))
+    k, span = F.col(key) if key else F.lit(0), max(SLICE, width)
+    e = _at_minutes(events.filter(F.col(value).isNotNull()), k, F.col(event_time), n=F.lit(1), s=F.col(value).cast("double")).withColumn("__slice", F.explode(reached_slices(F.col("__t"), width, span)))
+    q = _at_minutes(queries if asks is None else asks, k, F.col(query_time), n=F.lit(0), s=F.lit(0.0)).withColumn("__slice", slice_of(F.col("__t"), span))
+    at = e.unionByName(q).groupBy("__k", "__slice", "__t").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.max(F.when(F.col("n") > 0, F.col("__t"))).alias("last"))
+    w = Window.partitionBy("__k", "__slice").orderBy("__t").rangeBetween(-width, -1)
+    at = at.select("__k", "__slice", "__t", F.coalesce(F.sum("n").over(w), F.lit(0)).cast("long").alias(f"{name}_count"), F.sum("s").over(w).alias("__s"), F.max("last").over(w).alias(f"{name}_last"))
+    at = at.filter(F.col("__slice") == slice_of(F.col("__t"), span)).drop("__slice")
     at = at.withColumn(f"{name}_mean", F.when(F.col(f"{name}_count") > 0, F.col("__s") / F.col(f"{name}_count"))).drop("__s")
     out = queries.join(at, (k == at["__k"]) & (queries[query_time] == at["__t"]), "left").drop("__k", "__t")
     return out.withColumn(f"{name}_count", F.coalesce(f"{name}_count", F.lit(0).cast("long")))
@@ -65,17 +89,19 @@ def trailing_stats(queries: DataFrame, events: DataFrame, key: str | None, query
 def pending_count(queries: DataFrame, events: DataFrame, key: str, query_time: str, sched: str, actual: str | None, *, width: int = 120, name: str = "pending", asks: DataFrame | None = None) -> DataFrame:
     """Events of the key scheduled in ``[t - width, t)`` that had not happened before t; without ``actual``, all scheduled ones.
 
-    A sweep: +1 when scheduled, -1 when it happens or leaves the window, summed strictly before t.
+    A sweep: +1 when scheduled, -1 when it happens or leaves the window, summed strictly before t, slice by slice.
     """
     s = F.col(sched).cast("long")
     end = F.least(s + width, F.col(actual).cast("long")) if actual else s + width  # least skips null: it never happened
     known = events.filter(F.col(key).isNotNull() & F.col(sched).isNotNull())
-    both = known.select(F.col(key).alias("__k"), F.explode(F.array(F.struct(s.alias("t"), F.lit(1).alias("d")), F.struct(F.greatest(s, end).alias("t"), F.lit(-1).alias("d")))).alias("x"))
-    q = (queries if asks is None else asks).filter(F.col(key).isNotNull() & F.col(query_time).isNotNull()).select(F.col(key).alias("__k"), F.col(query_time).cast("long").alias("__t"), F.lit(0).alias("d"))
-    at = both.select("__k", F.col("x.t").alias("__t"), F.col("x.d").alias("d")).unionByName(q).groupBy("__k", "__t").agg(F.sum("d").alias("d"))
+    span = max(SLICE, width)
+    both = known.select(F.col(key).alias("__k"), F.explode(pending_steps(s, F.greatest(s, end), span)).alias("x")).select("__k", F.col("x.slice").alias("__slice"), F.col("x.t").alias("__t"), F.col("x.d").alias("d"))
+    q = (queries if asks is None else asks).filter(F.col(key).isNotNull() & F.col(query_time).isNotNull()).select(F.col(key).alias("__k"), slice_of(F.col(query_time), span).alias("__slice"), F.col(query_time).cast("long").alias("__t"), F.lit(0).alias("d"))
+    at = both.unionByName(q).groupBy("__k", "__slice", "__t").agg(F.sum("d").alias("d"))
     # an event scheduled before t counts; its end at t itself has not been seen before t
-    w = Window.partitionBy("__k").orderBy("__t").rangeBetween(Window.unboundedPreceding, -1)
-    at = at.select("__k", "__t", F.coalesce(F.sum("d").over(w), F.lit(0)).cast("long").alias(name))
+    w = Window.partitionBy("__k", "__slice").orderBy("__t").rangeBetween(Window.unboundedPreceding, -1)
+    at = at.select("__k", "__slice", "__t", F.coalesce(F.sum("d").over(w), F.lit(0)).cast("long").alias(name))
+    at = at.filter(F.col("__slice") == slice_of(F.col("__t"), span)).drop("__slice")
     out = queries.join(at, (queries[key] == at["__k"]) & (queries[query_time] == at["__t"]), "left").drop("__k", "__t")
     return out.withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
 

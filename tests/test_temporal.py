@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -13,6 +14,13 @@ asked = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(
 few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
+@pytest.fixture(autouse=True)
+def slice_length():
+    kept = temporal.SLICE
+    yield
+    temporal.SLICE = kept
+
+
 def frames(spark, ev, qs):
     e = spark.createDataFrame([(k, t, i, v) for i, (k, t, v) in enumerate(ev)], "k string, t long, i long, v long")
     q = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(qs)], "id long, k string, q long")
@@ -29,9 +37,11 @@ def test_asof(spark, ev, qs):
         assert got[i] == (max(hit) if hit else (None, None, None))
 
 
+@pytest.mark.parametrize("span", [60, 97, 1440])
 @few
 @given(ev=events, qs=asked)
-def test_trailing(spark, ev, qs):
+def test_trailing(spark, span, ev, qs):
+    temporal.SLICE = span  # put back by the fixture
     e, q = frames(spark, ev, qs)
     got = {r["id"]: r for r in temporal.trailing_stats(q, e, "k", "q", "t", "v", width=60).collect()}
     for i, (k, t) in enumerate(qs):
@@ -41,9 +51,11 @@ def test_trailing(spark, ev, qs):
         assert got[i]["recent_mean"] is None if not hit else abs(got[i]["recent_mean"] - sum(v for _, v in hit) / len(hit)) < 1e-9
 
 
+@pytest.mark.parametrize("span", [60, 97, 1440])
 @few
 @given(ev=events, qs=asked)
-def test_pending(spark, ev, qs):
+def test_pending(spark, span, ev, qs):
+    temporal.SLICE = span
     e, q = frames(spark, ev, qs)
     e = e.selectExpr("k", "t AS s", "CASE WHEN v > -20 THEN t + v END AS a")
     got = {r["id"]: r for r in temporal.pending_share(q, e, "k", "q", "s", "a", width=60).collect()}
@@ -64,3 +76,12 @@ def test_three_hours_need_all(spark):
     h = spark.createDataFrame([("p", m, float(m), 1) for m in (0, 60, 120, 240)] + [("p", 60, 9.0, 0)], "p string, h long, v double, l int")
     got = {r["h"]: r["sum_hours"] for r in temporal.full_hours_sum(h, "p", "h", "v", "l").collect()}
     assert got == {0: None, 60: None, 120: 129.0, 240: None}
+
+
+def test_a_window_over_all_events_runs_in_slices(spark):
+    """One key holds everything: slices are the window's partitions, and events at their edges are seen on both sides."""
+    e = spark.range(0, 6000).selectExpr("id AS t", "CAST(id % 7 AS BIGINT) AS v")
+    q = spark.createDataFrame([(t,) for t in (1439, 1440, 1441, 1500, 1559, 1560, 1561, 2880, 5999, 6100, 6119, 6120)], "q long")
+    found = temporal.trailing_stats(q, e, None, "q", "t", "v", width=120)
+    assert {r["q"]: (r["recent_count"], r["recent_last"]) for r in found.collect()} == {t: (len(range(max(t - 120, 0), min(t, 6000))), min(t, 6000) - 1 if t < 6120 else None) for t in [r["q"] for r in q.collect()]}
+    assert "hashpartitioning(__k" in (plan := found._jdf.queryExecution().executedPlan().toString()) and "__slice" in plan.split("Window")[1]
