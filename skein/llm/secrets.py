@@ -118,23 +118,32 @@ def train_markov(samples: DataFrame, backoff: float = 30.0) -> np.ndarray:
     """Log-likelihood ratios of each character after each two (place 0: before the start), from labelled samples.
 
     Each order backs off to the one below it, and the lowest to equal chances, so that a small
-    sample still tells letters from digits. Counts are one grouped aggregation; at most
+    sample still tells letters from digits. Tasks count triples of characters in arrays; at most
     2 * 69 * 69 * 68 of them reach the driver.
     """
     n = len(ALPHABET)
-    every = F.concat(F.lit("  "), F.col("text"))
-    triples = (
-        samples.filter(F.length("text") > 0)
-        .select("label", F.explode(F.transform(F.sequence(F.lit(1), F.length("text")), lambda i: every.substr(i, F.lit(3)))).alias("triple"))
-        .groupBy("label", "triple").count()
-    )
-    counts = np.zeros((2, n + 1, n + 1, n))
-    place = np.zeros(128, np.int64)
+    place = np.full(129, -1)  # 0 stands before a text, and for a space
+    place[ord(" ")] = 0
     for i, c in enumerate(ALPHABET):
         place[ord(c)] = i + 1
-    known = triples.filter(F.col("triple").rlike(r"^[ A-Za-z0-9+/_=.-]{2}[A-Za-z0-9+/_=.-]$")).toArrow()
-    at = place[np.frombuffer("".join(known.column("triple").to_pylist()).encode("ascii"), np.uint8)].reshape(-1, 3)
-    np.add.at(counts, (known.column("label").to_numpy(), at[:, 0], at[:, 1], at[:, 2] - 1), known.column("count").to_numpy())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(2 * (n + 1) * (n + 1) * n, np.int64)
+        for b in batches:
+            labels = b.column("label").to_numpy(zero_copy_only=False)
+            for label in (0, 1):
+                some = b.column("text").filter(pa.array(labels == label)).to_pylist()
+                at = place[np.minimum(np.frombuffer("\n".join("  " + t for t in some if t).encode("utf-32-le"), np.uint32), 128)]
+                x, y, z = at[:-2], at[1:-1], at[2:]
+                ok = (x >= 0) & (y >= 0) & (z > 0)
+                np.add.at(sums, ((label * (n + 1) + x[ok]) * (n + 1) + y[ok]) * n + z[ok] - 1, 1)
+        some = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], ["at", "n"])
+
+    found = samples.select("label", "text").mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(2 * (n + 1) * (n + 1) * n)
+    counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    counts = counts.reshape(2, n + 1, n + 1, n)
     p = np.full((2, 1, 1, n), 1 / n)
     for own in (counts.sum(axis=(1, 2), keepdims=True), counts.sum(axis=1, keepdims=True), counts):
         p = (own + backoff * p) / (own.sum(axis=3, keepdims=True) + backoff)
@@ -196,8 +205,10 @@ class Scanner:
         for m in runs:
             while i < len(taken) and taken[i][1] <= m.start():
                 i += 1
-            own = [r for r in taken[i:] if r[0] < m.end()] if i < len(taken) and taken[i][0] < m.end() else []
-            at = m.start()
+            j = i
+            while j < len(taken) and taken[j][0] < m.end():
+                j += 1
+            own, at = taken[i:j], m.start()
             for s, e in sorted([*own, *(x.span() for x in UUID.finditer(text, m.start(), m.end())), (m.end(), m.end())]):
                 if s - at >= self.shortest:
                     model += [(at + a, 3, at + b) for a, b in self.secrets(text[at:s])]

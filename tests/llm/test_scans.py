@@ -274,3 +274,17 @@ def test_main_text_rows(spark):
     p = spark.createDataFrame([(1, "u", PAGE, 3), (1, "u", PAGE, 3), (None, None, None, None)], "page_id long, url string, html string, n_chars int")
     got = main_text.extract(p).collect()
     assert len(got) == 3 and all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+@pytest.mark.parametrize("line", ["0123456789abcdef0123456789abcdef ", "token=abcdefgh1234 ", "deadbeef" * 4 + "-x/"])
+def test_secret_scan_grows_with_the_text(line):
+    """A list of checksums, settings, or both in one run: twice the spans take about twice the time."""
+    import time
+
+    scanner = secrets.Scanner(np.zeros((69, 69, 68), np.float32))
+    took = []
+    for n in (5_000, 10_000, 20_000):
+        began = time.process_time()
+        assert len(scanner.spans(line * n)) == n
+        took.append(time.process_time() - began)
+    assert took[2] < 3 * took[1] + 0.2 and took[2] < 5
