@@ -4,15 +4,17 @@ Every rolling ``K``-word hash of every document is joined with the positions at
 the templates (a broadcast table of ``BROADCAST_ROWS`` rows at most; a larger one is joined by shuffle,
 with the same rows). A hit votes for the diagonal "document position minus template position" and is
 verified word by word. Votes are added up by diagonal; neighbouring diagonals of one template, at
-most ``GAP`` words apart, are merged, which bridges inserted and left-out words; a merged span gets its
-template's label when it covers ``COVERAGE`` of the template's words.
+most ``GAP`` words apart, are merged, which bridges inserted and left-out words; a merged span is verified
+when it covers ``COVERAGE`` of its template's words. Of verified spans that overlap, directly or through others, the
+one with the most covered words gives its label (of equally many, the one that covers the larger share of its template), so notices
+that differ in a few words are told apart.
 
 An empty gram gives one row for each document, so that one pass yields the hits and the documents
 without hits. Rows are dealt out once, by row, before any grouping.
 
 Cases: null or empty text has no words, no labels and score 0; repeated rows stay apart; very long
-texts are scanned whole, at a cost in proportion to their length; templates that share words each
-get the vote, so that a tie of labels gives both; an empty table gives an empty result, and without
+texts are scanned whole, at a cost in proportion to their length; of templates that share words the best gets the
+label, and an exact tie gives both; an empty table gives an empty result, and without
 templates nothing is found; other columns, also of the result's names, are not read.
 """
 
@@ -37,6 +39,10 @@ PHRASES = [
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 ]
+_BSD = (
+    "redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+    " 2. redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
 #: Notices of public licences.
 NOTICES = [
     ("licensed under the apache license, version 2.0", "apache-2"),
@@ -49,9 +55,19 @@ NOTICES = [
     ("this work is licensed under a creative commons attribution-noncommercial 4.0 international license", "cc-by-nc"),
     ("this work is licensed under a creative commons attribution 4.0 international license", "cc-by"),
     ("this work is licensed under a creative commons attribution-sharealike 4.0 international license", "cc-by-sa"),
+    ("this work is licensed under a creative commons attribution-noderivatives 4.0 international license", "cc-by-nd"),
+    ("this work is licensed under a creative commons attribution-noncommercial-sharealike 4.0 international license", "cc-by-nc-sa"),
     ("this work is licensed under the gnu general public license, version 3", "gpl-3"),
     ("this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation, either version 3 of the license, or (at your option) any later version", "gpl-3"),
+    ("this program is free software; you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation; either version 2 of the license, or (at your option) any later version", "gpl-2"),
+    ("this program is free software: you can redistribute it and/or modify it under the terms of the gnu affero general public license as published by the free software foundation, either version 3 of the license, or (at your option) any later version", "agpl-3"),
+    ("this library is free software; you can redistribute it and/or modify it under the terms of the gnu lesser general public license as published by the free software foundation; either version 2.1 of the license, or (at your option) any later version", "lgpl-2.1"),
+    ("this library is free software: you can redistribute it and/or modify it under the terms of the gnu lesser general public license as published by the free software foundation, either version 3 of the license, or (at your option) any later version", "lgpl-3"),
     ("redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "bsd"),
+    (_BSD, "bsd-2"),
+    (_BSD + " neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "bsd-3"),
+    ("permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies", "isc"),
+    ("permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
     ("this source code form is subject to the terms of the mozilla public license, v. 2.0", "mpl-2"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 ]
@@ -122,7 +138,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known:
     known = templates(docs.sparkSession) if known is None else known
     found = spans(hits(docs, known, id_col, text_col, known.count() <= BROADCAST_ROWS))
     exact = F.col("base") & (F.col("covered") == 1.0)
-    counts = ~F.col("base") & (F.col("covered") >= coverage) & (F.col("length") >= SHORTEST)
+    verified = ~F.col("base") & (F.col("covered") >= coverage) & (F.col("length") >= SHORTEST)
+    # verified spans that overlap are one place, at which the best counts
+    row = Window.partitionBy("row").orderBy("start", "end", "template")
+    reach = F.max(F.when(verified, F.col("end"))).over(row.rowsBetween(Window.unboundedPreceding, -1))
+    found = found.withColumn("new", (verified & F.coalesce(F.col("start") >= reach, F.lit(True))).cast("int"))
+    found = found.withColumn("spot", F.sum("new").over(row.rowsBetween(Window.unboundedPreceding, 0))).withColumn("worth", F.when(verified, F.struct(F.round(F.col("covered") * F.col("length")), F.col("covered"))))
+    counts = F.coalesce(verified & (F.col("worth") == F.max("worth").over(Window.partitionBy("row", "spot"))), F.lit(False))
+    found = found.withColumn("counts", counts)
+    counts = F.col("counts")
     listed = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond, F.col("label")))), ",")
     return found.groupBy("row", "doc_id", "n_words").agg(
         F.count(F.when(exact, 1)).alias("n_base"), F.min(F.when(exact, F.col("first"))).alias("first_word"), F.max(F.when(exact, F.col("first"))).alias("last_word"),

@@ -152,7 +152,7 @@ def test_license_phrases(spark):
 def brute_votes(text, templates, gap=6, coverage=0.6, shortest=6):
     """Labels and score from each template's diagonals, by nested loops."""
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
-    w, labels, score = split(text), set(), 0.0
+    w, labels, score, verified = split(text), set(), 0.0, []
     for t, label, base in templates:
         own = split(t)
         votes = sorted({(i - j, j) for i in range(len(w) - 2) for j in range(len(own) - 2) if w[i : i + 3] == own[j : j + 3]})
@@ -164,9 +164,21 @@ def brute_votes(text, templates, gap=6, coverage=0.6, shortest=6):
                 groups.append([(d, j)])
         for g in groups:
             covered = len({j + k for _, j in g for k in range(3)}) / len(own)
-            if (base and covered == 1) or (not base and covered >= coverage and len(own) >= shortest):
+            if base and covered == 1:
                 labels.add(label)
                 score = max(score, covered)
+            elif not base and covered >= coverage and len(own) >= shortest:
+                verified.append((g[0][0] + min(j for _, j in g), g[-1][0] + max(j for _, j in g) + 3, round(covered * len(own)), covered, label))
+    spots, reach = [], -1e9
+    for span in sorted(verified):  # those that overlap are one place
+        if span[0] >= reach:
+            spots.append([])
+        spots[-1].append(span)
+        reach = max(reach, span[1])
+    for spot in spots:
+        best = max(x[2:4] for x in spot)
+        labels |= {x[4] for x in spot if x[2:4] == best}
+        score = max(score, best[1])
     return ",".join(sorted(labels)), score
 
 
@@ -288,3 +300,18 @@ def test_secret_scan_grows_with_the_text(line):
         assert len(scanner.spans(line * n)) == n
         took.append(time.process_time() - began)
     assert took[2] < 3 * took[1] + 0.2 and took[2] < 5
+
+
+def test_like_licenses_are_told_apart(spark):
+    """Each notice gets exactly its label, in other words around it, with a word left out, and next to another notice."""
+    notices = [(t, label) for t, label in licenses.NOTICES if len(t.split()) >= 12]
+    texts, want = [], []
+    for i, (t, label) in enumerate(notices):
+        w = t.split()
+        cut = " ".join(w[: len(w) // 2] + w[len(w) // 2 + 1 :])
+        other, second = notices[(i * 5 + 3) % len(notices)]
+        texts += [t.upper(), f"copyright somebody {t} and more", cut, f"{t} some words that stand between two notices {other}"]
+        want += [label, label, label, ",".join(sorted({label, second}))]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(docs(spark, texts)).collect()}
+    assert {i: (got[i], texts[i]) for i in got if got[i] != want[i]} == {}
+    assert {"lgpl-2.1", "lgpl-3", "agpl-3", "gpl-2", "gpl-3", "isc", "bsd-2", "bsd-3", "cc-by-nd", "cc-by-nc-sa"} <= set(want)
