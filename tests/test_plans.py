@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from skein.operators import models, temporal
+from skein.operators import evaluation, models, temporal
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -100,3 +100,59 @@ def test_small_helpers(spark, tmp_path):
     assert [r["ident"] for r in keep_first(a, ["iata_code"], files.airport_rank(a)).collect()] == ["KPBI"]
     (tmp_path / "z.csv").write_text("airport_code,timezone,more\nPBI,America/New_York,1\n")
     assert [tuple(r) for r in files.read_zones(spark, str(tmp_path / "z.csv")).collect()] == [("PBI", "America/New_York")]
+
+
+def newton(x, y, penalty):
+    """Weights and intercept of a penalised logistic regression by Newton's steps, the intercept free."""
+    import numpy as np
+
+    a = np.column_stack([x, np.ones(len(x))])
+    w, free = np.zeros(a.shape[1]), np.append(np.full(x.shape[1], penalty), 0.0)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-a @ w))
+        w = w - np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(free), a.T @ (p - y) + free * w)
+    return w
+
+
+@pytest.mark.parametrize("weighted", [False, True])
+def test_logistic_scores_against_newton(spark, weighted):
+    """Median imputation, indicators, scaling, all levels one-hot and the penalty, by another solver."""
+    import numpy as np
+
+    rng = np.random.RandomState(1)
+    rows = []
+    for i in range(500):
+        x, z, g = rng.randn() * 3 + 1, (None if rng.rand() < 0.2 else float(rng.randint(0, 9))), "pqr"[rng.randint(0, 3)]
+        rows.append((i, float(x), z, g, int(0.6 * x + (0 if z is None else z / 4) - 2 + (g == "p") + rng.randn() > 0)))
+    df = spark.createDataFrame(rows, "i int, x double, z double, g string, y int").repartition(3)
+    got = {r["i"]: r["s"] for r in models.score(models.fit_logistic(df, ["x", "z"], ["g"], "y", c=0.5, weighted=weighted), df, "s").collect()}
+    x = np.array([r[1] for r in rows])
+    z = np.array([np.nan if r[2] is None else r[2] for r in rows])
+    missing, z = np.isnan(z), np.where(np.isnan(z), np.nanmedian(z), z)
+    num = np.column_stack([x, z, np.zeros(500), missing])
+    spread = num.std(axis=0, ddof=1)
+    num = np.where(spread > 0, (num - num.mean(axis=0)) / np.where(spread > 0, spread, 1), 0.0)
+    a, y = np.column_stack([num, *[[r[3] == g for r in rows] for g in "pqr"]]).astype(float), np.array([r[4] for r in rows], float)
+    if weighted:  # each class counts half: rows repeat by weight, so fit on weights by scaling the sums
+        w = np.where(y == 1, 500 / (2 * y.sum()), 500 / (2 * (500 - y.sum())))
+    else:
+        w = np.ones(500)
+    design, v = np.column_stack([a, np.ones(500)]), np.zeros(a.shape[1] + 1)
+    free = np.append(np.full(a.shape[1], w.sum() / (0.5 * 500)), 0.0)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-design @ v))
+        v = v - np.linalg.solve((design * (w * p * (1 - p))[:, None]).T @ design + np.diag(free), design.T @ (w * (p - y)) + free * v)
+    want = 1 / (1 + np.exp(-design @ v))
+    assert max(abs(got[i] - want[i]) for i in range(500)) < 1e-4
+
+
+def test_platt_slope_against_newton(spark):
+    import numpy as np
+
+    rng = np.random.RandomState(2)
+    p = np.clip(rng.beta(2, 5, 800), 0, 1)
+    y = (rng.rand(800) < p**1.3).astype(int)
+    found = evaluation.platt(spark.createDataFrame([(float(a), int(b)) for a, b in zip(p, y, strict=True)], "p double, y int"), "p", "y")
+    q = np.clip(p, 1e-6, 1 - 1e-6)
+    slope, intercept = newton(np.log(q / (1 - q))[:, None], y, 0.0)
+    assert abs(found["slope"] - slope) < 1e-4 and abs(found["intercept"] - intercept) < 1e-4
