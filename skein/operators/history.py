@@ -100,19 +100,43 @@ def previous_month(df: DataFrame, keys: list[str], month: str, label: str, weigh
     return out.withColumn(f"{name}_rate", rate).withColumn(f"{name}_lift", F.when(F.col("__prior") > 0, rate / F.col("__prior"))).select(*df.columns, f"{name}_rate", f"{name}_lift")
 
 
+#: Rows of a table of rates that may be broadcast.
+BROADCAST_RATES = 200_000
+
+
+def _sums_by_sets(df: DataFrame, sets: list[list[str]], month: str, value: str) -> dict[frozenset, tuple[DataFrame, bool]]:
+    """For each set of keys: sums and rows by keys and month, where all keys are known, and whether they are few enough to broadcast.
+
+    One pass with grouping sets makes all of them; they are written once.
+    """
+    names = list(dict.fromkeys(k for keys in sets for k in keys))
+    wanted = list(dict.fromkeys(frozenset(keys) for keys in sets))
+    of = {s: sum(1 << (len(names) - i) for i, n in enumerate(names) if n not in s) for s in wanted}  # a bit for each column that is summed over; the month's, the last, never is
+    sums = df.groupingSets([[F.col(c) for c in (*[n for n in names if n in s], month)] for s in wanted], *[F.col(c) for c in (*names, month)]).agg(F.grouping_id().alias("__set"), F.sum(value).alias("__p"), F.count("*").alias("__n"))
+    lost = F.lit(False)
+    for s, i in of.items():
+        lost = lost | ((F.col("__set") == i) & _null_key([n for n in names if n in s]))
+    sums = materialize(sums.filter(~lost), "rates")
+    count = {r["__set"]: r["count"] for r in sums.groupBy("__set").count().collect()}  # a row for each set
+    return {s: (sums.filter(F.col("__set") == i), count.get(i, 0) <= BROADCAST_RATES) for s, i in of.items()}
+
+
 def previous_months(df: DataFrame, target: DataFrame, month: str, label: str, rates: dict[str, list[str]], medians: dict[str, str], median_keys: list[str], *, weight: float = 50.0, relative: bool = True) -> DataFrame:
     """``target`` with what the month before each row's own says of its keys, for all months at once.
 
     ``rates``: name to keys, smoothed rates (with ``relative``, lifts); an unseen or null key gets the prior
     (lift 1). ``medians``: name to value column, exact medians by ``median_keys``; null for unseen groups.
-    Each is one join on keys and month + 1. Rows whose month before is missing get nulls.
+    All rates come from one pass with grouping sets, and each is one join on keys and month + 1, without a shuffle where the
+    table of rates is small. Rows whose month before is missing get nulls.
     """
     known = df.filter(F.col(label).isNotNull())
     y = F.col(label).cast("double")
     out = target.join(F.broadcast(known.groupBy((F.col(month) + 1).alias("__m")).agg(F.avg(y).alias("__prior"))), target[month] == F.col("__m"), "left")  # a row for each month
+    sums = _sums_by_sets(known.withColumn("__month", F.col(month) + 1).withColumn("__y", y), list(rates.values()), "__month", "__y") if rates else {}
     for name, keys in rates.items():
-        by = known.filter(~_null_key(keys)).groupBy(*[F.col(k).alias(f"__{k}") for k in keys], (F.col(month) + 1).alias("__km")).agg(F.sum(y).alias("__p"), F.count("*").alias("__n"))
-        out = out.join(by, [out[k] == by[f"__{k}"] for k in keys] + [out[month] == by["__km"]], "left")
+        by, small = sums[frozenset(keys)]
+        by = by.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__month").alias("__km"), "__p", "__n")
+        out = out.join(F.broadcast(by) if small else by, [out[k] == by[f"__{k}"] for k in keys] + [out[month] == by["__km"]], "left")
         rate = (F.coalesce("__p", F.lit(0.0)) + weight * F.col("__prior")) / (F.coalesce("__n", F.lit(0)) + weight)
         out = out.withColumn(name, F.when(F.col("__prior") > 0, rate / F.col("__prior")) if relative else rate).drop(*[f"__{k}" for k in keys], "__km", "__p", "__n")
     if medians:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features, history, leakage, metrics, quality
+from ..steps import materialize
 from .analogs import FLIGHTS, HOURLY, LEGS, WEATHER, flights, hourly, legs
 from .registry import _CONG, _KNOWN, query
 
@@ -68,7 +69,7 @@ _VOLUMES = ["origin_deps_in_hour", "dest_arrs_in_hour", "origin_deps_in_day"]
 def weeks_ahead_all(spark, d):
     """All eighteen numeric weeks-ahead features: schedule, volumes, seven lifts and two medians of the month before."""
     x = planned(spark, d)
-    done = x.filter(metrics.completed())
+    done = materialize(x.filter(metrics.completed()), "planned")  # history and target of one table
     out = history.previous_months(done, done, "mi", "is_delayed", {f"hist_rate_{n}": k for n, k in _RATES.items()}, _MEDIANS, _ROTATION)
     plan = [c.strip() for c in _PLAN.split(",")]
     return out.select("mi", "carrier", "origin", "dest", "flight_number", "dep_hour", *plan, *_VOLUMES, *[F.round(f"hist_rate_{n}", 9).alias(f"hist_rate_{n}") for n in _RATES], *[F.col(n).cast("double").alias(n) for n in _MEDIANS]).distinct()
