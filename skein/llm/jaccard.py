@@ -4,7 +4,7 @@ Two documents link when ``100 * intersection >= percent * union`` of their n-gra
 ``A * A'`` is taken in three parts, each exact:
 
 1. *Column sums in blocks.* One pass over the texts writes each step's n-gram hashes by bucket, in
-   packed form (4 bytes each). Buckets count in how many documents each column of A occurs and
+   packed form (4 bytes each, and at most 4 for its document's number and count in that bucket). Buckets count in how many documents each column of A occurs and
    return, for each document, how many of its columns occur elsewhere. An overlap cannot exceed
    that number, so a document linked with any other has at least ``percent`` per cent of its set
    shared: all others leave here (hash collisions can only keep a document). Equal sets are told
@@ -73,38 +73,57 @@ def _digests(grams: np.ndarray, at: np.ndarray) -> list[bytes]:
     return [xxhash.xxh3_128_digest(grams[a:b].tobytes()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
+def pairs(docs: np.ndarray, counts: np.ndarray) -> bytes:
+    """Documents of a step and a number for each, packed."""
+    kind = "u2" if max(int(docs.max(initial=0)), int(counts.max(initial=0))) < 65536 else "u4"
+    return kind.encode() + docs.astype(kind).tobytes() + counts.astype(kind).tobytes()
+
+
+def unpaired(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(blob, blob[:2].decode(), offset=2).astype(np.int64)
+    return both[: len(both) // 2], both[len(both) // 2 :]
+
+
+def dealt(grams: np.ndarray, doc: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """A step's n-grams by bucket: the hashes by document (4 bytes each), and how many each document with one has there.
+
+    There are no more rows, and no more documents in them, than n-grams, however many buckets there are.
+    """
+    bucket = (grams % np.uint64(buckets)).astype(np.int64)
+    small = (grams // np.uint64(buckets)).astype(np.uint32)  # with the bucket, 32 bits and more
+    order = np.argsort(bucket, kind="stable")
+    bucket, small, doc = bucket[order], small[order], doc[order]
+    run = np.ones(len(doc), bool)  # runs of a document in a bucket
+    run[1:] = (bucket[1:] != bucket[:-1]) | (doc[1:] != doc[:-1])
+    at = np.flatnonzero(run)
+    count, of, whose = np.diff(np.append(at, len(doc))), bucket[at], doc[at]
+    first = np.append(np.flatnonzero(np.append(True, of[1:] != of[:-1])), len(at)) if len(at) else np.zeros(1, np.int64)
+    begins = np.append(at, len(doc))
+    for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        yield int(of[i]), small[begins[i] : begins[j]].tobytes(), pairs(whose[i:j], count[i:j])
+
+
 def _forward(docs: DataFrame, k: int, buckets: int) -> DataFrame:
-    """Packed incidence: a row for each step and bucket (hashes, and how many of each document), and one for the step's documents."""
+    """Packed incidence: a row for each step and bucket that it has n-grams in, and one for the step's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["bucket", "step", "hashes", "counts", "ids", "keys", "sizes", "digests"]
         for step, b in numbered(steps(batches, "text")):
             grams, at = ngram_sets(b.column("text"), k)
-            doc = np.repeat(np.arange(b.num_rows), np.diff(at))
-            bucket = (grams % np.uint64(buckets)).astype(np.int64)
-            small = (grams // np.uint64(buckets)).astype(np.uint32)  # with the bucket, 32 bits and more
-            order = np.argsort(bucket, kind="stable")
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            rows = []
-            for i in np.flatnonzero(np.diff(ends)).tolist():
-                own = order[ends[i] : ends[i + 1]]
-                count = np.bincount(doc[own], minlength=b.num_rows)
-                kind = "u2" if count.max() < 65536 else "u4"
-                rows.append((i, step, small[own].tobytes(), kind.encode() + count.astype(kind).tobytes()))
+            rows = list(dealt(grams, np.repeat(np.arange(b.num_rows), np.diff(at)), buckets))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary()), *[pa.nulls(len(rows), t) for t in (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()))]],
-                ["bucket", "step", "hashes", "counts", "ids", "keys", "sizes", "digests"],
-            )
+                [pa.array([r[0] for r in rows], pa.int32()), pa.array([step] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary()), *[pa.nulls(len(rows), t) for t in (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()))]], names
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array([step % buckets], pa.int32()), pa.array([step]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), *[pa.array([b.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("doc_id", "key")], pa.array([np.diff(at)], pa.list_(pa.int64())), pa.array([_digests(grams, at)], pa.list_(pa.binary()))],
-                ["bucket", "step", "hashes", "counts", "ids", "keys", "sizes", "digests"],
-            )
+                [pa.array([step % buckets], pa.int32()), pa.array([step]), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), *[pa.array([b.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("doc_id", "key")], pa.array([np.diff(at)], pa.list_(pa.int64())), pa.array([_digests(grams, at)], pa.list_(pa.binary()))], names
+            )
 
     return docs.mapInArrow(run, "bucket int, step long, hashes binary, counts binary, ids array<long>, keys array<long>, sizes array<long>, digests array<binary>")
 
 
 def _count(t: pa.Table) -> pa.Table:
-    """Within a bucket: for each step, how many of each document's n-grams occur in another document."""
-    of, own = np.asarray(t.column("hashes").is_valid()), t.column("hashes").to_pylist()
+    """Within a bucket: for each step, how many n-grams of its documents occur in another document; documents and steps without any are left out."""
+    own, head = t.column("hashes").to_pylist(), np.asarray(t.column("hashes").is_null())
     parts = [np.frombuffer(x, np.uint32) for x in own if x is not None]
     shared: list[bytes | None] = [None] * len(t)
     if parts:
@@ -113,28 +132,30 @@ def _count(t: pa.Table) -> pa.Table:
         twice = np.unique(every[1:][every[1:] == every[:-1]])
         del every
         counts = t.column("counts").to_pylist()
-        for i, part in zip(np.flatnonzero(of).tolist(), parts, strict=True):  # part by part, as a bucket is large
+        for i, part in zip(np.flatnonzero(~head).tolist(), parts, strict=True) if len(twice) else ():  # part by part, as a bucket is large
+            place = np.minimum(np.searchsorted(twice, part), len(twice) - 1)
             common = np.zeros(len(part) + 1, np.int64)
-            if len(twice):
-                place = np.minimum(np.searchsorted(twice, part), len(twice) - 1)
-                np.cumsum(twice[place] == part, out=common[1:])
-            c = np.frombuffer(counts[i], counts[i][:2].decode(), offset=2)
-            shared[i] = np.diff(common[np.append(0, np.cumsum(c, dtype=np.int64))]).astype(np.uint32).tobytes()
-    return pa.table({"step": t.column("step"), "shared": pa.array(shared, pa.binary()), "ids": t.column("ids"), "keys": t.column("keys"), "sizes": t.column("sizes"), "digests": t.column("digests")})
+            np.cumsum(twice[place] == part, out=common[1:])
+            if common[-1]:
+                docs, n = unpaired(counts[i])
+                found = np.diff(common[np.append(0, np.cumsum(n))])
+                some = found > 0
+                shared[i] = pairs(docs[some], found[some])
+    out = pa.table({"step": t.column("step"), "shared": pa.array(shared, pa.binary()), "ids": t.column("ids"), "keys": t.column("keys"), "sizes": t.column("sizes"), "digests": t.column("digests")})
+    return out.filter(pa.array(head | np.array([x is not None for x in shared], bool)))
 
 
 def _gather(t: pa.Table) -> pa.Table:
     """Within a step: each document's set size, digest and number of shared n-grams."""
-    total, head = None, None
-    for i, x in enumerate(t.column("shared").to_pylist()):
-        if x is None:
-            head = i
-        else:
-            a = np.frombuffer(x, np.uint32).astype(np.int64)
-            total = a if total is None else total + a
+    shared = t.column("shared").to_pylist()
+    head = shared.index(None)
     ids, keys, sizes, digests = (t.column(c)[head] for c in ("ids", "keys", "sizes", "digests"))
-    n = len(sizes)
-    return pa.table({"doc_id": ids.values, "key": keys.values, "n": sizes.values, "digest": digests.values, "shared": pa.array(np.zeros(n, np.int64) if total is None else total)})
+    total = np.zeros(len(sizes), np.int64)
+    for x in shared:
+        if x is not None:
+            docs, n = unpaired(x)
+            total[docs] += n
+    return pa.table({"doc_id": ids.values, "key": keys.values, "n": sizes.values, "digest": digests.values, "shared": pa.array(total)})
 
 
 def incidence(docs: DataFrame, k: int) -> DataFrame:

@@ -209,18 +209,18 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
             number = np.empty(len(names), np.int64)
             number[order] = np.arange(len(names))
             pair, times = np.unique(doc * len(names) + number[code] if len(code) else code, return_counts=True)
-            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            of = [k for k in range(buckets) if ends[k + 1] > ends[k]]
+            of, starts = np.unique(bucket[order], return_index=True)  # buckets with a word of the step; there are no rows for others
+            ends = np.append(starts, len(order))
             ids = b.column("doc_id")
             docs_blob = _pack(
                 {
                     "id": ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), "null": np.asarray(ids.is_null()).astype(np.uint8), "held": held.astype(np.uint8),
                     "n": np.diff(off).astype(np.int64), "pairs": np.bincount(pair // max(1, len(names)), minlength=b.num_rows).astype(np.uint32),
-                    "word": (pair % max(1, len(names))).astype(np.uint32), "times": times.astype(np.uint32), "ends": ends.astype(np.uint32),
+                    "word": (pair % max(1, len(names))).astype(np.uint32), "times": times.astype(np.uint32),
                 }
             )
             taken = names.take(pa.array(order)).to_pylist()
-            rows = [(0, k, step, b"\n".join(taken[ends[k] : ends[k + 1]]), trained[order[ends[k] : ends[k + 1]]].astype(np.uint32).tobytes(), None) for k in of]
+            rows = [(0, k, step, b"\n".join(taken[i:j]), trained[order[i:j]].astype(np.uint32).tobytes(), None) for k, i, j in zip(of.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
             rows.append((1, -1, step, None, None, docs_blob))
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["kind", "bucket", "step", "words", "counts", "docs"])

@@ -192,3 +192,37 @@ def test_without_keeps_rows_that_have_no_id(spark, monkeypatch):
     for bound in (1_000_000, 0):
         monkeypatch.setattr(base, "BROADCAST_IDS", bound)
         assert sorted(r[1] for r in base.without(d.withColumnRenamed("__dropped", "x"), gone).collect()) == ["a", "c"]
+
+
+def test_dealt_bytes_follow_the_text_not_the_buckets():
+    """A step's rows and bytes stay within its n-grams' however many buckets there are, and counts come back from them."""
+    rng = np.random.RandomState(5)
+    sizes = rng.randint(1, 900, 800)
+    doc = np.repeat(np.arange(800), sizes)
+    grams = rng.randint(0, 2**63 - 1, len(doc)).astype(np.uint64) * np.uint64(2)
+    for buckets in (1, 64, 256, 4096, 32_768, 262_144):
+        rows = list(jaccard.dealt(grams, doc, buckets))
+        assert len({b for b, _, _ in rows}) == len(rows) <= min(buckets, len(grams))
+        assert sum(len(h) + len(c) - 2 for _, h, c in rows) <= 8 * len(grams)
+        total, seen = np.zeros(800, np.int64), 0
+        for b, h, c in rows:
+            docs, n = jaccard.unpaired(c)
+            assert (np.diff(docs) > 0).all() and n.sum() * 4 == len(h)
+            total[docs] += n
+            seen += len(h) // 4
+        assert seen == len(grams) and (total == sizes).all()
+    assert list(jaccard.dealt(grams[:0], doc[:0], 7)) == []
+    assert [x.tolist() for x in jaccard.unpaired(jaccard.pairs(np.array([3, 70_000]), np.array([1, 2])))] == [[3, 70_000], [1, 2]]
+
+
+@pytest.mark.parametrize("many", [1, 50_000])
+def test_jaccard_bound_with_any_number_of_buckets(spark, monkeypatch, many):
+    monkeypatch.setattr(jaccard, "buckets", lambda *_: many)
+    texts = corpus(6)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).withColumn("key", F.col("doc_id"))
+    got = {r["doc_id"]: (r["n"], r["shared"]) for r in jaccard.incidence(docs, 5).collect()}
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    assert got == {i: (len(s), sum(any(g in o for j, o in enumerate(sets) if j != i) for g in s)) for i, s in enumerate(sets)}
