@@ -114,12 +114,12 @@ def whole(rows):
     return [i for i, _ in keep], x
 
 
-@pytest.mark.parametrize(("dim", "decay"), [(5, 0.5), (64, 1.0), (80, 0.6), (70, 0.97)])
+@pytest.mark.parametrize(("dim", "decay"), [(5, 0.5), (64, 1.0), (80, None), (70, 0.6)])
 def test_whitening(spark, dim, decay):
-    """Fewer dimensions than components; no gap (the basis is expanded); a steep spectrum (power passes suffice); a slow one."""
+    """Fewer dimensions than components; no gap (the basis is expanded); 34 strong directions (power passes suffice); a spectrum that sinks into the entries' rounding."""
     rng = np.random.RandomState(dim)
     turn = np.linalg.qr(rng.randn(dim, dim))[0]
-    values = 40 * decay ** np.arange(dim) * (1 if decay < 1 else np.linspace(1, 0.5, dim))
+    values = np.where(np.arange(dim) < 34, 40 - np.arange(dim) / 2, 0) if decay is None else 40 * decay ** np.arange(dim) * (1 if decay < 1 else np.linspace(1, 0.5, dim))
     v = (rng.randn(400, dim) * values) @ turn.T + 3
     rows = [(int(i), v[i].tolist()) for i in range(400)] + [(500, None), (501, [math.nan] * dim), (502, [None] * dim), (None, v[0].tolist()), (7, v[3].tolist()), (503, v[1][: dim - 2].tolist())]
     ids, x = whole(rows)
@@ -139,7 +139,7 @@ def test_whitening(spark, dim, decay):
     want = (c[ids.index(11)] @ u) / np.sqrt(e)
     assert np.allclose(np.abs(one), np.abs(want), atol=1e-6)
     found = whitening.fit(whitening.entries(frame(spark, rows)))
-    assert found.expanded == (dim == 64 or dim == 70)
+    assert found.expanded == (dim in (64, 70)) and found.passes <= 5
 
 
 def test_whitening_of_few_and_far_entries(spark):
