@@ -119,5 +119,5 @@ def test_empty_documents(spark, folder, tmp_path):
 
 def test_every_operator_is_registered():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(queries.oracle_sql()) <= set(names)
