@@ -10,15 +10,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def distributed(spark: SparkSession, path: str) -> str:
+    """``path``, unless its file system is a machine's own, which executors elsewhere do not share."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() == "file":
+        raise ValueError(f"{path} is on one machine only: name a shared folder in spark.checkpoint.dir")
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Where the session names none: one of the warehouse's, or a temporary one if driver and executors are one process."""
+    """The folder all executors share. Where the session names none: one of the warehouse's, which must not be local, or a temporary one if master is local."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if spark.sparkContext.master.startswith("local"):
             found = tempfile.mkdtemp(prefix="skein-")
             atexit.register(shutil.rmtree, found, ignore_errors=True)
         else:
-            found = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/skein-steps"
+            found = distributed(spark, f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/skein-steps")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 

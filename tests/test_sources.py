@@ -10,6 +10,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from skein import steps
 from skein.operators import quality
 from skein.sources import files, published, sinks
 
@@ -176,3 +177,10 @@ def test_checks_in_one_exchange(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(i#\d+, key#\d+", plan)) == 1 and "SortMergeJoin" not in plan
     with pytest.raises(ValueError):
         quality.suite({"a": a}, {"a": {"id": ["no such test"]}})
+
+
+def test_steps_need_a_shared_folder(spark, tmp_path):
+    for path in (f"file://{tmp_path}", str(tmp_path)):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            steps.distributed(spark, path)
+    assert steps.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
