@@ -9,6 +9,11 @@ by a forward recursion in log space. No piece goes on past the start of a word,
 lattice is a chain of its words' lattices: each distinct word's lattice is run once, however often
 the word occurs, and a document's score is the sum over its words and the end of the text.
 
+With ``whole``, the lattice of a word has one edge more, over the whole word: its training count less a
+discount (from the counts of words met once and twice), as a share of all training tokens. What the discounts
+leave is the weight of the pieces' segmentations, which carry unseen words; the pieces are then fitted on the
+distinct training words, each once. All words and the end still add up to a probability of 1 at most.
+
 The corpus meets the words in packed form. One pass over the texts cuts them into steps; for each
 step it writes its distinct words by hash bucket, with their training counts, and the documents'
 word numbers. Buckets, whose number grows with the texts' bytes, add up counts over steps (the word
@@ -17,7 +22,7 @@ values back. A frequent word is one entry for each step, so no word is hot.
 
 Cases: null counts as empty, whose only token is the end; a null id's text for the split is empty;
 repeated rows are documents of their own; very long texts and words are scored whole; without
-training words the temperature is 1; an empty table gives an empty result; other columns, also of
+training words the temperature is 1, and a whole word and the end weigh a half each; an empty table gives an empty result; other columns, also of
 the result's names, are not read.
 """
 
@@ -36,6 +41,8 @@ from .base import SPACED, bounded, buckets, hashes, materialize, mixed, numbered
 
 MARK = "▁"
 ROUNDS, SMOOTHING, FLOOR = 0, 0.1, -1e8
+#: Least and greatest discount of a word's count.
+DISCOUNTS = (0.1, 0.9)
 #: Steepnesses of the weights between which the best one is sought, and the shift by which pieces are counted.
 TEMPERATURES, SHIFT = (0.4, 0.7, 1.0, 1.3, 1.6, 1.9), 1e-3
 #: Buckets for each shuffle partition at least.
@@ -343,7 +350,7 @@ def train(table: DataFrame, path: str, ends: int, rounds: int = ROUNDS) -> tuple
     return weights, end
 
 
-def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, folds: int = 7, held: int = 2, rounds: int = ROUNDS) -> DataFrame:
+def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", *, folds: int = 7, held: int = 2, rounds: int = ROUNDS, whole: bool = False) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row of ``docs``.
 
     Training documents are those whose crc32(id as text) modulo ``folds`` is not ``held``.
@@ -354,9 +361,15 @@ def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     packed = materialize(_packed(rows, buckets(rows, "text", FINER * partitions(spark))), "packed")
     table = materialize(_word_table(packed), "words")
     ends = rows.agg(F.count(F.when(~F.col("held"), 1)).alias("n")).first()["n"]
-    n_all, distinct = table.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
-    n_all, distinct = n_all + ends, distinct + (ends > 0)
-    weights, end = train(table, path, ends, rounds)
+    n_all, known_words, once, twice = table.agg(F.coalesce(F.sum("c"), F.lit(0)), *[F.count(F.when(x, 1)) for x in (F.col("c") > 0, F.col("c") == 1, F.col("c") == 2)]).first()
+    n_all, distinct = n_all + ends, known_words + (ends > 0)
+    if whole:
+        weights, _ = train(table.filter("c > 0").select("word", F.lit(1).cast("long").alias("c")), path, 0, rounds)
+        discount = float(np.clip(once / max(1, once + 2 * twice), *DISCOUNTS))
+        every = n_all + 2 * SMOOTHING
+        end, rest = log((ends + SMOOTHING) / every), log((discount * known_words + SMOOTHING) / every)
+    else:
+        weights, end = train(table, path, ends, rounds)
     shared = spark.sparkContext.broadcast(weights)
 
     def answer(key, known: pa.Table, asked: pa.Table) -> pa.Table:
@@ -365,6 +378,9 @@ def score(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         names = known.column("word").combine_chunks().cast(pa.large_binary())
         c = known.column("c").to_numpy().astype(np.int64)
         value = lattice.likelihoods(names.cast(pa.large_string()).to_pylist())
+        if whole:
+            own = np.log(np.maximum(c - discount, 0) / every, out=np.full(len(c), -np.inf), where=c > 0)
+            value = np.logaddexp(own, rest + value)
         blobs = asked.column("words").to_pylist()
         at = pc.index_in(_cut(blobs), value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)
         sizes = np.cumsum([x.count(b"\n") + 1 for x in blobs])[:-1]

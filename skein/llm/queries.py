@@ -38,7 +38,7 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(table(spark, sf_dir, "documents"), PIECES)
+    return lm.score(table(spark, sf_dir, "documents"), PIECES, rounds=2, whole=True)
 
 
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

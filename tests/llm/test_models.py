@@ -110,6 +110,38 @@ def test_scores_end_to_end(spark):
         assert all(abs(got[i] - (sum(value[w] for w in t.split()) + end) / math.log(10)) < 1e-6 for i, t in rows)
 
 
+def test_held_out_scores_are_near_the_base(spark, tmp_path):
+    """The query's scores: a whole word's discounted share beside its segmentations, summed by hand; near base_score on held-out rows, and no more than 1 in all."""
+    rng = random.Random(6)
+    pool = ["".join(rng.choices("abdefilmnorstu", k=rng.randint(2, 9))) for _ in range(300)]
+    often = [1 / (k + 1) for k in range(300)]
+    rows = [(i, " ".join(rng.choices(pool, often, k=rng.randint(0, 60))) + (f" odd{i}" if i % 3 else "")) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in queries.op7_lm_scores(spark, str(tmp_path)).collect()}
+    held = [got[i] for i, _ in rows if got[i]["held_out"]]
+    base, score = sum(r["base_score"] for r in held), sum(r["score"] for r in held)
+    assert len(held) > 20 and score > 1.2 * base  # 1.6 and more without whole words
+
+    c = Counter(w for i, t in rows if not got[i]["held_out"] for w in t.split())
+    ends, times = 300 - len(held), Counter(c.values())
+    discount, every = min(max(times[1] / (times[1] + 2 * times[2]), 0.1), 0.9), sum(c.values()) + ends + 0.2
+    names = sorted({w for _, t in rows for w in t.split()})
+    types = spark.createDataFrame([(w.encode(), 1) for w in c], "word binary, c long")
+    pieces = np.exp(lm.Lattice(lm.Vocabulary.of(queries.PIECES), lm.train(types, queries.PIECES, 0, 2)[0]).likelihoods(names))
+    p = {w: max(c[w] - discount, 0) / every + (discount * len(c) + 0.1) / every * x for w, x in zip(names, pieces.tolist(), strict=True)}
+    end = (ends + 0.1) / every
+    assert sum(p.values()) + end <= 1 + 1e-9
+    assert all(abs(got[i]["score"] - (sum(math.log10(p[w]) for w in t.split()) + math.log10(end))) < 1e-6 for i, t in rows)
+
+
+def test_scores_without_training_words(spark):
+    """All rows held out, or empty: scores are finite."""
+    out = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2]
+    for rows in ([(i, "some words") for i in out], [(1, None), (2, "")]):
+        d = spark.createDataFrame(rows, "doc_id long, text string")
+        assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in lm.score(d, queries.PIECES, rounds=2, whole=True).collect())
+
+
 LANGS = {"en": "the of and to in that it was for with this are be from which have they".split(), "fr": "le la les de des et que qui dans pour une avec été même où ça".split(), "de": "der die das und zu den mit für nicht über schön wäre straße auch".split()}
 
 
