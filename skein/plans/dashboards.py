@@ -9,7 +9,7 @@ from ..functions import scalars as S
 from ..operators import dashboards, evaluation, features, history, leakage, metrics, models, temporal
 from ..steps import materialize
 from .analogs import FLIGHTS, HOURLY, LEGS, METRICS, TIMELINE, WEATHER, flights, hourly, legs, timeline
-from .registry import _FLAGGED, _SCORED, _TIES, _model_rows, _scored, query
+from .registry import _FLAGGED, _SCORED, _TIES, _fit_rows, _scored, query
 
 _DONE = "NOT is_cancelled AND NOT is_diverted"
 
@@ -139,6 +139,6 @@ def feature_ablation(spark, d):
 
 @query()
 def tree_importance(spark, d):
-    x = _model_rows(spark, d)
+    x = _fit_rows(spark, d)
     fitted = models.fit_trees(x, ["qty", "price", "disc"], ["carrier_name"], "y")
     return spark.createDataFrame(models.gain_importance(fitted, ["qty", "price", "disc"], ["carrier_name"]), "feature string, share double")

@@ -531,17 +531,21 @@ def _model_rows(spark, d):
     f = flights(spark, d).filter(metrics.completed())
     return f.select("l_orderkey", "l_linenumber", "year", F.when(F.col("l_partkey") % 3 != 0, F.col("l_quantity")).alias("qty"), F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("disc"), "dep_hour", "dow", "month", F.concat(F.lit("c"), "carrier").alias("carrier_name"), F.col("is_delayed").alias("y"))
 
+def _fit_rows(spark, d):
+    """The model rows, written once: a fit passes over them many times, and each pass would join the tables anew."""
+    return materialize(_model_rows(spark, d), "model-rows")
+
 
 @query()
 def logistic_scores(spark, d):
-    x = _model_rows(spark, d)
+    x = _fit_rows(spark, d)
     fitted = models.fit_logistic(x.filter("year < 1999"), _NUMERIC, _CATEGORICAL, "y")
     return models.score(fitted, x.filter("year >= 1999"), "score").select("l_orderkey", "l_linenumber", "y", F.round("score", 6).alias("score"))
 
 
 @query()
 def gbt_scores(spark, d):
-    x = _model_rows(spark, d)
+    x = _fit_rows(spark, d)
     fitted = models.fit_trees(x.filter("year < 1999"), _NUMERIC, _CATEGORICAL, "y")
     return models.score(fitted, x.filter("year >= 1999"), "score").select("l_orderkey", "l_linenumber", "y", F.round("score", 6).alias("score"))
 
@@ -563,7 +567,7 @@ def score_reasons(spark, d):
 @query()
 def model_reasons(spark, d):
     """Scores of a fitted model with their reasons, in the fitted weights."""
-    x = _model_rows(spark, d)
+    x = _fit_rows(spark, d)
     fitted = models.fit_logistic(x.filter("year < 1999"), _NUMERIC, _CATEGORICAL, "y")
     weights, means = models.linear_parts(fitted, _NUMERIC)
     scored = models.contributions(models.score(fitted, x.filter("year >= 1999"), "score"), weights, means)

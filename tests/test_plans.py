@@ -156,3 +156,23 @@ def test_platt_slope_against_newton(spark):
     q = np.clip(p, 1e-6, 1 - 1e-6)
     slope, intercept = newton(np.log(q / (1 - q))[:, None], y, 0.0)
     assert abs(found["slope"] - slope) < 1e-4 and abs(found["intercept"] - intercept) < 1e-4
+
+
+def test_fits_pass_over_written_rows(spark, monkeypatch):
+    """No fit is given a plan that joins the driver tables again in each of its passes."""
+    import __spark_entry__ as entry
+    from skein.operators import boosting
+
+    class Given(Exception):
+        pass
+
+    def stop(train, *_, **__):
+        raise Given(train)
+
+    for module, name in ((models, "fit_logistic"), (models, "fit_trees"), (boosting, "fit")):
+        monkeypatch.setattr(module, name, stop)
+    for q in ("logistic_scores", "model_reasons", "gbt_scores", "tree_importance", "boosted_scores", "boosted_reasons", "boosted_importance"):
+        with pytest.raises(Given) as e:
+            entry.queries()[q](spark, entry.SMOKE)
+        files = e.value.args[0].inputFiles()
+        assert files and all("model-rows-" in f for f in files), q
