@@ -176,3 +176,13 @@ def test_fits_pass_over_written_rows(spark, monkeypatch):
             entry.queries()[q](spark, entry.SMOKE)
         files = e.value.args[0].inputFiles()
         assert files and all("model-rows-" in f for f in files), q
+
+
+def test_ablation_finds_medians_once(spark, monkeypatch):
+    """The medians of all lists' columns are found together."""
+    calls, found = [], models.medians
+    monkeypatch.setattr(models, "medians", lambda df, numeric: calls.append(numeric) or found(df, numeric))
+    rows = [(float(i % 7), float(i % 5) if i % 4 else None, "ab"[i % 2], int(i % 7 > 3)) for i in range(80)]
+    df = spark.createDataFrame(rows, "a double, b double, g string, y int")
+    assert models.ablation(df, df, {"one": ["a"], "two": ["b", "a"]}, ["g"], "y", trees=2, depth=2).count() == 4
+    assert calls == [["a", "b"]]
