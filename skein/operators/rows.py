@@ -66,7 +66,10 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 def volumes(df: DataFrame, **groups: list[str]) -> DataFrame:
     """Adds, for each name, how many rows share the listed columns."""
-    return df.withColumns({name: F.count("*").over(Window.partitionBy(*cols)) for name, cols in groups.items()})
+    out = df
+    for name, cols in sorted(groups.items(), key=lambda x: x[1]):  # columns that begin with another list's come after it, in the same exchange
+        out = out.withColumn(name, F.count("*").over(Window.partitionBy(*cols)))
+    return out.select(*df.columns, *groups)
 
 
 def rotation(df: DataFrame, vehicle: str, day: str, departs: str, arrives: str, tie: str) -> DataFrame:

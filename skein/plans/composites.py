@@ -70,9 +70,11 @@ def weeks_ahead_all(spark, d):
     """All eighteen numeric weeks-ahead features: schedule, volumes, seven lifts and two medians of the month before."""
     x = planned(spark, d)
     done = materialize(x.filter(metrics.completed()), "planned")  # history and target of one table
-    out = history.previous_months(done, done, "mi", "is_delayed", {f"hist_rate_{n}": k for n, k in _RATES.items()}, _MEDIANS, _ROTATION)
     plan = [c.strip() for c in _PLAN.split(",")]
-    return out.select("mi", "carrier", "origin", "dest", "flight_number", "dep_hour", *plan, *_VOLUMES, *[F.round(f"hist_rate_{n}", 9).alias(f"hist_rate_{n}") for n in _RATES], *[F.col(n).cast("double").alias(n) for n in _MEDIANS]).distinct()
+    # what the month before says follows from these columns, so rows that are equal in them meet it once
+    target = done.select("mi", "carrier", "origin", "dest", "route", "flight_number", "dep_hour", *plan, *_VOLUMES).distinct()
+    out = history.previous_months(done, target, "mi", "is_delayed", {f"hist_rate_{n}": k for n, k in _RATES.items()}, _MEDIANS, _ROTATION)
+    return out.select("mi", "carrier", "origin", "dest", "flight_number", "dep_hour", *plan, *_VOLUMES, *[F.round(f"hist_rate_{n}", 9).alias(f"hist_rate_{n}") for n in _RATES], *[F.col(n).cast("double").alias(n) for n in _MEDIANS])
 
 
 def planned(spark, d):

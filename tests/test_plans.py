@@ -178,6 +178,17 @@ def test_fits_pass_over_written_rows(spark, monkeypatch):
         assert files and all("model-rows-" in f for f in files), q
 
 
+def test_volumes_share_exchanges(spark):
+    """Counts by a list of columns and by a longer list that begins with it take one exchange."""
+    from skein.operators.rows import volumes
+
+    df = spark.createDataFrame([(1, 2, 3, 4)] * 3 + [(1, 2, 4, 4)], "o int, d int, h int, x int")
+    out = volumes(df, by_hour=["o", "d", "h"], by_end=["x", "d"], by_day=["o", "d"])
+    assert out.columns == ["o", "d", "h", "x", "by_hour", "by_end", "by_day"]
+    assert len(re.findall(r"Exchange hashpartitioning", out._jdf.queryExecution().executedPlan().toString())) == 2
+    assert sorted(tuple(r)[4:] for r in out.collect()) == [(1, 4, 4), (3, 4, 4), (3, 4, 4), (3, 4, 4)]
+
+
 def test_ablation_finds_medians_once(spark, monkeypatch):
     """The medians of all lists' columns are found together."""
     calls, found = [], models.medians
