@@ -209,3 +209,15 @@ def test_contributions_add_up_and_make_reasons(spark):
     shares = models.mean_contribution(found, {"a": "numbers", "b": "numbers"})
     assert abs(sum(r["share"] for r in shares.collect()) - 1) < 1e-12 and {r["feature_group"] for r in shares.collect()} == {"numbers", "c"}
     assert attribution.contributions(model, df.limit(0)).count() == 0
+
+
+def test_equal_rows_are_one_of_a_block(spark):
+    """Repeated rows are held once with their number, and the sums of many repeats are exact."""
+    rows = [(float(i % 5), "ab"[i % 2], i % 3 % 2) for i in range(30)] * 40
+    df = spark.createDataFrame(rows, "x double, g string, y int")
+    data = df.select(*boosting.features(df, ["x"], ["g"]), F.col("y").alias("__y")).withColumn("__draw", F.lit(1).cast("long"))
+    model = boosting.Model(["x"], ["g"], [np.arange(4.0)], [["a", "b"]], 0.0)
+    times = [np.frombuffer(r["times"], np.int64) for r in boosting._blocks(data, model).collect()]
+    assert sum(map(len, times)) == len(set(rows)) and sum(int(t.sum()) for t in times) == len(rows)
+    w = np.array([(1 << 60) + 1, -(1 << 60) + 2, 3, -5, (1 << 61) - 1], np.int64)
+    assert boosting._summed(np.array([0, 0, 1, 1, 2]), w, 3).tolist() == [3, -2, (1 << 61) - 1]
