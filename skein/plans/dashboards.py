@@ -139,6 +139,6 @@ def feature_ablation(spark, d):
 
 @query()
 def tree_importance(spark, d):
-    x = _fit_rows(spark, d)
-    fitted = models.fit_trees(x, ["qty", "price", "disc"], ["carrier_name"], "y")
+    x = _fit_rows(spark, d, "qty", "price", "disc", "carrier_name", "y")
+    fitted = models.fit_trees(x, ["qty", "price", "disc"], ["carrier_name"], "y", grouped=True)
     return spark.createDataFrame(models.gain_importance(fitted, ["qty", "price", "disc"], ["carrier_name"]), "feature string, share double")

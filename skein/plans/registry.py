@@ -531,9 +531,10 @@ def _model_rows(spark, d):
     f = flights(spark, d).filter(metrics.completed())
     return f.select("l_orderkey", "l_linenumber", "year", F.when(F.col("l_partkey") % 3 != 0, F.col("l_quantity")).alias("qty"), F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("disc"), "dep_hour", "dow", "month", F.concat(F.lit("c"), "carrier").alias("carrier_name"), F.col("is_delayed").alias("y"))
 
-def _fit_rows(spark, d):
-    """The model rows, written once: a fit passes over them many times, and each pass would join the tables anew."""
-    return materialize(_model_rows(spark, d), "model-rows")
+def _fit_rows(spark, d, *columns):
+    """The model rows (or some columns of them), written once: a fit passes over them many times, and each pass would join the tables anew."""
+    x = _model_rows(spark, d)
+    return materialize(x.select(*columns) if columns else x, "model-rows")
 
 
 @query()

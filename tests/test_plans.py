@@ -197,3 +197,46 @@ def test_ablation_finds_medians_once(spark, monkeypatch):
     df = spark.createDataFrame(rows, "a double, b double, g string, y int")
     assert models.ablation(df, df, {"one": ["a"], "two": ["b", "a"]}, ["g"], "y", trees=2, depth=2).count() == 4
     assert calls == [["a", "b"]]
+
+
+def tree_rows(spark):
+    rows = [(i % 11, float(i % 5) if i % 4 else None, float(i * 7919 % 3000), "abc"[i * 31 % 3]) for i in range(600)]
+    return spark.createDataFrame([(*r, int((r[0] > 4) ^ (r[3] == "b") ^ (r[1] is None) ^ (i % 13 == 0))) for i, r in enumerate(rows)], "a int, b double, wide double, g string, y int")
+
+
+def test_grouped_trees_are_those_of_all_rows(spark):
+    """Columns of few values: the same splits, shares and scores from a row for each group, unknown and unseen values included."""
+    df = tree_rows(spark)
+    several = df.unionByName(df).unionByName(df.filter("a > 7"))
+    one, all_ = (models.fit_trees(several, ["a", "b"], ["g"], "y", trees=6, depth=4, grouped=k) for k in (True, False))
+    shares = [dict(models.gain_importance(m, ["a", "b"], ["g"])) for m in (one, all_)]
+    assert all(abs(shares[0][c] - shares[1][c]) < 1e-9 for c in ("a", "b", "g")) and min(shares[0].values()) > 0
+    asked = df.select("a", "b", "g", "y").unionByName(spark.createDataFrame([(-5, 2.4, "a", 0), (99, 9.0, "z", 0)], "a int, b double, g string, y int"))
+    scores = [models.score(m, asked, "p").orderBy("a", "b", "g", "y").collect() for m in (one, all_)]
+    assert all(abs(x["p"] - z["p"]) < 1e-9 for x, z in zip(*scores, strict=True))
+
+
+def test_bin_edges(spark):
+    """A bin for each of few values; quantiles of all rows elsewhere, with a frequent value alone in its bin."""
+    from bisect import bisect_right
+
+    df = tree_rows(spark).withColumn("heavy", F.when(F.col("wide") < 1500, 0.0).otherwise(F.col("wide"))).withColumn("same", F.lit(3.0))
+    a, wide, heavy, same = models.bin_edges(df, ["a", "wide", "heavy", "same"], 16)
+    assert a == [x + 0.5 for x in range(10)]
+    values = [[r[0] for r in df.select(c).collect()] for c in ("wide", "heavy", "same")]
+    sizes = [[sum(bisect_right(e, x) == k for x in v) for k in range(len(e) + 1)] for e, v in zip((wide, heavy, same), values, strict=True)]
+    assert len(sizes[0]) == 16 and max(sizes[0]) - min(sizes[0]) <= 4
+    assert sizes[1][0] == values[1].count(0.0) and sizes[2] == [600, 0]
+
+
+def test_tree_importance_fits_on_groups(spark, monkeypatch):
+    """The trees see a row for each combination of bins, and all of the model rows by weight."""
+    import __spark_entry__ as entry
+    from skein.plans import registry
+
+    given, found = [], models.materialize
+    monkeypatch.setattr(models, "materialize", lambda df, tag: given.append(found(df, tag)) or given[-1])
+    assert entry.queries()["tree_importance"](spark, entry.SMOKE).count() == 4
+    (rows,) = given
+    weighed = rows.agg(F.sum("__n")).first()[0]
+    assert rows.count() == rows.drop("__n").distinct().count() and weighed == registry._model_rows(spark, entry.SMOKE).count()
