@@ -6,7 +6,7 @@ destination, the days from order to shipping the delay. Events are legs of their
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -18,16 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with their ends, flags, delay and label. Columns not used later are pruned at the scans."""
+def flights(spark: SparkSession, sf_dir: str, **early: Column) -> DataFrame:
+    """Lines with their ends, flags, delay and label. Columns not used later are pruned at the scans.
+
+    Lines meet suppliers, and orders meet customers, before the two meet: lines are shuffled by one key only, narrowed to what is used later.
+    ``early``: further columns, found from a line's own before it is shuffled.
+    """
     t = lambda n: table(spark, sf_dir, n)
-    j = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    day = F.col("o_orderdate").cast("date")
-    delay = F.datediff(F.col("l_shipdate").cast("date"), day)
+    lines = t("lineitem").withColumns({"shipped": F.col("l_shipdate").cast("date"), **early}).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    ends = t("orders").withColumn("day", F.col("o_orderdate").cast("date")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    j = lines.join(ends, F.col("l_orderkey") == F.col("o_orderkey"))
+    day = F.col("day")
+    delay = F.datediff("shipped", day)
     return j.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", F.col("s_nationkey").alias("carrier"), F.col("s_nationkey").alias("origin"), F.col("c_nationkey").alias("dest"),
-        S.route("s_nationkey", "c_nationkey").alias("route"), day.alias("day"), F.year(day).alias("year"), F.month(day).alias("month"), S.iso_weekday(day).alias("dow"), F.pmod(F.col("l_quantity").cast("int"), F.lit(24)).alias("dep_hour"),
-        delay.alias("delay"), (F.col("l_returnflag") == "R").alias("is_cancelled"), ((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")).alias("is_diverted"), (delay >= 15).cast("int").alias("is_delayed"),
+        S.route("s_nationkey", "c_nationkey").alias("route"), day, F.year(day).alias("year"), F.month(day).alias("month"), S.iso_weekday(day).alias("dow"), F.pmod(F.col("l_quantity").cast("int"), F.lit(24)).alias("dep_hour"),
+        delay.alias("delay"), (F.col("l_returnflag") == "R").alias("is_cancelled"), ((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "N")).alias("is_diverted"), (delay >= 15).cast("int").alias("is_delayed"), *early,
     )
 
 

@@ -528,8 +528,8 @@ _NUMERIC, _CATEGORICAL = ["qty", "price", "disc", "dep_hour", "dow", "month"], [
 
 def _model_rows(spark, d):
     """Label: the delay is long; a third of the quantities are unknown."""
-    f = flights(spark, d).filter(metrics.completed())
-    return f.select("l_orderkey", "l_linenumber", "year", F.when(F.col("l_partkey") % 3 != 0, F.col("l_quantity")).alias("qty"), F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("disc"), "dep_hour", "dow", "month", F.concat(F.lit("c"), "carrier").alias("carrier_name"), F.col("is_delayed").alias("y"))
+    f = flights(spark, d, known=F.col("l_partkey") % 3 != 0).filter(metrics.completed())
+    return f.select("l_orderkey", "l_linenumber", "year", F.when(F.col("known"), F.col("l_quantity")).alias("qty"), F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("disc"), "dep_hour", "dow", "month", F.concat(F.lit("c"), "carrier").alias("carrier_name"), F.col("is_delayed").alias("y"))
 
 def _fit_rows(spark, d, *columns):
     """The model rows (or some columns of them), written once: a fit passes over them many times, and each pass would join the tables anew."""

@@ -240,3 +240,19 @@ def test_tree_importance_fits_on_groups(spark, monkeypatch):
     (rows,) = given
     weighed = rows.agg(F.sum("__n")).first()[0]
     assert rows.count() == rows.drop("__n").distinct().count() and weighed == registry._model_rows(spark, entry.SMOKE).count()
+
+
+def test_legs_are_shuffled_narrow_and_never_to_customers(spark):
+    """Where no table is small, orders meet customers before the lines, and the lines carry no key or time that is used up."""
+    import __spark_entry__ as entry
+    from skein.plans import registry
+
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        text = plan(registry._model_rows(spark, entry.SMOKE))
+    finally:
+        spark.conf.set(key, old)
+    below = {k: re.search(rf"Exchange hashpartitioning\({k}#.*\n(.*)", text)[1] for k in ("o_custkey", "l_orderkey")}
+    assert "l_orderkey" not in below["o_custkey"]
+    assert "price" in below["l_orderkey"] and not any(c in below["l_orderkey"] for c in ("l_partkey", "l_suppkey", "l_shipdate"))
