@@ -112,8 +112,8 @@ def bin_edges(df: DataFrame, numeric: list[str], bins: int = BINS) -> list[list[
 def fit_trees(train: DataFrame, numeric: list[str], categorical: list[str], label: str, *, trees: int = 40, depth: int = 5, rate: float = 0.1, seed: int = 42, grouped: bool = False) -> tuple[PipelineModel, dict[str, float]]:
     """Gradient-boosted trees; nulls become a value below all others, with an indicator.
 
-    With ``grouped``, rows equal in all bins and the label are one row that weighs as many, written once: for few columns, whose
-    bins have far fewer combinations than there are rows. Its bins come from all rows; Spark's own come from a sample of 10,000.
+    With ``grouped``, rows equal in all bins and the label are one row that weighs as many, written once: for columns whose bins
+    have fewer combinations than there are rows. Its bins come from all rows; Spark's own come from a sample of 10,000.
     """
     values = dict.fromkeys(numeric, -1e6)
     d = impute(train, values).withColumn("__y", F.col(label).cast("double"))

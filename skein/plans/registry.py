@@ -547,7 +547,7 @@ def logistic_scores(spark, d):
 @query()
 def gbt_scores(spark, d):
     x = _fit_rows(spark, d)
-    fitted = models.fit_trees(x.filter("year < 1999"), _NUMERIC, _CATEGORICAL, "y")
+    fitted = models.fit_trees(x.filter("year < 1999"), _NUMERIC, _CATEGORICAL, "y", grouped=True)
     return models.score(fitted, x.filter("year >= 1999"), "score").select("l_orderkey", "l_linenumber", "y", F.round("score", 6).alias("score"))
 
 

@@ -178,6 +178,31 @@ def test_fits_pass_over_written_rows(spark, monkeypatch):
         assert files and all("model-rows-" in f for f in files), q
 
 
+def test_repeated_rows_add_no_rows_to_the_fit_of_gbt_scores(spark, tmp_path, monkeypatch):
+    """Tables three times as long with shifted order keys give the trees as many weighted rows, each three times as heavy."""
+    import __spark_entry__ as entry
+
+    class Given(Exception):
+        pass
+
+    def stop(df, *_):
+        raise Given(df)
+
+    monkeypatch.setattr(models, "materialize", stop)
+    for name in ("lineitem", "orders", "customer", "supplier"):
+        df = spark.read.parquet(f"{entry.SMOKE}/{name}.parquet")
+        key = {"lineitem": "l_orderkey", "orders": "o_orderkey"}.get(name)
+        if key:
+            df = df.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn(key, F.col(key) + F.col("__i") * 10_000_000).drop("__i")
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = []
+    for d in (entry.SMOKE, str(tmp_path)):
+        with pytest.raises(Given) as e:
+            entry.queries()["gbt_scores"](spark, d)
+        found.append(e.value.args[0].agg(F.count("*"), F.sum("__n")).first())
+    assert found[0][0] == found[1][0] and found[0][1] * 3 == found[1][1] > 0
+
+
 def test_volumes_share_exchanges(spark):
     """Counts by a list of columns and by a longer list that begins with it take one exchange."""
     from skein.operators.rows import volumes
