@@ -221,3 +221,26 @@ def test_equal_rows_are_one_of_a_block(spark):
     assert sum(map(len, times)) == len(set(rows)) and sum(int(t.sum()) for t in times) == len(rows)
     w = np.array([(1 << 60) + 1, -(1 << 60) + 2, 3, -5, (1 << 61) - 1], np.int64)
     assert boosting._summed(np.array([0, 0, 1, 1, 2]), w, 3).tolist() == [3, -2, (1 << 61) - 1]
+
+
+def test_one_task_grows_the_trees_of_passes(spark, monkeypatch):
+    """Few different rows are held by one task; the trees are those that passes over all tasks' blocks give, also of repeated rows."""
+    data = rows(500) + rows(200) * 3
+    df = spark.createDataFrame(data, SCHEMA).repartition(3)
+    s = boosting.Settings(trees=3, leaves=8, least_rows=10, seed=5)
+    held = boosting.fit(df, ["a", "b"], ["c"], "y", s)
+    monkeypatch.setattr(boosting, "HELD", 0)
+    passes = boosting.fit(df, ["a", "b"], ["c"], "y", s)
+    assert len(held.trees) == len(passes.trees) == 3 and any(len(t.left) > 1 for t in held.trees)
+    for a, b in zip(held.trees, passes.trees, strict=True):
+        assert all(np.array_equal(getattr(a, c), getattr(b, c)) for c in boosting.Tree.__dataclass_fields__)
+
+
+def test_draws_of_repeated_rows_are_binomial():
+    draw = np.random.RandomState(3).randint(0, 1 << 62, 20000).astype(np.uint64)
+    for times in (1, 2, 7, 300, (1 << 20) + 5):
+        t = boosting._drawn(draw, np.full(20000, times), 9, 0.8)
+        assert t.min() >= 0 and t.max() <= times
+        sd = math.sqrt(times * 0.16)
+        assert abs(t.mean() - 0.8 * times) < 5 * sd / math.sqrt(20000) and abs(t.std() / sd - 1) < 0.03
+    assert np.array_equal(boosting._drawn(draw, np.full(20000, 3), 9, 1.0), np.full(20000, 3))

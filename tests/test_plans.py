@@ -203,6 +203,25 @@ def test_repeated_rows_add_no_rows_to_the_fit_of_gbt_scores(spark, tmp_path, mon
     assert found[0][0] == found[1][0] and found[0][1] * 3 == found[1][1] > 0
 
 
+def test_boosted_queries_fit_all_trees(spark, monkeypatch):
+    """The registered fits have the original's settings, not fewer trees."""
+    import __spark_entry__ as entry
+    from skein.operators import boosting
+
+    class Given(Exception):
+        pass
+
+    def stop(train, numeric, text, label, settings=boosting.Settings()):
+        raise Given(settings)
+
+    monkeypatch.setattr(boosting, "fit", stop)
+    for q in ("boosted_scores", "boosted_reasons", "boosted_importance"):
+        with pytest.raises(Given) as e:
+            entry.queries()[q](spark, entry.SMOKE)
+        s = e.value.args[0]
+        assert (s.trees, s.leaves, s.rate, s.least_rows, s.row_share, s.column_share, s.penalty) == (500, 63, 0.05, 200, 0.8, 0.8, 1.0), q
+
+
 def test_volumes_share_exchanges(spark):
     """Counts by a list of columns and by a longer list that begins with it take one exchange."""
     from skein.operators.rows import volumes
