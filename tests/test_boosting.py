@@ -244,3 +244,14 @@ def test_draws_of_repeated_rows_are_binomial():
         sd = math.sqrt(times * 0.16)
         assert abs(t.mean() - 0.8 * times) < 5 * sd / math.sqrt(20000) and abs(t.std() / sd - 1) < 0.03
     assert np.array_equal(boosting._drawn(draw, np.full(20000, 3), 9, 1.0), np.full(20000, 3))
+
+
+def test_counted_parts_add_up_to_those_of_all_rows(spark):
+    """Rows equal in all codes are one row with their number; shares are those of all rows."""
+    df = spark.createDataFrame(rows(300) * 4, SCHEMA).repartition(3)
+    model = boosting.fit(df, ["a"], ["c"], "y", boosting.Settings(trees=5, leaves=6, least_rows=10))
+    few = attribution.counted(model, df).collect()
+    assert sum(r["rows"] for r in few) == 1200 and len(few) == df.select("a", "c").distinct().count()
+    one, all_ = ({r["feature_group"]: r["share"] for r in models.mean_contribution(x, {"a": "numbers"}, rows=k).collect()} for x, k in ((attribution.counted(model, df), "rows"), (attribution.contributions(model, df), None)))
+    assert one.keys() == all_.keys() == {"numbers", "c"} and all(abs(one[k] - all_[k]) < 1e-12 for k in one)
+    assert attribution.counted(model, df.limit(0)).count() == 0
