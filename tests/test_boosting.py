@@ -255,3 +255,14 @@ def test_counted_parts_add_up_to_those_of_all_rows(spark):
     one, all_ = ({r["feature_group"]: r["share"] for r in models.mean_contribution(x, {"a": "numbers"}, rows=k).collect()} for x, k in ((attribution.counted(model, df), "rows"), (attribution.contributions(model, df), None)))
     assert one.keys() == all_.keys() == {"numbers", "c"} and all(abs(one[k] - all_[k]) < 1e-12 for k in one)
     assert attribution.counted(model, df.limit(0)).count() == 0
+
+
+def test_parts_found_once_are_those_of_each_row(spark):
+    """With ``once``, rows get the parts of their combination of codes; columns, values and means are the same."""
+    df = spark.createDataFrame(rows(300) * 2, SCHEMA).repartition(3)
+    model = boosting.fit(df, ["a", "b"], ["c"], "y", boosting.Settings(trees=5, leaves=6, least_rows=10))
+    one, each = (attribution.contributions(model, df, mean="mean", once=k) for k in (True, False))
+    assert one.columns == each.columns
+    shown = lambda x: sorted(map(repr, x.drop("b").collect()))
+    assert shown(one) == shown(each) and one.count() == 600
+    assert attribution.contributions(model, df.limit(0), once=True).count() == 0
